@@ -86,3 +86,102 @@ def skills_top30(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labormart.operators.dashboards import top_skills_per_group
 
     return top_skills_per_group(_skills_ranked(spark, sf_dir), ["city_name", "query_profession_eng_name"], 30)
+
+
+# ---- pipelines on staged JSON documents (C1, C2, C8) ------------------------------
+
+
+def _staged_tables(spark: SparkSession, sf_dir: str, sem=REFERENCE):
+    from labormart.plans.tables import MemoryTables
+
+    return MemoryTables(
+        spark,
+        sem,
+        initial={"d_city": td.cities(spark, sf_dir), "d_query_profession": td.professions(spark, sf_dir)},
+    )
+
+
+def _rate_staging(spark: SparkSession, sf_dir: str):
+    from labormart.sources.landed import rate_documents_for_days
+
+    first, last = td.order_date_bounds(spark, sf_dir)
+    return rate_documents_for_days(td.rate_documents(spark, sf_dir), end=last, start=first)
+
+
+def _full_backfill(spark: SparkSession, sf_dir: str):
+    from labormart.plans.pipeline import load, stage
+
+    tables = _staged_tables(spark, sf_dir)
+    stage(tables, td.vacancy_documents(spark, sf_dir), _rate_staging(spark, sf_dir))
+    load(tables, REFERENCE, None)
+    return tables
+
+
+def _incremental_last_day(spark: SparkSession, sf_dir: str):
+    """Full load of every day before the last order day, then the incremental load of that day."""
+    from labormart.plans.pipeline import load, stage
+
+    _, last = td.order_date_bounds(spark, sf_dir)
+    docs = td.vacancy_documents(spark, sf_dir)
+    rates = _rate_staging(spark, sf_dir)
+    tables = _staged_tables(spark, sf_dir)
+    stage(tables, docs.where(F.col("query_dt") < last), rates.where(F.col("query_dt") < last))
+    load(tables, REFERENCE, None)
+    stage(tables, docs.where(F.col("query_dt") == last), rates.where(F.col("query_dt") == last))
+    load(tables, REFERENCE, last)
+    return tables
+
+
+_SKILLS_FROM_DOCS = f"""
+WITH {O.vacancies_cte()},
+links AS (
+  SELECT DISTINCT l.l_orderkey AS vacancy_id, p.p_name AS skill_name
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+),
+sc AS (
+  SELECT v.city_name, v.query_profession_eng_name, v.dt, links.skill_name, CAST(COUNT(*) AS INTEGER) AS cnt
+  FROM links JOIN v ON links.vacancy_id = v.vacancy_id
+  GROUP BY ALL
+)
+SELECT city_name, query_profession_eng_name, skill_name, dt,
+       CAST(row_number() OVER (PARTITION BY city_name, query_profession_eng_name, dt
+                               ORDER BY cnt DESC, skill_name) AS INTEGER) AS top,
+       cnt
+FROM sc"""
+
+
+@register("full_backfill", O.metrics_rows_cte("week") + "\nSELECT * FROM m")
+def full_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All staged documents → weekly metrics mart."""
+    return _full_backfill(spark, sf_dir).get("dm_metrics")
+
+
+@register("full_backfill_skills", _SKILLS_FROM_DOCS)
+def full_backfill_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All staged documents → daily skills ranking."""
+    return _full_backfill(spark, sf_dir).get("dm_skills")
+
+
+_LAST_DAY = "(SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)"
+
+
+@register(
+    "incremental_day",
+    f"""WITH {O.vacancies_cte()},{O.salaries_cte()},
+wk AS ({O.metrics_sql('week', f'dt < {_LAST_DAY}')}),
+dy AS ({O.metrics_sql('day', f'dt = {_LAST_DAY}')})
+SELECT * FROM dy
+UNION ALL
+SELECT * FROM wk
+WHERE NOT EXISTS (SELECT 1 FROM dy WHERE dy.city_name = wk.city_name
+                  AND dy.query_profession_eng_name = wk.query_profession_eng_name AND dy.dt = wk.dt)""",
+)
+def incremental_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 after C2: weekly rows for earlier days plus the last day's daily rows (Q4 collisions resolved by key)."""
+    return _incremental_last_day(spark, sf_dir).get("dm_metrics")
+
+
+@register("incremental_day_skills", _SKILLS_FROM_DOCS)
+def incremental_day_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 after C2: the daily ranking covers every day, the last one from the incremental load."""
+    return _incremental_last_day(spark, sf_dir).get("dm_skills")

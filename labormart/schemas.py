@@ -162,3 +162,29 @@ METRIC_SCHEDULE_COLS = [f"{p}_schedule_cnt" for p, _ in SCHEDULES]
 METRIC_MEASURES = METRIC_COUNT_COLS + METRIC_AVG_COLS + METRIC_SCHEDULE_COLS
 
 SKILL_KEY = ["city_name", "query_profession_eng_name", "skill_name", "dt"]
+
+
+def dm_metrics(precision: int = 10, grain_column: bool = False) -> T.StructType:
+    fields = [
+        T.StructField("city_name", S, False),
+        T.StructField("query_profession_eng_name", S, False),
+        T.StructField("dt", T.DateType(), False),
+    ]
+    fields += [T.StructField(c, T.IntegerType(), False) for c in METRIC_COUNT_COLS]
+    fields += [T.StructField(c, T.DecimalType(precision, 2), True) for c in METRIC_AVG_COLS]
+    fields += [T.StructField(c, T.IntegerType(), False) for c in METRIC_SCHEDULE_COLS]
+    if grain_column:
+        fields.append(T.StructField("grain", S, False))
+    return T.StructType(fields)
+
+
+DM_SKILLS = T.StructType(
+    [
+        T.StructField("city_name", S, False),
+        T.StructField("query_profession_eng_name", S, False),
+        T.StructField("skill_name", S, False),
+        T.StructField("dt", T.DateType(), False),
+        T.StructField("top", T.IntegerType(), False),
+        T.StructField("cnt", T.IntegerType(), False),
+    ]
+)

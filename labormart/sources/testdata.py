@@ -77,7 +77,7 @@ def professions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profession dimension (id, name, eng_name): the distinct market segments."""
     seg = table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
     return seg.select(
-        F.xxhash64("c_mktsegment").alias("id"),
+        F.hash("c_mktsegment").alias("id"),
         F.col("c_mktsegment").alias("name"),
         F.col("c_mktsegment").alias("eng_name"),
     )
