@@ -48,7 +48,8 @@ def upsert(
     those rows for a partition overwrite.
     """
     merged, untouched = _merge(target, source, keys, update_cols, partition_cols, on_duplicate, ts_col)
-    return merged if untouched is None else untouched.unionByName(merged)
+    out = merged if untouched is None else merged.unionByName(untouched)
+    return out.select(*target.columns)
 
 
 def upsert_partitions(

@@ -80,7 +80,9 @@ def dedup_versions(
     ts = F.max(ts_col) if has_ts else F.lit(None).cast("timestamp_ntz")
     versions = rows.groupBy(*cols).agg(ts.alias("_ts"))
     packed = F.struct(F.col("_ts"), *[F.col(c) for c in value_cols])
-    per_key = versions.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.max_by(packed, F.col("_ts")).alias("_v"))
+    # order by (timestamp, values): never NULL, so max_by always picks a version,
+    # and equal timestamps resolve deterministically
+    per_key = versions.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.max_by(packed, packed).alias("_v"))
     if on_duplicate == "error":
         # evaluated in the filter, so the job fails on the first conflicting key
         guard = F.when(
@@ -126,7 +128,9 @@ def skill_names(entries: DataFrame) -> DataFrame:
 def rate_records(rate_staging: DataFrame) -> DataFrame:
     """One row per currency entry of each rate document (``Valute`` map)."""
     d = parse_doc("obj", RATES_DOC)
+    extra = [c for c in rate_staging.columns if c not in ("obj", "query_dt", "update_ts")]
     base = rate_staging.select(
+        *extra,
         d["Date"].alias("doc_date"),
         F.col("query_dt").cast("date").alias("dt"),
         F.col("update_ts") if "update_ts" in rate_staging.columns else F.lit(None).cast("timestamp_ntz").alias("update_ts"),
@@ -135,30 +139,40 @@ def rate_records(rate_staging: DataFrame) -> DataFrame:
     return base
 
 
-def currency_dimension_rows(records: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
-    """P2 + A9 + Q7: currency dimension rows, one per char_code.
+def typed_rate_records(records: DataFrame) -> DataFrame:
+    """P2 + P3: every typed column of a currency entry, with the source's truncations.
 
-    Output: (exchange_rates_id, num_code, char_code, name).
+    (exchange_rates_id, num_code, char_code, name, value, previous, nominal,
+    published_at, dt, update_ts); values are rounded half up to 4 places and
+    the document date keeps its wall-clock time.
     """
-    rows = records.select(
+    extra = [c for c in records.columns if c not in ("doc_date", "dt", "update_ts", "code_key", "v")]
+    return records.select(
+        *extra,
         truncate(F.col("v.ID"), 20).alias("exchange_rates_id"),
         truncate(F.col("v.NumCode"), 5).alias("num_code"),
         truncate(F.col("v.CharCode"), 5).alias("char_code"),
         truncate(F.col("v.Name"), 70).alias("name"),
-        "update_ts",
+        F.col("v.Value").cast("decimal(10,4)").alias("value"),
+        F.col("v.Previous").cast("decimal(10,4)").alias("previous"),
+        F.col("v.Nominal").cast("int").alias("nominal"),
+        local_timestamp(F.col("doc_date")).alias("published_at"),
+        F.col("dt"),
+        F.col("update_ts"),
     )
+
+
+def currency_dimension_rows(records: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
+    """P2 + A9 + Q7: currency dimension rows, one per char_code.
+
+    Output: (exchange_rates_id, num_code, char_code, name).
+    """
+    rows = typed_rate_records(records).select("exchange_rates_id", "num_code", "char_code", "name", "update_ts")
     return dedup_versions(rows, ["char_code"], ["exchange_rates_id", "num_code", "name"], sem.on_duplicate).select(
         "exchange_rates_id", "num_code", "char_code", "name"
     )
 
 
 def rate_fact_rows(records: DataFrame) -> DataFrame:
-    """(char_code, value, previous, nominal, published_at, dt); values rounded half up to 4 places."""
-    return records.select(
-        truncate(F.col("v.CharCode"), 5).alias("char_code"),
-        F.col("v.Value").cast("decimal(10,4)").alias("value"),
-        F.col("v.Previous").cast("decimal(10,4)").alias("previous"),
-        F.col("v.Nominal").cast("int").alias("nominal"),
-        local_timestamp(F.col("doc_date")).alias("published_at"),
-        F.col("dt"),
-    )
+    """(char_code, value, previous, nominal, published_at, dt)."""
+    return typed_rate_records(records).select("char_code", "value", "previous", "nominal", "published_at", "dt")

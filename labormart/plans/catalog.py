@@ -185,3 +185,326 @@ def incremental_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_day_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 after C2: the daily ranking covers every day, the last one from the incremental load."""
     return _incremental_last_day(spark, sf_dir).get("dm_skills")
+
+
+# ---- JSON access (X1-X6, J3, J7, F4, P2, P3) --------------------------------------
+
+
+@register(
+    "json_extract",
+    """SELECT event_id, event_type,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       json_extract_string(props, '$.missing') AS missing
+FROM events""",
+)
+def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field as text then cast; an absent field gives NULL."""
+    from labormart.functions.json import json_field
+
+    ev = td.table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        "event_type",
+        json_field("props", "k").cast("int").alias("k"),
+        json_field("props", "missing").alias("missing"),
+    )
+
+
+@register(
+    "json_array_explode",
+    f"""WITH {O.vacancies_cte()}
+SELECT DISTINCT v.vacancy_id, v.dt, v.query_profession_eng_name, p.p_name AS skill_name
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN v ON v.vacancy_id = l.l_orderkey""",
+)
+def json_array_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged documents → one row per ``key_skills`` element (orders without items give none)."""
+    from labormart.operators.parse import skill_entries
+
+    return skill_entries(td.vacancy_documents(spark, sf_dir))
+
+
+def region_rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rate document per region whose ``Valute`` object lists the region's nations."""
+    n = td.table(spark, sf_dir, "nation")
+    r = td.table(spark, sf_dir, "region")
+    rec = F.struct(
+        F.concat(F.lit("R"), F.col("n_nationkey").cast("string")).alias("ID"),
+        F.col("n_nationkey").cast("string").alias("NumCode"),
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("CharCode"),
+        F.concat(F.col("n_name"), F.lit(" of "), F.col("r_name")).alias("Name"),
+        F.concat((F.col("n_nationkey") + 10).cast("string"), F.lit("."), F.lpad((F.col("n_nationkey") * 7).cast("string"), 5, "0")).alias("Value"),
+        F.concat((F.col("n_nationkey") + 9).cast("string"), F.lit(".5")).alias("Previous"),
+        F.when(F.col("n_regionkey") == 2, F.lit("100")).otherwise(F.lit("1")).alias("Nominal"),
+    )
+    per_region = (
+        n.join(r, n["n_regionkey"] == r["r_regionkey"])
+        .groupBy("r_regionkey", "r_name")
+        .agg(F.map_from_entries(F.collect_list(F.struct(F.col("n_name"), rec))).alias("Valute"))
+    )
+    day = F.concat(F.lit("2024-01-"), F.lpad((F.col("r_regionkey") + 1).cast("string"), 2, "0"))
+    return per_region.select(
+        "r_name",
+        F.to_json(F.struct(F.concat(day, F.lit("T11:30:00+03:00")).alias("Date"), F.col("Valute"))).alias("obj"),
+        day.cast("date").alias("query_dt"),
+        day.cast("timestamp_ntz").alias("update_ts"),
+    )
+
+
+@register(
+    "json_map_explode",
+    """SELECT r.r_name, 'N' || CAST(n.n_nationkey AS VARCHAR) AS char_code,
+       CAST(n.n_nationkey AS VARCHAR) AS num_code,
+       n.n_name || ' of ' || r.r_name AS name,
+       CAST(CAST(n.n_nationkey + 10 AS VARCHAR) || '.' || lpad(CAST(n.n_nationkey * 7 AS VARCHAR), 5, '0') AS DECIMAL(10,4)) AS value,
+       CAST(CAST(n.n_nationkey + 9 AS VARCHAR) || '.5' AS DECIMAL(10,4)) AS previous,
+       CASE WHEN n.n_regionkey = 2 THEN 100 ELSE 1 END AS nominal,
+       CAST('2024-01-' || lpad(CAST(r.r_regionkey + 1 AS VARCHAR), 2, '0') || ' 11:30:00' AS TIMESTAMP) AS published_at,
+       CAST('2024-01-' || lpad(CAST(r.r_regionkey + 1 AS VARCHAR), 2, '0') AS DATE) AS dt
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+)
+def json_map_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``Valute`` object → one typed row per currency (rates rounded half up)."""
+    from labormart.operators.parse import rate_records, typed_rate_records
+
+    docs = region_rate_documents(spark, sf_dir)
+    typed = typed_rate_records(rate_records(docs.select("obj", "query_dt", "update_ts", "r_name")))
+    return typed.select(
+        "r_name", "char_code", "num_code", "name", "value", "previous", "nominal", "published_at", "dt"
+    )
+
+
+@register(
+    "error_doc_filter",
+    """SELECT event_id, user_id FROM events WHERE event_type <> 'error'""",
+)
+def error_doc_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents with an ``errors`` key are rejected, even when its value is null."""
+    from labormart.sources.landed import reject_errors
+
+    ev = td.table(spark, sf_dir, "events")
+    obj = (
+        F.when((F.col("event_type") == "error") & (F.col("value") < 10), F.lit('{"errors": null}'))
+        .when(F.col("event_type") == "error", F.to_json(F.struct(F.col("props").alias("errors"))))
+        .otherwise(F.col("props"))
+    )
+    return reject_errors(ev.select("event_id", "user_id", obj.alias("obj"))).select("event_id", "user_id")
+
+
+# ---- dedup, insert-new, upsert (A7-A9, J4, U1-U4) ---------------------------------
+
+
+@register("dedup_distinct", f"WITH {O.vacancies_cte()}\nSELECT vacancy_id, dt, query_profession_eng_name, city_id, salary_currency, salary_from, salary_to, experience, schedule FROM v")
+def dedup_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + Q7: every document staged twice (exact copies) flattens to one row per key."""
+    from labormart.operators.parse import flatten_vacancies
+
+    docs = td.vacancy_documents(spark, sf_dir)
+    staged = docs.unionByName(docs)
+    flat = flatten_vacancies(staged, td.professions(spark, sf_dir), td.cities(spark, sf_dir), REFERENCE)
+    return flat.select(
+        "vacancy_id", "dt", "query_profession_eng_name", "city_id", "salary_currency",
+        "salary_from", "salary_to", "experience", "schedule",
+    )
+
+
+@register(
+    "insert_new_anti",
+    """SELECT DISTINCT p.p_partkey, p.p_name
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+WHERE NOT EXISTS (SELECT 1 FROM part k WHERE k.p_size <= 25 AND k.p_partkey = p.p_partkey)""",
+)
+def insert_new_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4/A8/SNK3: parts used by line items that the known table (parts of size <= 25) lacks."""
+    from labormart.operators.merge import insert_new
+
+    li = td.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
+    p = td.table(spark, sf_dir, "part")
+    used = p.join(li, "p_partkey", "left_semi").select("p_partkey", "p_name").distinct()
+    known = p.where(F.col("p_size") <= 25).select("p_partkey", "p_name")
+    return insert_new(known, used, ["p_partkey"])
+
+
+def _upsert_source(vac: DataFrame, null_to: bool) -> DataFrame:
+    """Incoming versions: orders of 1997 onwards, re-published with a changed schedule/experience."""
+    src = vac.where(F.col("dt") >= F.lit("1997-01-01").cast("date")).select(
+        "vacancy_id", "dt", "query_profession_eng_name", "city_id", "salary_currency", "salary_from",
+        (F.lit(None).cast("decimal(18,2)") if null_to else F.col("salary_to")).alias("salary_to"),
+        F.lit("between3And6").alias("experience"),
+        F.concat(F.col("schedule"), F.lit("*")).alias("schedule"),
+    )
+    return src
+
+
+_UPSERT_BASE = f"""WITH {O.vacancies_cte()},
+t AS (SELECT vacancy_id, dt, query_profession_eng_name, city_id, salary_currency, salary_from, salary_to, experience, schedule
+      FROM v WHERE dt < DATE '1998-01-01'),
+s AS (SELECT vacancy_id, dt, query_profession_eng_name, city_id, salary_currency, salary_from,
+             {{to}} AS salary_to, 'between3And6' AS experience, schedule || '*' AS schedule
+      FROM v WHERE dt >= DATE '1997-01-01')
+SELECT COALESCE(s.vacancy_id, t.vacancy_id) AS vacancy_id, COALESCE(s.dt, t.dt) AS dt,
+       COALESCE(s.query_profession_eng_name, t.query_profession_eng_name) AS query_profession_eng_name,
+       CASE WHEN s.vacancy_id IS NOT NULL THEN s.city_id ELSE t.city_id END AS city_id,
+       CASE WHEN s.vacancy_id IS NOT NULL THEN s.salary_currency ELSE t.salary_currency END AS salary_currency,
+       CASE WHEN s.vacancy_id IS NOT NULL THEN s.salary_from ELSE t.salary_from END AS salary_from,
+       CASE WHEN s.vacancy_id IS NOT NULL THEN s.salary_to ELSE t.salary_to END AS salary_to,
+       CASE WHEN s.vacancy_id IS NOT NULL THEN s.experience ELSE t.experience END AS experience,
+       CASE WHEN s.vacancy_id IS NOT NULL THEN s.schedule ELSE t.schedule END AS schedule
+FROM t FULL OUTER JOIN s ON t.vacancy_id = s.vacancy_id AND t.dt = s.dt
+     AND t.query_profession_eng_name = s.query_profession_eng_name"""
+
+
+def _upsert_query(spark: SparkSession, sf_dir: str, null_to: bool) -> DataFrame:
+    from labormart.operators.merge import upsert
+
+    vac = td.vacancies(spark, sf_dir).select(
+        "vacancy_id", "dt", "query_profession_eng_name", "city_id", "salary_currency",
+        "salary_from", "salary_to", "experience", "schedule",
+    )
+    target = vac.where(F.col("dt") < F.lit("1998-01-01").cast("date"))
+    return upsert(target, _upsert_source(vac, null_to), ["vacancy_id", "dt", "query_profession_eng_name"], partition_cols=["dt"])
+
+
+@register("upsert_merge", _UPSERT_BASE.format(to="salary_to"))
+def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping target (before 1998) and source (1997 on): update, insert, keep."""
+    return _upsert_query(spark, sf_dir, null_to=False)
+
+
+@register("upsert_null_overwrite", _UPSERT_BASE.format(to="CAST(NULL AS DECIMAL(18,2))"))
+def upsert_null_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An incoming NULL replaces the stored value (presence flag, not coalesce)."""
+    return _upsert_query(spark, sf_dir, null_to=True)
+
+
+# ---- rates (J8, D1, X11-X14) --------------------------------------------------------
+
+
+@register(
+    "rates_asof",
+    """WITH obs AS (
+  SELECT user_id AS series, CAST(ts AS DATE) AS obs_day, CAST(arg_max(value, ts) AS DECIMAL(10,4)) AS value
+  FROM events GROUP BY ALL
+),
+days AS (
+  SELECT CAST(d AS DATE) AS dt
+  FROM range((SELECT MIN(CAST(ts AS DATE)) FROM events),
+             (SELECT MAX(CAST(ts AS DATE)) FROM events) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)
+),
+spine AS (
+  SELECT s.series, days.dt FROM (SELECT series, MIN(obs_day) AS first_day FROM obs GROUP BY series) s
+  JOIN days ON days.dt >= s.first_day
+)
+SELECT spine.series, spine.dt, obs.obs_day, obs.value
+FROM spine ASOF JOIN obs ON spine.series = obs.series AND spine.dt >= obs.obs_day""",
+)
+def rates_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each series' latest observation on or before every day up to the last event day."""
+    from labormart.operators.rates import asof_fill
+
+    ev = td.table(spark, sf_dir, "events")
+    obs = ev.groupBy(F.col("user_id").alias("series"), F.col("ts").cast("date").alias("obs_day")).agg(
+        F.max_by("value", "ts").cast("decimal(10,4)").alias("value")
+    )
+    last = ev.select(F.max("ts").cast("date")).scalar()
+    return asof_fill(obs, ["series"], "obs_day", end=last).select("series", "dt", "obs_day", "value")
+
+
+@register(
+    "fx_salary",
+    f"WITH {O.vacancies_cte()},{O.salaries_cte()}\nSELECT vacancy_id, salary_currency, avg_salary FROM sal",
+)
+def fx_salary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-vacancy salary midpoint in the home currency (decimal, half up)."""
+    from labormart.operators.marts import vacancy_salaries
+
+    sal = vacancy_salaries(td.vacancies(spark, sf_dir), td.rates(spark, sf_dir), REFERENCE)
+    return sal.select("vacancy_id", "salary_currency", "avg_salary")
+
+
+# ---- dimension joins (J1, J2, J9, J12) ----------------------------------------------
+
+
+def _listed_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city file lists the nations outside MIDDLE EAST only."""
+    n = td.table(spark, sf_dir, "nation")
+    r = td.table(spark, sf_dir, "region").where(F.col("r_name") != "MIDDLE EAST")
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"], "left_semi").select(
+        F.col("n_nationkey").cast("int").alias("id"), F.col("n_name").alias("name"), F.col("n_name").alias("eng_name")
+    )
+
+
+def _seeded_professions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seeded professions: three of the market segments."""
+    seeds = spark.createDataFrame([(1, "AUTOMOBILE"), (2, "BUILDING"), (3, "MACHINERY")], "id int, eng_name string")
+    return seeds.select("id", F.col("eng_name").alias("name"), "eng_name")
+
+
+_LISTED = """listed AS (SELECT n.n_nationkey AS id, n.n_name AS name FROM nation n JOIN region r
+                  ON n.n_regionkey = r.r_regionkey WHERE r.r_name <> 'MIDDLE EAST'),
+seeded(eng_name) AS (VALUES ('AUTOMOBILE'), ('BUILDING'), ('MACHINERY'))"""
+
+
+@register(
+    "dim_lookup_inner",
+    f"""WITH {O.vacancies_cte()}, {_LISTED}
+SELECT v.vacancy_id, v.dt, v.query_profession_eng_name, v.city_id
+FROM v WHERE v.query_profession_eng_name IN (SELECT eng_name FROM seeded)
+       AND v.city_id IN (SELECT id FROM listed)""",
+)
+def dim_lookup_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged documents kept only when profession and area are in the dimensions."""
+    from labormart.operators.parse import flatten_vacancies
+
+    flat = flatten_vacancies(
+        td.vacancy_documents(spark, sf_dir), _seeded_professions(spark, sf_dir), _listed_cities(spark, sf_dir)
+    )
+    return flat.select("vacancy_id", "dt", "query_profession_eng_name", "city_id")
+
+
+@register(
+    "dim_lookup_left",
+    f"""WITH {O.vacancies_cte()}, {_LISTED}
+SELECT v.vacancy_id, v.city_id, listed.name AS city_name
+FROM v LEFT JOIN listed ON v.city_id = listed.id""",
+)
+def dim_lookup_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City name looked up with a left join (unlisted areas keep a NULL name)."""
+    from labormart.operators.joins import broadcast_if_small
+
+    vac = td.vacancies(spark, sf_dir).select("vacancy_id", "city_id")
+    city = broadcast_if_small(_listed_cities(spark, sf_dir).select(F.col("id").alias("city_id"), F.col("name").alias("city_name")))
+    return vac.join(city, "city_id", "left").select("vacancy_id", "city_id", "city_name")
+
+
+# ---- skill links, source vs keyed (J5, J6, Q3) -------------------------------------
+
+
+def _links_restaged(spark: SparkSession, sf_dir: str, keyed: bool) -> DataFrame:
+    """Every document staged on its day and again the next day; links summed per (profession, skill)."""
+    from labormart.operators.bridge import link_skills
+    from labormart.operators.parse import flatten_vacancies, skill_entries
+
+    docs = td.vacancy_documents(spark, sf_dir)
+    again = docs.withColumn("query_dt", F.date_add("query_dt", 1))
+    staged = docs.unionByName(again)
+    vac = flatten_vacancies(staged, td.professions(spark, sf_dir), td.cities(spark, sf_dir))
+    links = link_skills(skill_entries(staged), vac, keyed=keyed)
+    return links.groupBy("query_profession_eng_name", "skill_name").agg(F.sum("n_links").alias("n_links"))
+
+
+_LINKS_SQL = """SELECT c.c_mktsegment AS query_profession_eng_name, x.p_name AS skill_name, CAST({k} * COUNT(*) AS BIGINT) AS n_links
+FROM (SELECT DISTINCT l.l_orderkey, p.p_name FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) x
+JOIN orders o ON o.o_orderkey = x.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
+GROUP BY ALL"""
+
+
+@register("skill_links_reference", _LINKS_SQL.format(k=4))
+def skill_links_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 source behaviour: 2 staged copies × 2 stored rows → 4 links per (vacancy, skill)."""
+    return _links_restaged(spark, sf_dir, keyed=False)
+
+
+@register("skill_links_keyed", _LINKS_SQL.format(k=2))
+def skill_links_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 corrected: one link per stored row and skill → 2 per (vacancy, skill)."""
+    return _links_restaged(spark, sf_dir, keyed=True)
