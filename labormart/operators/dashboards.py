@@ -66,13 +66,15 @@ def avg_salary(metrics: DataFrame, sem: Semantics = REFERENCE, by: list[str] | N
     by = by or []
     aggs = []
     for p, _ in EXPERIENCE_BANDS:
-        a = F.col(f"{p}_avg_salary").cast("double")
+        # exact decimal mean, rounded half up to cents, then DOUBLE
+        a = F.col(f"{p}_avg_salary").cast("decimal(28,12)")
         if sem.weighted_dashboard_avg:
-            w = F.col(f"{p}_cnt").cast("double")
-            has = a.isNotNull()
-            aggs.append((F.sum(F.when(has, a * w)) / F.sum(F.when(has, w))).alias(f"{p}_avg_salary"))
+            w = F.col(f"{p}_cnt").cast("decimal(18,0)")
+            has = a.isNotNull() & (w > 0)
+            mean = F.sum(F.when(has, a * w)) / F.sum(F.when(has, w))
         else:
-            aggs.append(F.avg(a).alias(f"{p}_avg_salary"))
+            mean = F.avg(a)
+        aggs.append(mean.cast("decimal(18,2)").cast("double").alias(f"{p}_avg_salary"))
     return metrics.groupBy(*by).agg(*aggs)
 
 

@@ -66,7 +66,7 @@ def too_long(df: DataFrame, limits: dict[str, int]) -> DataFrame:
 def out_of_range(df: DataFrame, col: str, precision: int, scale: int) -> DataFrame:
     """Q-RNG: rows whose value does not fit ``numeric(precision, scale)`` (the load would abort)."""
     c = F.col(col)
-    return df.where(c.isNotNull() & F.try_cast(c, f"decimal({precision},{scale})").isNull())
+    return df.where(c.isNotNull() & c.try_cast(f"decimal({precision},{scale})").isNull())
 
 
 def audit_summary(checks: dict[str, DataFrame]) -> DataFrame:

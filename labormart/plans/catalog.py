@@ -508,3 +508,433 @@ def skill_links_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def skill_links_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3 corrected: one link per stored row and skill → 2 per (vacancy, skill)."""
     return _links_restaged(spark, sf_dir, keyed=True)
+
+
+# ---- read queries and dashboards (C5-C7, C9-C12) -----------------------------------
+
+# fixed values: the selection used by the parameterised read queries
+PARAMS = {"city": "NATION_7", "profession": "BUILDING", "date_from": "1996-01-01", "date_to": "1996-12-31"}
+_PARAM_WHERE = (
+    "city_name = 'NATION_7' AND query_profession_eng_name = 'BUILDING' "
+    "AND dt BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
+)
+
+
+@register("metrics_by_params", O.metrics_rows_cte("day") + f"\nSELECT * FROM m WHERE {_PARAM_WHERE}")
+def metrics_by_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mart rows of one city and profession in an inclusive date range."""
+    from labormart.operators.serve import get_metrics
+
+    return get_metrics(metrics_daily(spark, sf_dir), **PARAMS)
+
+
+@register("skills_by_params", "WITH " + O.skill_counts_cte() + f"\nSELECT * FROM ranked WHERE {_PARAM_WHERE}")
+def skills_by_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranking rows of one city and profession in the date range."""
+    from labormart.operators.serve import get_skills
+
+    return get_skills(skills_rank(spark, sf_dir), **PARAMS)
+
+
+@register(
+    "dash_cnt_trend",
+    O.metrics_rows_cte("day")
+    + f"""
+SELECT dt, cnt, no_experience_cnt, between_1_and_3_cnt, between_3_and_6_cnt, more_than_6_cnt
+FROM m WHERE {_PARAM_WHERE}""",
+)
+def dash_cnt_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count trend of the selection, by date."""
+    from labormart.operators.dashboards import count_trend
+
+    return count_trend(metrics_by_params(spark, sf_dir))
+
+
+def _avg_cols_sql() -> str:
+    from labormart.schemas import EXPERIENCE_BANDS
+
+    return ",\n  ".join(
+        f"CAST({O.exact_avg_sql(f'{p}_avg_salary', 18, False)} AS DOUBLE) AS {p}_avg_salary" for p, _ in EXPERIENCE_BANDS
+    )
+
+
+@register(
+    "dash_avg_salary",
+    O.metrics_rows_cte("day")
+    + f"""
+SELECT city_name, query_profession_eng_name,
+  {_avg_cols_sql()}
+FROM m GROUP BY city_name, query_profession_eng_name""",
+)
+def dash_avg_salary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of the daily band averages (zeros included) per city and profession."""
+    from labormart.operators.dashboards import avg_salary
+
+    return avg_salary(metrics_daily(spark, sf_dir), REFERENCE, by=["city_name", "query_profession_eng_name"])
+
+
+@register(
+    "dash_schedule_share",
+    O.metrics_rows_cte("day")
+    + """,
+sums AS (
+  SELECT city_name, query_profession_eng_name,
+         CAST(SUM(flexible_schedule_cnt) AS BIGINT) AS flexible, CAST(SUM(remote_schedule_cnt) AS BIGINT) AS remote,
+         CAST(SUM(full_day_schedule_cnt) AS BIGINT) AS full_day, CAST(SUM(shift_schedule_cnt) AS BIGINT) AS shift,
+         CAST(SUM(fly_in_fly_out_schedule_cnt) AS BIGINT) AS fly_in_fly_out
+  FROM m GROUP BY city_name, query_profession_eng_name
+),
+long AS (
+  UNPIVOT sums ON flexible, remote, full_day, shift, fly_in_fly_out INTO NAME schedule VALUE n
+),
+pos AS (SELECT * FROM long WHERE n > 0)
+SELECT city_name, query_profession_eng_name, schedule, n,
+       CAST((2000 * n + SUM(n) OVER w) // (2 * SUM(n) OVER w) AS DOUBLE) / 10.0 AS pct
+FROM pos WINDOW w AS (PARTITION BY city_name, query_profession_eng_name)""",
+)
+def dash_schedule_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schedule sums per city and profession, positive only, with shares."""
+    from labormart.operators.dashboards import schedule_share
+
+    return schedule_share(metrics_daily(spark, sf_dir), by=["city_name", "query_profession_eng_name"])
+
+
+@register(
+    "dash_top_skills",
+    "WITH "
+    + O.skill_counts_cte()
+    + f""",
+sel AS (SELECT skill_name, CAST(SUM(cnt) AS BIGINT) AS cnt FROM ranked WHERE {_PARAM_WHERE} GROUP BY skill_name)
+SELECT skill_name, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, skill_name) AS INTEGER) AS top
+FROM sel ORDER BY cnt DESC, skill_name LIMIT 30""",
+)
+def dash_top_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The selection's 30 most demanded skills (shown ascending)."""
+    from labormart.operators.dashboards import top_skills
+
+    return top_skills(skills_by_params(spark, sf_dir), 30)
+
+
+@register("get_cities", "SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name, n_name AS eng_name FROM nation")
+def get_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7/SRC5: the whole city dimension."""
+    from labormart.operators.serve import get_cities as _get
+
+    return _get(td.cities(spark, sf_dir))
+
+
+@register("get_professions", "SELECT DISTINCT c_mktsegment AS name, c_mktsegment AS eng_name FROM customer")
+def get_professions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7/SRC5: the whole profession dimension."""
+    from labormart.operators.serve import get_professions as _get
+
+    return _get(td.professions(spark, sf_dir)).select("name", "eng_name")
+
+
+@register("records_json")
+def records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK7/X19: the selected mart rows as JSON records (decimals as text)."""
+    from labormart.operators.serve import to_records
+
+    return to_records(metrics_by_params(spark, sf_dir))
+
+
+# ---- ingest: grid, page cap, counts, list pages (D1, D2, J14, L4, A17, SRC2b) ------
+
+_CELLS_SQL = f"""WITH {O.vacancies_cte()},
+numbered AS (
+  SELECT vacancy_id, dt, city_id, query_profession_eng_name,
+         row_number() OVER (PARTITION BY dt, city_id, query_profession_eng_name ORDER BY vacancy_id) - 1 AS n
+  FROM v
+),
+capped AS (
+  SELECT vacancy_id, dt, city_id, query_profession_eng_name,
+         CAST(n // 100 AS INTEGER) AS page, CAST(n % 100 AS INTEGER) AS position
+  FROM numbered WHERE n < 300
+)"""
+
+
+def _capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labormart.sources.landed import cap_pages
+
+    vac = td.vacancies(spark, sf_dir).select("vacancy_id", "dt", "city_id", "query_profession_eng_name")
+    return cap_pages(vac, ["dt", "city_id", "query_profession_eng_name"], ["vacancy_id"])
+
+
+@register("page_cap", _CELLS_SQL + "\nSELECT * FROM capped")
+def page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4: at most 3 pages of 100 documents per (day, city, profession)."""
+    return _capped(spark, sf_dir)
+
+
+@register(
+    "ingest_counts",
+    _CELLS_SQL + "\nSELECT dt, city_id, query_profession_eng_name, page, COUNT(*) AS n_docs FROM capped GROUP BY ALL",
+)
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted documents per request (day, city, profession, page)."""
+    from labormart.sources.landed import accepted_per_request
+
+    return accepted_per_request(_capped(spark, sf_dir), ["dt", "city_id", "query_profession_eng_name"])
+
+
+@register(
+    "ingest_grid_missing",
+    f"""WITH {O.vacancies_cte()},
+days AS (
+  SELECT CAST(d AS DATE) AS dt
+  FROM range((SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders),
+             (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)
+),
+grid AS (
+  SELECT days.dt, n.n_nationkey AS city_id, s.c_mktsegment AS query_profession_eng_name, 0 AS page
+  FROM days, nation n, (SELECT DISTINCT c_mktsegment FROM customer) s
+)
+SELECT * FROM grid
+WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.dt = grid.dt AND v.city_id = grid.city_id
+                  AND v.query_profession_eng_name = grid.query_profession_eng_name)""",
+)
+def ingest_grid_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected (day, city, profession, first page) cells with no landed document."""
+    from labormart.functions.dates import day_spine
+    from labormart.sources.landed import ingest_grid, missing_cells
+
+    first, last = td.order_date_bounds(spark, sf_dir)
+    spine = day_spine(spark, first, last)
+    grid = ingest_grid(spine, td.cities(spark, sf_dir), td.professions(spark, sf_dir), pages=1)
+    landed = td.vacancies(spark, sf_dir).withColumn("page", F.lit(0))
+    return missing_cells(grid, landed, ["dt", "city_id", "query_profession_eng_name", "page"])
+
+
+def _list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List pages per request cell: up to 100 (id, url) items per page of the capped cells."""
+    capped = _capped(spark, sf_dir)
+    items = F.struct(F.col("vacancy_id").cast("string").alias("id"), _url(F.col("vacancy_id")).alias("url"))
+    return capped.groupBy("dt", "city_id", "query_profession_eng_name", "page").agg(
+        F.to_json(F.struct(F.array_sort(F.collect_list(items)).alias("items"))).alias("obj")
+    )
+
+
+def _url(vacancy_id):
+    return F.concat(F.lit("https://vacancies.example/"), vacancy_id.cast("string"))
+
+
+def _landed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail documents landed so far: every order except the pending (status P) ones."""
+    o = td.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P").select("o_orderkey")
+    docs = td.vacancy_documents(spark, sf_dir)
+    ids = F.get_json_object("obj", "$.id").cast("bigint")
+    return docs.withColumn("vacancy_id", ids).join(o.withColumnRenamed("o_orderkey", "vacancy_id"), "vacancy_id", "left_semi").withColumn(
+        "url", _url(F.col("vacancy_id"))
+    )
+
+
+@register(
+    "list_page_details",
+    _CELLS_SQL + "\nSELECT c.vacancy_id, c.dt, c.page FROM capped c JOIN orders o ON o.o_orderkey = c.vacancy_id WHERE o.o_orderstatus <> 'P'",
+)
+def list_page_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2b: list pages → the landed detail documents they reference (per page entry)."""
+    from labormart.sources.landed import list_page_items
+
+    items = list_page_items(_list_pages(spark, sf_dir))
+    details = _landed_details(spark, sf_dir).select("url", "vacancy_id")
+    return items.join(details, "url", "inner").select("vacancy_id", "dt", "page")
+
+
+@register(
+    "list_page_missing",
+    _CELLS_SQL + "\nSELECT c.vacancy_id, c.dt, c.page FROM capped c JOIN orders o ON o.o_orderkey = c.vacancy_id WHERE o.o_orderstatus = 'P'",
+)
+def list_page_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2b: list-page entries whose detail document has not landed."""
+    from labormart.sources.landed import list_page_items, missing_details
+
+    items = list_page_items(_list_pages(spark, sf_dir))
+    missing = missing_details(items, _landed_details(spark, sf_dir))
+    return missing.select(F.col("item_id").cast("bigint").alias("vacancy_id"), "dt", "page")
+
+
+# ---- data-quality audits (Q-NN, Q-UQ, Q-FK, Q-LEN, Q-RNG) ---------------------------
+
+_VAC_COLS = [
+    "vacancy_id", "city_id", "query_profession_eng_name", "profession", "salary_currency", "salary_from",
+    "salary_to", "experience", "schedule", "published_at", "dt",
+]
+
+
+@register(
+    "dq_nulls",
+    f"WITH {O.vacancies_cte()}\nSELECT column_name, n_rows, n_null FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM v"
+        for c in _VAC_COLS
+    )
+    + ")",
+)
+def dq_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-NN: NULL count of every vacancy column in one pass."""
+    from labormart.operators.quality import null_counts
+
+    return null_counts(td.vacancies(spark, sf_dir), _VAC_COLS)
+
+
+@register(
+    "dq_unique",
+    """SELECT l.l_orderkey AS vacancy_id, p.p_name AS skill_name, COUNT(*) AS n_rows
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY ALL HAVING COUNT(*) > 1""",
+)
+def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-UQ/Q-PK: (vacancy, skill) pairs held by more than one link row."""
+    from labormart.operators.quality import duplicate_keys
+
+    return duplicate_keys(td.skill_entries(spark, sf_dir), ["vacancy_id", "skill_name"])
+
+
+@register(
+    "dq_fk",
+    f"""WITH {O.vacancies_cte()}, {_LISTED}
+SELECT vacancy_id, city_id FROM v WHERE city_id NOT IN (SELECT id FROM listed)""",
+)
+def dq_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-FK: vacancies whose city is missing from the city file."""
+    from labormart.operators.quality import orphans
+
+    vac = td.vacancies(spark, sf_dir).select("vacancy_id", "city_id")
+    return orphans(vac, _listed_cities(spark, sf_dir), ["city_id"], ["id"])
+
+
+# fixed values: declared lengths of the flattened vacancy columns
+_LIMITS = {"profession": 100, "salary_currency": 10, "experience": 20, "schedule": 10}
+
+
+@register(
+    "dq_length",
+    f"""WITH cur(r_name, code) AS (VALUES {O.CURRENCY_VALUES}),
+raw AS (
+  SELECT c.c_name AS profession, cur.code AS salary_currency,
+         {O._case('o.o_orderpriority', td.PRIORITY_TO_EXPERIENCE)} AS experience,
+         {O._case('o.o_orderstatus', td.STATUS_TO_SCHEDULE)} AS schedule
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN cur ON cur.r_name = r.r_name
+)
+"""
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {n} AS max_len, COUNT(*) FILTER (WHERE length({c}) > {n}) AS n_too_long, "
+        f"CAST(MAX(length({c})) AS INTEGER) AS longest FROM raw"
+        for c, n in _LIMITS.items()
+    ),
+)
+def dq_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-LEN/Q1: values longer than the declared varchar length (cut on load)."""
+    from labormart.operators.quality import too_long
+
+    return too_long(td._vacancy_source(spark, sf_dir), _LIMITS)
+
+
+@register(
+    "dq_range",
+    f"""WITH {O.vacancies_cte()},{O.salaries_cte(18)}
+SELECT salary_currency, COUNT(*) AS n_rows,
+       COUNT(*) FILTER (WHERE abs(avg_salary) >= 100000000) AS n_out_of_range,
+       MAX(abs(avg_salary)) AS max_abs
+FROM sal GROUP BY salary_currency""",
+)
+def dq_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-RNG: per currency, converted salaries that would not fit numeric(10,2)."""
+    from labormart.operators.marts import vacancy_salaries
+    from labormart.operators.quality import out_of_range
+    from labormart.semantics import CORRECTED
+
+    wide = REFERENCE.with_(salary_precision=CORRECTED.salary_precision)
+    sal = vacancy_salaries(td.vacancies(spark, sf_dir), td.rates(spark, sf_dir), wide)
+    bad = out_of_range(sal, "avg_salary", 10, 2).groupBy("salary_currency").agg(F.count(F.lit(1)).alias("n_bad"))
+    tot = sal.groupBy("salary_currency").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max(F.abs("avg_salary")).alias("max_abs")
+    )
+    return tot.join(bad, "salary_currency", "left").select(
+        "salary_currency", "n_rows", F.coalesce("n_bad", F.lit(0)).cast("long").alias("n_out_of_range"), "max_abs"
+    )
+
+
+# ---- scalar expressions (X7-X10, X16, X20) ----------------------------------------
+
+
+@register(
+    "varchar_truncate",
+    f"""SELECT o.o_orderkey AS vacancy_id, LEFT({O._case('o.o_orderstatus', td.STATUS_TO_SCHEDULE)}, 10) AS schedule,
+       LEFT(c.c_name, 12) AS name12
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
+)
+def varchar_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``::varchar(n)`` keeps the first n characters."""
+    from labormart.functions.text import truncate
+
+    src = td._vacancy_source(spark, sf_dir)
+    return src.select("vacancy_id", truncate("schedule", 10).alias("schedule"), truncate("profession", 12).alias("name12"))
+
+
+@register(
+    "ts_offset_strip",
+    """SELECT event_id, CAST(strftime(ts, '%Y-%m-%dT%H:%M:%S') AS TIMESTAMP) AS local_ts FROM events""",
+)
+def ts_offset_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO text with a +03:00 offset keeps its wall-clock time."""
+    from labormart.functions.dates import local_timestamp
+
+    ev = td.table(spark, sf_dir, "events")
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+0300"))
+    return ev.select("event_id", local_timestamp(text).alias("local_ts"))
+
+
+@register(
+    "week_trunc",
+    """SELECT CAST(date_trunc('week', CAST(o_orderdate AS DATE)) AS DATE) AS week_start, COUNT(*) AS n_orders
+FROM orders GROUP BY 1""",
+)
+def week_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monday-based week buckets."""
+    from labormart.functions.dates import week_start
+
+    o = td.table(spark, sf_dir, "orders")
+    return o.groupBy(week_start("o_orderdate").alias("week_start")).agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+@register(
+    "prev_day",
+    """SELECT DISTINCT CAST(o_orderdate AS DATE) AS dt, CAST(CAST(o_orderdate AS DATE) - INTERVAL 1 DAY AS DATE) AS prev_dt,
+       strftime(CAST(o_orderdate AS DATE), '%d.%m.%Y') AS caption
+FROM orders""",
+)
+def prev_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day before (``as_of - 1 day``) and the caption format."""
+    from labormart.functions.dates import caption_date
+    from labormart.functions.dates import prev_day as _prev
+
+    days = td.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("dt")).distinct()
+    return days.select("dt", _prev("dt").alias("prev_dt"), caption_date("dt").alias("caption"))
+
+
+# ---- the corrected preset ---------------------------------------------------------
+
+
+@register(
+    "metrics_weekly_corrected",
+    f"""WITH {O.vacancies_cte(20)},{O.salaries_cte(18, use_nominal=True)}
+SELECT city_name, query_profession_eng_name, CAST(date_trunc('week', dt) AS DATE) AS dt,
+  """
+    + O.metric_measures_sql(18, zero_when_empty=False)
+    + """,
+  'week' AS grain
+FROM sal GROUP BY city_name, query_profession_eng_name, CAST(date_trunc('week', dt) AS DATE)""",
+)
+def metrics_weekly_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 with CORRECTED semantics: full schedule ids (Q1), nominal (Q2), NULL when empty (Q10), grain (Q4)."""
+    from labormart.semantics import CORRECTED
+
+    sem = CORRECTED
+    return marts.metrics_mart(
+        td.vacancies(spark, sf_dir, sem), td.rates(spark, sf_dir), td.cities(spark, sf_dir), sem, "week"
+    )

@@ -25,8 +25,11 @@ def _values(rows) -> str:
 
 
 CURRENCY_VALUES = _values(f"('{r}', '{c}')" for r, c in REGION_TO_CURRENCY.items())
+# the oracle engine turns decimal division into DOUBLE, so ``/ nominal`` is
+# written as a multiplication by the exact decimal 1/nominal (nominals are powers of ten)
 RATE_VALUES = _values(
-    f"('{code}', CAST('{value}' AS DECIMAL(10,4)), {nominal})" for code, value, nominal, _, _ in FIXED_RATES
+    f"('{code}', CAST('{value}' AS DECIMAL(10,4)), {nominal}, CAST('{1 / nominal:.6f}' AS DECIMAL(10,6)))"
+    for code, value, nominal, _, _ in FIXED_RATES
 )
 
 
@@ -58,10 +61,10 @@ v AS (
 def salaries_cte(precision: int = 10, use_nominal: bool = False, src: str = "v") -> str:
     """``sal``: ``src`` plus ``avg_salary`` (per-vacancy midpoint in home currency)."""
     t = f"DECIMAL({precision},2)"
-    conv = "{x} * rate.value" + (" / rate.nominal" if use_nominal else "")
+    conv = ("CAST({x} AS DECIMAL(38,2)) * rate.value * rate.inv_nominal" if use_nominal else "{x} * rate.value")
     f_, t_ = conv.format(x="salary_from"), conv.format(x="salary_to")
     return f"""
-rate(code, value, nominal) AS (VALUES {RATE_VALUES}),
+rate(code, value, nominal, inv_nominal) AS (VALUES {RATE_VALUES}),
 sal AS (
   SELECT {src}.*,
     CAST((CAST(CASE WHEN salary_currency = 'RUR' THEN COALESCE(salary_from, salary_to)
