@@ -9,14 +9,55 @@ from pyspark.sql import functions as F
 # City, profession, currency and day x currency rate tables sit far below it at
 # any data volume; a larger side falls back to a shuffle (sort-merge) join.
 BROADCAST_MAX_ROWS = 2_000_000
+# Catalyst size estimate under which no counting job is needed.
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
+# plan nodes that can emit more rows than they read, so that the planner's
+# size estimate is no upper bound
+_ROW_MULTIPLYING = ("Generate ", "Expand ", "Join Cross", "Join Inner", "Join LeftOuter", "Join RightOuter", "Join FullOuter")
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a cheap limited job); over
-    the bound the DataFrame is returned unchanged and Spark plans a shuffle
-    join, where AQE can still split skewed partitions.
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (no job runs), or None."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - estimates are optional (e.g. Spark Connect)
+        return None
+
+
+def _estimate_is_bound(df: DataFrame) -> bool:
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # noqa: BLE001
+        return False
+    return not any(tok in plan for tok in _ROW_MULTIPLYING)
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """Mark ``df`` for broadcast when it is provably small.
+
+    First Catalyst's size estimate is consulted (no job): scans, filters,
+    projections and aggregates never grow past it, so a plan made of those
+    under ``max_bytes`` is broadcast at once. Otherwise at most
+    ``max_rows + 1`` rows are counted (a limited job); over the bound the
+    DataFrame is returned unchanged and Spark plans a shuffle join, where AQE
+    can still split skewed partitions.
     """
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes and _estimate_is_bound(df):
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def broadcast_partition_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct partition-key values, broadcast.
+
+    Partition keys of a table layout (days, or dimension × day slices) are
+    bounded by the calendar and the dimensions, not by the data volume, so
+    their distinct set is always small.
+    """
+    return F.broadcast(df.select(*cols).distinct())

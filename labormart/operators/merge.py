@@ -12,13 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labormart.operators.joins import broadcast_if_small
+from labormart.operators.joins import broadcast_partition_values
 from labormart.operators.parse import dedup_versions
 
 
 def _touched(target: DataFrame, source: DataFrame, partition_cols: list[str]) -> tuple[DataFrame, DataFrame]:
     """Split ``target`` into rows inside / outside the partitions present in ``source``."""
-    parts = broadcast_if_small(source.select(*partition_cols).distinct())
+    parts = broadcast_partition_values(source, partition_cols)
     inside = target.join(parts, partition_cols, "left_semi")
     outside = target.join(parts, partition_cols, "left_anti")
     return inside, outside

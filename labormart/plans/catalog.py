@@ -91,13 +91,14 @@ def skills_top30(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- pipelines on staged JSON documents (C1, C2, C8) ------------------------------
 
 
-def _staged_tables(spark: SparkSession, sf_dir: str, sem=REFERENCE):
+def _staged_tables(spark: SparkSession, sf_dir: str, sem=REFERENCE, cut_lineage: bool = True):
     from labormart.plans.tables import MemoryTables
 
     return MemoryTables(
         spark,
         sem,
         initial={"d_city": td.cities(spark, sf_dir), "d_query_profession": td.professions(spark, sf_dir)},
+        cut_lineage=cut_lineage,
     )
 
 
@@ -111,7 +112,8 @@ def _rate_staging(spark: SparkSession, sf_dir: str):
 def _full_backfill(spark: SparkSession, sf_dir: str):
     from labormart.plans.pipeline import load, stage
 
-    tables = _staged_tables(spark, sf_dir)
+    # one load: its plan stays whole (nothing earlier to cut away)
+    tables = _staged_tables(spark, sf_dir, cut_lineage=False)
     stage(tables, td.vacancy_documents(spark, sf_dir), _rate_staging(spark, sf_dir))
     load(tables, REFERENCE, None)
     return tables

@@ -38,6 +38,7 @@ def _scope(df: DataFrame, col: str, day: Column | _dt.date | None) -> DataFrame:
 def load(tables, sem: Semantics = REFERENCE, day: Column | _dt.date | None = None) -> LoadReport:
     """C1 (``day`` given) / C2 (``day=None``) over a tables back end."""
     full = day is None
+    tables.commit()
     stg_v = tables.get("stg_vacancies")
     stg_r = tables.get("stg_exchange_rates")
     scope_v = _scope(stg_v, "query_dt", day)
@@ -51,18 +52,18 @@ def load(tables, sem: Semantics = REFERENCE, day: Column | _dt.date | None = Non
         tables.get("d_vacancies"), new_vac, VACANCY_KEY, ["dt"], on_duplicate=None
     )
     tables.put("d_vacancies", vac_rows, "partitions")
-    tables.checkpoint("d_vacancies")
 
     # SNK3/J4: skill names of all staged documents that are not known yet (Q13)
     names = parse.skill_names(parse.skill_entries(stg_v, sem))
     new_names = merge.insert_new(tables.get("d_skill"), names, ["name"])
     tables.put("d_skill", new_names.select(F.xxhash64("name").alias("id"), "name"), "append")
 
-    # Links of the scope's entries to stored vacancy rows
+    # Links of the scope's entries to stored vacancy rows. Every staged
+    # name was inserted into d_skill just above, so the inner join on the skill
+    # name (J5) keeps exactly the non-NULL names; link_skills applies that filter.
     entries = parse.skill_entries(scope_v, sem)
-    links = bridge.link_skills(entries, tables.get("d_vacancies"), keyed=sem.keyed_bridge, skills=tables.get("d_skill"))
+    links = bridge.link_skills(entries, tables.get("d_vacancies"), keyed=sem.keyed_bridge)
     tables.put("fct_skill_vacancy", links, "partitions" if sem.replace_facts else "append")
-    tables.checkpoint("fct_skill_vacancy")
 
     # Currency dimension from all staged rate documents (Q13)
     currencies = parse.currency_dimension_rows(parse.rate_records(stg_r), sem)

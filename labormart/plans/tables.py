@@ -50,8 +50,16 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 class MemoryTables:
     """Tables as lazy DataFrames; every ``put`` builds on the previous version."""
 
-    def __init__(self, spark: SparkSession, sem: Semantics = REFERENCE, initial: dict[str, DataFrame] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sem: Semantics = REFERENCE,
+        initial: dict[str, DataFrame] | None = None,
+        cut_lineage: bool = True,
+    ):
         self.spark = spark
+        self.cut_lineage = cut_lineage
+        self._dirty: set[str] = set()
         self.schemas = table_schemas(sem)
         self._t: dict[str, DataFrame] = {}
         for name, schema in self.schemas.items():
@@ -62,6 +70,7 @@ class MemoryTables:
 
     def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
         df = _conform(df, self.schemas[name])
+        self._dirty.add(name)
         if mode == "overwrite":
             self._t[name] = df
         elif mode == "append":
@@ -72,14 +81,31 @@ class MemoryTables:
             raise ValueError(f"unknown mode {mode!r}")
 
     def checkpoint(self, name: str) -> None:
-        """Cut the lineage of one table (reliable checkpoint in ``spark.checkpoint.dir``)."""
-        self._t[name] = self._t[name].checkpoint(eager=True)
+        """Cut the lineage of one table (reliable checkpoint in ``spark.checkpoint.dir``).
+
+        With ``cut_lineage=False`` the plan stays whole: one job graph in which
+        Spark reuses identical exchanges (fine for short runs and tests).
+        """
+        if self.cut_lineage:
+            self._t[name] = self._t[name].checkpoint(eager=True)
+
+    def commit(self) -> None:
+        """Cut the lineage of every table changed since the last commit.
+
+        Called at the start of each load, so a run builds on materialized
+        state instead of re-planning all earlier runs.
+        """
+        for name in sorted(self._dirty):
+            self.checkpoint(name)
+        self._dirty.clear()
 
     def truncate(self, name: str) -> None:
+        self._dirty.add(name)
         self._t[name] = self._t[name].limit(0)
 
     def delete_partition(self, name: str, day) -> None:
         d = day if isinstance(day, Column) else to_day(day)
+        self._dirty.add(name)
         self._t[name] = self._t[name].where(~(F.col(PARTITION_COLUMN[name]) == d))
 
 
@@ -137,6 +163,9 @@ class ParquetTables:
     def checkpoint(self, name: str) -> None:  # tables on disk already have short lineage
         return None
 
+    def commit(self) -> None:  # every put is already written
+        return None
+
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()

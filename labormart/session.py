@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # local mode runs everything in the driver JVM; ignored once a JVM is up
+    "spark.driver.memory": "16g",
 }
 
 
