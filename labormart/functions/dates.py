@@ -67,15 +67,22 @@ def day_spine(
     s = to_day(start) if not isinstance(start, Column) else start.cast("date")
     e = to_day(end) if not isinstance(end, Column) else end.cast("date")
     base = spark.range(1).select(s.alias("_s"), e.alias("_e"))
-    return base.where(F.col("_s") <= F.col("_e")).select(
-        F.explode(F.sequence(F.col("_s"), F.col("_e"), F.expr("interval 1 day"))).alias(name)
+    return base.select(F.explode(_days_between(F.col("_s"), F.col("_e"))).alias(name))
+
+
+def _days_between(s: Column, e: Column) -> Column:
+    """Inclusive day sequence, an empty array when ``s`` is after ``e``.
+
+    The guard sits inside the expression: with literal bounds Catalyst folds
+    the sequence while optimizing, before any filter could apply.
+    """
+    return F.when(s <= e, F.sequence(s, e, F.expr("interval 1 day"))).otherwise(
+        F.array().cast("array<date>")
     )
 
 
 def day_spine_from(bounds: DataFrame, start_col: str, end_col: str, name: str = "dt") -> DataFrame:
     """Day spine whose bounds come from a (one-row) DataFrame computed by Spark."""
-    return bounds.where(F.col(start_col) <= F.col(end_col)).select(
-        F.explode(
-            F.sequence(F.col(start_col).cast("date"), F.col(end_col).cast("date"), F.expr("interval 1 day"))
-        ).alias(name)
+    return bounds.select(
+        F.explode(_days_between(F.col(start_col).cast("date"), F.col(end_col).cast("date"))).alias(name)
     )

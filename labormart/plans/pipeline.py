@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from labormart.functions.dates import day_spine, to_day
 from labormart.operators import bridge, marts, merge, parse
+from labormart.operators.joins import broadcast_partition_values
 from labormart.schemas import METRIC_KEY, SKILL_KEY, VACANCY_KEY
 from labormart.semantics import REFERENCE, Semantics
 
@@ -35,14 +36,31 @@ def _scope(df: DataFrame, col: str, day: Column | _dt.date | None) -> DataFrame:
     return df.where(F.col(col) == d)
 
 
-def load(tables, sem: Semantics = REFERENCE, day: Column | _dt.date | None = None) -> LoadReport:
-    """C1 (``day`` given) / C2 (``day=None``) over a tables back end."""
-    full = day is None
+def load(
+    tables,
+    sem: Semantics = REFERENCE,
+    day: Column | _dt.date | None = None,
+    batch: tuple[DataFrame, DataFrame] | None = None,
+) -> LoadReport:
+    """C1 (``day`` given) / C2 (``day=None``) over a tables back end.
+
+    ``batch`` = (staged vacancy rows, staged rate rows) runs the incremental
+    load on rows that never went through the staging tables (a streaming
+    micro-batch): they are the whole scope, metrics are at day grain, and
+    the staging tables are left alone.
+    """
     tables.commit()
-    stg_v = tables.get("stg_vacancies")
-    stg_r = tables.get("stg_exchange_rates")
-    scope_v = _scope(stg_v, "query_dt", day)
-    scope_r = _scope(stg_r, "query_dt", day)
+    if batch is not None:
+        stg_v, stg_r = batch
+        scope_v, scope_r = stg_v, stg_r
+        full = False
+    else:
+        full = day is None
+        stg_v = tables.get("stg_vacancies")
+        stg_r = tables.get("stg_exchange_rates")
+        scope_v = _scope(stg_v, "query_dt", day)
+        scope_r = _scope(stg_r, "query_dt", day)
+    vac_days = None if batch is None else stg_v.select(F.col("query_dt").alias("dt"))
     cities = tables.get("d_city")
     professions = tables.get("d_query_profession")
 
@@ -78,6 +96,8 @@ def load(tables, sem: Semantics = REFERENCE, day: Column | _dt.date | None = Non
 
     # Metrics mart (day grain incremental, week grain full)
     vac = _scope(tables.get("d_vacancies"), "dt", day)
+    if vac_days is not None:
+        vac = vac.join(broadcast_partition_values(vac_days, ["dt"]), "dt", "left_semi")
     metrics = marts.metrics_mart(vac, tables.get("fct_exchange_rates"), cities, sem, "week" if full else "day")
     mkey = METRIC_KEY + (["grain"] if sem.grain_column else [])
     tables.put(
@@ -88,6 +108,8 @@ def load(tables, sem: Semantics = REFERENCE, day: Column | _dt.date | None = Non
 
     # C4/U4: skills mart at day grain
     links_scope = _scope(tables.get("fct_skill_vacancy"), "dt", day)
+    if vac_days is not None:
+        links_scope = links_scope.join(broadcast_partition_values(vac_days, ["dt"]), "dt", "left_semi")
     ranking = marts.skills_mart(links_scope, vac, cities, sem)
     current = tables.get("dm_skills")
     if sem.replace_rank_slice:
@@ -99,6 +121,8 @@ def load(tables, sem: Semantics = REFERENCE, day: Column | _dt.date | None = Non
     tables.put("dm_skills", new_skills, "partitions")
 
     # SNK5/SNK6: consume staging
+    if batch is not None:
+        return LoadReport("batch", None)
     for name in ("stg_vacancies", "stg_exchange_rates"):
         if full:
             tables.truncate(name)

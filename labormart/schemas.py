@@ -92,8 +92,14 @@ D_EXCHANGE_RATES = T.StructType(
 # ---- detail -----------------------------------------------------------------
 
 
+def _decimal(type_text: str) -> T.DecimalType:
+    """``decimal(p,s)`` text → DecimalType (no session needed)."""
+    p, s = type_text.strip().lower().removeprefix("decimal(").removesuffix(")").split(",")
+    return T.DecimalType(int(p), int(s))
+
+
 def d_vacancies(money_type: str = "decimal(18,2)") -> T.StructType:
-    money = T._parse_datatype_string(money_type)
+    money = _decimal(money_type)
     return T.StructType(
         [
             T.StructField("vacancy_id", T.LongType(), False),
