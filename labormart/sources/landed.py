@@ -207,3 +207,29 @@ __all__ = [
     "missing_cells",
     "write_staging",
 ]
+
+
+def landed_sources(spark: SparkSession, root: str):
+    """(vacancy_source, rate_source) callables over ``<root>/vacancies`` and ``<root>/rates``.
+
+    Each takes the requested day spine (column ``query_dt``) and returns staged
+    rows for those days: the vacancy documents landed under those days, and
+    one rate document per day (as-of filled).
+    """
+    base = root.rstrip("/")
+
+    def vacancy_source(spine: DataFrame) -> DataFrame:
+        docs = read_vacancy_documents(spark, f"{base}/vacancies")
+        return docs.join(F.broadcast(spine.select("query_dt").distinct()), "query_dt", "left_semi")
+
+    def rate_source(spine: DataFrame) -> DataFrame:
+        first = spine.select(F.min("query_dt")).scalar()
+        last = spine.select(F.max("query_dt")).scalar()
+        return rate_documents_for_days(read_rate_documents(spark, f"{base}/rates"), end=last, start=first)
+
+    return vacancy_source, rate_source
+
+
+def land_documents(df: DataFrame, path: str, partition_cols: list[str]) -> None:
+    """Write documents (column ``obj``) as landed text files, one document per line."""
+    df.select("obj", *partition_cols).write.mode("append").partitionBy(*partition_cols).text(path)
