@@ -28,14 +28,26 @@ VACANCY_VALUE_COLS = [
 ]
 
 
+def parse_vacancy_documents(staging: DataFrame) -> DataFrame:
+    """Staged rows with the document parsed once into the struct column ``d``.
+
+    Parsing is the costly step; vacancy rows, skill names and skill entries
+    all read ``d`` instead of parsing the text again.
+    """
+    if "d" in staging.columns:
+        return staging
+    return staging.select(
+        parse_doc("obj", VACANCY_DOC).alias("d"), "query_profession_eng_name", "query_dt", "update_ts"
+    )
+
+
 def vacancy_rows(staging: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
     """Typed columns out of each staged vacancy document (no joins, no dedup).
 
     Every JSON leaf is read as text and cast here; ``::varchar(n)`` casts are
     explicit truncations. ``published_at`` keeps its wall-clock time.
     """
-    d = parse_doc("obj", VACANCY_DOC).alias("d")
-    return staging.select(d, "query_profession_eng_name", "query_dt", "update_ts").select(
+    return parse_vacancy_documents(staging).select(
         F.col("d.id").cast("bigint").alias("vacancy_id"),
         F.col("d.area.id").cast("int").alias("city_id"),
         F.col("query_profession_eng_name"),
@@ -108,8 +120,8 @@ def skill_entries(staging: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
     Output: (vacancy_id, dt, query_profession_eng_name, skill_name). A NULL
     name is kept unless ``sem.drop_null_skills``.
     """
-    d = parse_doc("obj", VACANCY_DOC)
-    rows = staging.select(
+    d = F.col("d")
+    rows = parse_vacancy_documents(staging).select(
         d["id"].cast("bigint").alias("vacancy_id"),
         F.col("query_dt").cast("date").alias("dt"),
         "query_profession_eng_name",

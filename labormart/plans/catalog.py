@@ -112,8 +112,9 @@ def _rate_staging(spark: SparkSession, sf_dir: str):
 def _full_backfill(spark: SparkSession, sf_dir: str):
     from labormart.plans.pipeline import load, stage
 
-    # one load: its plan stays whole (nothing earlier to cut away)
-    tables = _staged_tables(spark, sf_dir, cut_lineage=False)
+    # the load starts by checkpointing the staged rows (a stored table in the
+    # source system), so its three readers do not rebuild the documents
+    tables = _staged_tables(spark, sf_dir)
     stage(tables, td.vacancy_documents(spark, sf_dir), _rate_staging(spark, sf_dir))
     load(tables, REFERENCE, None)
     return tables

@@ -61,25 +61,28 @@ def load(
         scope_v = _scope(stg_v, "query_dt", day)
         scope_r = _scope(stg_r, "query_dt", day)
     vac_days = None if batch is None else stg_v.select(F.col("query_dt").alias("dt"))
+    # parse every staged document once; the three readers below use the struct
+    parsed_all = tables.scratch(parse.parse_vacancy_documents(stg_v), "parsed_vacancies")
+    parsed_scope = parsed_all if (full or batch is not None) else _scope(parsed_all, "query_dt", day)
     cities = tables.get("d_city")
     professions = tables.get("d_query_profession")
 
     # Typed vacancies, upserted by (vacancy_id, dt, profession)
-    new_vac = parse.flatten_vacancies(scope_v, professions, cities, sem)
+    new_vac = parse.flatten_vacancies(parsed_scope, professions, cities, sem)
     vac_rows = merge.upsert_partitions(
         tables.get("d_vacancies"), new_vac, VACANCY_KEY, ["dt"], on_duplicate=None
     )
     tables.put("d_vacancies", vac_rows, "partitions")
 
     # SNK3/J4: skill names of all staged documents that are not known yet (Q13)
-    names = parse.skill_names(parse.skill_entries(stg_v, sem))
+    names = parse.skill_names(parse.skill_entries(parsed_all, sem))
     new_names = merge.insert_new(tables.get("d_skill"), names, ["name"])
     tables.put("d_skill", new_names.select(F.xxhash64("name").alias("id"), "name"), "append")
 
     # Links of the scope's entries to stored vacancy rows. Every staged
     # name was inserted into d_skill just above, so the inner join on the skill
     # name (J5) keeps exactly the non-NULL names; link_skills applies that filter.
-    entries = parse.skill_entries(scope_v, sem)
+    entries = parse.skill_entries(parsed_scope, sem)
     links = bridge.link_skills(entries, tables.get("d_vacancies"), keyed=sem.keyed_bridge)
     tables.put("fct_skill_vacancy", links, "partitions" if sem.replace_facts else "append")
 

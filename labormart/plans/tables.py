@@ -7,6 +7,8 @@ Both back ends offer ``get(name)`` and ``put(name, df, mode)`` with modes
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from labormart import schemas
 from labormart.functions.dates import as_date, to_day
 from labormart.operators.merge import replace_partitions
 from labormart.semantics import REFERENCE, Semantics
+from labormart.session import scratch_path
 
 PARTITION_COLUMN = {
     "stg_vacancies": "query_dt",
@@ -43,12 +46,28 @@ def table_schemas(sem: Semantics = REFERENCE) -> dict[str, T.StructType]:
     }
 
 
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the cluster's checkpoint folder and read it back.
+
+    One pass over the input (an eager RDD checkpoint computes it twice), the
+    lineage ends at the files, and Catalyst sees the real file size.
+    """
+    path = scratch_path(spark, f"labormart-stage/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 class MemoryTables:
-    """Tables as lazy DataFrames; every ``put`` builds on the previous version."""
+    """Tables as DataFrames held by the driver session.
+
+    With ``cut_lineage`` (default) every ``put`` materializes the new version
+    in the cluster's checkpoint folder, the in-memory twin of writing a
+    table; without it the versions stay lazy plans (short runs, tests).
+    """
 
     def __init__(
         self,
@@ -59,7 +78,6 @@ class MemoryTables:
     ):
         self.spark = spark
         self.cut_lineage = cut_lineage
-        self._dirty: set[str] = set()
         self.schemas = table_schemas(sem)
         self._t: dict[str, DataFrame] = {}
         for name, schema in self.schemas.items():
@@ -70,15 +88,17 @@ class MemoryTables:
 
     def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
         df = _conform(df, self.schemas[name])
-        self._dirty.add(name)
         if mode == "overwrite":
-            self._t[name] = df
+            new = df
         elif mode == "append":
-            self._t[name] = self._t[name].unionByName(df)
+            new = self._t[name].unionByName(df)
         elif mode == "partitions":
-            self._t[name] = replace_partitions(self._t[name], df, [PARTITION_COLUMN[name]])
+            new = replace_partitions(self._t[name], df, [PARTITION_COLUMN[name]])
         else:
             raise ValueError(f"unknown mode {mode!r}")
+        # like a write: the new version is materialized now, so later steps
+        # read it instead of re-planning every earlier step
+        self._t[name] = materialize(self.spark, new, name) if self.cut_lineage else new
 
     def checkpoint(self, name: str) -> None:
         """Cut the lineage of one table (reliable checkpoint in ``spark.checkpoint.dir``).
@@ -87,35 +107,32 @@ class MemoryTables:
         Spark reuses identical exchanges (fine for short runs and tests).
         """
         if self.cut_lineage:
-            self._t[name] = self._t[name].checkpoint(eager=True)
+            self._t[name] = materialize(self.spark, self._t[name], name)
 
     def commit(self) -> None:
-        """Cut the lineage of every table changed since the last commit.
+        """Every ``put`` is already materialized; nothing is pending."""
+        return None
 
-        Called at the start of each load, so a run builds on materialized
-        state instead of re-planning all earlier runs.
-        """
-        for name in sorted(self._dirty):
-            self.checkpoint(name)
-        self._dirty.clear()
+    def scratch(self, df: DataFrame, name: str) -> DataFrame:
+        """An intermediate read by several steps: written once when cutting lineage."""
+        return materialize(self.spark, df, name) if self.cut_lineage else df
 
     def truncate(self, name: str) -> None:
-        self._dirty.add(name)
-        self._t[name] = self._t[name].limit(0)
+        self._t[name] = self.spark.createDataFrame([], self.schemas[name])
 
     def delete_partition(self, name: str, day) -> None:
         d = day if isinstance(day, Column) else to_day(day)
-        self._dirty.add(name)
-        self._t[name] = self._t[name].where(~(F.col(PARTITION_COLUMN[name]) == d))
+        self.put(name, self._t[name].where(~(F.col(PARTITION_COLUMN[name]) == d)), "overwrite")
 
 
 class ParquetTables:
     """One Parquet folder per table under ``root`` (partitioned by its day column).
 
     ``partitions`` uses dynamic partition overwrite, so only the days present
-    in the written rows are replaced. A DataFrame that reads the table it
-    overwrites is checkpointed first (to the cluster's checkpoint folder),
-    which cuts the lineage and keeps the job safe when executors are lost.
+    in the written rows are replaced. Rows that derive from the table they
+    replace are first written once to the cluster's checkpoint folder and
+    read back, which cuts the lineage and keeps the job safe when executors
+    are lost.
     """
 
     def __init__(self, spark: SparkSession, root: str, sem: Semantics = REFERENCE):
@@ -145,7 +162,9 @@ class ParquetTables:
         df = _conform(df, self.schemas[name])
         part = PARTITION_COLUMN.get(name)
         if mode in ("overwrite", "partitions"):
-            df = df.checkpoint(eager=True)
+            # the rows usually derive from the table they replace: stage them as
+            # a written table first so the overwrite no longer reads its target
+            df = materialize(self.spark, df, name)
         writer = df.write.option("partitionOverwriteMode", "dynamic")
         if part:
             writer = writer.partitionBy(part)
@@ -166,6 +185,10 @@ class ParquetTables:
     def commit(self) -> None:  # every put is already written
         return None
 
+    def scratch(self, df: DataFrame, name: str) -> DataFrame:
+        """An intermediate read by several steps, written once to the checkpoint folder."""
+        return materialize(self.spark, df, name)
+
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()

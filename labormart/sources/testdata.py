@@ -159,8 +159,30 @@ def rate_quotes(spark: SparkSession, day: Column) -> DataFrame:
     )
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily rate facts (char_code, dt, value, previous, nominal) over all order days.
+    """The stored daily rate facts (char_code, dt, value, previous, nominal, published_at).
+
+    Like the source's fct_exchange_rates, the table is written once (per
+    application, under the cluster's checkpoint folder) and then read: the
+    mart joins a small stored table whose file size proves it can be
+    broadcast, instead of re-deriving it in every query.
+    """
+    from labormart.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _STORED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"labormart-tables/{abs(hash(sf_dir))}/fct_exchange_rates")
+        rate_facts(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
+def rate_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rate facts derived from the order days (not stored).
 
     One document published on the first order day is carried forward by the
     as-of fill to every later day up to the last order day.
