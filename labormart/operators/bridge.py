@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labormart.operators.joins import broadcast_if_small
+from labormart.operators.joins import broadcast_if_small, broadcast_partition_values
 
 VACANCY_KEY = ["vacancy_id", "dt", "query_profession_eng_name"]
 
@@ -40,6 +40,8 @@ def link_skills(
     vac = vacancies.select(*VACANCY_KEY)
     if keyed:
         pairs = e.select(*VACANCY_KEY, "skill_name").distinct()
+        # only the entries' days can match: prune the vacancy partitions first
+        vac = vac.join(broadcast_partition_values(e, ["dt"]), "dt", "left_semi")
         return pairs.join(vac, VACANCY_KEY, "left_semi").withColumn("n_links", F.lit(1).cast("long"))
     per_id = e.groupBy("vacancy_id", "skill_name").agg(F.count(F.lit(1)).alias("n_links"))
     return per_id.join(vac, "vacancy_id", "inner").select(*VACANCY_KEY, "skill_name", "n_links")

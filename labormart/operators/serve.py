@@ -109,3 +109,8 @@ def to_records(df: DataFrame) -> DataFrame:
     """SNK7: rows as JSON records; decimals as text like the source's responses."""
     cols = [F.col(c).cast("string").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes]
     return df.select(F.to_json(F.struct(*cols)).alias("record"))
+
+
+def read_records(spark, path: str, schema) -> DataFrame:
+    """SRC7: exported JSON records back into a DataFrame, typed by an explicit schema."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

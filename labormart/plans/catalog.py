@@ -226,53 +226,62 @@ def json_array_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skill_entries(td.vacancy_documents(spark, sf_dir))
 
 
-def region_rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rate document per region whose ``Valute`` object lists the region's nations."""
-    n = td.table(spark, sf_dir, "nation")
-    r = td.table(spark, sf_dir, "region")
-    rec = F.struct(
-        F.concat(F.lit("R"), F.col("n_nationkey").cast("string")).alias("ID"),
-        F.col("n_nationkey").cast("string").alias("NumCode"),
-        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("CharCode"),
-        F.concat(F.col("n_name"), F.lit(" of "), F.col("r_name")).alias("Name"),
-        F.concat((F.col("n_nationkey") + 10).cast("string"), F.lit("."), F.lpad((F.col("n_nationkey") * 7).cast("string"), 5, "0")).alias("Value"),
-        F.concat((F.col("n_nationkey") + 9).cast("string"), F.lit(".5")).alias("Previous"),
-        F.when(F.col("n_regionkey") == 2, F.lit("100")).otherwise(F.lit("1")).alias("Nominal"),
-    )
-    per_region = (
-        n.join(r, n["n_regionkey"] == r["r_regionkey"])
-        .groupBy("r_regionkey", "r_name")
-        .agg(F.map_from_entries(F.collect_list(F.struct(F.col("n_name"), rec))).alias("Valute"))
+def line_item_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rate-style document per line item whose ``Valute`` object holds two entries.
+
+    ``QTY`` carries the quantity, ``PRC`` a third of the extended price (5
+    decimals, so the 4-place cast rounds), both as text like the source feed.
+    """
+    li = td.table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+
+    def rec(code: str, value, previous, nominal) -> F.Column:
+        return F.struct(
+            F.concat(F.lit(code[0]), F.col("l_orderkey").cast("string")).alias("ID"),
+            F.col("l_linenumber").cast("string").alias("NumCode"),
+            F.lit(code).alias("CharCode"),
+            F.concat(F.lit(f"{code} of "), F.col("l_orderkey").cast("string")).alias("Name"),
+            value.cast("string").alias("Value"),
+            previous.cast("string").alias("Previous"),
+            nominal.alias("Nominal"),
+        )
+
+    valute = F.create_map(
+        F.lit("QTY"), rec("QTY", F.col("l_quantity").cast("decimal(18,2)"), F.col("l_tax").cast("decimal(18,2)"), F.lit("1")),
+        F.lit("PRC"), rec("PRC", price * F.lit(0.333).cast("decimal(3,3)"), F.col("l_discount").cast("decimal(18,2)"), F.lit("100")),
     )
-    day = F.concat(F.lit("2024-01-"), F.lpad((F.col("r_regionkey") + 1).cast("string"), 2, "0"))
-    return per_region.select(
-        "r_name",
-        F.to_json(F.struct(F.concat(day, F.lit("T11:30:00+03:00")).alias("Date"), F.col("Valute"))).alias("obj"),
-        day.cast("date").alias("query_dt"),
-        day.cast("timestamp_ntz").alias("update_ts"),
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    return li.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.to_json(F.struct(F.concat(day, F.lit("T11:30:00+03:00")).alias("Date"), valute.alias("Valute"))).alias("obj"),
+        F.col("l_shipdate").cast("date").alias("query_dt"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("update_ts"),
     )
 
 
+_MAP_SQL = """SELECT l_orderkey, l_linenumber, '{code}' AS char_code, CAST(l_linenumber AS VARCHAR) AS num_code,
+       '{code} of ' || CAST(l_orderkey AS VARCHAR) AS name,
+       CAST({value} AS DECIMAL(10,4)) AS value, CAST(CAST({prev} AS DECIMAL(18,2)) AS DECIMAL(10,4)) AS previous,
+       {nominal} AS nominal, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + INTERVAL 11 HOUR + INTERVAL 30 MINUTE AS published_at,
+       CAST(l_shipdate AS DATE) AS dt
+FROM lineitem"""
+
+
 @register(
     "json_map_explode",
-    """SELECT r.r_name, 'N' || CAST(n.n_nationkey AS VARCHAR) AS char_code,
-       CAST(n.n_nationkey AS VARCHAR) AS num_code,
-       n.n_name || ' of ' || r.r_name AS name,
-       CAST(CAST(n.n_nationkey + 10 AS VARCHAR) || '.' || lpad(CAST(n.n_nationkey * 7 AS VARCHAR), 5, '0') AS DECIMAL(10,4)) AS value,
-       CAST(CAST(n.n_nationkey + 9 AS VARCHAR) || '.5' AS DECIMAL(10,4)) AS previous,
-       CASE WHEN n.n_regionkey = 2 THEN 100 ELSE 1 END AS nominal,
-       CAST('2024-01-' || lpad(CAST(r.r_regionkey + 1 AS VARCHAR), 2, '0') || ' 11:30:00' AS TIMESTAMP) AS published_at,
-       CAST('2024-01-' || lpad(CAST(r.r_regionkey + 1 AS VARCHAR), 2, '0') AS DATE) AS dt
-FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    _MAP_SQL.format(code="QTY", value="CAST(l_quantity AS DECIMAL(18,2))", prev="l_tax", nominal=1)
+    + "\nUNION ALL\n"
+    + _MAP_SQL.format(code="PRC", value="CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.333 AS DECIMAL(3,3))", prev="l_discount", nominal=100),
 )
 def json_map_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``Valute`` object → one typed row per currency (rates rounded half up)."""
+    """``Valute`` object → one typed row per entry (rates rounded half up to 4 places)."""
     from labormart.operators.parse import rate_records, typed_rate_records
 
-    docs = region_rate_documents(spark, sf_dir)
-    typed = typed_rate_records(rate_records(docs.select("obj", "query_dt", "update_ts", "r_name")))
+    docs = line_item_documents(spark, sf_dir)
+    typed = typed_rate_records(rate_records(docs))
     return typed.select(
-        "r_name", "char_code", "num_code", "name", "value", "previous", "nominal", "published_at", "dt"
+        "l_orderkey", "l_linenumber", "char_code", "num_code", "name", "value", "previous", "nominal", "published_at", "dt"
     )
 
 
@@ -618,12 +627,17 @@ def dash_top_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_skills(skills_by_params(spark, sf_dir), 30)
 
 
-@register("get_cities", "SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name, n_name AS eng_name FROM nation")
+@register(
+    "get_cities",
+    """SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name, n_name AS eng_name FROM nation
+WHERE n_nationkey IN (SELECT c_nationkey FROM customer)""",
+)
 def get_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C7/SRC5: the whole city dimension."""
+    """C7/SRC5: the whole city dimension (every area the customer records reference)."""
     from labormart.operators.serve import get_cities as _get
 
-    return _get(td.cities(spark, sf_dir))
+    areas = td.table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("int").alias("id")).distinct()
+    return _get(td.cities(spark, sf_dir).join(areas, "id", "left_semi"))
 
 
 @register("get_professions", "SELECT DISTINCT c_mktsegment AS name, c_mktsegment AS eng_name FROM customer")

@@ -101,7 +101,10 @@ def load(
     vac = _scope(tables.get("d_vacancies"), "dt", day)
     if vac_days is not None:
         vac = vac.join(broadcast_partition_values(vac_days, ["dt"]), "dt", "left_semi")
-    metrics = marts.metrics_mart(vac, tables.get("fct_exchange_rates"), cities, sem, "week" if full else "day")
+    rates = _scope(tables.get("fct_exchange_rates"), "dt", day)
+    if vac_days is not None:
+        rates = rates.join(broadcast_partition_values(vac_days, ["dt"]), "dt", "left_semi")
+    metrics = marts.metrics_mart(vac, rates, cities, sem, "week" if full else "day")
     mkey = METRIC_KEY + (["grain"] if sem.grain_column else [])
     tables.put(
         "dm_metrics",
@@ -117,7 +120,7 @@ def load(
     current = tables.get("dm_skills")
     if sem.replace_rank_slice:
         slice_cols = ["city_name", "query_profession_eng_name", "dt"]
-        inside = current.join(ranking.select("dt").distinct(), "dt", "left_semi")
+        inside = current.join(broadcast_partition_values(ranking, ["dt"]), "dt", "left_semi")
         new_skills = merge.replace_slices(inside, ranking, slice_cols)
     else:
         new_skills = merge.upsert_partitions(current, ranking, SKILL_KEY, ["dt"], on_duplicate=None)

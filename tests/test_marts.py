@@ -159,3 +159,14 @@ def test_skill_counts_sum_link_weights(spark):
     )
     out = {r.skill_name: (r.cnt, r.top) for r in marts.skills_mart(bridge, v, cities_df(spark)).collect()}
     assert out == {"SQL": (3, 1), "ETL": (1, 2)}
+
+
+def test_collation_option_changes_tie_order(spark):
+    counts = spark.createDataFrame(
+        [("M", "DE", DAY, n, 1) for n in ("sql", "Spark", "SQL")],
+        "city_name string, query_profession_eng_name string, dt date, skill_name string, cnt int",
+    )
+    binary = [r.skill_name for r in marts.rank_skills(counts).orderBy("top").collect()]
+    assert binary == ["SQL", "Spark", "sql"]
+    uni = marts.rank_skills(counts, REFERENCE.with_(name_collation="UNICODE")).orderBy("top").collect()
+    assert [r.skill_name for r in uni] == ["Spark", "sql", "SQL"]

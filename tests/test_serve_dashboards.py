@@ -129,3 +129,11 @@ def test_quality_checks(spark):
     assert quality.out_of_range(nums, "x", 10, 2).count() == 1
     summary = {r.check: r.n_findings for r in quality.audit_summary({"dup": quality.duplicate_keys(df, ["k"])}).collect()}
     assert summary == {"dup": 1}
+
+
+def test_records_round_trip(spark, tmp_path):
+    m = metrics_rows(spark, [mrow(D(2024, 6, 1), avgs=("125000.00", "0", "0", "0"))])
+    path = str(tmp_path / "records")
+    m.write.json(path)
+    back = serve.read_records(spark, path, m.schema)
+    assert sorted(back.collect()) == sorted(m.collect())
