@@ -159,7 +159,7 @@ def rate_quotes(spark: SparkSession, day: Column) -> DataFrame:
     )
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str], tuple[str, object]] = {}
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,15 +170,7 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart joins a small stored table whose file size proves it can be
     broadcast, instead of re-deriving it in every query.
     """
-    from labormart.session import scratch_path
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    path = _STORED.get(key)
-    if path is None:
-        path = scratch_path(spark, f"labormart-tables/{abs(hash(sf_dir))}/fct_exchange_rates")
-        rate_facts(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(path)
+    return _stored(spark, sf_dir, "fct_exchange_rates", rate_facts)
 
 
 def rate_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,6 +200,29 @@ def skill_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vacancy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed vacancy documents, as staging rows.
+
+    They stand for files that land before any load, so they are written once
+    per application (under the cluster's checkpoint folder) and then read.
+    """
+    return _stored(spark, sf_dir, "vacancy_documents", build_vacancy_documents)
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    from labormart.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir + "|" + name)
+    hit = _STORED.get(key)
+    if hit is None:
+        path = scratch_path(spark, f"labormart-tables/{abs(hash(sf_dir))}/{name}")
+        df = build(spark, sf_dir)
+        df.write.mode("overwrite").parquet(path)
+        hit = _STORED[key] = (path, df.schema)
+    path, schema = hit
+    return spark.read.schema(schema).parquet(path)
+
+
+def build_vacancy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging rows (obj, query_profession_eng_name, query_dt, update_ts) as JSON text.
 
     ``key_skills`` lists the distinct part names of the order's line items; a
