@@ -20,6 +20,7 @@ def link_skills(
     vacancies: DataFrame,
     keyed: bool = False,
     skills: DataFrame | None = None,
+    small_entries: bool = False,
 ) -> DataFrame:
     """Resolve skill entries to stored vacancy rows.
 
@@ -32,6 +33,10 @@ def link_skills(
     row of the vacancy id, whatever its day or profession, once per entry.
     ``keyed=True``: an entry links only to the row of its own (id, day,
     profession), at most once.
+
+    ``small_entries`` (an incremental day): the entries side is broadcast
+    after a size check, so the stored vacancy rows stream through the join
+    without being shuffled.
     """
     e = entries.where(F.col("skill_name").isNotNull())
     if skills is not None:
@@ -44,4 +49,6 @@ def link_skills(
         vac = vac.join(broadcast_partition_values(e, ["dt"]), "dt", "left_semi")
         return pairs.join(vac, VACANCY_KEY, "left_semi").withColumn("n_links", F.lit(1).cast("long"))
     per_id = e.groupBy("vacancy_id", "skill_name").agg(F.count(F.lit(1)).alias("n_links"))
+    if small_entries:
+        per_id = broadcast_if_small(per_id)
     return per_id.join(vac, "vacancy_id", "inner").select(*VACANCY_KEY, "skill_name", "n_links")

@@ -61,3 +61,17 @@ def broadcast_partition_values(df: DataFrame, cols: list[str]) -> DataFrame:
     their distinct set is always small.
     """
     return F.broadcast(df.select(*cols).distinct())
+
+
+def bounded_values(df: DataFrame, col: str, max_rows: int = 100_000):
+    """Distinct values of ``col`` as one sorted array column, evaluated once as a scalar subquery.
+
+    The job fails when there are more than ``max_rows`` values. Used for
+    dimension members and for a table's partition values, both small.
+    """
+    agg = df.agg(
+        F.when(F.count_distinct(F.col(col)) <= max_rows, F.array_sort(F.collect_set(col))).otherwise(
+            F.raise_error(F.lit(f"more than {max_rows} distinct {col} values"))
+        )
+    )
+    return agg.scalar()

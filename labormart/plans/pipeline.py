@@ -83,7 +83,7 @@ def load(
     # name was inserted into d_skill just above, so the inner join on the skill
     # name (J5) keeps exactly the non-NULL names; link_skills applies that filter.
     entries = parse.skill_entries(parsed_scope, sem)
-    links = bridge.link_skills(entries, tables.get("d_vacancies"), keyed=sem.keyed_bridge)
+    links = bridge.link_skills(entries, tables.get("d_vacancies"), keyed=sem.keyed_bridge, small_entries=not full)
     tables.put("fct_skill_vacancy", links, "partitions" if sem.replace_facts else "append")
 
     # Currency dimension from all staged rate documents (Q13)

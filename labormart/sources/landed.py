@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from labormart.functions.dates import to_day
 from labormart.functions.json import has_key, parse_doc
+from labormart.operators.joins import bounded_values
 from labormart.operators.rates import asof_fill
 from labormart.schemas import LIST_PAGE_DOC, RATES_DOC
 
@@ -143,12 +144,7 @@ def bounded_array(dim: DataFrame, col: str, max_rows: int = 10_000) -> Column:
 
     The job fails when the dimension has more than ``max_rows`` rows.
     """
-    agg = dim.agg(
-        F.when(F.count(F.lit(1)) <= max_rows, F.array_sort(F.collect_set(col))).otherwise(
-            F.raise_error(F.lit(f"dimension larger than {max_rows} rows"))
-        )
-    )
-    return agg.scalar()
+    return bounded_values(dim, col, max_rows)
 
 
 def ingest_grid(
