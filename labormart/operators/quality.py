@@ -73,3 +73,69 @@ def audit_summary(checks: dict[str, DataFrame]) -> DataFrame:
     """(check, n_findings) for a dict of finding DataFrames."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_findings")).select(F.lit(name).alias("check"), "n_findings") for name, df in checks.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# The source's declared constraints, per table of this library's layout.
+# fixed values: column lengths are the DDL's varchar sizes
+CONSTRAINTS = {
+    "d_city": {"not_null": ["id", "name", "eng_name"], "unique": [["id"]], "length": {"name": 100, "eng_name": 100}},
+    "d_query_profession": {"not_null": ["id", "name", "eng_name"], "unique": [["eng_name"]]},
+    "d_vacancies": {
+        "not_null": ["vacancy_id", "city_id", "query_profession_eng_name"],
+        "unique": [["vacancy_id", "dt", "query_profession_eng_name"]],
+        "fk": [(["city_id"], "d_city", ["id"]), (["query_profession_eng_name"], "d_query_profession", ["eng_name"])],
+        "length": {"profession": 100, "salary_currency": 10, "experience": 20, "schedule": 20},
+    },
+    "d_skill": {"length": {"name": 150}},
+    "fct_skill_vacancy": {
+        "fk": [
+            (["vacancy_id", "dt", "query_profession_eng_name"], "d_vacancies", ["vacancy_id", "dt", "query_profession_eng_name"]),
+            (["skill_name"], "d_skill", ["name"]),
+        ]
+    },
+    "d_exchange_rates": {
+        "not_null": ["exchange_rates_id", "num_code", "char_code", "name"],
+        "unique": [["char_code"]],
+        "length": {"exchange_rates_id": 20, "num_code": 5, "char_code": 5, "name": 70},
+    },
+    "fct_exchange_rates": {
+        "not_null": ["char_code", "value", "previous", "nominal", "published_at"],
+        "fk": [(["char_code"], "d_exchange_rates", ["char_code"])],
+    },
+    "dm_metrics": {"unique": [["city_name", "query_profession_eng_name", "dt"]]},
+    "dm_skills": {
+        "not_null": ["city_name", "query_profession_eng_name", "skill_name", "dt", "top", "cnt"],
+        "unique": [["city_name", "query_profession_eng_name", "skill_name", "dt"]],
+    },
+}
+
+
+def audit(tables, names: list[str] | None = None, constraints: dict | None = None) -> DataFrame:
+    """Check every declared constraint; one row per (table_name, check, target) with its finding count.
+
+    ``tables`` is any back end with ``get(name)``. NOT NULL and length checks
+    are one aggregate pass per table; unique keys are one grouped count;
+    foreign keys one anti join each.
+    """
+    spec = constraints or CONSTRAINTS
+    parts: list[DataFrame] = []
+    for name in names or list(spec):
+        c = spec[name]
+        df = tables.get(name)
+        if c.get("not_null"):
+            nn = null_counts(df, c["not_null"])
+            parts.append(nn.select(F.lit(name).alias("table_name"), F.lit("not_null").alias("check"),
+                                   F.col("column_name").alias("target"), F.col("n_null").alias("n_findings")))
+        for keys in c.get("unique", []):
+            dup = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("n_findings"))
+            parts.append(dup.select(F.lit(name).alias("table_name"), F.lit("unique").alias("check"),
+                                    F.lit(",".join(keys)).alias("target"), "n_findings"))
+        for child_keys, parent, parent_keys in c.get("fk", []):
+            orph = orphans(df, tables.get(parent), child_keys, parent_keys).agg(F.count(F.lit(1)).alias("n_findings"))
+            parts.append(orph.select(F.lit(name).alias("table_name"), F.lit("foreign_key").alias("check"),
+                                     F.lit(f"{','.join(child_keys)}->{parent}").alias("target"), "n_findings"))
+        if c.get("length"):
+            ln = too_long(df, c["length"])
+            parts.append(ln.select(F.lit(name).alias("table_name"), F.lit("length").alias("check"),
+                                   F.col("column_name").alias("target"), F.col("n_too_long").alias("n_findings")))
+    return reduce(lambda a, b: a.unionByName(b), parts).withColumn("n_findings", F.col("n_findings").cast("long"))

@@ -151,3 +151,21 @@ def test_rate_records_and_currency_dimension(spark):
     assert facts["USD"].published_at == TS(2024, 6, 1, 11, 30)
     dim = {r.char_code: r.num_code for r in parse.currency_dimension_rows(recs).collect()}
     assert set(dim) == {"USD", "KZT"}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.dictionaries(st.integers(0, 15), st.one_of(st.none(), st.text("abc", max_size=2)), max_size=10),
+    st.dictionaries(st.integers(0, 15), st.one_of(st.none(), st.text("abc", max_size=2)), max_size=10),
+)
+def test_upsert_matches_a_dictionary_model(spark, target, source):
+    schema = "k int, v string, dt date"
+    day = lambda k: D(2024, 6, 1 + k % 3)
+    t = spark.createDataFrame([(k, v, day(k)) for k, v in target.items()], schema)
+    s = spark.createDataFrame([(k, v, day(k)) for k, v in source.items()], schema)
+    got = {r.k: r.v for r in merge.upsert(t, s, ["k", "dt"], partition_cols=["dt"]).collect()}
+    assert got == {**target, **source}

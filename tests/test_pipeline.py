@@ -177,3 +177,19 @@ def test_streaming_available_now_matches_batch(spark, tmp_path):
     assert q.exception() is None
     got = {(r.city_name, r.query_profession_eng_name, r.dt): r.cnt for r in t.get("dm_metrics").collect()}
     assert sum(got.values()) == 8 and {k[2] for k in got} == set(days)
+
+
+def test_audit_after_a_load_is_clean(spark):
+    from labormart.operators.quality import audit
+
+    t = fresh(spark, CORRECTED)
+    docs = [(vacancy(i, area=1 + i % 2, skills=["SQL", "ETL"][: 1 + i % 2]), "Data engineer", MON, TS(2024, 6, 4)) for i in range(6)]
+    stage(t, staged(spark, docs), rates_for(spark, [MON]))
+    load(t, CORRECTED, MON)
+    findings = {(r.table_name, r.check, r.target): r.n_findings for r in audit(t).collect()}
+    assert findings and all(n == 0 for n in findings.values()), {k: v for k, v in findings.items() if v}
+    # a broken foreign key is reported
+    t.put("d_city", t.get("d_city").where("id = 1"), "overwrite")
+    bad = {(r.check, r.target): r.n_findings for r in audit(t, ["d_vacancies"]).collect()}
+    assert bad[("foreign_key", "city_id->d_city")] == 3
+    assert bad[("foreign_key", "query_profession_eng_name->d_query_profession")] == 0
