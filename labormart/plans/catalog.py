@@ -955,3 +955,43 @@ def metrics_weekly_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.metrics_mart(
         td.vacancies(spark, sf_dir, sem), td.rates(spark, sf_dir), td.cities(spark, sf_dir), sem, "week"
     )
+
+
+_AUDIT_LEN = {"profession": 100, "salary_currency": 10, "experience": 20, "schedule": 20}
+
+
+@register(
+    "dq_audit_vacancies",
+    f"""WITH {O.vacancies_cte()}, {_LISTED}
+"""
+    + "\nUNION ALL\n".join(
+        [
+            f"""SELECT 'd_vacancies' AS table_name, 'not_null' AS "check", '{c}' AS target,
+       CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_findings FROM v"""
+            for c in ("vacancy_id", "city_id", "query_profession_eng_name")
+        ]
+        + [
+            """SELECT 'd_vacancies', 'unique', 'vacancy_id,dt,query_profession_eng_name',
+       CAST((SELECT COUNT(*) FROM (SELECT vacancy_id, dt, query_profession_eng_name FROM v GROUP BY ALL HAVING COUNT(*) > 1)) AS BIGINT)""",
+            """SELECT 'd_vacancies', 'foreign_key', 'city_id->d_city',
+       CAST(COUNT(*) AS BIGINT) FROM v WHERE city_id NOT IN (SELECT id FROM listed)""",
+            """SELECT 'd_vacancies', 'foreign_key', 'query_profession_eng_name->d_query_profession',
+       CAST(COUNT(*) AS BIGINT) FROM v WHERE query_profession_eng_name NOT IN (SELECT eng_name FROM seeded)""",
+        ]
+        + [
+            f"""SELECT 'd_vacancies', 'length', '{c}', CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) FROM v"""
+            for c, n in _AUDIT_LEN.items()
+        ]
+    ),
+)
+def dq_audit_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Section 2.13: every declared constraint of the vacancy table, checked against a city file
+    without MIDDLE EAST and the three seeded professions (so foreign keys find orphans)."""
+    from labormart.operators.quality import audit
+
+    tables = {
+        "d_vacancies": td.vacancies(spark, sf_dir),
+        "d_city": _listed_cities(spark, sf_dir),
+        "d_query_profession": _seeded_professions(spark, sf_dir),
+    }
+    return audit(tables, ["d_vacancies"])
