@@ -91,6 +91,26 @@ def rate_documents_for_days(
     )
 
 
+def select_for_request(
+    rows: DataFrame,
+    day: str | _dt.date | Column,
+    city_id: int | Column,
+    day_col: str = "published_at",
+    area_col: str = "city_id",
+) -> DataFrame:
+    """The request's own selection on landed, flattened vacancies.
+
+    The search request asked for vacancies published on ``day`` in area
+    ``city_id``; on landed data that is a filter on the published day and the
+    area (both reach the Parquet reader as pushed filters). The remote
+    full-text match on the profession is the external service's and is not
+    rebuilt; the landed folder already carries the profession.
+    """
+    d = day if isinstance(day, Column) else to_day(day)
+    c = city_id if isinstance(city_id, Column) else F.lit(city_id)
+    return rows.where((F.col(day_col).cast("date") == d) & (F.col(area_col) == c))
+
+
 def list_page_items(pages: DataFrame) -> DataFrame:
     """SRC2b: (page row columns…, item_id, url) for each entry of a non-error list page."""
     ok = reject_errors(pages)

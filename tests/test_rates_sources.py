@@ -144,3 +144,12 @@ def test_caption_and_prev_day(spark):
 
     r = spark.range(1).select(caption_date(F.lit(D(2024, 6, 1))).alias("c"), prev_day(D(2024, 6, 1)).alias("p")).first()
     assert (r.c, r.p) == ("01.06.2024", D(2024, 5, 31))
+
+
+def test_request_selection_on_landed_rows(spark):
+    rows = spark.createDataFrame(
+        [(1, 1, TS(2024, 6, 1, 10)), (2, 2, TS(2024, 6, 1, 11)), (3, 1, TS(2024, 6, 2, 9))],
+        "vacancy_id long, city_id int, published_at timestamp_ntz",
+    )
+    got = [r.vacancy_id for r in landed.select_for_request(rows, "2024-06-01", 1).collect()]
+    assert got == [1]
