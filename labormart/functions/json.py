@@ -28,3 +28,14 @@ def has_key(col: Column | str, key: str) -> Column:
 def json_field(col: Column | str, path: str) -> Column:
     """Field as text (``->>``); a missing field or parent gives NULL."""
     return F.get_json_object(_c(col), path if path.startswith("$") else f"$.{path}")
+
+
+def as_variant(col: Column | str) -> Column:
+    """JSON text → VARIANT (parsed once, binary-encoded; fields are read without re-parsing)."""
+    return F.parse_json(_c(col))
+
+
+def variant_field(variant: Column | str, path: str, type_name: str = "string") -> Column:
+    """A field of a VARIANT as ``type_name`` (a number read as string gives its text, like ``->>``)."""
+    p = path if path.startswith("$") else f"$.{path}"
+    return F.try_variant_get(_c(variant), p, type_name)

@@ -153,3 +153,21 @@ def test_request_selection_on_landed_rows(spark):
     )
     got = [r.vacancy_id for r in landed.select_for_request(rows, "2024-06-01", 1).collect()]
     assert got == [1]
+
+
+def test_variant_access_reads_numbers_and_text_alike(spark):
+    from labormart.functions.json import as_variant, variant_field
+
+    df = spark.createDataFrame([('{"id": 7, "area": {"id": "1"}}',), ('{"id": "7"}',)], "obj string")
+    rows = df.select(as_variant("obj").alias("v")).select(
+        variant_field("v", "id").alias("id"), variant_field("v", "area.id", "int").alias("area")
+    ).collect()
+    assert [(r.id, r.area) for r in rows] == [("7", 1), ("7", None)]
+
+
+def test_cluster_sizing():
+    from labormart.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024**4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(1024, 8)["spark.sql.shuffle.partitions"]) == 16
