@@ -109,14 +109,12 @@ def _rate_staging(spark: SparkSession, sf_dir: str):
     return rate_documents_for_days(td.rate_documents(spark, sf_dir), end=last, start=first)
 
 
-def _full_backfill(spark: SparkSession, sf_dir: str):
+def _full_backfill(spark: SparkSession, sf_dir: str, sem=REFERENCE):
     from labormart.plans.pipeline import load, stage
 
-    # the load starts by checkpointing the staged rows (a stored table in the
-    # source system), so its three readers do not rebuild the documents
-    tables = _staged_tables(spark, sf_dir)
+    tables = _staged_tables(spark, sf_dir, sem)
     stage(tables, td.vacancy_documents(spark, sf_dir), _rate_staging(spark, sf_dir))
-    load(tables, REFERENCE, None)
+    load(tables, sem, None)
     return tables
 
 
@@ -995,3 +993,11 @@ def dq_audit_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "d_query_profession": _seeded_professions(spark, sf_dir),
     }
     return audit(tables, ["d_vacancies"])
+
+
+@register("full_backfill_corrected", ORACLE["metrics_weekly_corrected"])
+def full_backfill_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 with CORRECTED semantics: staged JSON → weekly metrics with ``grain`` (Q1, Q2, Q4, Q10)."""
+    from labormart.semantics import CORRECTED
+
+    return _full_backfill(spark, sf_dir, CORRECTED).get("dm_metrics")
