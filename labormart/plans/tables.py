@@ -57,6 +57,24 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A zero-row table of ``schema`` that the optimizer removes from unions."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+# plan operators after which re-reading a table costs more than reading a copy
+_DEEP = ("Join", "Aggregate", "Window", "Generate", "Expand", "Sort", "Deduplicate", "Repartition", "Sample")
+
+
+def has_deep_lineage(df: DataFrame) -> bool:
+    """True when the plan holds shuffles or row-multiplying steps (worth materializing)."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # noqa: BLE001
+        return True
+    return any(tok in plan for tok in _DEEP)
+
+
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
@@ -81,7 +99,7 @@ class MemoryTables:
         self.schemas = table_schemas(sem)
         self._t: dict[str, DataFrame] = {}
         for name, schema in self.schemas.items():
-            self._t[name] = _conform((initial or {}).get(name) or spark.createDataFrame([], schema), schema)
+            self._t[name] = _conform((initial or {}).get(name) or empty_table(spark, schema), schema)
 
     def get(self, name: str) -> DataFrame:
         return self._t[name]
@@ -98,7 +116,8 @@ class MemoryTables:
             raise ValueError(f"unknown mode {mode!r}")
         # like a write: the new version is materialized now, so later steps
         # read it instead of re-planning every earlier step
-        self._t[name] = materialize(self.spark, new, name) if self.cut_lineage else new
+        cut = self.cut_lineage and has_deep_lineage(new)
+        self._t[name] = materialize(self.spark, new, name) if cut else new
 
     def checkpoint(self, name: str) -> None:
         """Cut the lineage of one table (reliable checkpoint in ``spark.checkpoint.dir``).
@@ -118,7 +137,7 @@ class MemoryTables:
         return materialize(self.spark, df, name) if self.cut_lineage else df
 
     def truncate(self, name: str) -> None:
-        self._t[name] = self.spark.createDataFrame([], self.schemas[name])
+        self._t[name] = empty_table(self.spark, self.schemas[name])
 
     def delete_partition(self, name: str, day) -> None:
         d = day if isinstance(day, Column) else to_day(day)
@@ -155,7 +174,7 @@ class ParquetTables:
     def get(self, name: str) -> DataFrame:
         schema = self.schemas[name]
         if not self._exists(name):
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         return _conform(self.spark.read.schema(schema).parquet(self.path(name)), schema)
 
     def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
