@@ -118,7 +118,8 @@ def top_skills_per_group(skills: DataFrame, by: list[str], k: int = 30) -> DataF
     """Top ``k`` skills by summed count per group (``by`` empty = one selection)."""
     tot = skills.groupBy(*by, "skill_name").agg(F.sum("cnt").cast("long").alias("cnt"))
     if not by:
-        # one selection: a global top-k (TakeOrderedAndProject keeps k rows per task)
+        # one selection: a global top-k (TakeOrderedAndProject keeps k rows per
+        # task); the rank is then numbered over those k rows only
         top = tot.orderBy(F.col("cnt").desc(), F.col("skill_name").asc()).limit(k)
         w = Window.partitionBy(F.lit(0)).orderBy(F.col("cnt").desc(), F.col("skill_name").asc())
         return top.withColumn("top", F.row_number().over(w).cast("int"))

@@ -41,15 +41,16 @@ def broadcast_if_small(
 
     First Catalyst's size estimate is consulted (no job): scans, filters,
     projections and aggregates never grow past it, so a plan made of those
-    under ``max_bytes`` is broadcast at once. Otherwise at most
-    ``max_rows + 1`` rows are counted (a limited job); over the bound the
-    DataFrame is returned unchanged and Spark plans a shuffle join, where AQE
-    can still split skewed partitions.
+    under ``max_bytes`` is broadcast at once. Otherwise the rows are counted
+    with a partial-aggregate count (one distributed pass; a ``limit(n).count()``
+    would funnel up to n rows per partition through one task). Over the bound
+    the DataFrame is returned unchanged and Spark plans a shuffle join, where
+    AQE can still split skewed partitions.
     """
     est = estimated_bytes(df)
     if est is not None and est <= max_bytes and _estimate_is_bound(df):
         return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 
