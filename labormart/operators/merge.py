@@ -124,3 +124,16 @@ def replace_partitions(target: DataFrame, new_rows: DataFrame, partition_cols: l
 def replace_slices(target: DataFrame, new_rows: DataFrame, slice_cols: list[str]) -> DataFrame:
     """Q6 (corrected): every (slice_cols) group present in ``new_rows`` is replaced entirely."""
     return replace_partitions(target, new_rows, slice_cols)
+
+
+def replace_keyed(target: DataFrame, new_rows: DataFrame, keys: list[str], partition_cols: list[str]) -> DataFrame:
+    """Rows of the partitions ``new_rows`` touches, with every ``keys`` group it holds replaced.
+
+    Target rows whose key group is absent from ``new_rows`` are kept; the
+    result is meant for a dynamic partition overwrite. The key match is a
+    shuffle anti join (the key set grows with the data), restricted to the
+    touched partitions.
+    """
+    inside, _ = _touched(target, new_rows, partition_cols)
+    keep = inside.join(new_rows.select(*keys).distinct(), keys, "left_anti")
+    return keep.unionByName(new_rows.select(*target.columns))

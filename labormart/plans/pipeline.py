@@ -84,7 +84,13 @@ def load(
     # name (J5) keeps exactly the non-NULL names; link_skills applies that filter.
     entries = parse.skill_entries(parsed_scope, sem)
     links = bridge.link_skills(entries, tables.get("d_vacancies"), keyed=sem.keyed_bridge, small_entries=not full)
-    tables.put("fct_skill_vacancy", links, "partitions" if sem.replace_facts else "append")
+    if sem.replace_facts:
+        # Q5 corrected: the links of every vacancy row this load re-staged are
+        # replaced; rows of the same days that the load did not touch (an
+        # earlier micro-batch of the day) are kept
+        tables.put("fct_skill_vacancy", merge.replace_keyed(tables.get("fct_skill_vacancy"), links, VACANCY_KEY, ["dt"]), "partitions")
+    else:
+        tables.put("fct_skill_vacancy", links, "append")
 
     # Currency dimension from all staged rate documents (Q13)
     currencies = parse.currency_dimension_rows(parse.rate_records(stg_r), sem)

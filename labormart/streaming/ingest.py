@@ -78,10 +78,11 @@ def start_incremental(
     sem: Semantics = REFERENCE,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the streaming incremental load; returns the running query."""
     writer = (
-        vacancy_stream(spark, vacancy_path)
+        vacancy_stream(spark, vacancy_path, max_files_per_trigger)
         .writeStream.foreachBatch(batch_loader(tables, rate_documents, sem))
         .option("checkpointLocation", checkpoint_location)
         .queryName("labormart_incremental")
