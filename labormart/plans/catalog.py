@@ -1001,3 +1001,14 @@ def full_backfill_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labormart.semantics import CORRECTED
 
     return _full_backfill(spark, sf_dir, CORRECTED).get("dm_metrics")
+
+
+@register("full_backfill_skills_corrected", _SKILLS_FROM_DOCS)
+def full_backfill_skills_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 with CORRECTED semantics: keyed links (Q3), slice replacement (Q6), NULL names dropped (Q8).
+
+    Each order is staged once, so the keyed counts equal the source's here.
+    """
+    from labormart.semantics import CORRECTED
+
+    return _full_backfill(spark, sf_dir, CORRECTED).get("dm_skills")
