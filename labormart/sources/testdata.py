@@ -285,9 +285,3 @@ def rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.date_format(first, "yyyy-MM-dd'T'11:30:00+03:00").alias("Date"), entries.alias("Valute"))
     )
     return spark.range(1).select(doc.alias("obj"), first.alias("doc_day"))
-
-
-def as_of_day(value: str | _dt.date) -> _dt.date:
-    if isinstance(value, _dt.date):
-        return value
-    return _dt.date.fromisoformat(value)
