@@ -10,7 +10,6 @@ with them.
 
 from __future__ import annotations
 
-import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
