@@ -21,6 +21,7 @@ def link_skills(
     keyed: bool = False,
     skills: DataFrame | None = None,
     small_entries: bool = False,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Resolve skill entries to stored vacancy rows.
 
@@ -36,19 +37,23 @@ def link_skills(
 
     ``small_entries`` (an incremental day): the entries side is broadcast
     after a size check, so the stored vacancy rows stream through the join
-    without being shuffled.
+    without being shuffled. ``carry`` copies vacancy columns (e.g. ``city_id``)
+    onto the links, so a mart built right away needs no second join.
     """
     e = entries.where(F.col("skill_name").isNotNull())
     if skills is not None:
         names = broadcast_if_small(skills.select(F.col("name").alias("skill_name")).where("skill_name is not null"))
         e = e.join(names, "skill_name", "left_semi")
-    vac = vacancies.select(*VACANCY_KEY)
+    extra = list(carry or [])
+    vac = vacancies.select(*VACANCY_KEY, *extra)
     if keyed:
         pairs = e.select(*VACANCY_KEY, "skill_name").distinct()
         # only the entries' days can match: prune the vacancy partitions first
         vac = vac.join(broadcast_partition_values(e, ["dt"]), "dt", "left_semi")
-        return pairs.join(vac, VACANCY_KEY, "left_semi").withColumn("n_links", F.lit(1).cast("long"))
+        return pairs.join(vac, VACANCY_KEY, "left_semi" if not extra else "inner").withColumn(
+            "n_links", F.lit(1).cast("long")
+        )
     per_id = e.groupBy("vacancy_id", "skill_name").agg(F.count(F.lit(1)).alias("n_links"))
     if small_entries:
         per_id = broadcast_if_small(per_id)
-    return per_id.join(vac, "vacancy_id", "inner").select(*VACANCY_KEY, "skill_name", "n_links")
+    return per_id.join(vac, "vacancy_id", "inner").select(*VACANCY_KEY, "skill_name", "n_links", *extra)

@@ -113,18 +113,24 @@ def metric_columns(sem: Semantics = REFERENCE) -> list[str]:
 # ---- skills mart ---------------------------------------------------------------
 
 
-def skill_counts(bridge: DataFrame, vacancies: DataFrame, cities: DataFrame) -> DataFrame:
+def skill_counts(bridge: DataFrame, vacancies: DataFrame | None, cities: DataFrame) -> DataFrame:
     """count of links per (city_name, query_profession_eng_name, dt, skill_name).
 
     ``bridge`` holds (vacancy_id, dt, query_profession_eng_name, skill_name,
     n_links); it is pre-aggregated, so a vacancy with many identical links
-    costs one row in the join.
+    costs one row in the join. The city comes from the current vacancy rows
+    (``vacancies``), or from a ``city_id`` the links carry when
+    ``vacancies`` is None.
     """
     key = ["vacancy_id", "dt", "query_profession_eng_name"]
-    links = bridge.groupBy(*key, "skill_name").agg(F.sum("n_links").alias("n_links"))
-    vac = vacancies.select(*key, "city_id")
     city = broadcast_if_small(cities.select(F.col("id").alias("city_id"), F.col("name").alias("city_name")))
-    joined = links.join(vac, key, "inner").join(city, "city_id", "inner")
+    if vacancies is None:
+        # broadcast name lookup first, then a single aggregate by city name
+        joined = bridge.join(city, "city_id", "inner")
+    else:
+        links = bridge.groupBy(*key, "skill_name").agg(F.sum("n_links").alias("n_links"))
+        vac = vacancies.select(*key, "city_id")
+        joined = links.join(vac, key, "inner").join(city, "city_id", "inner")
     return joined.groupBy("city_name", "query_profession_eng_name", "dt", "skill_name").agg(
         F.sum("n_links").cast("int").alias("cnt")
     )
@@ -140,7 +146,7 @@ def rank_skills(counts: DataFrame, sem: Semantics = REFERENCE, partition: list[s
     return counts.withColumn("top", F.row_number().over(w).cast("int"))
 
 
-def skills_mart(bridge: DataFrame, vacancies: DataFrame, cities: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
+def skills_mart(bridge: DataFrame, vacancies: DataFrame | None, cities: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
     """dm_skills rows: (city_name, query_profession_eng_name, skill_name, dt, top, cnt)."""
     ranked = rank_skills(skill_counts(bridge, vacancies, cities), sem)
     return ranked.select("city_name", "query_profession_eng_name", "skill_name", "dt", "top", "cnt")

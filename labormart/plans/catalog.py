@@ -55,12 +55,13 @@ def _skill_links(spark: SparkSession, sf_dir: str, vac: DataFrame) -> DataFrame:
     from labormart.operators.bridge import link_skills
 
     entries = td.skill_entries(spark, sf_dir)
-    return link_skills(entries, vac, keyed=False)
+    return link_skills(entries, vac, keyed=False, carry=["city_id"])
 
 
 def _skills_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # links carry the city of the vacancy row they resolve to: one vacancy join
     vac = td.vacancies(spark, sf_dir)
-    return marts.skills_mart(_skill_links(spark, sf_dir, vac), vac, td.cities(spark, sf_dir))
+    return marts.skills_mart(_skill_links(spark, sf_dir, vac), None, td.cities(spark, sf_dir))
 
 
 @register("skills_rank", "WITH " + O.skill_counts_cte() + "\nSELECT * FROM ranked")
