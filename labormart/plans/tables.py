@@ -230,3 +230,106 @@ class ParquetTables:
         p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{PARTITION_COLUMN[name]}={as_date(day).isoformat()}")
         if fs.exists(p):
             fs.delete(p, True)
+
+
+# tables bucketed by the vacancy id, so the link ↔ vacancy joins are co-located
+BUCKET_COLUMN = {"d_vacancies": "vacancy_id", "fct_skill_vacancy": "vacancy_id"}
+
+
+class CatalogTables:
+    """Catalog tables (one database) at explicit locations under ``root``.
+
+    Same layout as :class:`ParquetTables` (Parquet, partitioned by the day
+    column), plus bucketing: ``d_vacancies`` and ``fct_skill_vacancy`` are
+    bucketed and sorted by ``vacancy_id`` into ``buckets`` buckets, so the
+    skill-link joins (on the vacancy key, or on the id alone in the source
+    preset) and the per-vacancy link aggregate run without an exchange on
+    either side. That needs ``spark.sql.requireAllClusterKeysForCoPartition``
+    off (set here): the join keys include, not equal, the bucket column.
+    Writes go through ``insertInto`` (append, or dynamic partition overwrite).
+    """
+
+    def __init__(self, spark: SparkSession, database: str, root: str, sem: Semantics = REFERENCE, buckets: int = 64):
+        self.spark = spark
+        self.database = database
+        self.root = root.rstrip("/")
+        self.schemas = table_schemas(sem)
+        self.buckets = buckets
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+    def qualified(self, name: str) -> str:
+        return f"{self.database}.{name}"
+
+    def _exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(self.qualified(name))
+
+    def get(self, name: str) -> DataFrame:
+        if not self._exists(name):
+            return empty_table(self.spark, self.schemas[name])
+        return self.spark.table(self.qualified(name))
+
+    def _create(self, name: str, df: DataFrame) -> None:
+        writer = df.write.format("parquet").option("path", f"{self.root}/{name}")
+        part = PARTITION_COLUMN.get(name)
+        if part:
+            writer = writer.partitionBy(part)
+        bucket = BUCKET_COLUMN.get(name)
+        if bucket:
+            writer = writer.bucketBy(self.buckets, bucket).sortBy(bucket)
+        writer.mode("error").saveAsTable(self.qualified(name))
+
+    def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
+        df = _conform(df, self.schemas[name])
+        if mode not in ("overwrite", "append", "partitions"):
+            raise ValueError(f"unknown mode {mode!r}")
+        if not self._exists(name):
+            self._create(name, df)
+            return
+        if mode in ("overwrite", "partitions"):
+            df = materialize(self.spark, df, name)  # never overwrite what the rows are read from
+        ordered = df.select(*self.spark.table(self.qualified(name)).columns)
+        overwrite_mode = "dynamic" if mode == "partitions" else "static"
+        ordered.write.option("partitionOverwriteMode", overwrite_mode).insertInto(
+            self.qualified(name), overwrite=mode != "append"
+        )
+
+    def checkpoint(self, name: str) -> None:
+        return None
+
+    def commit(self) -> None:
+        return None
+
+    def scratch(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(self.spark, df, name)
+
+    def _fs_path(self, rel: str):
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{rel}")
+        return p, p.getFileSystem(conf)
+
+    def truncate(self, name: str) -> None:
+        """Delete the table's files and sync the catalog (external tables reject TRUNCATE)."""
+        if not self._exists(name):
+            return
+        p, fs = self._fs_path(name)
+        if fs.exists(p):
+            for st in fs.listStatus(p):
+                fs.delete(st.getPath(), True)
+        if PARTITION_COLUMN.get(name):
+            self.spark.sql(f"MSCK REPAIR TABLE {self.qualified(name)} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(self.qualified(name))
+
+    def delete_partition(self, name: str, day) -> None:
+        if isinstance(day, Column):
+            raise TypeError("CatalogTables.delete_partition needs a date value")
+        if self._exists(name):
+            col = PARTITION_COLUMN[name]
+            self.spark.sql(
+                f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS PARTITION ({col} = DATE'{as_date(day).isoformat()}')"
+            )
+            p, fs = self._fs_path(f"{name}/{col}={as_date(day).isoformat()}")
+            if fs.exists(p):
+                fs.delete(p, True)
+            self.spark.catalog.refreshTable(self.qualified(name))

@@ -221,3 +221,40 @@ def test_streaming_micro_batches_match_daily_batch_loads(spark, tmp_path):
         a = sorted(tuple(r) for r in stream_t.get(name).select(*cols).collect())
         b = sorted(tuple(r) for r in batch_t.get(name).select(*cols).collect())
         assert a == b, name
+
+
+def test_catalog_tables_bucketed_end_to_end(spark, tmp_path):
+    import uuid
+
+    from labormart.operators import marts
+    from labormart.plans.tables import CatalogTables
+    from labormart.sources.landed import landed_sources
+
+    landing = str(tmp_path / "landing")
+    days = [D(2024, 6, 3), D(2024, 6, 4)]
+    _land(spark, landing, days, 6)
+    db = f"lm_{uuid.uuid4().hex[:8]}"
+    t = CatalogTables(spark, db, str(tmp_path / "wh"), REFERENCE, buckets=4)
+    t.put("d_city", spark.createDataFrame([(1, "Москва", "Moscow"), (2, "Сочи", "Sochi")], D_CITY))
+    t.put("d_query_profession", spark.createDataFrame(PROFESSION_SEED, D_QUERY_PROFESSION))
+    vs, rs = landed_sources(spark, landing)
+    run_pipeline(spark, t, dt=days[0], as_of=D(2024, 6, 5), vacancy_source=vs, rate_source=rs)
+    assert sum(r.cnt for r in t.get("dm_metrics").collect()) == 12
+    assert t.get("stg_vacancies").count() == 0
+    _land(spark, landing, [D(2024, 6, 5)], 2)
+    run_pipeline(spark, t, dt=D(2024, 6, 5), as_of=D(2024, 6, 6), vacancy_source=vs, rate_source=rs)
+    assert t.get("d_vacancies").count() == 14
+    assert sum(r.cnt for r in t.get("dm_metrics").where("dt = date'2024-06-05'").collect()) == 2
+
+    # the skills mart's link/vacancy join reads both bucketed tables without an exchange
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = marts.skill_counts(t.get("fct_skill_vacancy"), t.get("d_vacancies"), t.get("d_city"))
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        join_part = plan[plan.index("SortMergeJoin"):]
+        scans = join_part.split("FileScan")
+        assert "Bucketed: true" in join_part and len(scans) >= 3
+        assert "Exchange" not in join_part.split("BroadcastExchange")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
