@@ -82,11 +82,16 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 class MemoryTables:
     """Tables as DataFrames held by the driver session.
 
-    With ``cut_lineage`` (default) every ``put`` materializes the new version
-    in the cluster's checkpoint folder, the in-memory twin of writing a
-    table; without it the versions stay lazy plans (short runs, tests).
+    With ``cut_lineage`` (default) every ``put`` writes its incoming rows to
+    the cluster's checkpoint folder, the in-memory twin of writing a table:
+    a version is the previous files (untouched days as a partition filter)
+    plus the new files, and ``COMPACT_AFTER`` chained versions of one table
+    are compacted into one. Without it the versions stay lazy plans (short
+    runs, tests).
     """
 
+    COMPACT_AFTER = 8
+
     def __init__(
         self,
         spark: SparkSession,
@@ -96,6 +101,7 @@ class MemoryTables:
     ):
         self.spark = spark
         self.cut_lineage = cut_lineage
+        self._versions: dict[str, int] = {}
         self.schemas = table_schemas(sem)
         self._t: dict[str, DataFrame] = {}
         for name, schema in self.schemas.items():
@@ -106,18 +112,24 @@ class MemoryTables:
 
     def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
         df = _conform(df, self.schemas[name])
+        if mode not in ("overwrite", "append", "partitions"):
+            raise ValueError(f"unknown mode {mode!r}")
+        # like a write: the incoming rows are materialized now (only those),
+        # so later steps read files instead of re-planning every earlier step
+        if self.cut_lineage and has_deep_lineage(df):
+            df = materialize(self.spark, df, name)
         if mode == "overwrite":
-            new = df
+            new, self._versions[name] = df, 0
         elif mode == "append":
             new = self._t[name].unionByName(df)
-        elif mode == "partitions":
-            new = replace_partitions(self._t[name], df, [PARTITION_COLUMN[name]])
         else:
-            raise ValueError(f"unknown mode {mode!r}")
-        # like a write: the new version is materialized now, so later steps
-        # read it instead of re-planning every earlier step
-        cut = self.cut_lineage and has_deep_lineage(new)
-        self._t[name] = materialize(self.spark, new, name) if cut else new
+            # untouched days stay a partition filter over the previous files
+            new = replace_partitions(self._t[name], df, [PARTITION_COLUMN[name]])
+        if mode != "overwrite":
+            self._versions[name] = self._versions.get(name, 0) + 1
+            if self.cut_lineage and self._versions[name] >= self.COMPACT_AFTER:
+                new, self._versions[name] = materialize(self.spark, new, name), 0
+        self._t[name] = new
 
     def checkpoint(self, name: str) -> None:
         """Cut the lineage of one table (reliable checkpoint in ``spark.checkpoint.dir``).
