@@ -258,3 +258,19 @@ def test_catalog_tables_bucketed_end_to_end(spark, tmp_path):
         assert "Exchange" not in join_part.split("BroadcastExchange")[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_command_line_run_and_audit(spark, tmp_path, capsys):
+    from labormart.__main__ import main
+
+    landing, wh = str(tmp_path / "landing"), str(tmp_path / "wh")
+    _land(spark, landing, [D(2024, 6, 3), D(2024, 6, 4)], 4)
+    cities = tmp_path / "city.csv"
+    cities.write_text("id|name|eng_name\n1|Москва|Moscow\n2|Сочи|Sochi\n", encoding="utf-8")
+    assert main(["run", "--warehouse", wh, "--landing", landing, "--dt", "2024-06-03", "--as-of", "2024-06-05",
+                 "--cities", str(cities), "--preset", "corrected"]) == 0
+    assert '"mode": "full"' in capsys.readouterr().out
+    assert main(["audit", "--warehouse", wh, "--preset", "corrected"]) == 0
+    assert capsys.readouterr().out.strip() == ""  # no constraint violated
+    t = ParquetTables(spark, wh, CORRECTED)
+    assert sum(r.cnt for r in t.get("dm_metrics").collect()) == 8
