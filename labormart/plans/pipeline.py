@@ -123,13 +123,12 @@ def load(
     if vac_days is not None:
         links_scope = links_scope.join(broadcast_partition_values(vac_days, ["dt"]), "dt", "left_semi")
     ranking = marts.skills_mart(links_scope, vac, cities, sem)
-    current = tables.get("dm_skills")
     if sem.replace_rank_slice:
-        slice_cols = ["city_name", "query_profession_eng_name", "dt"]
-        inside = current.join(broadcast_partition_values(ranking, ["dt"]), "dt", "left_semi")
-        new_skills = merge.replace_slices(inside, ranking, slice_cols)
+        # Q6 corrected: the ranking is recomputed from the day's complete link
+        # set, so it replaces the day (vanished skills and slices disappear)
+        new_skills = ranking
     else:
-        new_skills = merge.upsert_partitions(current, ranking, SKILL_KEY, ["dt"], on_duplicate=None)
+        new_skills = merge.upsert_partitions(tables.get("dm_skills"), ranking, SKILL_KEY, ["dt"], on_duplicate=None)
     tables.put("dm_skills", new_skills, "partitions")
 
     # SNK5/SNK6: consume staging

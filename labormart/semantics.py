@@ -22,7 +22,7 @@ class Semantics:
     grain_column: bool = False
     # Q5: replace the dt partitions of the fact tables instead of appending.
     replace_facts: bool = False
-    # Q6: replace the whole (city, profession, dt) ranking slice on upsert.
+    # Q6: replace the day's whole ranking instead of upserting it.
     replace_rank_slice: bool = False
     # Q7: two different incoming rows with one key: "error" or "latest".
     on_duplicate: str = "error"
