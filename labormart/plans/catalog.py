@@ -647,7 +647,17 @@ def get_professions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _get(td.professions(spark, sf_dir)).select("name", "eng_name")
 
 
-@register("records_json")
+def _records_sql() -> str:
+    from labormart.schemas import METRIC_AVG_COLS, METRIC_MEASURES
+
+    fields = ["city_name", "query_profession_eng_name", "dt"] + METRIC_MEASURES
+    parts = ", ".join(
+        f"'{f}': " + (f"CAST({f} AS VARCHAR)" if f in METRIC_AVG_COLS else f) for f in fields
+    )
+    return O.metrics_rows_cte("day") + f"\nSELECT CAST(to_json({{{parts}}}) AS VARCHAR) AS record FROM m WHERE {_PARAM_WHERE}"
+
+
+@register("records_json", _records_sql())
 def records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK7/X19: the selected mart rows as JSON records (decimals as text)."""
     from labormart.operators.serve import to_records

@@ -1,8 +1,15 @@
-"""Where the pipeline's tables live: lazily in memory, or as Parquet folders.
-
-Both back ends offer ``get(name)`` and ``put(name, df, mode)`` with modes
-``overwrite`` (whole table), ``append`` and ``partitions`` (replace only the
-``dt``/``query_dt`` partitions present in ``df``).
+"""Where the pipeline's tables live.
+
+Three back ends with one interface — ``get(name)``, ``put(name, df, mode)``
+with modes ``overwrite`` (whole table), ``append`` and ``partitions``
+(replace only the ``dt``/``query_dt`` partitions present in ``df``),
+``truncate``, ``delete_partition``, ``scratch`` and ``commit``:
+
+- ``MemoryTables``: DataFrames held by the session, each written version
+  kept as files under the cluster's checkpoint folder (tests, queries);
+- ``ParquetTables``: one day-partitioned Parquet folder per table;
+- ``CatalogTables``: catalog tables with the vacancy and link tables
+  bucketed by vacancy id (co-located joins).
 """
 
 from __future__ import annotations
