@@ -393,7 +393,7 @@ def upsert_null_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "rates_asof",
     """WITH obs AS (
-  SELECT user_id AS series, CAST(ts AS DATE) AS obs_day, CAST(arg_max(value, ts) AS DECIMAL(10,4)) AS value
+  SELECT user_id AS series, CAST(ts AS DATE) AS obs_day, CAST(arg_max(value, (ts, event_id)) AS DECIMAL(10,4)) AS value
   FROM events GROUP BY ALL
 ),
 days AS (
@@ -414,7 +414,7 @@ def rates_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ev = td.table(spark, sf_dir, "events")
     obs = ev.groupBy(F.col("user_id").alias("series"), F.col("ts").cast("date").alias("obs_day")).agg(
-        F.max_by("value", "ts").cast("decimal(10,4)").alias("value")
+        F.max_by("value", F.struct("ts", "event_id")).cast("decimal(10,4)").alias("value")
     )
     last = ev.select(F.max("ts").cast("date")).scalar()
     return asof_fill(obs, ["series"], "obs_day", end=last).select("series", "dt", "obs_day", "value")
