@@ -170,3 +170,8 @@ def test_collation_option_changes_tie_order(spark):
     assert binary == ["SQL", "Spark", "sql"]
     uni = marts.rank_skills(counts, REFERENCE.with_(name_collation="UNICODE")).orderBy("top").collect()
     assert [r.skill_name for r in uni] == ["Spark", "sql", "SQL"]
+
+
+@pytest.mark.parametrize("sem,expected", [(REFERENCE, None), (CORRECTED, Decimal("150.00"))])
+def test_rub_alias_is_home_currency_only_when_corrected(spark, sem, expected):
+    assert salaries(spark, [(1, "RUB", 100, 200, "noExperience", "remote")], [], sem)[1] == expected

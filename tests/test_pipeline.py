@@ -292,3 +292,14 @@ def test_rerun_that_loses_a_skill(spark, sem, expected):
         stage(t, staged(spark, [(vacancy(1, skills=["B"]), "Data engineer", MON, TS(2024, 6, 4, 2))]), rates_for(spark, [MON]))
         load(t, sem, MON)
         assert {(r.skill_name, r.top) for r in t.get("dm_skills").collect()} == expected
+
+
+@pytest.mark.parametrize("sem,null_in_dim", [(REFERENCE, True), (CORRECTED, False)])
+def test_null_skill_names(spark, sem, null_in_dim):
+    t = fresh(spark, sem)
+    doc = json.dumps({"id": 1, "area": {"id": "1"}, "key_skills": [{"name": None}, {"name": "SQL"}]})
+    stage(t, staged(spark, [(doc, "Data engineer", MON, TS(2024, 6, 4))]), rates_for(spark, [MON]))
+    load(t, sem, MON)
+    names = [r.name for r in t.get("d_skill").collect()]
+    assert (None in names) == null_in_dim and "SQL" in names
+    assert [r.skill_name for r in t.get("fct_skill_vacancy").collect()] == ["SQL"]  # a NULL name never links
