@@ -308,10 +308,15 @@ class CatalogTables:
         if mode in ("overwrite", "partitions"):
             df = materialize(self.spark, df, name)  # never overwrite what the rows are read from
         ordered = df.select(*self.spark.table(self.qualified(name)).columns)
-        overwrite_mode = "dynamic" if mode == "partitions" else "static"
-        ordered.write.option("partitionOverwriteMode", overwrite_mode).insertInto(
-            self.qualified(name), overwrite=mode != "append"
-        )
+        # insertInto reads the overwrite mode from the session, not from writer
+        # options: set it for this insert only and restore the caller's value
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(key, "STATIC")
+        self.spark.conf.set(key, "dynamic" if mode == "partitions" else "static")
+        try:
+            ordered.write.insertInto(self.qualified(name), overwrite=mode != "append")
+        finally:
+            self.spark.conf.set(key, before)
 
     def checkpoint(self, name: str) -> None:
         return None
