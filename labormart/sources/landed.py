@@ -147,11 +147,13 @@ def cap_pages(
     from pyspark.sql import Window
 
     w = Window.partitionBy(*cell).orderBy(*order)
-    n = F.row_number().over(w) - 1
-    capped = docs.withColumn("_n", n).where(F.col("_n") < count_page * per_page)
-    return capped.withColumn("page", (F.col("_n") / per_page).cast("int")).withColumn(
-        "position", (F.col("_n") % per_page).cast("int")
-    ).drop("_n")
+    # the filter must sit on the row number itself for Spark to plan the
+    # per-task WindowGroupLimit (a filter on row_number() - 1 is not matched)
+    capped = docs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= count_page * per_page)
+    n = F.col("_rn") - 1
+    return capped.withColumn("page", (n / per_page).cast("int")).withColumn(
+        "position", (n % per_page).cast("int")
+    ).drop("_rn")
 
 
 def accepted_per_request(docs: DataFrame, cell: list[str], page_col: str = "page") -> DataFrame:
