@@ -43,12 +43,40 @@ def reject_errors(docs: DataFrame, key: str = "errors", col: str = "obj") -> Dat
     return docs.where(~has_key(col, key))
 
 
-def read_vacancy_documents(spark: SparkSession, path: str, query_dt: str | _dt.date | None = None) -> DataFrame:
+def is_json_object(col: Column | str = "obj") -> Column:
+    """True when the text is a well-formed JSON object (what the source's json column accepts)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.json_object_keys(c).isNotNull()
+
+
+def malformed_documents(docs: DataFrame, col: str = "obj") -> DataFrame:
+    """Landed lines that are not JSON objects (a quarantine report)."""
+    return docs.where(~is_json_object(col))
+
+
+def keep_well_formed(docs: DataFrame, on_malformed: str = "drop", col: str = "obj") -> DataFrame:
+    """The source's json column rejects malformed text at staging time.
+
+    ``"drop"`` leaves such lines out (list them with :func:`malformed_documents`),
+    ``"fail"`` fails the job on the first one, as the rejected insert does.
+    """
+    if on_malformed == "drop":
+        return docs.where(is_json_object(col))
+    if on_malformed == "fail":
+        guard = F.when(~is_json_object(col), F.raise_error(F.lit("malformed JSON document")))
+        return docs.where(guard.isNull())
+    raise ValueError("on_malformed must be 'drop' or 'fail'")
+
+
+def read_vacancy_documents(
+    spark: SparkSession, path: str, query_dt: str | _dt.date | None = None, on_malformed: str = "drop"
+) -> DataFrame:
     """SRC1 + SRC6: landed vacancy documents as staging rows.
 
     Returns (obj, query_profession_eng_name, query_dt, update_ts); the load
     time is the file's modification time. ``query_dt`` selects one day
-    (partition pruning on the directory column).
+    (partition pruning on the directory column). Lines that are not JSON
+    objects are dropped or fail the job (``on_malformed``).
     """
     df = _landed_text(spark, path)
     if query_dt is not None:
@@ -60,7 +88,7 @@ def read_vacancy_documents(spark: SparkSession, path: str, query_dt: str | _dt.d
         F.col("query_dt").cast("date"),
         F.col("_landed_ts").alias("update_ts"),
     )
-    return reject_errors(staged)
+    return reject_errors(keep_well_formed(staged, on_malformed))
 
 
 def read_rate_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from labormart.functions.json import has_key
 from labormart.plans.pipeline import load
 from labormart.semantics import REFERENCE, Semantics
-from labormart.sources.landed import rate_documents_for_days
+from labormart.sources.landed import is_json_object, rate_documents_for_days
 
 
 def _from_path(path_col, name: str):
@@ -35,7 +35,7 @@ def vacancy_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     """Streaming staging rows (obj, query_profession_eng_name, query_dt, update_ts) from landed files.
 
     Day and profession come from the ``query_dt=`` / ``query_profession_eng_name=``
-    folders; error documents are dropped (F4).
+    folders; malformed lines (X1b) and error documents (F4) are dropped.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -48,7 +48,7 @@ def vacancy_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
         _from_path(fp, "query_dt").cast("date").alias("query_dt"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("update_ts"),
     )
-    return staged.where(~has_key("obj", "errors"))
+    return staged.where(is_json_object("obj") & ~has_key("obj", "errors"))
 
 
 def batch_loader(
