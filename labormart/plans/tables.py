@@ -66,7 +66,8 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A zero-row table of ``schema`` that the optimizer removes from unions."""
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    # limit(0) becomes an empty local relation, which the optimizer drops from unions and joins
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).limit(0)
 
 
 # plan operators after which re-reading a table costs more than reading a copy
