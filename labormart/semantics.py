@@ -7,7 +7,7 @@ CORRECTED fixes each quirk. Every field names the quirk it controls
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -86,4 +86,4 @@ def preset(name: str | Semantics) -> Semantics:
         raise ValueError(f"unknown semantics preset {name!r}; use one of {sorted(PRESETS)}") from exc
 
 
-__all__ = ["Semantics", "REFERENCE", "CORRECTED", "PRESETS", "preset", "field"]
+__all__ = ["Semantics", "REFERENCE", "CORRECTED", "PRESETS", "preset"]
