@@ -137,3 +137,12 @@ def test_records_round_trip(spark, tmp_path):
     m.write.json(path)
     back = serve.read_records(spark, path, m.schema)
     assert sorted(back.collect()) == sorted(m.collect())
+
+
+@pytest.mark.parametrize("sem,expected", [(REFERENCE, 150.0), (CORRECTED, 125.0)])
+def test_dashboard_mean_weighting(spark, sem, expected):
+    rows = [
+        mrow(D(2024, 6, 1), cnt=3, exp=(3, 0, 0, 0), avgs=("100", "0", "0", "0")),
+        mrow(D(2024, 6, 2), cnt=1, exp=(1, 0, 0, 0), avgs=("200", "0", "0", "0")),
+    ]
+    assert dash.avg_salary(metrics_rows(spark, rows, sem), sem).first().no_experience_avg_salary == expected
