@@ -262,10 +262,11 @@ class CatalogTables:
     Same layout as :class:`ParquetTables` (Parquet, partitioned by the day
     column), plus bucketing: ``d_vacancies`` and ``fct_skill_vacancy`` are
     bucketed and sorted by ``vacancy_id`` into ``buckets`` buckets, so the
-    skill-link joins (on the vacancy key, or on the id alone in the source
-    preset) and the per-vacancy link aggregate run without an exchange on
-    either side. That needs ``spark.sql.requireAllClusterKeysForCoPartition``
-    off (set here): the join keys include, not equal, the bucket column.
+    skills mart's link ↔ vacancy join and the per-vacancy link aggregate
+    read both tables without an exchange; building links from staged
+    entries shuffles only the entries side. That needs
+    ``spark.sql.requireAllClusterKeysForCoPartition`` off (set here): the
+    join keys include, not equal, the bucket column.
     Writes go through ``insertInto`` (append, or dynamic partition overwrite).
     """
 
