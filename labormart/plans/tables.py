@@ -264,7 +264,9 @@ class CatalogTables:
     bucketed and sorted by ``vacancy_id`` into ``buckets`` buckets, so the
     skills mart's link ↔ vacancy join and the per-vacancy link aggregate
     read both tables without an exchange; building links from staged
-    entries shuffles only the entries side. That needs
+    entries shuffles only the entries side when ``buckets`` is at least
+    ``spark.sql.shuffle.partitions`` (below that Spark re-shuffles both sides
+    to keep parallelism), so size ``buckets`` like the shuffle. That needs
     ``spark.sql.requireAllClusterKeysForCoPartition`` off (set here): the
     join keys include, not equal, the bucket column.
     Writes go through ``insertInto`` (append, or dynamic partition overwrite).
