@@ -56,3 +56,22 @@ def test_lineage_heuristic_and_materialize(spark):
     m = materialize(spark, agg, "t")
     assert not has_deep_lineage(m)
     assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in agg.collect())
+
+
+def test_join_against_a_bucketed_table_shuffles_one_side(spark, tmp_path):
+    import uuid
+
+    db = f"lmj_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    a = spark.createDataFrame([(i, i % 5) for i in range(500)], "vacancy_id long, city_id int")
+    a.write.bucketBy(4, "vacancy_id").sortBy("vacancy_id").option("path", str(tmp_path / "a")).saveAsTable(f"{db}.a")
+    entries = spark.range(1500).selectExpr("id % 500 as vacancy_id", "id as x")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = entries.join(spark.table(f"{db}.a"), "vacancy_id")
+        assert j.count() == 1500
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
