@@ -75,3 +75,25 @@ def test_join_against_a_bucketed_table_shuffles_one_side(spark, tmp_path):
         assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_incremental_links_broadcast_the_days_entries(spark):
+    import datetime as dt
+
+    from conftest import TS, staged, vacancy
+
+    from labormart.operators import bridge, parse
+
+    day = dt.date(2024, 6, 3)
+    docs = staged(spark, [(vacancy(i, skills=["SQL", f"S{i % 3}"]), "Data engineer", day, TS(2024, 6, 4)) for i in range(30)])
+    parsed = materialize(spark, parse.parse_vacancy_documents(docs), "p")
+    vac = spark.range(100000).selectExpr("id as vacancy_id", "date'2024-06-03' as dt", "'Data engineer' as query_profession_eng_name")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = bridge.link_skills(parse.skill_entries(parsed), vac, keyed=False, small_entries=True)
+        plan = links._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "BuildLeft" in plan and "SortMergeJoin" not in plan
+        assert links.count() == 60
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
