@@ -114,10 +114,11 @@ def _moved_text(value: Column, key: str, kind: str, hexadecimal: bool = False) -
 
 
 def _card(value: Column, key: str) -> Column:
-    """Another number of the same length, punctuation and a right check digit."""
-    payload = lambda d: F.substr(d, F.lit(1), F.length(d) - 1)
+    """Another number of the same length, first digit and punctuation, with a right check digit."""
+    lead = F.substr(_digits(value), F.lit(1), F.lit(1))
+    payload = lambda d: F.substr(d, F.lit(2), F.length(d) - 2)
     checked = lambda p: F.concat(p, F.element_at(F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda c: c.cast("string")), lambda c: F.call_function("luhn_check", F.concat(p, c))), 1))
-    return F.when(F.call_function("luhn_check", _digits(value)), _refilled(value, let(_moved_digits(payload(_digits(value)), key, "card"), checked)))
+    return F.when(F.call_function("luhn_check", _digits(value)), _refilled(value, let(F.concat(lead, _moved_digits(payload(_digits(value)), key, "card")), checked)))
 
 
 def _phone(value: Column, key: str) -> Column:
@@ -189,7 +190,8 @@ def _email(value: Column, key: str) -> Column:
 
 def _secret(value: Column, key: str) -> Column:
     lead = F.regexp_extract(value, r"^(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]*[=:][ \t]*[\"']?", 0)
-    return F.concat(lead, _moved_text(F.substr(value, F.length(lead) + 1, F.length(value)), key, "secret"))
+    rest = F.substr(value, F.length(lead) + 1, F.length(value))
+    return F.concat(lead, F.when(rest.rlike("^[0-9a-f]+$"), _moved_text(rest, key, "hex", hexadecimal=True)).otherwise(_moved_text(rest, key, "secret")))
 
 
 def pseudonym(value: Column, key: str) -> Column:
