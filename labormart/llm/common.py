@@ -66,6 +66,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     cur = settle(edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label)
     if cur.isEmpty():
         return cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    mark = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    last = mark(cur)
     while True:
         # large star: every larger neighbour of a node moves to the node's smallest one
         both = cur.select("u", "v").unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -76,10 +78,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         joined = large.join(low, "u")
         small = joined.select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         nxt = settle(small.select("e.u", "e.v").where("u <> v").distinct(), label)
-        same = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if same == nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first():
+        now = mark(nxt)
+        if now == last:
             break
-        cur = nxt
+        cur, last = nxt, now
     stars = cur.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return stars.unionByName(roots)

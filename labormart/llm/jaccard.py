@@ -1,12 +1,16 @@
 """Exact n-gram Jaccard join with set-relation skipping.
 
-Documents with the same shingles form one set. Sets are joined in two steps:
+Documents with the same shingles form one set. Sets are joined in three steps:
 
 * Candidates. The rarest shingles of every set go into index lists, dealt into
   buckets by shingle. Lists are sorted by set size; the position of the shingle
   in a set bounds how large a partner can be, so each entry sees one block of
   its list and skips the others. Pairs that remain only say which sets belong
   to one candidate group.
+* Refinement. Each set has a bitmap with a bit for each of its shingles, set or
+  cleared in turn. Two bitmaps differ in at most as many bits as the sets differ
+  in shingles, so pairs that differ in too many are not similar. The groups are
+  formed anew from the pairs that pass; no text moves for this.
 * Answers. A group's texts come together once. Its sets are walked from one to
   the most similar one next: overlaps with all others are carried along and only
   the lists of the shingles that differ are added or taken off. Groups with many
@@ -45,6 +49,9 @@ HOT_LIST = 1_000_000
 #: Sets, and shingles, of one block of a group.
 GROUP_SETS = 2_000
 GROUP_SHINGLES = 2_000_000
+#: The same for the step that compares bitmaps only.
+REFINED_SETS = 4_000
+REFINED_SHINGLES = 8_000_000
 
 
 def shingle_sets(text: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
@@ -66,6 +73,13 @@ def set_key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def set_bits(shingles: np.ndarray) -> bytes:
+    """Parity bitmap with at least one bit for each shingle, a power of two and 64 at least."""
+    size = 1 << max(6, int(len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], column: int, width: int) -> Iterator[tuple[pa.RecordBatch, int, int, list[np.ndarray]]]:
     for batch in batches:
         text, offsets = text_buffers(batch.column(column))
@@ -85,18 +99,18 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
         seen: dict[bytes, np.ndarray] = {}
         held = 0
 
-        def rows(ids, tags, sizes, keys, shingles, counts) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([ids, tags, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(shingles, pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "tag", "n", "key", "shingle", "count"])
+        def rows(ids, tags, sizes, keys, bits, shingles, counts) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([ids, tags, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.binary()), pa.array(shingles, pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "tag", "n", "key", "bits", "shingle", "count"])
 
         def counted() -> pa.RecordBatch:
             shingles, counts = _distinct(seen, LOCAL_COUNT)
             none = [None] * len(shingles)
-            return rows(pa.array(none, pa.int64()), pa.array(none, pa.int64()), none, none, shingles.view(np.int64), counts)
+            return rows(pa.array(none, pa.int64()), pa.array(none, pa.int64()), none, none, none, shingles.view(np.int64), counts)
 
         for batch, start, stop, sets in _blocks(batches, 2, width):
             keys = [set_key(s) if len(s) else None for s in sets]
             none = [None] * len(sets)
-            yield rows(batch.column(0).slice(start, stop - start), batch.column(1).slice(start, stop - start), [len(s) for s in sets], keys, none, none)
+            yield rows(batch.column(0).slice(start, stop - start), batch.column(1).slice(start, stop - start), [len(s) for s in sets], keys, [set_bits(s) if len(s) else None for s in sets], none, none)
             for k, s in zip(keys, sets, strict=True):
                 if k is not None and k not in seen:
                     seen[k] = s
@@ -108,7 +122,7 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
         if seen:
             yield counted()
 
-    return docs.mapInArrow(run, "doc_id long, tag long, n long, key binary, shingle long, count long")
+    return docs.mapInArrow(run, "doc_id long, tag long, n long, key binary, bits binary, shingle long, count long")
 
 
 def _prefix_length(size: np.ndarray | int, percent: int):
@@ -155,10 +169,12 @@ def _index_rows(docs: DataFrame, last, n_buckets: int, width: int, percent: int)
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 e = entry[cuts[b] : cuts[b + 1]]
                 own, local = np.unique(owner[e], return_inverse=True)
-                rows.append((b, len(own), key_bytes[own].tobytes() + sizes[own].astype("<u4").tobytes() + shingles[e].tobytes() + local.astype("<u4").tobytes() + place[e].astype("<u4").tobytes(), None, None))
-            for e in np.flatnonzero(keep & is_hot).tolist():
-                rows.append((None, None, None, keys[owner[e]], b"hot-word" + shingles[e].tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "sets", "packed", "a", "b"])
+                rows.append((b, len(own), key_bytes[own].tobytes() + sizes[own].astype("<u4").tobytes() + shingles[e].tobytes() + local.astype("<u4").tobytes() + place[e].astype("<u4").tobytes()))
+            e = np.flatnonzero(keep & is_hot)
+            if len(e):  # bare edges, in a bucket of their own
+                nodes = np.concatenate([np.frombuffer(b"hot-word", np.uint8)[None].repeat(len(e), 0), shingles[e].view(np.uint8).reshape(-1, 8)], axis=1)
+                rows.append((-1 - int(shingles[e[0]] & np.uint64(0xFFFF)), len(e), np.concatenate([key_bytes[owner[e]], nodes], axis=1).tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["bucket", "sets", "packed"])
 
         for _, _, _, sets in _blocks(batches, 0, width):
             for s in sets:
@@ -172,7 +188,7 @@ def _index_rows(docs: DataFrame, last, n_buckets: int, width: int, percent: int)
         if seen:
             yield packed()
 
-    return docs.select("text").mapInArrow(run, "bucket int, sets int, packed binary, a binary, b binary")
+    return docs.select("text").mapInArrow(run, "bucket int, sets int, packed binary")
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -232,6 +248,9 @@ def list_candidates(shingle: np.ndarray, owner: np.ndarray, size: np.ndarray, pl
 
 
 def _bucket_groups(rows: pa.Table, percent: int) -> pa.Table:
+    if rows.num_rows and rows.column("bucket")[0].as_py() < 0:
+        edges = [blob.as_py()[32 * i : 32 * i + 32] for n, blob in zip(rows.column("sets").to_pylist(), rows.column("packed"), strict=True) for i in range(n)]
+        return pa.table({"a": pa.array([x[:16] for x in edges], pa.binary()), "b": pa.array([x[16:] for x in edges], pa.binary())})
     keys, sizes, shingle, owner, place = [], [], [], [], []
     base = 0
     for n, blob in zip(rows.column("sets").to_pylist(), rows.column("packed"), strict=True):
@@ -329,12 +348,83 @@ def similar_sets(sets: list[np.ndarray], side: np.ndarray, percent: int = PERCEN
     return links, label
 
 
+def bitmap_pairs(bits: list[bytes], sizes: np.ndarray, side: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose sizes and bitmaps allow the similarity; with two sides only pairs across."""
+    across = side.any() and not side.all()
+    left, right = [], []
+    length = np.array([len(b) for b in bits])
+    for width in np.unique(length).tolist():
+        # bitmaps of this width, and those twice as wide folded onto it: no others have sizes so near
+        rows = np.flatnonzero((length == width) | (length == 2 * width))
+        maps = np.zeros((len(rows), width), np.uint8)
+        for i, r in enumerate(rows.tolist()):
+            raw = np.frombuffer(bits[r], np.uint8)
+            maps[i] = raw if len(raw) == width else raw[:width] ^ raw[width:]
+        words = maps.view(np.uint64)
+        n, own = sizes[rows], np.flatnonzero(length[rows] == width)
+        step = max(1, 4_000_000 // max(1, len(rows) * words.shape[1]))
+        for low in range(0, len(own), step):
+            part = own[low : low + step]
+            differ = np.bitwise_count(words[part][:, None] ^ words[None]).sum(2, dtype=np.int64)
+            total = n[part][:, None] + n[None]
+            # |x - y| + |y - x| <= (100 - percent) / (100 + percent) * (|x| + |y|)
+            fits = (100 + percent) * np.maximum(differ, np.abs(n[part][:, None] - n[None])) <= (100 - percent) * total
+            if across:
+                fits &= side[rows][part][:, None] != side[rows][None]
+            i, j = np.nonzero(fits)
+            a, b = rows[part[i]], rows[j]
+            pick = (a < b) | (length[b] != width)
+            left.append(a[pick])
+            right.append(b[pick])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _cells(rows: pa.Table) -> dict[tuple, list[int]]:
+    """Rows of each task of a group, in a bundle of such tasks."""
+    out: dict[tuple, list[int]] = {}
+    for i, cell in enumerate(zip(rows.column("component").to_pylist(), rows.column("lo").to_pylist(), rows.column("hi").to_pylist(), strict=True)):
+        out.setdefault(cell, []).append(i)
+    return out
+
+
+def _refined(rows: pa.Table, percent: int) -> pa.Table:
+    """Edges that still hold a candidate group together."""
+    keys, bits = rows.column("key").to_pylist(), rows.column("bits").to_pylist()
+    block, sizes = rows.column("block").to_numpy(), rows.column("n").to_numpy()
+    a, b = [], []
+    for (_, lo, hi), members in _cells(rows).items():
+        at = np.array(members)
+        side = (block[at] == hi) & (lo != hi)
+        if len(at) < 2 or lo != hi and (side.all() or not side.any()):
+            continue
+        label = local_components(len(at), *bitmap_pairs([bits[i] for i in members], sizes[at], side, percent))
+        for i in np.flatnonzero(label != np.arange(len(at))).tolist():
+            a.append(keys[members[label[i]]])
+            b.append(keys[members[i]])
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def _dealt(classes: DataFrame, groups: DataFrame, sets: int, weight: int, label: str) -> DataFrame:
+    """Members of groups of two and more, dealt to tasks.
+
+    A group above either limit is cut into blocks, and each pair of blocks is a
+    task (``lo``, ``hi``); tasks of small groups share a bundle.
+    """
+    grouped = classes.join(groups.withColumnRenamed("node", "key"), "key")
+    sizes = grouped.groupBy("component").agg(F.count("*").alias("sets"), F.greatest(F.ceil(F.count("*") / sets), F.ceil(F.sum("n") / weight)).alias("blocks")).where("sets > 1")
+    members = settle(grouped.join(sizes.drop("sets"), "component").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks"))), label)
+    bundles = F.lit(parts_for(members.count(), sets))
+    lo, hi = F.least("block", "other"), F.greatest("block", "other")
+    bundle = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), bundles)).otherwise(F.xxhash64("component", lo, hi))
+    return members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("*", lo.alias("lo"), hi.alias("hi"), bundle.alias("bundle")).drop("other")
+
+
 def _group_rows(rows: pa.Table, width: int, percent: int) -> pa.Table:
     rows = rows.combine_chunks()
     keys, block = rows.column("key").to_pylist(), rows.column("block").to_numpy()
-    cell = list(zip(rows.column("component").to_pylist(), rows.column("lo").to_pylist(), rows.column("hi").to_pylist(), strict=True))
     column = rows.column("text").chunk(0) if rows.num_rows else pa.array([], pa.string())
     text, offsets = text_buffers(column)
+    cell = {i: c for c, members in _cells(rows).items() for i in members}
     groups: dict[tuple, dict[bytes, tuple[int, np.ndarray]]] = {}
     row = 0
     for start, stop in text_slices(column):
@@ -366,8 +456,10 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tag"), F.col("text").cast("string").alias("text"))
     prints = settle(fingerprints(rows, width), "fingerprints")
-    members = prints.where("n IS NOT NULL").select("doc_id", "tag", "n", "key")
-    classes = settle(members.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("rep"), F.first("n").alias("n")).select("key", F.col("rep.doc_id").alias("rep"), F.col("rep.tag").alias("tag"), "n"), "sets")
+    members = prints.where("n IS NOT NULL").select("doc_id", "tag", "n", "key", "bits")
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag"))
+    classes = members.where("key IS NOT NULL").groupBy("key").agg(rep.alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    classes = settle(classes.select("key", F.col("rep.doc_id").alias("rep"), F.col("rep.tag").alias("tag"), "n", "bits"), "sets")
 
     frequent = prints.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "shingle").limit(ORDERED_LAST).collect()
     late = np.array([r[0] for r in frequent], np.int64).view(np.uint64)
@@ -377,20 +469,15 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     last = spark.sparkContext.broadcast((late[order], rank, hot))
 
     entries = classes.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()[0] or 0
-    index = settle(_index_rows(rows, last, parts_for(entries, BUCKET_ENTRIES), width, percent), "index")
-    buckets = index.where("bucket IS NOT NULL").select("bucket", "sets", "packed").groupBy("bucket").applyInArrow(lambda t: _bucket_groups(t.select(["sets", "packed"]), percent), "a binary, b binary")
-    groups = components(buckets.unionByName(index.where("a IS NOT NULL").select("a", "b")), "groups")
-
-    grouped = classes.join(groups.withColumnRenamed("node", "key"), "key")
-    sizes = grouped.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / GROUP_SETS), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("blocks"), F.count("*").alias("sets"))
-    cells = grouped.join(sizes.where("sets > 1"), "component").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    cells = settle(cells, "cells")
-    n_sets, split = cells.agg(F.count("*"), F.coalesce(F.max("blocks"), F.lit(1)) > 1).first()
-    bundles = parts_for(n_sets, GROUP_SETS)
-    texts = rows.withColumn("doc_key", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
-    wanted = cells.select("key", "component", "blocks", "block", "tag", F.coalesce("rep", F.lit((1 << 63) - 1)).alias("doc_key"))
-    dealt = texts.join(wanted, ["doc_key", "tag"]).select("key", "text", "component", "blocks", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("key", "text", "component", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(bundles))).otherwise(F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other"))).alias("bundle"))
+    index = _index_rows(rows, last, parts_for(entries, BUCKET_ENTRIES), width, percent)
+    edges = index.groupBy("bucket").applyInArrow(lambda t: _bucket_groups(t, percent), "a binary, b binary")
+    rough = _dealt(classes.select("key", "n", "bits"), components(edges, "groups"), REFINED_SETS, REFINED_SHINGLES, "rough")
+    edges = rough.groupBy("bundle").applyInArrow(lambda t: _refined(t, percent), "a binary, b binary")
+    cells = _dealt(classes.select("key", "rep", "tag", "n"), components(edges, "refined"), GROUP_SETS, GROUP_SHINGLES, "cells")
+    texts = rows.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_key"), "tag", "text")
+    dealt = cells.withColumn("doc_key", F.coalesce("rep", F.lit((1 << 63) - 1))).drop("rep")
+    dealt = texts.join(dealt, ["doc_key", "tag"]).select("key", "text", "component", "block", "lo", "hi", "bundle")
+    split = not cells.where("blocks > 1").isEmpty()
     found = settle(dealt.groupBy("bundle").applyInArrow(lambda t: _group_rows(t, width, percent), "key binary, root binary, links long"), "links")
     linked = components(found.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b")), "linked") if split else found.where("key <> root OR links > 0").select(F.col("key").alias("node"), F.col("root").alias("component"))
     answers = classes.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
