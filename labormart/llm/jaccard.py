@@ -476,7 +476,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     cells = _dealt(classes.select("key", "rep", "tag", "n"), components(edges, "refined"), GROUP_SETS, GROUP_SHINGLES, "cells")
     texts = rows.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_key"), "tag", "text")
     dealt = cells.withColumn("doc_key", F.coalesce("rep", F.lit((1 << 63) - 1))).drop("rep")
-    dealt = texts.join(dealt, ["doc_key", "tag"]).select("key", "text", "component", "block", "lo", "hi", "bundle")
+    # texts meet their sets in the same way at every size: both sides sorted, neither broadcast
+    dealt = texts.join(dealt.hint("merge"), ["doc_key", "tag"]).select("key", "text", "component", "block", "lo", "hi", "bundle")
     split = not cells.where("blocks > 1").isEmpty()
     found = settle(dealt.groupBy("bundle").applyInArrow(lambda t: _group_rows(t, width, percent), "key binary, root binary, links long"), "links")
     linked = components(found.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b")), "linked") if split else found.where("key <> root OR links > 0").select(F.col("key").alias("node"), F.col("root").alias("component"))
@@ -499,4 +500,4 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     first = found.where("key IS NOT NULL").select(F.col("component_id").alias("doc_id")).unionByName(found.where("key IS NULL").select("doc_id"))
     wanted = settle(first.select(whole.alias("_kept")).distinct(), "kept")
     marked = docs.withColumn("_kept", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
-    return marked.join(wanted, "_kept", "left_semi").withColumn("_tag", F.xxhash64("text")).dropDuplicates(["_kept", "_tag"]).drop("_kept", "_tag")
+    return marked.join(wanted.hint("merge"), "_kept", "left_semi").withColumn("_tag", F.xxhash64("text")).dropDuplicates(["_kept", "_tag"]).drop("_kept", "_tag")

@@ -177,7 +177,7 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float =
     whole = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     copies = found.groupBy(whole.alias("_mix_id"), "_mix_tag").agg(F.sum("copies").cast("int").alias("_mix_copies"), F.count("*").alias("_mix_rows")).where("_mix_copies > 0")
     keyed = docs.withColumn("_mix_id", whole).withColumn("_mix_tag", F.xxhash64("text", "source"))
-    joined = keyed.join(copies, ["_mix_id", "_mix_tag"])
+    joined = keyed.join(copies.hint("merge"), ["_mix_id", "_mix_tag"])
     several = F.col("_mix_rows") > 1
     # rows that repeat are one row with all their copies
     once = joined.where(~several).unionByName(joined.where(several).dropDuplicates(["_mix_id", "_mix_tag"]))

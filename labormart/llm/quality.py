@@ -133,7 +133,7 @@ def filtered(docs: DataFrame) -> DataFrame:
     """
     verdicts = judged(docs).where("kept").select(F.col("key").alias("_rule_key"), F.col("tag").alias("_rule_tag"), F.col("removed").alias("_rule_lines")).dropDuplicates(["_rule_key", "_rule_tag"])
     marked = docs.withColumn("_rule_key", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("_rule_tag", F.xxhash64("text"))
-    kept = marked.join(verdicts, ["_rule_key", "_rule_tag"])
+    kept = marked.join(verdicts.hint("merge"), ["_rule_key", "_rule_tag"])
     gone = lambda x: F.array_contains("_rule_lines", F.xxhash64(normal_line(x))) & (F.size(words_of(x)) <= LINE_WORDS) & (F.btrim(x, F.lit(_SPACES)) != "")
     left = F.filter(F.split("text", "\n"), lambda x: ~gone(x))
     kept = kept.withColumn("text", F.when(F.size("_rule_lines") == 0, F.col("text")).otherwise(F.array_join(left, "\n")))

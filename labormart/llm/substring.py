@@ -317,7 +317,7 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -
     both = met.select("part", "kind", "n", "packed").unionByName(probes.where("kind > 0").select("part", "kind", "n", "packed"))
     hits = both.groupBy("part").applyInArrow(lambda t: _document_hits(t), "doc_id long, tag long, hits binary")
     hits = hits.groupBy("doc_id", "tag").agg(F.collect_list("hits").alias("hits"))
-    windows = settle(_window_rows(texts.join(hits, ["doc_id", "tag"]), n_buckets, window, block), "windows")
+    windows = settle(_window_rows(texts.join(hits.hint("merge"), ["doc_id", "tag"]), n_buckets, window, block), "windows")
     later = windows.where("kind = 0").select("bucket", "part", "n", "packed").groupBy("bucket").applyInArrow(lambda t: _bucket_repeats(t), "doc_id long, tag long, packed binary")
     starts = later.unionByName(windows.where("kind = 3").select("doc_id", "tag", "packed")).groupBy("doc_id", "tag").agg(F.collect_list("packed").alias("starts"))
     return texts, starts
@@ -332,5 +332,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) ->
     ``stop`` not. Windows are judged on the input. A null text has no words.
     """
     texts, starts = repeated_starts(docs, window, block)
-    out = _cleaned(texts.join(starts, ["doc_id", "tag"], "left").select("doc_id", "tag", "text", "starts"), window)
+    out = _cleaned(texts.join(starts.hint("merge"), ["doc_id", "tag"], "left").select("doc_id", "tag", "text", "starts"), window)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _LAST, F.col("doc_id")))
