@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labormart.llm.common import n_words, parts_for, settle
+from labormart.llm.common import n_words, parts_for
 from labormart.llm.words import hash_windows, hash_words, text_buffers, text_slices
 
 WINDOW = 20
@@ -139,8 +140,10 @@ def _probe_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> Da
                 for b, e in _by_bucket(send, hashes, n_buckets):
                     gaps = np.diff(np.r_[0, e])
                     rows.append((0, b, number, None, None, len(e), _planes(hashes[e], 5) + _planes(gaps, 4) + np.packbits(aligned[e]).tobytes()))
-                rows.append((1, None, number, None, None, len(gathered.ids), np.array(gathered.ids, "<i8").tobytes() + np.array(gathered.tags, "<i8").tobytes() + np.array(gathered.sizes, "<u4").tobytes()))
-                rows.append((2, None, number, None, None, len(own), _planes(np.diff(np.r_[0, own]), 4)))
+                # a block's own rows pass through a bucket, so that one exchange carries all
+                via = number % n_buckets
+                rows.append((1, via, number, None, None, len(gathered.ids), np.array(gathered.ids, "<i8").tobytes() + np.array(gathered.tags, "<i8").tobytes() + np.array(gathered.sizes, "<u4").tobytes()))
+                rows.append((2, via, number, None, None, len(own), _planes(np.diff(np.r_[0, own]), 4)))
             number += 1
             gathered.clear()
             return _table(rows)
@@ -162,7 +165,11 @@ def _probe_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> Da
 
 
 def _bucket_hits(rows: pa.Table) -> pa.Table:
-    """Of each block's probes, those that meet an anchor at another place."""
+    """Of each block's probes, those that meet an anchor at another place; other rows pass."""
+    passing = rows.filter(pc.greater(rows.column("kind"), 0)).select(["part", "n", "packed", "kind"])
+    rows = rows.filter(pc.equal(rows.column("kind"), 0))
+    if not rows.num_rows:
+        return passing
     parts, sizes = rows.column("part").to_pylist(), rows.column("n").to_pylist()
     hashes, aligned, places = [], [], []
     for blob, n in zip(rows.column("packed"), sizes, strict=True):
@@ -180,7 +187,8 @@ def _bucket_hits(rows: pa.Table) -> pa.Table:
         if found.any():
             at = place[found]
             out.append((part, len(at), _planes(np.diff(np.r_[0, at]), 4)))
-    return pa.table({"part": pa.array([o[0] for o in out], pa.int64()), "n": pa.array([o[1] for o in out], pa.int64()), "packed": pa.array([o[2] for o in out], pa.binary()), "kind": pa.array([2] * len(out), pa.int32())})
+    met = pa.table({"part": pa.array([o[0] for o in out], pa.int64()), "n": pa.array([o[1] for o in out], pa.int64()), "packed": pa.array([o[2] for o in out], pa.binary()), "kind": pa.array([2] * len(out), pa.int32())})
+    return pa.concat_tables([passing.cast(met.schema), met])
 
 
 def _document_hits(rows: pa.Table) -> pa.Table:
@@ -224,7 +232,7 @@ def _window_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> D
                 lead = np.repeat(ordered[first], sizes)
                 later = (ids[owner[ordered]] != ids[owner[lead]]) | (place[ordered] != place[lead])
                 for doc_id, tag, packed in _per_document(np.sort(ordered[later]), gathered):
-                    rows.append((3, None, None, doc_id, tag, len(packed) // 4, packed))
+                    rows.append((3, doc_id % n_buckets, None, doc_id, tag, len(packed) // 4, packed))
                 for b, e in _by_bucket(np.sort(ordered[~later]), hashes, n_buckets):
                     docs, local = np.unique(owner[e], return_inverse=True)
                     table = ids[docs].astype("<i8").tobytes() + np.array(gathered.tags, "<i8")[docs].tobytes() + np.bincount(local).astype("<u4").tobytes()
@@ -249,7 +257,11 @@ def _window_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> D
 
 
 def _bucket_repeats(rows: pa.Table) -> pa.Table:
-    """Windows of which the same words start earlier in another entry."""
+    """Windows of which the same words start earlier in another entry; other rows pass."""
+    passing = rows.filter(pc.equal(rows.column("kind"), 3)).select(["doc_id", "tag", "packed"])
+    rows = rows.filter(pc.equal(rows.column("kind"), 0))
+    if not rows.num_rows:
+        return passing
     ids, tags, hashes, places = [], [], [], []
     for n_docs, n, blob in zip(rows.column("part").to_pylist(), rows.column("n").to_pylist(), rows.column("packed"), strict=True):
         raw = blob.as_buffer().to_pybytes()
@@ -269,7 +281,8 @@ def _bucket_repeats(rows: pa.Table) -> pa.Table:
     ids, tags, places = ids[order], tags[order], places[order].astype("<u4")
     cut = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])]) if len(ids) else np.zeros(0, np.int64)
     packed = [p.tobytes() for p in np.split(places, cut[1:])] if len(cut) else []
-    return pa.table({"doc_id": pa.array(ids[cut], pa.int64()), "tag": pa.array(tags[cut], pa.int64()), "packed": pa.array(packed, pa.binary())})
+    found = pa.table({"doc_id": pa.array(ids[cut], pa.int64()), "tag": pa.array(tags[cut], pa.int64()), "packed": pa.array(packed, pa.binary())})
+    return pa.concat_tables([passing.cast(found.schema), found])
 
 
 def _cleaned(texts: DataFrame, window: int) -> DataFrame:
@@ -312,14 +325,14 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -
     texts = docs.select(key.alias("doc_id"), F.xxhash64("text").alias("tag"), F.col("text").cast("string").alias("text"))
     words = int(docs.agg(F.sum(n_words(F.col("text")))).first()[0] or 0)
     n_buckets = parts_for(words, BUCKET_ENTRIES)
-    probes = settle(_probe_rows(texts, n_buckets, window, block), "probes")
-    met = probes.where("kind = 0").select("bucket", "part", "n", "packed").groupBy("bucket").applyInArrow(lambda t: _bucket_hits(t), "part long, n long, packed binary, kind int")
-    both = met.select("part", "kind", "n", "packed").unionByName(probes.where("kind > 0").select("part", "kind", "n", "packed"))
-    hits = both.groupBy("part").applyInArrow(lambda t: _document_hits(t), "doc_id long, tag long, hits binary")
+    probes = _probe_rows(texts, n_buckets, window, block).select("bucket", "kind", "part", "n", "packed")
+    met = probes.groupBy("bucket").applyInArrow(lambda t: _bucket_hits(t), "part long, n long, packed binary, kind int")
+    hits = met.groupBy("part").applyInArrow(lambda t: _document_hits(t), "doc_id long, tag long, hits binary")
     hits = hits.groupBy("doc_id", "tag").agg(F.collect_list("hits").alias("hits"))
-    windows = settle(_window_rows(texts.join(hits.hint("merge"), ["doc_id", "tag"]), n_buckets, window, block), "windows")
-    later = windows.where("kind = 0").select("bucket", "part", "n", "packed").groupBy("bucket").applyInArrow(lambda t: _bucket_repeats(t), "doc_id long, tag long, packed binary")
-    starts = later.unionByName(windows.where("kind = 3").select("doc_id", "tag", "packed")).groupBy("doc_id", "tag").agg(F.collect_list("packed").alias("starts"))
+    around = texts.join(hits.hint("merge"), ["doc_id", "tag"], "left").where("hits IS NOT NULL")
+    windows = _window_rows(around, n_buckets, window, block).select("bucket", "kind", "part", "doc_id", "tag", "n", "packed")
+    starts = windows.groupBy("bucket").applyInArrow(lambda t: _bucket_repeats(t), "doc_id long, tag long, packed binary")
+    starts = starts.groupBy("doc_id", "tag").agg(F.collect_list("packed").alias("starts"))
     return texts, starts
 
 
