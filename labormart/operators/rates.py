@@ -71,13 +71,16 @@ def asof_fill(
     (keys, ``out_col``) for each day from the key's first observation (or
     ``start``) to ``end``, carrying the observation's columns; ``day_col`` keeps
     the day the values come from. Days before a key's first observation have
-    no row (inner as-of); there is no lookback limit.
+    no row (inner as-of); there is no lookback limit. A NULL ``end`` or ``start``
+    asks for no days.
     """
     end_c = _day_value(end)
     nxt = next_observation_day(obs, keys, day_col)
     last = F.least(F.coalesce(F.date_sub(F.col("_next_day"), 1), end_c), end_c)
     first = F.col(day_col) if start is None else F.greatest(F.col(day_col), _day_value(start))
-    filled = nxt.where(first <= last).withColumn(
+    # an empty request has no bounds, and then no days: least and greatest would skip the NULL
+    asked = end_c.isNotNull() if start is None else end_c.isNotNull() & _day_value(start).isNotNull()
+    filled = nxt.where(asked & (first <= last)).withColumn(
         out_col, F.explode(F.sequence(first, last, F.expr("interval 1 day")))
     )
     return filled.drop("_next_day")

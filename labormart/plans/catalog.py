@@ -628,15 +628,13 @@ def dash_top_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "get_cities",
-    """SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name, n_name AS eng_name FROM nation
-WHERE n_nationkey IN (SELECT c_nationkey FROM customer)""",
+    "SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name, n_name AS eng_name FROM nation",
 )
 def get_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C7/SRC5: the whole city dimension (every area the customer records reference)."""
+    """C7/SRC5: the whole city dimension."""
     from labormart.operators.serve import get_cities as _get
 
-    areas = td.table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("int").alias("id")).distinct()
-    return _get(td.cities(spark, sf_dir).join(areas, "id", "left_semi"))
+    return _get(td.cities(spark, sf_dir))
 
 
 @register("get_professions", "SELECT DISTINCT c_mktsegment AS name, c_mktsegment AS eng_name FROM customer")
@@ -676,7 +674,11 @@ numbered AS (
 capped AS (
   SELECT vacancy_id, dt, city_id, query_profession_eng_name,
          CAST(n // 100 AS INTEGER) AS page, CAST(n % 100 AS INTEGER) AS position
-  FROM numbered WHERE n < 300
+  FROM (SELECT *, row_number() OVER (PARTITION BY query_profession_eng_name ORDER BY vacancy_id) - 1 AS n FROM v)
+  WHERE n < 300
+),
+paged AS (
+  SELECT vacancy_id, dt, city_id, query_profession_eng_name, CAST(n // 100 AS INTEGER) AS page FROM numbered
 )"""
 
 
@@ -684,59 +686,67 @@ def _capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labormart.sources.landed import cap_pages
 
     vac = td.vacancies(spark, sf_dir).select("vacancy_id", "dt", "city_id", "query_profession_eng_name")
-    return cap_pages(vac, ["dt", "city_id", "query_profession_eng_name"], ["vacancy_id"])
+    return cap_pages(vac, ["query_profession_eng_name"], ["vacancy_id"])
+
+
+def _paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vacancy with its page in its cell, as many pages as there are."""
+    from labormart.sources.landed import number_pages
+
+    vac = td.vacancies(spark, sf_dir).select("vacancy_id", "dt", "city_id", "query_profession_eng_name")
+    return number_pages(vac, ["dt", "city_id", "query_profession_eng_name"], ["vacancy_id"])
 
 
 @register("page_cap", _CELLS_SQL + "\nSELECT * FROM capped")
 def page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L4: at most 3 pages of 100 documents per (day, city, profession)."""
+    """L4: at most 3 pages of 100 documents per request cell; here a cell is a profession, so the cap acts."""
     return _capped(spark, sf_dir)
 
 
 @register(
     "ingest_counts",
-    _CELLS_SQL + "\nSELECT dt, city_id, query_profession_eng_name, page, COUNT(*) AS n_docs FROM capped GROUP BY ALL",
+    _CELLS_SQL + "\nSELECT dt, city_id, query_profession_eng_name, page, COUNT(*) AS n_docs FROM paged GROUP BY ALL",
 )
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted documents per request (day, city, profession, page)."""
     from labormart.sources.landed import accepted_per_request
 
-    return accepted_per_request(_capped(spark, sf_dir), ["dt", "city_id", "query_profession_eng_name"])
+    return accepted_per_request(_paged(spark, sf_dir), ["dt", "city_id", "query_profession_eng_name"])
 
 
 @register(
     "ingest_grid_missing",
-    f"""WITH {O.vacancies_cte()},
+    _CELLS_SQL
+    + """,
 days AS (
   SELECT CAST(d AS DATE) AS dt
   FROM range((SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders),
              (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)
 ),
 grid AS (
-  SELECT days.dt, n.n_nationkey AS city_id, s.c_mktsegment AS query_profession_eng_name, 0 AS page
-  FROM days, nation n, (SELECT DISTINCT c_mktsegment FROM customer) s
+  SELECT days.dt, n.n_nationkey AS city_id, s.c_mktsegment AS query_profession_eng_name, CAST(p.range AS INTEGER) AS page
+  FROM days, nation n, (SELECT DISTINCT c_mktsegment FROM customer) s, range(3) p
 )
 SELECT * FROM grid
-WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.dt = grid.dt AND v.city_id = grid.city_id
-                  AND v.query_profession_eng_name = grid.query_profession_eng_name)""",
+WHERE NOT EXISTS (SELECT 1 FROM paged v WHERE v.dt = grid.dt AND v.city_id = grid.city_id
+                  AND v.query_profession_eng_name = grid.query_profession_eng_name AND v.page = grid.page)""",
 )
 def ingest_grid_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected (day, city, profession, first page) cells with no landed document."""
+    """Expected (day, city, profession, page) cells with no landed document."""
     from labormart.functions.dates import day_spine
-    from labormart.sources.landed import ingest_grid, missing_cells
+    from labormart.sources.landed import COUNT_PAGE, ingest_grid, missing_cells
 
     first, last = td.order_date_bounds(spark, sf_dir)
     spine = day_spine(spark, first, last)
-    grid = ingest_grid(spine, td.cities(spark, sf_dir), td.professions(spark, sf_dir), pages=1)
-    landed = td.vacancies(spark, sf_dir).withColumn("page", F.lit(0))
-    return missing_cells(grid, landed, ["dt", "city_id", "query_profession_eng_name", "page"])
+    grid = ingest_grid(spine, td.cities(spark, sf_dir), td.professions(spark, sf_dir), pages=COUNT_PAGE)
+    return missing_cells(grid, _paged(spark, sf_dir), ["dt", "city_id", "query_profession_eng_name", "page"])
 
 
 def _list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """List pages per request cell: up to 100 (id, url) items per page of the capped cells."""
-    capped = _capped(spark, sf_dir)
+    """List pages per request cell: up to 100 (id, url) items per page."""
+    paged = _paged(spark, sf_dir)
     items = F.struct(F.col("vacancy_id").cast("string").alias("id"), _url(F.col("vacancy_id")).alias("url"))
-    return capped.groupBy("dt", "city_id", "query_profession_eng_name", "page").agg(
+    return paged.groupBy("dt", "city_id", "query_profession_eng_name", "page").agg(
         F.to_json(F.struct(F.array_sort(F.collect_list(items)).alias("items"))).alias("obj")
     )
 
@@ -757,7 +767,7 @@ def _landed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "list_page_details",
-    _CELLS_SQL + "\nSELECT c.vacancy_id, c.dt, c.page FROM capped c JOIN orders o ON o.o_orderkey = c.vacancy_id WHERE o.o_orderstatus <> 'P'",
+    _CELLS_SQL + "\nSELECT c.vacancy_id, c.dt, c.page FROM paged c JOIN orders o ON o.o_orderkey = c.vacancy_id WHERE o.o_orderstatus <> 'P'",
 )
 def list_page_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC2b: list pages → the landed detail documents they reference (per page entry)."""
@@ -770,7 +780,7 @@ def list_page_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "list_page_missing",
-    _CELLS_SQL + "\nSELECT c.vacancy_id, c.dt, c.page FROM capped c JOIN orders o ON o.o_orderkey = c.vacancy_id WHERE o.o_orderstatus = 'P'",
+    _CELLS_SQL + "\nSELECT c.vacancy_id, c.dt, c.page FROM paged c JOIN orders o ON o.o_orderkey = c.vacancy_id WHERE o.o_orderstatus = 'P'",
 )
 def list_page_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC2b: list-page entries whose detail document has not landed."""

@@ -53,8 +53,9 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local tests) a fresh scratch folder is created and set.
+    ``spark.checkpoint.dir`` is read from the session. On a local master, where
+    driver and executors are one machine, an unset one is replaced by a fresh
+    scratch folder; any other master must name a folder that all nodes share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="labormart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -44,9 +44,14 @@ def reject_errors(docs: DataFrame, key: str = "errors", col: str = "obj") -> Dat
 
 
 def is_json_object(col: Column | str = "obj") -> Column:
-    """True when the text is a well-formed JSON object (what the source's json column accepts)."""
+    """True when the text is one well-formed JSON object (what the source's json column accepts).
+
+    The parser stops at the end of the object; as the only element of an array
+    the text must also end there.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return F.json_object_keys(c).isNotNull()
+    alone = F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1
+    return F.json_object_keys(c).isNotNull() & F.coalesce(alone, F.lit(False))
 
 
 def malformed_documents(docs: DataFrame, col: str = "obj") -> DataFrame:
@@ -104,12 +109,13 @@ def rate_documents_for_days(
 ) -> DataFrame:
     """J8 + F5: one staged rate document per requested day.
 
-    ``docs`` has (obj, doc_day); documents with an ``error`` key do not
-    count. Each day from ``start`` to ``end`` takes the latest valid
+    ``docs`` has (obj, doc_day); documents with an ``error`` key, and text that
+    is not one JSON object (a file cut off while it landed), do not count:
+    the latest valid document before them serves. Each day from ``start`` to ``end`` takes the latest valid
     document published on or before it, stored under the requested day
     (``query_dt``). No lookback limit.
     """
-    valid = reject_errors(docs, "error")
+    valid = reject_errors(docs.where(is_json_object("obj")), "error")
     # one document per day: the last one landed wins
     order = F.struct(F.col("_landed_ts"), F.col("obj")) if "_landed_ts" in docs.columns else F.col("obj")
     per_day = valid.groupBy("doc_day").agg(F.max_by("obj", order).alias("obj"))
@@ -184,6 +190,14 @@ def cap_pages(
     ).drop("_rn")
 
 
+def number_pages(docs: DataFrame, cell: list[str], order: list[str | Column], per_page: int = PER_PAGE) -> DataFrame:
+    """SRC2b: ``page`` of every document in its request cell, ``per_page`` to a page, without a cap."""
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy(*cell).orderBy(*order)) - 1
+    return docs.withColumn("page", F.floor(place / per_page).cast("int"))
+
+
 def accepted_per_request(docs: DataFrame, cell: list[str], page_col: str = "page") -> DataFrame:
     """Accepted documents per (cell, page)."""
     return docs.groupBy(*cell, page_col).agg(F.count(F.lit(1)).alias("n_docs"))
@@ -247,6 +261,7 @@ __all__ = [
     "detail_documents_for_pages",
     "missing_details",
     "cap_pages",
+    "number_pages",
     "accepted_per_request",
     "bounded_array",
     "ingest_grid",

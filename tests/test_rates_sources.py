@@ -186,3 +186,44 @@ def test_malformed_documents_are_dropped_or_fail(spark, tmp_path):
     assert sorted(r.obj for r in landed.malformed_documents(raw).collect()) == ['[1, 2]', '{"id": 2']
     with pytest.raises(Exception, match="malformed JSON document"):
         landed.read_vacancy_documents(spark, path, on_malformed="fail").collect()
+
+
+def test_empty_request_fills_no_days(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from labormart.operators.rates import asof_fill
+
+    obs = spark.createDataFrame([(dt.date(2024, 1, 1), "a"), (dt.date(2024, 1, 5), "b")], "day date, obj string")
+    none = F.lit(None).cast("date")
+    assert asof_fill(obs, [], "day", end=none, start=none).count() == 0
+    assert asof_fill(obs, [], "day", end="2024-01-06", start="2024-01-02").count() == 5
+
+
+def test_one_json_object_and_nothing_after_it(spark):
+    from labormart.sources.landed import is_json_object
+
+    rows = [('{"id": 1}', True), ('{"id": 1} x', False), ('{"id": 1}{"id": 2}', False), ('{"id": ', False), ("[1]", False), ('  {"a": {"b": [1, 2]}}  ', True), (None, False)]
+    df = spark.createDataFrame(rows, "obj string, want boolean")
+    from pyspark.sql import functions as F
+
+    assert df.where(F.coalesce(is_json_object("obj"), F.lit(False)) != F.col("want")).count() == 0
+
+
+def test_cut_off_rate_document_does_not_serve(spark):
+    import datetime as dt
+
+    from labormart.sources.landed import rate_documents_for_days
+
+    docs = spark.createDataFrame([('{"Valute": {}}', dt.date(2024, 1, 1)), ('{"Valute": {"USD": ', dt.date(2024, 1, 2))], "obj string, doc_day date")
+    days = {r.query_dt: r.obj for r in rate_documents_for_days(docs, end="2024-01-03").collect()}
+    assert set(days.values()) == {'{"Valute": {}}'} and len(days) == 3
+
+
+def test_pages_are_numbered_without_a_cap(spark):
+    from labormart.sources.landed import number_pages
+
+    rows = spark.range(1234).selectExpr("id", "1 AS cell")
+    pages = {r.page: r["count"] for r in number_pages(rows, ["cell"], ["id"]).groupBy("page").count().collect()}
+    assert pages == {**{p: 100 for p in range(12)}, 12: 34}
