@@ -80,6 +80,9 @@ class Encoder:
             found = [t.offsets for t in self.tokenizer.model.tokenize(text.translate(self.spelled))]
             less = text[0] == " "
             return array("i", [max(a - less, 0) for a, _ in found]).tobytes(), array("i", [b - less for _, b in found]).tobytes(), len(found)
+        if text[-1] in self.marks and text[:-1].isascii() and text[:-1].lstrip(" ").isalpha():
+            starts, stops, n = self._ends(text[:-1])
+            return starts + array("i", [len(text) - 1]).tobytes(), stops + array("i", [len(text)]).tobytes(), n + 1
         spans = np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int32).reshape(-1, 2)
         return spans[:, 0].tobytes(), spans[:, 1].tobytes(), len(spans)
 
