@@ -104,8 +104,8 @@ def _groups(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, first, np.diff(np.r_[first, len(ordered)])
 
 
-_HIT = "kind int, bucket int, part long, doc_id long, tag long, n long, packed binary"
-_HIT_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+_HIT = "kind int, bucket int, part long, n_docs long, n long, packed binary"
+_HIT_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 _HIT_NAMES = [x.split()[0] for x in _HIT.split(", ")]
 
 
@@ -113,6 +113,16 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_HIT_TYPES)], _HIT_NAMES)
 
 
+def _block_rows(gathered: _Gathered, own: np.ndarray, number: int, n_buckets: int) -> list[tuple]:
+    """A block's documents (kind 1) and its own places (2); they pass through a bucket, so that one exchange carries all."""
+    via = number % n_buckets
+    table = np.array(gathered.ids, "<i8").tobytes() + np.array(gathered.tags, "<i8").tobytes() + np.array(gathered.sizes, "<u4").tobytes()
+    return [
+        (1, via, number, None, len(gathered.ids), table),
+        (2, via, number, None, len(own), _planes(np.diff(np.r_[0, own]), 4)),
+    ]
+
+
 def _probe_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> DataFrame:
     """Per block of documents: its probes for every bucket (kind 0), its documents (1), its own hits (2)."""
 
@@ -139,11 +149,8 @@ def _probe_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> Da
                 send = np.sort(np.r_[chosen, ordered[np.repeat(~(several & anchored), sizes)]])
                 for b, e in _by_bucket(send, hashes, n_buckets):
                     gaps = np.diff(np.r_[0, e])
-                    rows.append((0, b, number, None, None, len(e), _planes(hashes[e], 5) + _planes(gaps, 4) + np.packbits(aligned[e]).tobytes()))
-                # a block's own rows pass through a bucket, so that one exchange carries all
-                via = number % n_buckets
-                rows.append((1, via, number, None, None, len(gathered.ids), np.array(gathered.ids, "<i8").tobytes() + np.array(gathered.tags, "<i8").tobytes() + np.array(gathered.sizes, "<u4").tobytes()))
-                rows.append((2, via, number, None, None, len(own), _planes(np.diff(np.r_[0, own]), 4)))
+                    rows.append((0, b, number, None, len(e), _planes(hashes[e], 5) + _planes(gaps, 4) + np.packbits(aligned[e]).tobytes()))
+                rows.extend(_block_rows(gathered, own, number, n_buckets))
             number += 1
             gathered.clear()
             return _table(rows)
@@ -164,6 +171,19 @@ def _probe_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> Da
     return texts.mapInArrow(run, _HIT)
 
 
+_MET = pa.schema([("part", pa.int64()), ("n", pa.int64()), ("packed", pa.binary()), ("kind", pa.int32())])
+
+
+def _chosen_rows(parts: list[int], places: list[np.ndarray], chosen: np.ndarray) -> pa.Table:
+    """The chosen places of each block of documents as one row (kind 2)."""
+    out = []
+    for part, place, keep in zip(parts, places, np.split(chosen, np.cumsum([len(p) for p in places])[:-1]), strict=True):
+        if keep.any():
+            at = place[keep]
+            out.append({"part": part, "n": len(at), "packed": _planes(np.diff(np.r_[0, at]), 4), "kind": 2})
+    return pa.Table.from_pylist(out, _MET)
+
+
 def _bucket_hits(rows: pa.Table) -> pa.Table:
     """Of each block's probes, those that meet an anchor at another place; other rows pass."""
     passing = rows.filter(pc.greater(rows.column("kind"), 0)).select(["part", "n", "packed", "kind"])
@@ -182,17 +202,11 @@ def _bucket_hits(rows: pa.Table) -> pa.Table:
     if len(order):
         anchored = np.maximum.reduceat(np.concatenate(aligned)[order], first)
         hit[order[np.repeat((count > 1) & anchored, count)]] = True
-    out = []
-    for part, place, found in zip(parts, places, np.split(hit, np.cumsum(sizes)[:-1]), strict=True):
-        if found.any():
-            at = place[found]
-            out.append((part, len(at), _planes(np.diff(np.r_[0, at]), 4)))
-    met = pa.table({"part": pa.array([o[0] for o in out], pa.int64()), "n": pa.array([o[1] for o in out], pa.int64()), "packed": pa.array([o[2] for o in out], pa.binary()), "kind": pa.array([2] * len(out), pa.int32())})
-    return pa.concat_tables([passing.cast(met.schema), met])
+    return pa.concat_tables([passing.cast(_MET), _chosen_rows(parts, places, hit)])
 
 
-def _document_hits(rows: pa.Table) -> pa.Table:
-    """A block's hits from all buckets, dealt to its documents."""
+def _document_places(rows: pa.Table) -> pa.Table:
+    """A block's places from all buckets, dealt to its documents."""
     out: list[tuple[int, int, bytes]] = []
     found: list[np.ndarray] = []
     gathered = _Gathered()
@@ -204,16 +218,19 @@ def _document_hits(rows: pa.Table) -> pa.Table:
         else:
             found.append(np.cumsum(_from_planes(raw, 4, n).astype(np.int64)))
     out.extend(_per_document(np.unique(np.concatenate(found)), gathered))
-    return pa.table({"doc_id": pa.array([o[0] for o in out], pa.int64()), "tag": pa.array([o[1] for o in out], pa.int64()), "hits": pa.array([o[2] for o in out], pa.binary())})
+    return pa.table({"doc_id": pa.array([o[0] for o in out], pa.int64()), "tag": pa.array([o[1] for o in out], pa.int64()), "places": pa.array([o[2] for o in out], pa.binary())})
 
 
 def _window_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> DataFrame:
-    """Windows around hits: repeats inside a block of documents (kind 3), and the earliest of each for the buckets (0)."""
+    """Per block of documents: its earliest place of each window around hits (kind 0), its documents (1), its own repeats (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered = _Gathered()
+        from pyspark import TaskContext
+
+        gathered, number = _Gathered(), TaskContext.get().partitionId() << 32
 
         def compared() -> pa.RecordBatch:
+            nonlocal number
             words, place, rest = gathered.arrays()
             hashes = hash_windows(words, window, salt=1)
             # a window qualifies if a hit starts at most (window - block) words after it
@@ -231,12 +248,15 @@ def _window_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> D
                 ordered = at[order]  # by hash, then document, then place
                 lead = np.repeat(ordered[first], sizes)
                 later = (ids[owner[ordered]] != ids[owner[lead]]) | (place[ordered] != place[lead])
-                for doc_id, tag, packed in _per_document(np.sort(ordered[later]), gathered):
-                    rows.append((3, doc_id % n_buckets, None, doc_id, tag, len(packed) // 4, packed))
                 for b, e in _by_bucket(np.sort(ordered[~later]), hashes, n_buckets):
                     docs, local = np.unique(owner[e], return_inverse=True)
-                    table = ids[docs].astype("<i8").tobytes() + np.array(gathered.tags, "<i8")[docs].tobytes() + np.bincount(local).astype("<u4").tobytes()
-                    rows.append((0, b, len(docs), None, None, len(e), table + _planes(hashes[e], 8) + _planes(place[e], 4)))
+                    stops = np.cumsum(np.bincount(local)).astype("<u4")
+                    starts = (e - place[e])[np.r_[0, stops[:-1]]]
+                    table = ids[docs].astype("<i8").tobytes() + starts.astype("<u4").tobytes() + stops.tobytes()
+                    rows.append((0, b, number, len(docs), len(e), table + _planes(hashes[e], 8) + _planes(np.diff(np.r_[0, e]), 4)))
+                own = np.sort(ordered[later])
+                rows.extend(_block_rows(gathered, own, number, n_buckets))
+            number += 1
             gathered.clear()
             return _table(rows)
 
@@ -257,32 +277,29 @@ def _window_rows(texts: DataFrame, n_buckets: int, window: int, block: int) -> D
 
 
 def _bucket_repeats(rows: pa.Table) -> pa.Table:
-    """Windows of which the same words start earlier in another entry; other rows pass."""
-    passing = rows.filter(pc.equal(rows.column("kind"), 3)).select(["doc_id", "tag", "packed"])
+    """Of each block's windows, those of which the same words start earlier in another document; other rows pass."""
+    passing = rows.filter(pc.greater(rows.column("kind"), 0)).select(["part", "n", "packed", "kind"])
     rows = rows.filter(pc.equal(rows.column("kind"), 0))
     if not rows.num_rows:
         return passing
-    ids, tags, hashes, places = [], [], [], []
-    for n_docs, n, blob in zip(rows.column("part").to_pylist(), rows.column("n").to_pylist(), rows.column("packed"), strict=True):
+    parts = rows.column("part").to_pylist()
+    ids, starts, hashes, at = [], [], [], []
+    for n_docs, n, blob in zip(rows.column("n_docs").to_pylist(), rows.column("n").to_pylist(), rows.column("packed"), strict=True):
         raw = blob.as_buffer().to_pybytes()
-        count = np.frombuffer(raw, "<u4", n_docs, 16 * n_docs)
+        count = np.diff(np.frombuffer(raw, "<u4", n_docs, 12 * n_docs), prepend=np.uint32(0))
         ids.append(np.repeat(np.frombuffer(raw, "<i8", n_docs), count))
-        tags.append(np.repeat(np.frombuffer(raw, "<i8", n_docs, 8 * n_docs), count))
-        hashes.append(_from_planes(raw[20 * n_docs :], 8, n))
-        places.append(_from_planes(raw[20 * n_docs + 8 * n :], 4, n).astype(np.int64))
-    ids, tags, hashes, places = (np.concatenate(x) for x in (ids, tags, hashes, places))
+        starts.append(np.repeat(np.frombuffer(raw, "<u4", n_docs, 8 * n_docs), count))
+        hashes.append(_from_planes(raw[16 * n_docs :], 8, n))
+        at.append(np.cumsum(_from_planes(raw[16 * n_docs + 8 * n :], 4, n).astype(np.int64)))
+    ids, hashes = np.concatenate(ids), np.concatenate(hashes)
+    places = np.concatenate(at) - np.concatenate(starts)
     order = np.lexsort((places, ids, hashes))
-    ids, tags, hashes, places = ids[order], tags[order], hashes[order], places[order]
-    first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
-    lead = np.repeat(first, np.diff(np.r_[first, len(hashes)]))
-    later = (ids != ids[lead]) | (places != places[lead])
-    ids, tags, places = ids[later], tags[later], places[later]
-    order = np.lexsort((places, tags, ids))
-    ids, tags, places = ids[order], tags[order], places[order].astype("<u4")
-    cut = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])]) if len(ids) else np.zeros(0, np.int64)
-    packed = [p.tobytes() for p in np.split(places, cut[1:])] if len(cut) else []
-    found = pa.table({"doc_id": pa.array(ids[cut], pa.int64()), "tag": pa.array(tags[cut], pa.int64()), "packed": pa.array(packed, pa.binary())})
-    return pa.concat_tables([passing.cast(found.schema), found])
+    ordered = hashes[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    lead = order[np.repeat(first, np.diff(np.r_[first, len(order)]))]
+    later = np.zeros(len(order), bool)
+    later[order] = (ids[order] != ids[lead]) | (places[order] != places[lead])
+    return pa.concat_tables([passing.cast(_MET), _chosen_rows(parts, at, later)])
 
 
 def _cleaned(texts: DataFrame, window: int) -> DataFrame:
@@ -325,14 +342,15 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -
     texts = docs.select(key.alias("doc_id"), F.xxhash64("text").alias("tag"), F.col("text").cast("string").alias("text"))
     words = int(docs.agg(F.sum(n_words(F.col("text")))).first()[0] or 0)
     n_buckets = parts_for(words, BUCKET_ENTRIES)
-    probes = _probe_rows(texts, n_buckets, window, block).select("bucket", "kind", "part", "n", "packed")
+    probes = _probe_rows(texts, n_buckets, window, block)
     met = probes.groupBy("bucket").applyInArrow(lambda t: _bucket_hits(t), "part long, n long, packed binary, kind int")
-    hits = met.groupBy("part").applyInArrow(lambda t: _document_hits(t), "doc_id long, tag long, hits binary")
-    hits = hits.groupBy("doc_id", "tag").agg(F.collect_list("hits").alias("hits"))
+    hits = met.groupBy("part").applyInArrow(lambda t: _document_places(t), "doc_id long, tag long, places binary")
+    hits = hits.groupBy("doc_id", "tag").agg(F.collect_list("places").alias("hits"))
     around = texts.join(hits.hint("merge"), ["doc_id", "tag"], "left").where("hits IS NOT NULL")
-    windows = _window_rows(around, n_buckets, window, block).select("bucket", "kind", "part", "doc_id", "tag", "n", "packed")
-    starts = windows.groupBy("bucket").applyInArrow(lambda t: _bucket_repeats(t), "doc_id long, tag long, packed binary")
-    starts = starts.groupBy("doc_id", "tag").agg(F.collect_list("packed").alias("starts"))
+    windows = _window_rows(around, n_buckets, window, block)
+    met = windows.groupBy("bucket").applyInArrow(lambda t: _bucket_repeats(t), "part long, n long, packed binary, kind int")
+    starts = met.groupBy("part").applyInArrow(lambda t: _document_places(t), "doc_id long, tag long, places binary")
+    starts = starts.groupBy("doc_id", "tag").agg(F.collect_list("places").alias("starts"))
     return texts, starts
 
 
