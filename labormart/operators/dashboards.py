@@ -66,15 +66,15 @@ def avg_salary(metrics: DataFrame, sem: Semantics = REFERENCE, by: list[str] | N
     by = by or []
     aggs = []
     for p, _ in EXPERIENCE_BANDS:
-        # exact decimal mean, rounded half up to cents, then DOUBLE
-        a = F.col(f"{p}_avg_salary").cast("decimal(28,12)")
+        # exact decimal sum, then one DOUBLE division, not rounded
+        a = F.col(f"{p}_avg_salary").cast("decimal(18,2)")
         if sem.weighted_dashboard_avg:
             w = F.col(f"{p}_cnt").cast("decimal(18,0)")
             has = a.isNotNull() & (w > 0)
-            mean = F.sum(F.when(has, a * w)) / F.sum(F.when(has, w))
+            total, n = F.sum(F.when(has, a * w)), F.sum(F.when(has, w))
         else:
-            mean = F.avg(a)
-        aggs.append(mean.cast("decimal(18,2)").cast("double").alias(f"{p}_avg_salary"))
+            total, n = F.sum(a), F.count(a)
+        aggs.append((total.cast("double") / F.nullif(n.cast("double"), F.lit(0.0))).alias(f"{p}_avg_salary"))
     return metrics.groupBy(*by).agg(*aggs)
 
 

@@ -126,14 +126,22 @@ def replace_slices(target: DataFrame, new_rows: DataFrame, slice_cols: list[str]
     return replace_partitions(target, new_rows, slice_cols)
 
 
-def replace_keyed(target: DataFrame, new_rows: DataFrame, keys: list[str], partition_cols: list[str]) -> DataFrame:
-    """Rows of the partitions ``new_rows`` touches, with every ``keys`` group it holds replaced.
+def replace_keyed(
+    target: DataFrame,
+    new_rows: DataFrame,
+    keys: list[str],
+    partition_cols: list[str],
+    replaced: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of the partitions ``replaced`` touches, with every ``keys`` group it holds replaced.
 
-    Target rows whose key group is absent from ``new_rows`` are kept; the
-    result is meant for a dynamic partition overwrite. The key match is a
-    shuffle anti join (the key set grows with the data), restricted to the
-    touched partitions.
+    ``replaced`` (default: ``new_rows``) names the groups that are loaded again,
+    also those that have no new rows. Other target rows are kept; the result is
+    meant for a dynamic partition overwrite. The key match is a shuffle anti
+    join (the key set grows with the data), restricted to the touched
+    partitions.
     """
-    inside, _ = _touched(target, new_rows, partition_cols)
-    keep = inside.join(new_rows.select(*keys).distinct(), keys, "left_anti")
+    replaced = new_rows if replaced is None else replaced
+    inside, _ = _touched(target, replaced, partition_cols)
+    keep = inside.join(replaced.select(*keys).distinct(), keys, "left_anti")
     return keep.unionByName(new_rows.select(*target.columns))

@@ -60,6 +60,7 @@ def vacancy_rows(staging: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
         local_timestamp(F.col("d.published_at")).alias("published_at"),
         F.col("query_dt").cast("date").alias("dt"),
         F.col("update_ts"),
+        F.col("d.key_skills").alias("key_skills"),
     )
 
 
@@ -110,8 +111,29 @@ def flatten_vacancies(
     staging: DataFrame, professions: DataFrame, cities: DataFrame, sem: Semantics = REFERENCE
 ) -> DataFrame:
     """Staged vacancy documents → one d_vacancies row per (vacancy_id, dt, profession)."""
+    return flatten_with_skills(staging, professions, cities, sem).drop("key_skills")
+
+
+def flatten_with_skills(
+    staging: DataFrame, professions: DataFrame, cities: DataFrame, sem: Semantics = REFERENCE
+) -> DataFrame:
+    """``flatten_vacancies`` plus the ``key_skills`` of the version that was kept.
+
+    The entries only travel where links are keyed; elsewhere every staged copy
+    counts (Q14), so versions that differ in nothing but skills stay one.
+    """
     rows = resolve_dimensions(vacancy_rows(staging, sem), professions, cities)
-    return dedup_versions(rows, VACANCY_KEY, VACANCY_VALUE_COLS, sem.on_duplicate)
+    if sem.keyed_bridge:
+        return dedup_versions(rows, VACANCY_KEY, [*VACANCY_VALUE_COLS, "key_skills"], sem.on_duplicate)
+    return dedup_versions(rows.drop("key_skills"), VACANCY_KEY, VACANCY_VALUE_COLS, sem.on_duplicate).withColumn(
+        "key_skills", F.lit(None)
+    )
+
+
+def kept_skill_entries(vacancies: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
+    """Skill entries of the kept versions; same columns as ``skill_entries``."""
+    rows = vacancies.select(*VACANCY_KEY, F.explode("key_skills").alias("s")).select(*VACANCY_KEY, F.col("s.name").alias("skill_name"))
+    return rows.where(F.col("skill_name").isNotNull()) if sem.drop_null_skills else rows
 
 
 def skill_entries(staging: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:

@@ -51,13 +51,21 @@ def get_metrics(
     date_from: str | _dt.date | None = None,
     date_to: str | _dt.date | None = None,
     as_of: _dt.date | None = None,
+    grain: str = "day",
 ) -> DataFrame:
     """Mart rows of one city and profession with ``date_from <= dt <= date_to``.
 
+    A mart with a ``grain`` column holds daily and weekly rows side by side; only
+    those of ``grain`` ("day" or "week") are read, so no vacancy counts twice.
+
     Dates default to the day before ``as_of`` (today when not given). On a
     ``dt``-partitioned table the range prunes partitions and the equalities
     reach the Parquet reader as pushed filters.
     """
+    if grain not in ("day", "week"):
+        raise ValueError("grain must be 'day' or 'week'")
+    if "grain" in metrics.columns:
+        metrics = metrics.where(F.col("grain") == grain)
     return _select(metrics, city, profession, date_from, date_to, as_of)
 
 

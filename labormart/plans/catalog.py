@@ -565,7 +565,7 @@ def _avg_cols_sql() -> str:
     from labormart.schemas import EXPERIENCE_BANDS
 
     return ",\n  ".join(
-        f"CAST({O.exact_avg_sql(f'{p}_avg_salary', 18, False)} AS DOUBLE) AS {p}_avg_salary" for p, _ in EXPERIENCE_BANDS
+        f"CAST(SUM(CAST({p}_avg_salary AS DECIMAL(18,2))) AS DOUBLE) / COUNT({p}_avg_salary) AS {p}_avg_salary" for p, _ in EXPERIENCE_BANDS
     )
 
 

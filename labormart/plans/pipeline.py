@@ -36,6 +36,19 @@ def _scope(df: DataFrame, col: str, day: Column | _dt.date | None) -> DataFrame:
     return df.where(F.col(col) == d)
 
 
+def _replace_days(tables, name: str, rows: DataFrame, days: DataFrame) -> None:
+    """Replace the partitions of ``days`` by ``rows``; a day without rows loses its partition.
+
+    ``days`` holds partition values only, so collecting the emptied ones is
+    bounded by the number of loaded days.
+    """
+    rows = tables.scratch(rows, name)
+    emptied = days.distinct().join(rows.select("dt").distinct(), "dt", "left_anti").collect()
+    tables.put(name, rows, "partitions")
+    for day in emptied:
+        tables.delete_partition(name, day["dt"])
+
+
 def load(
     tables,
     sem: Semantics = REFERENCE,
@@ -68,7 +81,10 @@ def load(
     professions = tables.get("d_query_profession")
 
     # Typed vacancies, upserted by (vacancy_id, dt, profession)
-    new_vac = parse.flatten_vacancies(parsed_scope, professions, cities, sem)
+    kept = parse.flatten_with_skills(parsed_scope, professions, cities, sem)
+    if sem.keyed_bridge:
+        kept = tables.scratch(kept, "kept_vacancies")
+    new_vac = kept.drop("key_skills")
     vac_rows = merge.upsert_partitions(
         tables.get("d_vacancies"), new_vac, VACANCY_KEY, ["dt"], on_duplicate=None
     )
@@ -82,13 +98,15 @@ def load(
     # Links of the scope's entries to stored vacancy rows. Every staged
     # name was inserted into d_skill just above, so the inner join on the skill
     # name (J5) keeps exactly the non-NULL names; link_skills applies that filter.
-    entries = parse.skill_entries(parsed_scope, sem)
+    # Keyed links come from the kept version of a vacancy, not from superseded ones.
+    entries = parse.kept_skill_entries(kept, sem) if sem.keyed_bridge else parse.skill_entries(parsed_scope, sem)
     links = bridge.link_skills(entries, tables.get("d_vacancies"), keyed=sem.keyed_bridge, small_entries=not full)
     if sem.replace_facts:
         # Q5 corrected: the links of every vacancy row this load re-staged are
-        # replaced; rows of the same days that the load did not touch (an
-        # earlier micro-batch of the day) are kept
-        tables.put("fct_skill_vacancy", merge.replace_keyed(tables.get("fct_skill_vacancy"), links, VACANCY_KEY, ["dt"]), "partitions")
+        # replaced, also if it has no skills any more; rows of the same days that
+        # the load did not touch (an earlier micro-batch of the day) are kept
+        stored = tables.get("fct_skill_vacancy")
+        _replace_days(tables, "fct_skill_vacancy", merge.replace_keyed(stored, links, VACANCY_KEY, ["dt"], new_vac), new_vac.select("dt"))
     else:
         tables.put("fct_skill_vacancy", links, "append")
 
@@ -125,11 +143,11 @@ def load(
     ranking = marts.skills_mart(links_scope, vac, cities, sem)
     if sem.replace_rank_slice:
         # Q6 corrected: the ranking is recomputed from the day's complete link
-        # set, so it replaces the day (vanished skills and slices disappear)
-        new_skills = ranking
+        # set, so it replaces the day (vanished skills, slices and days disappear)
+        _replace_days(tables, "dm_skills", ranking, new_vac.select("dt"))
     else:
         new_skills = merge.upsert_partitions(tables.get("dm_skills"), ranking, SKILL_KEY, ["dt"], on_duplicate=None)
-    tables.put("dm_skills", new_skills, "partitions")
+        tables.put("dm_skills", new_skills, "partitions")
 
     # SNK5/SNK6: consume staging
     if batch is not None:

@@ -8,7 +8,8 @@ from conftest import TS, D, rate_doc, staged, vacancy
 from pyspark.sql import functions as F
 
 from labormart import CORRECTED, REFERENCE
-from labormart.operators import merge
+from labormart.operators import merge, serve
+from labormart.operators.quality import audit
 from labormart.plans.pipeline import load, run_pipeline, stage
 from labormart.plans.tables import MemoryTables, ParquetTables
 from labormart.schemas import D_CITY, D_QUERY_PROFESSION, STG_EXCHANGE_RATES
@@ -294,6 +295,36 @@ def test_rerun_that_loses_a_skill(spark, sem, expected):
         assert {(r.skill_name, r.top) for r in t.get("dm_skills").collect()} == expected
 
 
+def test_corrected_counts_skills_of_the_kept_version_only(spark):
+    t = fresh(spark, CORRECTED)
+    docs = [(vacancy(1, skills=[s]), "Data engineer", MON, TS(2024, 6, 4, h)) for s, h in (("OLD", 1), ("NEW", 2))]
+    stage(t, staged(spark, docs), rates_for(spark, [MON]))
+    load(t, CORRECTED, MON)
+    assert [r.skill_name for r in t.get("fct_skill_vacancy").collect()] == ["NEW"]
+    assert [(r.skill_name, r.cnt) for r in t.get("dm_skills").collect()] == [("NEW", 1)]
+
+
+def test_corrected_clears_the_skills_of_a_vacancy_staged_without_any(spark, tmp_path):
+    for t in (fresh(spark, CORRECTED), fresh(spark, CORRECTED, str(tmp_path / "wh"))):
+        for skills, hour in ((["A"], 1), ([], 2)):
+            stage(t, staged(spark, [(vacancy(1, skills=skills), "Data engineer", MON, TS(2024, 6, 4, hour))]), rates_for(spark, [MON]))
+            load(t, CORRECTED, MON)
+        assert t.get("fct_skill_vacancy").count() == 0 and t.get("dm_skills").count() == 0
+
+
+def test_corrected_reads_one_grain(spark):
+    t = fresh(spark, CORRECTED)
+    for day in (None, MON):
+        stage(t, staged(spark, [(vacancy(1), "Data engineer", MON, TS(2024, 6, 4))]), rates_for(spark, [MON]))
+        load(t, CORRECTED, day)
+    mart = t.get("dm_metrics")
+    assert mart.count() == 2
+    city = mart.first().city_name
+    for grain in ("day", "week"):
+        assert [r.grain for r in serve.get_metrics(mart, city, "Data engineer", MON, MON, grain=grain).collect()] == [grain]
+    assert audit(t, ["dm_metrics"]).where("n_findings > 0").count() == 0
+
+
 @pytest.mark.parametrize("sem,null_in_dim", [(REFERENCE, True), (CORRECTED, False)])
 def test_null_skill_names(spark, sem, null_in_dim):
     t = fresh(spark, sem)
