@@ -4,7 +4,7 @@
 ``day=None`` is the full load (all staging, weekly metrics, staging
 truncated), a day is the incremental load (that day's staging, daily
 metrics, that day's staging deleted). Steps run in the source's order and
-the marts are written last. ``run_pipeline`` adds the day spine and the mode
+the marts are written last; everything is published together. ``run_pipeline`` adds the day spine and the mode
 choice.
 """
 
@@ -60,9 +60,19 @@ def load(
     ``batch`` = (staged vacancy rows, staged rate rows) runs the incremental
     load on rows that never went through the staging tables (a streaming
     micro-batch): they are the whole scope, metrics are at day grain, and
-    the staging tables are left alone.
+    the staging tables are left alone. All tables change together, at the
+    end; a load that fails changes none and can be run again.
     """
-    tables.commit()
+    with tables.transaction():
+        return _load(tables, sem, day, batch)
+
+
+def _load(
+    tables,
+    sem: Semantics,
+    day: Column | _dt.date | None,
+    batch: tuple[DataFrame, DataFrame] | None,
+) -> LoadReport:
     if batch is not None:
         stg_v, stg_r = batch
         scope_v, scope_r = stg_v, stg_r
@@ -194,14 +204,16 @@ def run_pipeline(
 
     ``as_of`` fixes "today" once for the whole run (Q9). ``vacancy_source``
     and ``rate_source`` are callables ``(spine DataFrame) -> staged rows``
-    that select the landed documents for the requested days.
+    that select the landed documents for the requested days. Staging and load
+    are published together.
     """
     as_of = as_of or _dt.date.today()
     dt = dt or (as_of - _dt.timedelta(days=1))
     mode, (start, end) = plan_days(dt, as_of)
     spine = day_spine(spark, start, end, "query_dt")
-    if vacancy_source is not None:
-        stage(tables, vacancy_docs=vacancy_source(spine))
-    if rate_source is not None:
-        stage(tables, rate_docs=rate_source(spine))
-    return load(tables, sem, None if mode == "full" else end)
+    with tables.transaction():
+        if vacancy_source is not None:
+            stage(tables, vacancy_docs=vacancy_source(spine))
+        if rate_source is not None:
+            stage(tables, rate_docs=rate_source(spine))
+        return load(tables, sem, None if mode == "full" else end)

@@ -3,18 +3,23 @@
 Three back ends with one interface — ``get(name)``, ``put(name, df, mode)``
 with modes ``overwrite`` (whole table), ``append`` and ``partitions``
 (replace only the ``dt``/``query_dt`` partitions present in ``df``),
-``truncate``, ``delete_partition``, ``scratch`` and ``commit``:
+``truncate``, ``delete_partition``, ``scratch`` and ``transaction`` (all
+writes inside appear at its end, or not at all):
 
 - ``MemoryTables``: DataFrames held by the session, each written version
   kept as files under the cluster's checkpoint folder (tests, queries);
-- ``ParquetTables``: one day-partitioned Parquet folder per table;
+- ``ParquetTables``: versioned, day-partitioned Parquet folders per table and
+  one published state for all tables;
 - ``CatalogTables``: catalog tables with the vacancy and link tables
-  bucketed by vacancy id (co-located joins).
+  bucketed by vacancy id (co-located joins); each write is published on its own.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,13 +58,13 @@ def table_schemas(sem: Semantics = REFERENCE) -> dict[str, T.StructType]:
     }
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the cluster's checkpoint folder and read it back.
+def materialize(spark: SparkSession, df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet under the cluster's checkpoint folder (or ``folder``) and read it back.
 
     One pass over the input (an eager RDD checkpoint computes it twice), the
     lineage ends at the files, and Catalyst sees the real file size.
     """
-    path = scratch_path(spark, f"labormart-stage/{name}-{uuid.uuid4().hex}")
+    path = f"{folder or scratch_path(spark, 'labormart-stage')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -110,6 +115,7 @@ class MemoryTables:
         self.spark = spark
         self.cut_lineage = cut_lineage
         self._versions: dict[str, int] = {}
+        self._batches: dict[str, int] = {}
         self.schemas = table_schemas(sem)
         self._t: dict[str, DataFrame] = {}
         for name, schema in self.schemas.items():
@@ -139,18 +145,21 @@ class MemoryTables:
                 new, self._versions[name] = materialize(self.spark, new, name), 0
         self._t[name] = new
 
-    def checkpoint(self, name: str) -> None:
-        """Cut the lineage of one table (reliable checkpoint in ``spark.checkpoint.dir``).
+    @contextmanager
+    def transaction(self) -> Iterator[None]:
+        """A failure inside puts every table back to what it was."""
+        before = dict(self._t), dict(self._versions), dict(self._batches)
+        try:
+            yield
+        except BaseException:
+            self._t, self._versions, self._batches = before
+            raise
 
-        With ``cut_lineage=False`` the plan stays whole: one job graph in which
-        Spark reuses identical exchanges (fine for short runs and tests).
-        """
-        if self.cut_lineage:
-            self._t[name] = materialize(self.spark, self._t[name], name)
+    def last_batch(self, stream: str) -> int:
+        return self._batches.get(stream, -1)
 
-    def commit(self) -> None:
-        """Every ``put`` is already materialized; nothing is pending."""
-        return None
+    def note_batch(self, stream: str, batch_id: int) -> None:
+        self._batches[stream] = batch_id
 
     def scratch(self, df: DataFrame, name: str) -> DataFrame:
         """An intermediate read by several steps: written once when cutting lineage."""
@@ -165,91 +174,158 @@ class MemoryTables:
 
 
 class ParquetTables:
-    """One Parquet folder per table under ``root`` (partitioned by its day column).
-
-    ``partitions`` uses dynamic partition overwrite, so only the days present
-    in the written rows are replaced. Rows that derive from the table they
-    replace are first written once to the cluster's checkpoint folder and
-    read back, which cuts the lineage and keeps the job safe when executors
-    are lost.
+    """Versioned Parquet folders under ``root`` (split by their day column), published together.
+
+    Every write goes to a folder of its own, ``<table>/load=<id>[/<day column>=<day>]``,
+    and changes no older file. The published state is the ``_published/<n>.json``
+    with the largest ``n``: it lists the folders that make up each table. A
+    ``transaction`` writes the next state once, at its end, so a load appears as
+    a whole or not at all, a failed one can simply be run again, and readers of
+    the state before are not disturbed. Rows are written once, clustered by
+    day (AQE splits large days and joins small ones). One writer at a time: the
+    second of two fails when it publishes. ``vacuum`` removes what no state needs.
     """
 
     def __init__(self, spark: SparkSession, root: str, sem: Semantics = REFERENCE):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = table_schemas(sem)
+        self._open: dict | None = None
+        self._staging: str | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _exists(self, name: str) -> bool:
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = p.getFileSystem(conf)
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(self.path(name) + "/_SUCCESS")) or (
-            fs.exists(p) and len(fs.listStatus(p)) > 0
-        )
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, path: str) -> list[str]:
+        p, fs = self._fs(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _remove(self, path: str) -> None:
+        p, fs = self._fs(path)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+    def _published(self) -> tuple[int, dict]:
+        """Number and content of the current state: folders per table, last batch per stream."""
+        numbers = [int(n[:-5]) for n in self._names(f"{self.root}/_published") if n.endswith(".json")]
+        if not numbers:
+            return 0, {"tables": {}, "batches": {}}
+        p, fs = self._fs(f"{self.root}/_published/{max(numbers)}.json")
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return max(numbers), json.loads(text)
+
+    def _publish(self, number: int, state: dict) -> None:
+        draft, fs = self._fs(f"{self.root}/_published/.{uuid.uuid4().hex}")
+        final, _ = self._fs(f"{self.root}/_published/{number}.json")
+        out = fs.create(draft, False)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        if fs.exists(final) or not fs.rename(draft, final):
+            raise RuntimeError(f"state {number} of {self.root} was published by another writer")
+
+    @contextmanager
+    def transaction(self) -> Iterator[dict]:
+        """All writes inside become visible to others at the end, or never; nested ones join the outer one."""
+        if self._open is not None:
+            yield self._open
+            return
+        number, self._open = self._published()
+        self._staging = scratch_path(self.spark, f"labormart-stage/{uuid.uuid4().hex}")
+        try:
+            yield self._open
+            self._publish(number + 1, self._open)
+        finally:
+            self._open = None
+            self._remove(self._staging)
+            self._staging = None
+
+    def _state(self) -> dict:
+        return self._open if self._open is not None else self._published()[1]
 
     def get(self, name: str) -> DataFrame:
         schema = self.schemas[name]
-        if not self._exists(name):
+        live = self._state()["tables"].get(name)
+        if not live:
             return empty_table(self.spark, schema)
-        return _conform(self.spark.read.schema(schema).parquet(self.path(name)), schema)
+        base = self.path(name)
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{x}" for x in live])
+        return _conform(rows, schema)
 
     def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
+        if mode not in ("overwrite", "append", "partitions"):
+            raise ValueError(f"unknown mode {mode!r}")
         df = _conform(df, self.schemas[name])
         part = PARTITION_COLUMN.get(name)
-        if mode in ("overwrite", "partitions"):
-            # the rows usually derive from the table they replace: stage them as
-            # a written table first so the overwrite no longer reads its target
-            df = materialize(self.spark, df, name)
-        writer = df.write.option("partitionOverwriteMode", "dynamic")
-        if part:
-            writer = writer.partitionBy(part)
-        if mode == "append":
-            writer.mode("append").parquet(self.path(name))
-        elif mode == "partitions":
-            writer.mode("overwrite").parquet(self.path(name))
-        elif mode == "overwrite":
-            df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-                *([part] if part else [])
-            ).parquet(self.path(name))
-        else:
-            raise ValueError(f"unknown mode {mode!r}")
-
-    def checkpoint(self, name: str) -> None:  # tables on disk already have short lineage
-        return None
-
-    def commit(self) -> None:  # every put is already written
-        return None
+        with self.transaction() as state:
+            folder = f"load=v{uuid.uuid4().hex}"
+            target = f"{self.path(name)}/{folder}"
+            if part:
+                df.hint("rebalance", part).write.partitionBy(part).parquet(target)
+                new = [f"{folder}/{day}" for day in self._names(target) if "=" in day]
+            else:
+                df.write.parquet(target)
+                new = [folder]
+            old = state["tables"].get(name, [])
+            if mode == "overwrite":
+                old = []
+            elif mode == "partitions":
+                days = {x.rsplit("/", 1)[-1] for x in new}
+                old = [x for x in old if x.rsplit("/", 1)[-1] not in days]
+            state["tables"][name] = old + new
 
     def scratch(self, df: DataFrame, name: str) -> DataFrame:
-        """An intermediate read by several steps, written once to the checkpoint folder."""
-        return materialize(self.spark, df, name)
+        """An intermediate read by several steps, written once; it goes when its transaction ends."""
+        return materialize(self.spark, df, name, self._staging)
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.root)
-        return jvm, p.getFileSystem(conf)
+    def last_batch(self, stream: str) -> int:
+        return self._state()["batches"].get(stream, -1)
+
+    def note_batch(self, stream: str, batch_id: int) -> None:
+        with self.transaction() as state:
+            state["batches"][stream] = batch_id
 
     def truncate(self, name: str) -> None:
-        """SNK6: remove every partition of the table (the folder stays, empty)."""
-        jvm, fs = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        if fs.exists(p):
-            for st in fs.listStatus(p):
-                fs.delete(st.getPath(), True)
+        """SNK6: the table has no rows any more."""
+        with self.transaction() as state:
+            state["tables"].pop(name, None)
 
     def delete_partition(self, name: str, day) -> None:
-        """SNK5: drop one day's partition folder (no rewrite of other days)."""
+        """SNK5: drop one day (no rewrite of other days)."""
         if isinstance(day, Column):
             raise TypeError("ParquetTables.delete_partition needs a date value")
-        jvm, fs = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{PARTITION_COLUMN[name]}={as_date(day).isoformat()}")
-        if fs.exists(p):
-            fs.delete(p, True)
+        gone = f"{PARTITION_COLUMN[name]}={as_date(day).isoformat()}"
+        with self.transaction() as state:
+            state["tables"][name] = [x for x in state["tables"].get(name, []) if x.rsplit("/", 1)[-1] != gone]
+
+    def vacuum(self) -> None:
+        """Remove the folders that the published state does not name, and the states before it.
+
+        To be run while nobody writes or reads an older state.
+        """
+        number, state = self._published()
+        for name in self.schemas:
+            live = set(state["tables"].get(name, []))
+            for folder in self._names(self.path(name)):
+                inner = [f"{folder}/{d}" for d in self._names(f"{self.path(name)}/{folder}") if "=" in d]
+                if folder in live:
+                    continue
+                for x in inner:
+                    if x not in live:
+                        self._remove(f"{self.path(name)}/{x}")
+                if not live.intersection(inner):
+                    self._remove(f"{self.path(name)}/{folder}")
+        for n in self._names(f"{self.root}/_published"):
+            if n != f"{number}.json":
+                self._remove(f"{self.root}/_published/{n}")
 
 
 # tables bucketed by the vacancy id, so the link ↔ vacancy joins are co-located
@@ -320,10 +396,15 @@ class CatalogTables:
         finally:
             self.spark.conf.set(key, before)
 
-    def checkpoint(self, name: str) -> None:
-        return None
+    @contextmanager
+    def transaction(self) -> Iterator[None]:
+        """No more than a block: a catalog publishes each write at once, and knows no batches."""
+        yield
+
+    def last_batch(self, stream: str) -> int:
+        return -1
 
-    def commit(self) -> None:
+    def note_batch(self, stream: str, batch_id: int) -> None:
         return None
 
     def scratch(self, df: DataFrame, name: str) -> DataFrame:

@@ -334,3 +334,59 @@ def test_null_skill_names(spark, sem, null_in_dim):
     names = [r.name for r in t.get("d_skill").collect()]
     assert (None in names) == null_in_dim and "SQL" in names
     assert [r.skill_name for r in t.get("fct_skill_vacancy").collect()] == ["SQL"]  # a NULL name never links
+
+
+@pytest.mark.parametrize("broken,parquet", [("dm_metrics", False), ("fct_exchange_rates", True), ("dm_skills", True)])
+def test_a_failed_load_changes_nothing_and_can_be_run_again(spark, tmp_path, monkeypatch, broken, parquet):
+    def ready(root):
+        t = fresh(spark, REFERENCE, root)
+        stage(t, staged(spark, [(vacancy(1, skills=["SQL"]), "Data engineer", MON, TS(2024, 6, 4))]), rates_for(spark, [MON]))
+        return t
+
+    clean = ready(None)
+    load(clean, REFERENCE, MON)
+    t = ready(str(tmp_path / "wh") if parquet else None)
+    before = {name: sorted(map(tuple, t.get(name).collect())) for name in t.schemas}
+    real = t.put
+
+    def put(name, df, mode="overwrite"):
+        if name == broken:
+            raise RuntimeError("executor lost")
+        real(name, df, mode)
+
+    with monkeypatch.context() as m:
+        m.setattr(t, "put", put)
+        with pytest.raises(RuntimeError, match="executor lost"):
+            load(t, REFERENCE, MON)
+    assert {name: sorted(map(tuple, t.get(name).collect())) for name in t.schemas} == before
+    load(t, REFERENCE, MON)
+    want = {name: sorted(map(tuple, clean.get(name).collect())) for name in t.schemas}
+    assert {name: sorted(map(tuple, t.get(name).collect())) for name in t.schemas} == want
+    assert want["fct_skill_vacancy"] and want["dm_skills"][0][3:] and not want["stg_vacancies"]
+    if parquet:
+        t.vacuum()
+        assert {name: sorted(map(tuple, t.get(name).collect())) for name in t.schemas} == want
+        folders = {p.name for p in (tmp_path / "wh" / "fct_skill_vacancy").iterdir()}
+        assert len(folders) == 1 and len(list((tmp_path / "wh" / "_published").glob("*.json"))) == 1
+
+
+def test_a_batch_that_comes_again_is_loaded_once(spark, tmp_path):
+    from labormart.streaming.ingest import batch_loader
+
+    t = fresh(spark, REFERENCE, str(tmp_path / "wh"))
+    rates = rates_for(spark, [MON]).select("obj", F.col("query_dt").alias("doc_day"), "update_ts")
+    process = batch_loader(t, lambda: rates, REFERENCE, "landing")
+    batch = staged(spark, [(vacancy(1, skills=["SQL"]), "Data engineer", MON, TS(2024, 6, 4))])
+    for _ in range(2):
+        process(batch, 0)
+    assert t.get("fct_skill_vacancy").count() == 1 and t.get("fct_exchange_rates").count() == 1
+    assert [r.cnt for r in t.get("dm_skills").collect()] == [1]
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    a, b = (fresh(spark, REFERENCE, str(tmp_path / "wh")) for _ in range(2))
+    cities = a.get("d_city")
+    with pytest.raises(RuntimeError, match="another writer"), a.transaction():
+        a.put("d_city", cities.where("id = 1"))
+        b.put("d_city", cities.where("id = 2"))
+    assert [r.id for r in a.get("d_city").collect()] == [2]
