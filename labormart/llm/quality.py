@@ -2,8 +2,9 @@
 
 Every line is normalised and hashed. A line that stands in many different
 documents of one host is boilerplate: it is taken out, and a document that
-loses most of its words that way is rejected. Copies count as one document,
-by a sketch of their words, and long lines are left to deduplication.
+loses most of its words that way is rejected. Documents are told apart by a
+hash of all their words in order, so copies count as one; long lines are left
+to deduplication.
 """
 
 from __future__ import annotations
@@ -70,10 +71,10 @@ def normal_line(line: Column) -> Column:
 
 
 def base_columns(docs: DataFrame) -> DataFrame:
-    """Per row the base measures, its lines as hash and words, and a sketch of its words."""
+    """Per row the base measures, its lines as hash and words, and a hash of all its words."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = let(F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(_SPACES)) != ""), lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), F.transform(x, lambda line: F.struct(F.xxhash64(normal_line(line)).alias("hash"), F.size(words_of(line)).alias("words"))).alias("lines")))
-    of_words = let(words_of(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).alias("n_repeat_words"), F.array_min(F.transform(w, lambda x: F.xxhash64(x))).alias("sketch")))
+    of_words = let(words_of(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).alias("n_repeat_words"), F.xxhash64(w).alias("content")))
     out = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("host"),
@@ -83,19 +84,20 @@ def base_columns(docs: DataFrame) -> DataFrame:
         of_words.alias("of_words"),
         F.xxhash64("text").alias("tag"),
     )
-    return out.select("doc_id", "tag", "host", "word_chars", "n_symbols", "of_lines.n_dup_lines", "of_lines.lines", "of_words.n_words", "of_words.n_repeat_words", "of_words.sketch")
+    return out.select("doc_id", "tag", "host", "word_chars", "n_symbols", "of_lines.n_dup_lines", "of_lines.lines", "of_words.n_words", "of_words.n_repeat_words", "of_words.content")
 
 
 def line_limits(base: DataFrame) -> DataFrame:
     """``(host, hash)`` of the lines above the limits.
 
-    A document offers each line once; documents are told apart by their sketch,
-    so a group of copies counts little more than one. Both counts are partial
-    sums first, so a line that a third of all rows holds is no hot key.
+    A document offers each line once; documents are told apart by the hash of
+    all their words, here and in the host's own count, so a group of copies
+    counts as one. Both counts are partial sums first, so a line that a
+    third of all rows holds is no hot key.
     """
-    hosts = base.groupBy("host").agg(F.count("*").alias("docs"))
+    hosts = base.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     short = F.array_distinct(F.transform(F.filter("lines", lambda x: x["words"] <= LINE_WORDS), lambda x: x["hash"]))
-    offers = base.select("host", "sketch", F.explode(short).alias("hash")).distinct()
+    offers = base.select("host", "content", F.explode(short).alias("hash")).distinct()
     counts = offers.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") > LINE_DOCS)
     return counts.join(hosts, counts["host"].eqNullSafe(hosts["host"])).where(F.col("n") > F.col("docs") * LINE_SHARE).select(counts["host"], "hash")
 

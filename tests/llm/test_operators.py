@@ -158,6 +158,24 @@ def test_quality_lines(llm, empty):
     assert quality.filtered(empty).count() == 0 and quality.filtered(empty).columns == empty.columns
 
 
+def test_quality_counts_documents_by_their_whole_text(llm):
+    """Documents of a common vocabulary share their smallest word hash; copies of one document are one."""
+    footer = "all rights reserved by the owners of this site " * 3
+    common = [f"term{i}" for i in range(40)]
+    rng = np.random.default_rng(5)
+    text = lambda: " ".join(rng.permutation(common * 2))
+    rows = [(d, f"{text()}\n{footer}", "h") for d in range(60)]  # the footer in 60 different documents of the host
+    rows += [(1000 + d, f"short {d}\n" + f"{footer}\n" * 4 + " ".join(common), "h") for d in range(30)]  # mostly footer
+    rows += [(2000 + d, f"{text()}", "large") for d in range(3000)] + [(6000 + d, f"{text()}\n{footer}", "large") for d in range(40)]
+    copied = " ".join(f"copied{i}" for i in range(30)) + "\n" + " ".join(f"again{i}" for i in range(30))
+    rows += [(7000 + d, copied, "copies") for d in range(100)]
+    df = llm.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.text for r in quality.filtered(df).collect()}
+    assert all("rights" not in kept[d] for d in range(60)) and not any(1000 <= d < 1030 for d in kept)
+    assert all("rights" not in kept[6000 + d] for d in range(40))  # 40 of 3,040 documents are above 1 %
+    assert all(kept[7000 + d] == copied for d in range(100))
+
+
 def test_mixing(docs, odd, empty):
     rows = mixing.mix_sources(docs).collect()
     by = collections.defaultdict(lambda: [0, 0.0])
