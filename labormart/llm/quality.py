@@ -3,8 +3,8 @@
 Every line is normalised and hashed. A line that stands in many different
 documents of one host is boilerplate: it is taken out, and a document that
 loses most of its words that way is rejected. Documents are told apart by a
-hash of all their words in order, so copies count as one; long lines are left
-to deduplication.
+hash of all their words in order, so copies count as one. Lines of every
+length are judged alike.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ MAX_REPEAT_PERCENT = 50
 #: A host's line goes if more different documents hold it than both of these.
 LINE_DOCS = 25
 LINE_SHARE = 0.01
-#: Longer lines, in words, are passages and not boilerplate.
-LINE_WORDS = 40
 #: A document is depleted if less than this share of its words is left.
 LEFT_SHARE = 0.5
 #: Parts over which a line's documents are dealt.
@@ -96,8 +94,8 @@ def line_limits(base: DataFrame) -> DataFrame:
     third of all rows holds is no hot key.
     """
     hosts = base.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("docs"))
-    short = F.array_distinct(F.transform(F.filter("lines", lambda x: x["words"] <= LINE_WORDS), lambda x: x["hash"]))
-    offers = base.select("host", "content", F.explode(short).alias("hash")).distinct()
+    offered = F.array_distinct(F.transform("lines", lambda x: x["hash"]))
+    offers = base.select("host", "content", F.explode(offered).alias("hash")).distinct()
     counts = offers.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") > LINE_DOCS)
     return counts.join(hosts, counts["host"].eqNullSafe(hosts["host"])).where(F.col("n") > F.col("docs") * LINE_SHARE).select(counts["host"], "hash")
 
@@ -114,7 +112,7 @@ def judged(docs: DataFrame) -> DataFrame:
     limits = settle(line_limits(base), "limits")
     salt = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(SALTS).cast("long"))
     spread = limits.select(F.coalesce("host", F.lit("")).alias("host_"), F.col("host").isNull().alias("none"), "hash", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    lines = base.select("doc_id", "tag", F.coalesce("host", F.lit("")).alias("host_"), F.col("host").isNull().alias("none"), salt.alias("salt"), F.explode("lines").alias("line")).where(F.col("line.words") <= LINE_WORDS)
+    lines = base.select("doc_id", "tag", F.coalesce("host", F.lit("")).alias("host_"), F.col("host").isNull().alias("none"), salt.alias("salt"), F.explode("lines").alias("line"))
     lines = lines.select("*", F.col("line.hash").alias("hash")).join(spread, ["host_", "none", "salt", "hash"])
     lost = lines.groupBy(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("key"), "tag").agg(F.sum("line.words").alias("lost"), F.collect_set("hash").alias("removed"), F.count("*").alias("n_lost"))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
@@ -136,7 +134,7 @@ def filtered(docs: DataFrame) -> DataFrame:
     verdicts = judged(docs).where("kept").select(F.col("key").alias("_rule_key"), F.col("tag").alias("_rule_tag"), F.col("removed").alias("_rule_lines")).dropDuplicates(["_rule_key", "_rule_tag"])
     marked = docs.withColumn("_rule_key", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("_rule_tag", F.xxhash64("text"))
     kept = marked.join(verdicts.hint("merge"), ["_rule_key", "_rule_tag"])
-    gone = lambda x: F.array_contains("_rule_lines", F.xxhash64(normal_line(x))) & (F.size(words_of(x)) <= LINE_WORDS) & (F.btrim(x, F.lit(_SPACES)) != "")
+    gone = lambda x: F.array_contains("_rule_lines", F.xxhash64(normal_line(x))) & (F.btrim(x, F.lit(_SPACES)) != "")
     left = F.filter(F.split("text", "\n"), lambda x: ~gone(x))
     kept = kept.withColumn("text", F.when(F.size("_rule_lines") == 0, F.col("text")).otherwise(F.array_join(left, "\n")))
     if "n_chars" in docs.columns:

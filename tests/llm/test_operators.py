@@ -176,6 +176,18 @@ def test_quality_counts_documents_by_their_whole_text(llm):
     assert all(kept[7000 + d] == copied for d in range(100))
 
 
+def test_quality_judges_long_lines(llm):
+    """A notice of 60 words goes like a short one, and documents made mostly of it are rejected."""
+    spelled = lambda i: chr(97 + i % 26) + chr(97 + i // 26)
+    notice = " ".join(f"notice{spelled(i)}" for i in range(60))
+    rows = [(d, " ".join(f"w{spelled(d)}x{spelled(i)}" for i in range(80)) + f"\n{notice}", "h") for d in range(40)]
+    rows += [(100 + d, f"{notice}\nonly these {d} words are its own", "h") for d in range(5)]
+    df = llm.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.text for r in quality.filtered(df).collect()}
+    assert sorted(kept) == list(range(40)) and not any("notice" in t for t in kept.values())
+    assert {r.n_left for r in quality.judged(df).where("doc_id < 100").collect()} == {80}
+
+
 def test_mixing(docs, odd, empty):
     rows = mixing.mix_sources(docs).collect()
     by = collections.defaultdict(lambda: [0, 0.0])
