@@ -22,7 +22,7 @@ _LEFT = r"(?<![A-Za-z0-9._%+-])"
 EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]*[=:][ \t]*[\"']?[A-Za-z0-9+/_.-]{6,}"
 ACCESS_KEY = r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
-DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])(?!\.[0-9])"
+DATE = r"(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9])(?!\.[0-9])"
 IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = r"(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
@@ -35,7 +35,8 @@ FOUND = "|".join([_LEFT + EMAIL, r"(?<![A-Za-z])" + SECRET, _EDGE + ACCESS_KEY,
 #: Dates of this span are permuted among themselves: 400 years of 146,097 = 189 x 773 days.
 FIRST_DATE = "1800-01-01"
 DAY_HALVES = (189, 773)
-_DATE_FORMS = {r"^[0-9]{4}-": "yyyy-MM-dd", r"^[0-9]{4}/": "yyyy/MM/dd", r"^[0-9]{2}\.": "dd.MM.yyyy", r"^[0-9]{2}/": "dd/MM/yyyy"}
+#: The days after the 12th among them: 400 years of 88,497 = 9 x 9,833 days.
+LATE_HALVES = (9, 9833)
 
 
 def _number(value: Column) -> Column:
@@ -163,25 +164,47 @@ def _ssn(value: Column, key: str) -> Column:
     return let(_digits(value), moved)
 
 
-def _date(value: Column, key: str) -> Column:
-    """Another day, written in the same form; days outside the 400 years stay."""
+def _late_rank(day: Column) -> Column:
+    """Place of a day after the 12th of its month among all such days from ``FIRST_DATE`` on."""
+    return F.datediff(day, F.to_date(F.lit(FIRST_DATE))) - 12 * (_month(day) + 1)
+
+
+def _late_day(rank: Column) -> Column:
+    """The day at a place of ``_late_rank``; the mean month has 88,497 / 4,800 such days."""
+    around = F.floor(rank * 4800 / 88_497)
+    fits = F.filter(F.transform(F.sequence(around - 2, around + 2), lambda m: F.struct(m.alias("m"), F.date_add(F.to_date(F.lit(FIRST_DATE)), (rank + 12 * (m + 1)).cast("int")).alias("day"))), lambda x: (_month(x["day"]) == x["m"]) & (F.day(x["day"]) > 12))
+    return F.get(fits, F.lit(0))["day"]
+
 
-    def spelled(form: str) -> Column:
-        day = F.try_to_date(value, form)
-        since = F.datediff(day, F.to_date(F.lit(FIRST_DATE)))
+def _month(day: Column) -> Column:
+    return (F.year(day) - int(FIRST_DATE[:4])) * 12 + F.month(day) - 1
 
-        def moved(n: Column) -> Column:
-            a, b = DAY_HALVES
-            at = lambda m: F.date_format(F.date_add(F.to_date(F.lit(FIRST_DATE)), (m["l"] * b + m["r"]).cast("int")), form)
-            return F.when(n.between(0, a * b - 1), let(feistel(F.floor(n / b), n % b, F.lit(a), F.lit(b), key, "date"), at))
 
-        return let(since, moved)
+def _date(value: Column, key: str) -> Column:
+    """Another day, written in the same form; days outside the 400 years stay.
+
+    A slash date is day-first where that is a date, and month-first otherwise.
+    The latter have a day after the 12th and move among such days, so that the
+    two never meet. Parts of one digit are written without a leading zero.
+    """
 
-    out = None
-    for start, form in _DATE_FORMS.items():
-        hit = value.rlike(start)
-        out = F.when(hit, spelled(form)) if out is None else out.when(hit, spelled(form))
-    return out
+    def among(n: Column, halves: tuple[int, int], kind: str, at) -> Column:
+        a, b = halves
+        return F.when(n.between(0, a * b - 1), let(feistel(F.floor(n / b), n % b, F.lit(a), F.lit(b), key, kind), lambda m: at(m["l"] * b + m["r"])))
+
+    def written(p: Column) -> Column:
+        one, two, three = (F.get(p, F.lit(i)) for i in range(3))
+        mark = F.substr(value, F.length(one) + 1, F.lit(1))
+        day = lambda y, m, d: F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
+        part = lambda x, like: F.when(F.length(like) == 2, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
+        moved = lambda x: let(F.datediff(x, F.to_date(F.lit(FIRST_DATE))), lambda n: among(n, DAY_HALVES, "date", lambda i: F.date_add(F.to_date(F.lit(FIRST_DATE)), i.cast("int"))))
+        late = lambda x: let(_late_rank(x), lambda n: among(n, LATE_HALVES, "date-month-first", _late_day))
+        year_first = let(moved(day(one, two, three)), lambda x: F.concat(F.year(x).cast("string"), mark, part(F.month(x), two), mark, part(F.day(x), three)))
+        day_first = let(moved(day(three, two, one)), lambda x: F.concat(part(F.day(x), one), mark, part(F.month(x), two), mark, F.year(x).cast("string")))
+        month_first = let(late(day(three, one, two)), lambda x: F.concat(part(F.month(x), one), mark, part(F.day(x), two), mark, F.year(x).cast("string")))
+        return F.when(F.length(one) == 4, year_first).when((mark == "/") & day(three, two, one).isNull(), month_first).otherwise(day_first)
+
+    return let(F.split(value, "[-/.]"), written)
 
 
 def _email(value: Column, key: str) -> Column:

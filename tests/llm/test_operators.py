@@ -248,6 +248,24 @@ def test_pseudonyms(llm, odd, empty):
     assert privacy.pseudonymised(odd).exceptAll(odd).count() == 0 and privacy.pseudonymised(empty).count() == 0
 
 
+def test_dates_with_the_month_first_and_parts_of_one_digit(llm):
+    rows = [(1, "born 12/25/1984, 12/25/1984"), (2, "born 3/4/1984 or 4.3.1984 or 1984-4-3 or 1984/4/3 or 03/04/1984"), (3, "not 31/31/1984, 2/30/1984, 30.2.1984, 1/2/19845"), (4, "on 1/31/2001")]
+    out = {r.doc_id: r for r in privacy.pseudonymised(llm.createDataFrame(rows, "doc_id long, text string"), counts=True).collect()}
+    month, day, year, same = re.fullmatch(r"born (\d\d)/(\d\d)/(\d{4}), (.*)", out[1].text).groups()
+    assert same == f"{month}/{day}/{year}" != "12/25/1984" and int(month) <= 12 < int(day) and out[1].n_date == 2
+    a, b, c, d, e = re.fullmatch(r"born ([\d/]+) or ([\d.]+) or ([\d-]+) or ([\d/]+) or (\d\d/\d\d/\d{4})", out[2].text).groups()
+    dates = [tuple(map(int, re.split("[/.-]", x))) for x in (a, b, c, d, e)]
+    assert dates[0] == dates[2][::-1] == dates[3][::-1] == dates[4] and dates[0] != (3, 4, 1984) and dates[1] != (4, 3, 1984) and out[2].n_date == 5
+    assert a == "/".join(map(str, dates[0])) and c == "-".join(map(str, dates[2]))
+    assert out[3].text == rows[2][1] and out[3].n_date == 0 and out[4].n_date == 1 and "1/31/2001" not in out[4].text
+
+
+def test_month_first_dates_are_one_to_one(llm):
+    days = llm.range(189 * 773).select(F.expr("date_add(DATE'1800-01-01', CAST(id AS INT))").alias("d")).where("day(d) > 12").select(F.date_format("d", "MM/dd/yyyy").alias("v"))
+    moved = days.select(privacy._date(F.col("v"), "k").alias("v"))
+    assert days.count() == moved.distinct().count() == 9 * 9833 and moved.exceptAll(days).count() == 0
+
+
 def test_permutations_are_one_to_one(llm):
     moved = privacy.feistel(F.floor(F.col("id") / 773), F.col("id") % 773, F.lit(189), F.lit(773), "k", "date")
     df = llm.range(189 * 773).select(moved.alias("m")).select("m.l", "m.r")
