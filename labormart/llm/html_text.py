@@ -19,7 +19,14 @@ from pyspark.sql import functions as F
 # Elements by what the standard says of them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas svg math select datalist textarea input".split())
+UNSEEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas datalist input annotation annotation-xml mphantom".split())
+#: Of a drawing, the text elements show, and none of these.
+UNDRAWN = frozenset("defs symbol clippath mask pattern marker metadata desc title script style".split())
+#: The operands of these elements of a formula stand apart.
+FORMULA_PARTS = frozenset("mfrac mroot msub msup msubsup munder mover munderover mmultiscripts mtable mtr mlabeledtr".split())
+#: Tags that end an open drawing or formula, as far up as a place that holds HTML.
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+HTML_INSIDE = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table ul caption".split()
@@ -38,6 +45,7 @@ IMPLIED_END: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "tbody": (frozenset("thead tbody tfoot tr td th caption colgroup".split()), frozenset(["table"])),
     "tfoot": (frozenset("thead tbody tfoot tr td th caption colgroup".split()), frozenset(["table"])),
     "option": (frozenset(["option"]), frozenset(["select", "datalist"])),
+    "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select", "datalist"])),
     "rt": (frozenset(["rt", "rp"]), frozenset(["ruby"])),
     "rp": (frozenset(["rt", "rp"]), frozenset(["ruby"])),
 }
@@ -69,6 +77,7 @@ def build_tree(source: str) -> Node:
     root = Node("#root")
     stack = [root]
     at = 0
+    foreign = False
 
     def close(names: frozenset[str], boundary: frozenset[str]) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -99,6 +108,9 @@ def build_tree(source: str) -> Node:
                         continue
                     break
             continue
+        if foreign and name in BREAKOUT:
+            close(frozenset(["svg", "math"]), HTML_INSIDE)
+        foreign = foreign or name in ("svg", "math")
         if name in CLOSES_P:
             close(frozenset(["p"]), SCOPE | {"button", "li", "dd", "dt"})
         if name in IMPLIED_END:
@@ -111,7 +123,8 @@ def build_tree(source: str) -> Node:
             continue
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
-            node.children.append(source[at : stop.start() if stop else len(source)])
+            body = source[at : stop.start() if stop else len(source)]
+            node.children.append(html.unescape(body) if name == "textarea" else body)
             at = stop.end() if stop else len(source)
             continue
         stack.append(node)
@@ -120,15 +133,53 @@ def build_tree(source: str) -> Node:
     return root
 
 
-def is_hidden(node: Node) -> bool:
-    if node.tag in UNSEEN:
+def is_hidden(node: Node, drawn: bool = False) -> bool:
+    if node.tag in UNSEEN or drawn and node.tag in UNDRAWN:
         return True
     if not node.attributes or "hid" not in node.attributes.lower() and "none" not in node.attributes.lower() and "collapse" not in node.attributes.lower():
         return False
     a = attributes_of(node.attributes)
+    if drawn and (a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse")):
+        return True
     return "hidden" in a and a["hidden"].lower() != "until-found" or a.get("aria-hidden", "").lower() == "true" or bool(_HIDING.search(a.get("style", "")))
 
 
+def _text_of(node: Node) -> str:
+    out, rest = [], [node]
+    while rest:
+        x = rest.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            rest += [c for c in reversed(x.children) if isinstance(c, str) or not is_hidden(c)]
+    return _SPACES.sub(" ", "".join(out)).strip()
+
+
+def shown_options(select: Node) -> list[str]:
+    """What a choice shows: a list all its options, with their groups' labels, else the selected one."""
+    a = attributes_of(select.attributes)
+    listed = "multiple" in a or a.get("size", "").isdigit() and int(a["size"]) > 1
+    # (label, may be chosen, is selected)
+    found: list[tuple[str, bool, bool]] = []
+    rest = [(c, False) for c in reversed(select.children)]
+    while rest:
+        x, disabled = rest.pop()
+        if isinstance(x, str) or is_hidden(x):
+            continue
+        b = attributes_of(x.attributes)
+        off = disabled or "disabled" in b
+        if x.tag == "option":
+            found.append((b.get("label") or _text_of(x), not off, "selected" in b))
+            continue
+        if x.tag == "optgroup" and listed and b.get("label"):
+            found.append((b["label"], False, False))
+        rest += [(c, off) for c in reversed(x.children)]
+    if listed:
+        return [label for label, _, _ in found if label]
+    chosen = [f for f in found if f[2]][-1:] or [f for f in found if f[1]][:1]
+    return [label for label, _, _ in chosen if label]
+
+
 class _Writer:
     """Lines of text; collapses white space and holds back blank lines until text follows."""
 
@@ -201,6 +252,8 @@ def render(source: str) -> tuple[str, int, int]:
     writers, tables, lists, marks = [out], [], [], []
     items = shown = 0
     pre = 0
+    # for each frame: inside a drawing, inside a text of it, or neither
+    places = [""]
     # a frame is a node with an iterator over its children; no recursion, so depth costs no call stack
     frames: list[tuple[Node, Iterator[Node | str]]] = [(tree := build_tree(source), iter(tree.children))]
     while frames:
@@ -208,12 +261,19 @@ def render(source: str) -> tuple[str, int, int]:
         child = next(children, None)
         out = writers[-1]
         if isinstance(child, str):
-            if not (node.tag in ("table", "tr", "thead", "tbody", "tfoot", "colgroup") and not child.strip()):
+            if node.tag == "textarea":
+                out.text(child.removeprefix("\r").removeprefix("\n"), keep=True)
+            elif places[-1] != "drawing" and not (node.tag in ("table", "tr", "thead", "tbody", "tfoot", "colgroup") and not child.strip()):
                 out.text(child, keep=pre > 0)
             continue
         if child is None:
             frames.pop()
+            place = places.pop()
             tag = node.tag
+            if tag == "textarea":
+                out.block(False)
+            elif tag == "text" and place == "label" or tag == "svg" or node.tag in FORMULA_PARTS:
+                out.text(" ")
             if tag in ("td", "th") and tables:
                 cell = _SPACES.sub(" ", writers.pop().done()).strip()
                 span = attributes_of(node.attributes).get("colspan", "1")
@@ -241,9 +301,18 @@ def render(source: str) -> tuple[str, int, int]:
                 out.block(tag in SPACED)
             pre -= tag == "pre"
             continue
-        if is_hidden(child):
+        if is_hidden(child, bool(places[-1])):
             continue
         tag = child.tag
+        place = "drawing" if tag == "svg" else "label" if tag == "text" and places[-1] == "drawing" else "" if tag == "foreignobject" else places[-1]
+        if tag == "select":
+            for label in shown_options(child):
+                out.text(f" {label} ")
+            continue
+        if tag == "textarea":
+            out.block(False)
+        elif tag == "svg" or tag == "text" and place == "label" or node.tag in FORMULA_PARTS:
+            out.text(" ")
         if tag == "br":
             out.line_break()
             continue
@@ -274,6 +343,7 @@ def render(source: str) -> tuple[str, int, int]:
         pre += tag == "pre"
         if tag not in VOID:
             frames.append((child, iter(child.children)))
+            places.append(place)
     return writers[0].done(), items, shown
 
 

@@ -216,6 +216,18 @@ def test_html():
     assert html_text.render("<div>" * 3000 + "deep")[0] == "deep"
 
 
+def test_html_shows_formulas_drawings_and_form_fields():
+    shown = lambda page: html_text.render(page)[0]
+    assert shown("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math> holds") == "so x= 1 2 holds"
+    drawing = "<svg><title>no</title><defs><text>no</text></defs>no<g><text x='1'>Rev<tspan>enue</tspan></text><text>2024</text><text display='none'>no</text></g><foreignObject><b>bold</b></foreignObject></svg>"
+    assert shown(f"<p>chart {drawing} end") == "chart Revenue 2024 bold end"
+    assert shown("<svg><circle><p>after") == "after"
+    assert shown("Size <select><option>S<option selected>M &amp; L<option>XL</select> now") == "Size M & L now"
+    assert shown("<select><option disabled>no<option>first<option>no</select>") == "first"
+    assert shown("<select multiple><optgroup label=G><option>a<option>b</select>") == "G a b"
+    assert shown("Note<textarea>\na &lt; b\n<b>c</textarea>end") == "Note\na < b\n<b>c\nend"
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from("<p> <table> </table> <tr> <td> </td> <li> <ul> </ul> x <b> </p> <script> </script> <pre> &lt; <!-- <br> <dd> <blockquote>".split()), max_size=25))
 def test_html_never_fails(parts):
