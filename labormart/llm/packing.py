@@ -9,6 +9,7 @@ and packed again, until all are certified or a round saves nothing.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -25,8 +26,6 @@ from labormart.llm.tokens import encoder
 CAPACITY = 2048
 #: Pieces that one task packs.
 PIECES_PER_PART = 60_000
-#: Most rounds of exchange; each one stops early when it saves nothing.
-ROUNDS = 4
 
 
 def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
@@ -141,23 +140,23 @@ def _packed(items: DataFrame, parts: int, seed: int, capacity: int) -> DataFrame
     return dealt.groupBy("part").applyInPandas(with_part, schema)
 
 
-def best_fit_pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def best_fit_pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pack ``pieces(item, doc_id, piece, length, ...)`` into sequences of at most ``capacity``.
 
     Returns the pieces with ``sequence_id`` and ``offset``. Full pieces are
     sequences of their own. A round's result replaces the one before only when
-    it needs fewer sequences; an empty input gives an empty result.
+    it needs fewer sequences, and the first that saves none is the last; an empty input gives an empty result.
     """
     spark = pieces.sparkSession
     whole = pieces.where(F.col("length") >= capacity).select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     # sequence numbers of packed bins are negative, so they never meet those above
-    number = lambda d: d.withColumn("sequence_id", -(F.col("seed").cast("long") * (1 << 58) + F.col("part").cast("long") * (1 << 30) + F.col("bin") + 1))
+    number = lambda d: d.withColumn("sequence_id", -(F.col("seed").cast("long") * (1 << 48) + F.col("part").cast("long") * (1 << 20) + F.col("bin") + 1))
     items = pieces.where(F.col("length") < capacity).select("item", "doc_id", "piece", "length")
     count = items.count()
     done = [whole]
     if count:
         current = settle(_packed(items, parts_for(count, PIECES_PER_PART), 0, capacity), "packed")
-        for seed in range(1, rounds + 1):
+        for seed in itertools.count(1):
             movable = current.where("movable")
             n, bins = movable.agg(F.count("*"), F.coalesce(F.sum(F.col("first").cast("long")), F.lit(0))).first()
             if not n:

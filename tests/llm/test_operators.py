@@ -48,6 +48,20 @@ def test_packing_is_whole_and_near_the_bound(odd, empty):
     assert packing.best_fit_pack(packing.tokenized_pieces(empty, PATH)).count() == 0
 
 
+def test_packing_exchanges_until_a_round_saves_nothing(llm, monkeypatch):
+    """Each of seven rounds saves one sequence: all seven are made."""
+    pieces = llm.range(10).select(F.col("id").alias("item"), F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(1).cast("long").alias("length"))
+
+    def packed(items, parts, seed, capacity):
+        n = min(1 + seed, 8)  # so many pieces share a sequence, the others have their own
+        at = F.col("item")
+        return items.select("item", "doc_id", "piece", "length", F.when(at < n, 0).otherwise(at).cast("long").alias("bin"), F.when(at < n, at).otherwise(0).cast("long").alias("offset"), F.lit(True).alias("movable"), ((at >= n) | (at == 0)).alias("first"), F.lit(seed).alias("seed"), F.lit(0).alias("part"))
+
+    monkeypatch.setattr(packing, "_packed", packed)
+    rows = packing.best_fit_pack(pieces).collect()
+    assert len(rows) == 10 and len({r.sequence_id for r in rows}) == 3
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 20), max_size=9))
 def test_bound_never_exceeds_the_best_packing(lengths):
