@@ -80,7 +80,7 @@ def test_join_against_a_bucketed_table_shuffles_one_side(spark, tmp_path):
 def test_incremental_links_broadcast_the_days_entries(spark):
     import datetime as dt
 
-    from conftest import TS, staged, vacancy
+    from helpers import TS, staged, vacancy
 
     from labormart.operators import bridge, parse
 

@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import TS, D
+from helpers import TS, D
 from pyspark.sql import functions as F
 
 from labormart import CORRECTED, REFERENCE

@@ -4,7 +4,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import TS, D, staged, vacancy
+from helpers import TS, D, staged, vacancy
 
 from labormart import CORRECTED, REFERENCE
 from labormart.operators import merge, parse
@@ -136,7 +136,7 @@ def test_upsert_rejects_duplicate_source_keys(spark):
 
 
 def test_rate_records_and_currency_dimension(spark):
-    from conftest import rate_doc
+    from helpers import rate_doc
 
     from labormart.schemas import STG_EXCHANGE_RATES
 

@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import TS, D, rate_doc, staged, vacancy
+from helpers import TS, D, rate_doc, staged, vacancy
 from pyspark.sql import functions as F
 
 from labormart import CORRECTED, REFERENCE

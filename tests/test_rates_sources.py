@@ -3,7 +3,7 @@
 import datetime as dt
 import json
 
-from conftest import TS, D, rate_doc
+from helpers import TS, D, rate_doc
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

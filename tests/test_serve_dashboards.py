@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import D
+from helpers import D
 from pyspark.sql import functions as F
 
 from labormart import CORRECTED, REFERENCE
