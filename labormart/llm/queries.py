@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labormart.llm import html_text, jaccard, licenses, mixing, nearest, packing, privacy, quality, substring, token_counts
+from labormart.llm import classifier, html_text, jaccard, licenses, mixing, nearest, packing, prefix_trie, privacy, quality, repair, substring, token_counts
 from labormart.llm.common import settle, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -89,6 +89,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -102,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pseudonyms,
         op9_anchor_repeats,
         op10_license_scan,
+        op11_prefix_trie,
+        op12_conversation_repair,
+        op13_quality_classifier,
     )
 }
 
