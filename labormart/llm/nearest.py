@@ -1,20 +1,26 @@
 """Approximate nearest neighbours by a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample; every vector is then filed under the
-leaf it descends to. A query visits leaves best bin first, through a priority
-queue over the whole tree. How many leaves it visits is calibrated: for some
-queries the exact neighbours are computed over all vectors, and visits widen
-until the leaves visited hold the wanted share of them.
+The tree is fitted on a bounded sample; leaves that get too many rows are split
+further, each by its own rows, in a Spark job. A query visits leaves best bin
+first, through a priority queue over the whole tree. How many it visits is
+calibrated: for some queries the exact neighbours are computed over all vectors,
+and visits widen until the leaves visited hold the wanted share of them.
+
+For the search, neighbouring leaves share a cell of bounded size, packed as one
+row; a block of queries is packed as well and sent once to every cell that holds
+a leaf which one of them visits. A task meets pairs of a cell and a block: matrix
+products over the visited leaves pick candidates, whose scores are then computed
+exactly.
 """
 
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +32,17 @@ from labormart.llm.common import settle
 SAMPLE_ROWS = 20_000
 LEAF_SAMPLE = 48
 BRANCHES = 8
-#: Queries that calibrate, and the share of their true neighbours that visits must reach.
+#: A leaf with more rows than this is split by a sample of so many of its own rows ...
+LEAF_ROWS = 4_096
+SPLIT_ROWS = 1_024
+#: ... while all centres of the tree take at most so many bytes; beyond that leaves grow instead.
+TREE_BYTES = 64 << 20
+#: Queries that calibrate, and as many again that measure; the share of true neighbours that visits must reach.
 CALIBRATION_QUERIES = 128
-WANTED_RECALL = 0.97
-#: Vectors, or queries, of one search task.
-CELL_ROWS = 8_192
+WANTED_RECALL = 0.95
+#: Bytes of the vectors of a cell, and queries of a block.
+CELL_BYTES = 4 << 20
+BLOCK_QUERIES = 512
 
 
 @dataclass
@@ -60,6 +72,19 @@ class Tree:
             todo += [(int(k), rows[side == i]) for i, k in enumerate(kids) if (side == i).any()]
         return out
 
+    def graft(self, splits: dict[int, "Tree"]) -> "Tree":
+        """The tree with some leaves replaced by trees of their own; leaves are numbered anew, in order of the walk."""
+        centres, children = list(self.centres), [list(c) for c in self.children]
+        for node, leaf in enumerate(self.leaf):
+            sub = splits.get(int(leaf)) if leaf >= 0 else None
+            if sub is None or sub.n_leaves < 2:
+                continue
+            at = len(centres) - 1  # the sub-tree's root is this leaf
+            centres += list(sub.centres[1:])
+            children += [[k + at for k in c] for c in sub.children[1:]]
+            children[node] = [k + at for k in sub.children[0]]
+        return numbered(np.array(centres), children)
+
     def visits(self, query: np.ndarray) -> Iterator[int]:
         """All leaves, best bin first: the open node whose centre has the largest product comes next."""
         products = self.centres @ query
@@ -84,19 +109,28 @@ def exact_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
+def numbered(centres: np.ndarray, children: list[list[int]]) -> Tree:
+    """A tree whose leaves are numbered along the walk, so that neighbours have neighbouring numbers."""
+    leaf, todo, n = np.full(len(children), -1), [0], 0
+    while todo:
+        node = todo.pop()
+        if children[node]:
+            todo += reversed(children[node])
+        else:
+            leaf[node], n = n, n + 1
+    return Tree(centres, children, leaf)
+
+
 def fit_tree(sample: np.ndarray, branches: int = BRANCHES, leaf_rows: int = LEAF_SAMPLE, rounds: int = 8, seed: int = 5) -> Tree:
     """Split nodes by k-means until a node has at most ``leaf_rows`` rows or equal ones only."""
     rng = np.random.default_rng(seed)
-    centres, children, leaf = [sample.mean(0) if len(sample) else np.zeros(sample.shape[1])], [[]], [-1]
+    centres, children = [sample.mean(0) if len(sample) else np.zeros(sample.shape[1])], [[]]
     todo = [(0, np.arange(len(sample)))]
-    n_leaves = 0
     while todo:
         node, rows = todo.pop()
         points = sample[rows]
         distinct = np.unique(points, axis=0) if len(rows) > leaf_rows else points[:1]
         if len(rows) <= leaf_rows or len(distinct) < 2:
-            leaf[node] = n_leaves
-            n_leaves += 1
             continue
         middles = distinct[rng.choice(len(distinct), min(branches, len(distinct)), replace=False)].copy()
         side = np.zeros(len(rows), np.int64)
@@ -106,16 +140,13 @@ def fit_tree(sample: np.ndarray, branches: int = BRANCHES, leaf_rows: int = LEAF
                 middles[k] = points[side == k].mean(0)
         used = np.unique(side)
         if len(used) < 2:
-            leaf[node] = n_leaves
-            n_leaves += 1
             continue
         for k in used:
             children[node].append(len(centres))
             todo.append((len(centres), rows[side == k]))
             centres.append(middles[k])
             children.append([])
-            leaf.append(-1)
-    return Tree(np.array(centres), children, np.array(leaf))
+    return numbered(np.array(centres), children)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -123,25 +154,44 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def _best(query_id: np.ndarray, products: np.ndarray, vec_id: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its ``k`` best rows but its own, ties to the smaller id."""
-    out = []
-    for q, scores in zip(query_id.tolist(), products, strict=True):
-        rows = np.flatnonzero(vec_id != q)
-        if len(rows) > k:
-            limit = np.partition(scores[rows], len(rows) - k)[len(rows) - k]
-            rows = rows[scores[rows] >= limit]
-        rows = rows[np.lexsort((vec_id[rows], -scores[rows]))[:k]]
-        out.append((q, vec_id[rows], scores[rows]))
-    return out
-
+def top_pairs(query_ids: np.ndarray, queries: np.ndarray, vec_ids: np.ndarray, vectors: np.ndarray, k: int, products: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(query, row, score)``: each query's ``k`` best rows but its own, ties to the smaller id.
 
-_PAIR = "query_id long, vec_id long, score double"
+    ``products`` are approximate, minus infinity where a query may not look; all
+    that come near the k-th are candidates, and their scores are computed exactly.
+    """
+    products[vec_ids[None, :] == query_ids[:, None]] = -np.inf
+    limit = np.full(len(query_ids), -np.inf)
+    if products.shape[1] > k:
+        limit = np.partition(products, products.shape[1] - k, axis=1)[:, products.shape[1] - k]
+        limit -= 1e-9 * (1 + np.abs(np.where(np.isfinite(limit), limit, 0)))
+    q, row = np.nonzero((products >= limit[:, None]) & np.isfinite(products))
+    score = np.zeros(len(q))
+    for d in range(queries.shape[1]):
+        score += queries[q, d] * vectors[row, d]
+    order = np.lexsort((vec_ids[row], -score, q))
+    q, row, score = q[order], row[order], score[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], row[keep], score[keep]
+
+
+def _few_copies(vec_ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray:
+    """Rows without those that can be nobody's neighbour: of equal vectors the k + 1 smallest ids, each once.
+
+    Equal vectors have equal scores, and ties go to the smaller id.
+    """
+    _, group = np.unique(np.ascontiguousarray(vectors).view(f"V{vectors.shape[1] * 8}").ravel(), return_inverse=True)
+    order = np.lexsort((vec_ids, group))
+    g, ids = group[order], vec_ids[order]
+    once = np.ones(len(order), bool)
+    once[1:] = (g[1:] != g[:-1]) | (ids[1:] != ids[:-1])
+    order, g = order[once], g[once]
+    return np.sort(order[np.arange(len(g)) - np.searchsorted(g, g) <= k])
 
 
-def _pairs(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    n = [len(f[1]) for f in found]
-    return pd.DataFrame({"query_id": np.repeat([f[0] for f in found], n).astype(np.int64), "vec_id": np.concatenate([f[1] for f in found] or [np.zeros(0, np.int64)]), "score": np.concatenate([f[2] for f in found] or [np.zeros(0)])})
+_PAIR = "query_id long, vec_id long, score double"
+_PACK = "cell int, leaf binary, vec_id binary, matrix binary"
+_ASK = "cell int, query_id binary, q_matrix binary, visited binary"
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -157,66 +207,146 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return v.where(F.size("vector") == (common[0] if common else 0))
 
 
+def split_leaves(filed: DataFrame, tree: Tree, dimensions: int) -> Tree:
+    """The tree with overfull leaves split by k-means over a sample of their own rows.
+
+    A leaf's sample has at most ``SPLIT_ROWS`` rows, by hash of the id; the fits
+    run side by side as Spark tasks. What comes back, all centres together, stays
+    below ``TREE_BYTES``: the rows that a leaf may hold follow from that.
+    """
+    counts = {r["leaf"]: r["n"] for r in filed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    most = max(LEAF_ROWS, -(-sum(counts.values()) * 2 * 8 * dimensions // TREE_BYTES))
+    over = [(leaf, n) for leaf, n in counts.items() if n > most]
+    if not over:
+        return tree
+    spark = filed.sparkSession
+    wanted = F.broadcast(spark.createDataFrame(over, "leaf int, n long"))  # at most one row a leaf of the fitted tree
+    by_hash = Window.partitionBy("leaf").orderBy(F.xxhash64("vec_id"), "vec_id")
+    rows = filed.join(wanted, "leaf").withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= SPLIT_ROWS)
+
+    def fitted(table: pa.Table) -> pa.Table:
+        sample = _matrix(table.column("vector").combine_chunks())
+        share = max(2, int(len(sample) * most / table.column("n")[0].as_py()))
+        return pa.table({"leaf": table.column("leaf")[:1], "tree": pa.array([pickle.dumps(fit_tree(sample, leaf_rows=share))], pa.binary())})
+
+    fits = rows.select("leaf", "n", "vec_id", "vector").groupBy("leaf").applyInArrow(fitted, "leaf int, tree binary").collect()
+    return tree.graft({r["leaf"]: pickle.loads(r["tree"]) for r in fits})
+
+
+def _filed(rows: DataFrame, tree: Tree) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(tree)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = shared.value.file(_matrix(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), batch.column(0), batch.column(1)], ["leaf", "vec_id", "vector"])
+
+    return rows.select("vec_id", "vector").mapInArrow(run, "leaf int, vec_id long, vector array<double>")
+
+
+def cells_of(counts: np.ndarray, cell_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First cell of each leaf, and how many cells it is cut into; small neighbours share one."""
+    first, cuts = np.zeros(len(counts), np.int64), np.ones(len(counts), np.int64)
+    cell, filled = 0, 0
+    for leaf, n in enumerate(counts.tolist()):
+        if filled and filled + n > cell_rows:
+            cell, filled = cell + 1, 0
+        first[leaf] = cell
+        if n > cell_rows:
+            cuts[leaf] = -(-n // cell_rows)
+            cell, filled = cell + int(cuts[leaf]), 0
+        else:
+            filled += n
+    return first, cuts
+
+
 def nearest(vectors: DataFrame, queries, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", wanted: float = WANTED_RECALL) -> DataFrame:
     """The ``k`` rows with the largest inner product for each row that ``queries`` selects.
 
     ``queries`` is a condition on ``vec_id``. Returns ``(query_id, rank, vec_id,
-    score)``; a row is never its own neighbour. Rows that repeat an id are one
-    neighbour each. No usable vector, no rows.
+    score)``; a row is never its own neighbour. Rows that repeat both id and
+    vector count once; with other vectors under one id, each is a query and a
+    candidate. No usable vector, no rows; fewer than ``k`` candidates, all of them.
     """
     spark = vectors.sparkSession
     rows = settle(usable(vectors, id_column, vector_column), "vectors")
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not picked:
-        return empty
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dimensions = len(picked[0][1])
     tree = fit_tree(np.array([r[1] for r in picked], float))
-    shared = spark.sparkContext.broadcast(tree)
-
-    def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            leaf = shared.value.file(_matrix(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), batch.column(0), batch.column(1)], ["leaf", "vec_id", "vector"])
-
-    index = settle(rows.mapInArrow(filed, "leaf int, vec_id long, vector array<double>"), "leaves")
-    asked = index.where(queries)
-    leaves = calibrated_visits(index, asked, tree, k, wanted)
+    index = settle(_filed(rows, tree), "leaves")
+    finer = split_leaves(index, tree, dimensions)
+    if finer is not tree:
+        tree, index = finer, settle(_filed(rows, finer), "leaves")
+    asked = index.where(queries).dropDuplicates(["vec_id", "vector"])
+    leaves = calibrated_visits(index, asked, tree, k, wanted)[0]
+    found = searched(index, asked, tree, leaves, k, max(1, CELL_BYTES // (8 * dimensions)))
+    return _ranked(found, k)
+
+
+def searched(index: DataFrame, asked: DataFrame, tree: Tree, leaves: int, k: int, cell_rows: int) -> DataFrame:
+    """``(query_id, vec_id, score)``: of every cell the best rows in the leaves that a query visits."""
+    spark = index.sparkSession
+    counts = np.zeros(tree.n_leaves, np.int64)
+    for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect():
+        counts[r["leaf"]] = r["n"]
+    first, cuts = cells_of(counts, cell_rows)
+    # one row a leaf, and the leaves of the tree are bounded by TREE_BYTES
+    places = spark.createDataFrame(list(zip(range(len(counts)), first.tolist(), cuts.tolist(), strict=True)), "leaf int, first long, cuts long")
+    dealt = index.join(F.broadcast(places), "leaf").select((F.col("first") + F.pmod(F.xxhash64("vec_id"), "cuts")).cast("int").alias("cell"), "leaf", "vec_id", "vector")
+
+    def packed(table: pa.Table) -> pa.Table:
+        leaf, ids, matrix = table.column("leaf").to_numpy(), table.column("vec_id").to_numpy(), _matrix(table.column("vector").combine_chunks())
+        keep = _few_copies(ids, matrix, k)
+        keep = keep[np.lexsort((ids[keep], leaf[keep]))]
+        cut = [x[keep].astype(t).tobytes() for x, t in ((leaf, "<i4"), (ids, "<i8"), (matrix, "<f8"))]
+        return pa.table({"cell": table.column("cell")[:1], **{n: pa.array([c], pa.binary()) for n, c in zip(("leaf", "vec_id", "matrix"), cut, strict=True)}})
+
+    cells = settle(dealt.groupBy("cell").applyInArrow(packed, _PACK), "cells")
+    shared = spark.sparkContext.broadcast((tree, first, cuts))
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree_, first_, cuts_ = shared.value
+        cell_of_leaf = np.repeat(first_, cuts_) + np.concatenate([np.arange(c) for c in cuts_])
+        leaf_of_cell = np.repeat(np.arange(len(first_)), cuts_)
+        for batch in batches:
+            ids, matrix = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            for low in range(0, len(ids), BLOCK_QUERIES):
+                q, m = ids[low : low + BLOCK_QUERIES], matrix[low : low + BLOCK_QUERIES]
+                seen = np.zeros((len(q), len(first_)), bool)
+                for i, query in enumerate(m):
+                    seen[i, [leaf for _, leaf in zip(range(leaves), tree_.visits(query), strict=False)]] = True
+                out = []
+                used = seen.any(0)[leaf_of_cell]
+                for cell in np.unique(cell_of_leaf[used]).tolist():
+                    here = leaf_of_cell[np.searchsorted(cell_of_leaf, cell) : np.searchsorted(cell_of_leaf, cell, side="right")]
+                    asks = np.flatnonzero(seen[:, here].any(1))
+                    out.append((cell, q[asks].tobytes(), m[asks].tobytes(), np.packbits(seen[np.ix_(asks, here)], axis=1).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["cell", "query_id", "q_matrix", "visited"])
+
+    asks = settle(asked.select("vec_id", "vector").mapInArrow(walked, _ASK), "asks")
+    pairs = cells.join(asks, "cell").select("cell", "leaf", "vec_id", "matrix", "query_id", "q_matrix", "visited")
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, first_, cuts_ = shared.value
         for batch in batches:
-            vectors_ = _matrix(batch.column(1))
-            at, leaf = [], []
-            for i, q in enumerate(vectors_):
-                for _, b in zip(range(leaves), shared.value.visits(q), strict=False):
-                    at.append(i)
-                    leaf.append(b)
-            if at:
-                taken = pa.array(at)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), batch.column(0).take(taken), batch.column(1).take(taken)], ["leaf", "query_id", "vector"])
-
-    visits = asked.select("vec_id", "vector").mapInArrow(walked, "leaf int, query_id long, vector array<double>")
-    visits = settle(visits, "visits")
-    # large leaves are cut into cells by vector and by query, every pair of cuts is a task
-    cuts = index.groupBy("leaf").agg(F.ceil(F.count("*") / CELL_ROWS).alias("cuts"))
-    asks = visits.groupBy("leaf").agg(F.ceil(F.count("*") / CELL_ROWS).alias("asks"))
-    grid = cuts.join(asks, "leaf")
-    members = index.join(grid, "leaf").select("leaf", F.pmod(F.xxhash64("vec_id"), "cuts").alias("cut"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("asks") - 1)).alias("ask"), "vec_id", "vector")
-    wanting = visits.join(grid, "leaf").select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut"), F.pmod(F.xxhash64("query_id"), "asks").alias("ask"), "query_id", "vector")
-
-    def searched(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return _pairs([])
-        vec_id, matrix = left["vec_id"].to_numpy(), np.stack(left["vector"].to_numpy())
-        found = []
-        for part in np.array_split(np.arange(len(right)), max(1, len(right) * len(left) // 4_000_000 + 1)):
-            asking = right.iloc[part]
-            if len(asking):
-                found += _best(asking["query_id"].to_numpy(), exact_products(np.stack(asking["vector"].to_numpy()), matrix), vec_id, k)
-        return _pairs(found)
-
-    cell = ["leaf", "cut", "ask"]
-    near = members.groupBy(*cell).cogroup(wanting.groupBy(*cell)).applyInPandas(searched, _PAIR)
-    return _ranked(near, k)
+            for i in range(batch.num_rows):
+                cell, leaf, ids, matrix, query, q_matrix, visited = (c[i].as_py() for c in batch.columns)
+                leaf, ids, query = np.frombuffer(leaf, "<i4"), np.frombuffer(ids, "<i8"), np.frombuffer(query, "<i8")
+                matrix, q_matrix = np.frombuffer(matrix).reshape(len(ids), -1), np.frombuffer(q_matrix).reshape(len(query), -1)
+                here = np.flatnonzero((first_ <= cell) & (cell < first_ + cuts_))
+                seen = np.unpackbits(np.frombuffer(visited, np.uint8).reshape(len(query), -1), axis=1, count=len(here)).astype(bool)
+                products = np.full((len(query), len(ids)), -np.inf)
+                for j, n in enumerate(here.tolist()):
+                    low, high = np.searchsorted(leaf, n), np.searchsorted(leaf, n, side="right")
+                    who = np.flatnonzero(seen[:, j])
+                    if high > low and len(who):
+                        products[who, low:high] = q_matrix[who] @ matrix[low:high].T
+                q, row, score = top_pairs(query, q_matrix, ids, matrix, k, products)
+                yield pa.RecordBatch.from_arrays([pa.array(query[q]), pa.array(ids[row]), pa.array(score)], ["query_id", "vec_id", "score"])
+
+    return pairs.mapInArrow(met, _PAIR)
 
 
 def _ranked(pairs: DataFrame, k: int) -> DataFrame:
@@ -231,29 +361,35 @@ def exact_nearest(index: DataFrame, queries: list, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vec_id, leaf = batch.column(1).to_numpy(), batch.column(0).to_numpy()
-            place = np.argsort(vec_id, kind="stable")
-            found = _pairs(_best(ids, exact_products(matrix, _matrix(batch.column(2))), vec_id, k))
-            found["leaf"] = leaf[place[np.searchsorted(vec_id[place], found["vec_id"].to_numpy())]].astype(np.int32)
-            yield pa.RecordBatch.from_pandas(found, preserve_index=False)
+            leaf, vec_id, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2))
+            keep = _few_copies(vec_id, rows, k)
+            leaf, vec_id, rows = leaf[keep], vec_id[keep], rows[keep]
+            q, row, score = top_pairs(ids, matrix, vec_id, rows, k, matrix @ rows.T)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(vec_id[row]), pa.array(score), pa.array(leaf[row])], ["query_id", "vec_id", "score", "leaf"])
 
     near = index.select("leaf", "vec_id", "vector").mapInArrow(run, f"{_PAIR}, leaf int")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def calibrated_visits(index: DataFrame, asked: DataFrame, tree: Tree, k: int, wanted: float) -> int:
+def calibrated_visits(index: DataFrame, asked: DataFrame, tree: Tree, k: int, wanted: float) -> tuple[int, float]:
     """Fewest leaves, in steps that widen, whose visits hold the wanted share of true neighbours.
 
-    At most ``CALIBRATION_QUERIES`` queries take part, whatever the input; their
-    neighbours, ``k`` for each, are all that reaches the driver.
+    Of up to twice ``CALIBRATION_QUERIES`` queries, whatever the input, every
+    other one calibrates and the others measure the recall that is returned
+    as well; their neighbours, ``k`` for each, are all that reaches the driver.
     """
-    queries = asked.orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").select("vec_id", "vector").limit(CALIBRATION_QUERIES).collect()
+    queries = asked.orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").select("vec_id", "vector").limit(2 * CALIBRATION_QUERIES).collect()
     if not queries:
-        return 1
+        return 1, 1.0
     order = {q[0]: {leaf: i for i, leaf in enumerate(tree.visits(np.array(q[1], float)))} for q in queries}
-    needed = np.array([order[r["query_id"]][r["leaf"]] for r in exact_nearest(index, queries, k).select("query_id", "leaf").collect()])
+    rank: list[list[int]] = [[], []]
+    measures = {q[0] for q in queries[1::2]}
+    for r in exact_nearest(index, queries, k).select("query_id", "leaf").collect():
+        rank[r["query_id"] in measures].append(order[r["query_id"]][r["leaf"]])
+    needed, measured = np.array(rank[0]), np.array(rank[1])
     leaves = 1
     while leaves < tree.n_leaves and len(needed) and (needed < leaves).mean() < wanted:
         leaves += max(1, leaves // 8)
-    return min(leaves, tree.n_leaves)
+    leaves = min(leaves, tree.n_leaves)
+    return leaves, float((measured < leaves).mean()) if len(measured) else 1.0

@@ -155,6 +155,65 @@ def test_neighbours(llm):
     assert nearest.nearest(odd, F.col("vec_id") % 20 == 0).count() == 0
 
 
+def plain_neighbours(rows, queries, k=20):
+    """``rows``: (vec_id, vector) without repeats. {query: its neighbours and scores} by comparing with all rows."""
+    out = {}
+    for q, v in queries:
+        score = lambda w, v=v: float(sum((np.multiply(v, w)).tolist()))
+        out[q] = sorted(((-score(w), i) for i, w in rows if i != q))[:k]
+    return {q: [(i, -s) for s, i in found] for q, found in out.items()}
+
+
+def test_neighbours_with_ties_repeats_and_few_rows(llm, empty):
+    """Equal vectors, a repeated row, and fewer candidates than neighbours: all found, ties to the smaller id."""
+    schema = "vec_id long, embedding array<double>, leaf int, cell int, score double, first long"
+    rows = [(i, [float(i % 3 == 0), 1.0, i % 5 / 4]) for i in range(41)] + [(40, [0.0, 1.0, 0.0])]
+    df = llm.createDataFrame([(*r, 1, 1, 0.5, 3) for r in rows], schema)
+    for part, k in ((df, 20), (df.where("vec_id < 9"), 20), (df, 3)):
+        some = {(r.vec_id, tuple(r.embedding)) for r in part.collect()}
+        got = collections.defaultdict(list)
+        for r in nearest.nearest(part, F.col("vec_id") % 4 == 0, k=k).orderBy("query_id", "rank").collect():
+            got[r.query_id].append((r.vec_id, r.score))
+        want = plain_neighbours(some, [x for x in some if x[0] % 4 == 0], k)
+        assert got == want
+    assert nearest.nearest(df.where("vec_id = 8"), F.col("vec_id") % 4 == 0).count() == 0
+    assert nearest.nearest(df.where("false"), F.col("vec_id") % 4 == 0).count() == 0
+
+
+def test_overfull_leaves_are_split_and_cut(llm, monkeypatch):
+    """A small sample, small leaves and small cells: the same neighbours, and recall held out from calibration."""
+    monkeypatch.setattr(nearest, "SAMPLE_ROWS", 300)
+    monkeypatch.setattr(nearest, "LEAF_ROWS", 12)
+    monkeypatch.setattr(nearest, "SPLIT_ROWS", 40)
+    monkeypatch.setattr(nearest, "CELL_BYTES", 8 * 8 * 20)
+    monkeypatch.setattr(nearest, "BLOCK_QUERIES", 9)
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((30, 8))
+    points = [(i, (centres[i % 30] + 0.2 * rng.standard_normal(8)).tolist()) for i in range(1500)] + [(i, centres[0].tolist()) for i in range(1500, 1700)]
+    df = llm.createDataFrame(points, "vec_id long, embedding array<double>")
+    filed = nearest._filed(nearest.usable(df, "vec_id", "embedding"), tree := nearest.fit_tree(np.array([p[1] for p in points[:300]])))
+    finer = nearest.split_leaves(filed, tree, 8)
+    assert finer.n_leaves > 2 * tree.n_leaves
+    sizes = collections.Counter(finer.file(np.array([p[1] for p in points[:1500]])).tolist())
+    assert max(sizes.values()) < 60
+    index = nearest._filed(nearest.usable(df, "vec_id", "embedding"), finer)
+    leaves, recall = nearest.calibrated_visits(index, index.where("vec_id % 5 = 0"), finer, 20, 0.95)
+    assert recall >= 0.9 and leaves < finer.n_leaves / 2
+    got = collections.defaultdict(set)
+    for r in nearest.nearest(df, F.col("vec_id") % 25 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    want = plain_neighbours(points, [p for p in points if p[0] % 25 == 0])
+    hits = sum(len(got[q] & {i for i, _ in found}) for q, found in want.items())
+    assert hits >= 0.9 * sum(map(len, want.values()))
+    # visiting every leaf finds exactly the neighbours
+    every = nearest.nearest(df, F.col("vec_id") % 25 == 0, wanted=1.1)
+    exact = collections.defaultdict(list)
+    for r in every.orderBy("query_id", "rank").collect():
+        exact[r.query_id].append(r.vec_id)
+    assert exact == {q: [i for i, _ in found] for q, found in want.items()}
+
+
+
 @pytest.mark.parametrize("table", ["odd", "docs"])
 def test_quality_base(table, request):
     df = request.getfixturevalue(table)
