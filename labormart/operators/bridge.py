@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labormart.operators.joins import broadcast_if_small, broadcast_partition_values
+from labormart.operators.joins import broadcast_if_small, semi_join_days
 
 VACANCY_KEY = ["vacancy_id", "dt", "query_profession_eng_name"]
 
@@ -49,7 +49,7 @@ def link_skills(
     if keyed:
         pairs = e.select(*VACANCY_KEY, "skill_name").distinct()
         # only the entries' days can match: prune the vacancy partitions first
-        vac = vac.join(broadcast_partition_values(e, ["dt"]), "dt", "left_semi")
+        vac = semi_join_days(vac, e, ["dt"])
         return pairs.join(vac, VACANCY_KEY, "left_semi" if not extra else "inner").withColumn(
             "n_links", F.lit(1).cast("long")
         )

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when it has at most this many rows.
-# City, profession, currency and day x currency rate tables sit far below it at
-# any data volume; a larger side falls back to a shuffle (sort-merge) join.
-BROADCAST_MAX_ROWS = 2_000_000
-# Catalyst size estimate under which no counting job is needed.
+from labormart.session import materialize
+
+# A side is broadcast only when it takes at most so many bytes: by Catalyst's
+# estimate where that is an upper bound, else by the files it was written to.
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 # plan nodes that can emit more rows than they read, so that the planner's
@@ -34,45 +33,36 @@ def _estimate_is_bound(df: DataFrame) -> bool:
     return not any(tok in plan for tok in _ROW_MULTIPLYING)
 
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> DataFrame:
-    """Mark ``df`` for broadcast when it is provably small.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast when it takes at most ``max_bytes``.
 
-    First Catalyst's size estimate is consulted (no job): scans, filters,
-    projections and aggregates never grow past it, so a plan made of those
-    under ``max_bytes`` is broadcast at once. Otherwise the rows are counted
-    with a partial-aggregate count (one distributed pass; a ``limit(n).count()``
-    would funnel up to n rows per partition through one task). Over the bound
-    the DataFrame is returned unchanged and Spark plans a shuffle join, where
-    AQE can still split skewed partitions.
+    Scans, filters, projections and aggregates never grow past Catalyst's size
+    estimate, so for a plan made of those the estimate decides and no job runs.
+    Other plans are written once, under the shared checkpoint folder; the
+    files' size decides, and the join reads the files instead of computing the
+    rows again. A larger side is returned without the mark and Spark plans a
+    shuffle join, where AQE can still split skewed partitions.
     """
     est = estimated_bytes(df)
-    if est is not None and est <= max_bytes and _estimate_is_bound(df):
-        return F.broadcast(df)
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    if est is None or not _estimate_is_bound(df):
+        df = materialize(df.sparkSession, df, "join-side")
+        est = estimated_bytes(df)
+    return F.broadcast(df) if est is not None and est <= max_bytes else df
 
 
-def broadcast_partition_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct partition-key values, broadcast.
+def semi_join_days(rows: DataFrame, days: DataFrame, cols: list[str]) -> DataFrame:
+    """``rows`` whose ``cols`` (days, or dimension × day slices) stand in ``days``.
 
-    Partition keys of a table layout (days, or dimension × day slices) are
-    bounded by the calendar and the dimensions, not by the data volume, so
-    their distinct set is always small.
+    The distinct values are the side that is broadcast, after its size check.
     """
-    return F.broadcast(df.select(*cols).distinct())
+    return rows.join(broadcast_if_small(days.select(*cols).distinct()), cols, "left_semi")
 
 
-def bounded_values(df: DataFrame, col: str, max_rows: int = 100_000):
+def distinct_values(df: DataFrame, col: str):
     """Distinct values of ``col`` as one sorted array column, evaluated once as a scalar subquery.
 
-    The job fails when there are more than ``max_rows`` values. Used for
-    dimension members and for a table's partition values, both small.
+    For partition values of tables and members of dimensions: as many as there
+    are days in the calendar, or rows in a dimension, at any data volume. They
+    are collected from partial sets, so rows never meet in one task.
     """
-    agg = df.agg(
-        F.when(F.count_distinct(F.col(col)) <= max_rows, F.array_sort(F.collect_set(col))).otherwise(
-            F.raise_error(F.lit(f"more than {max_rows} distinct {col} values"))
-        )
-    )
-    return agg.scalar()
+    return df.select(col).distinct().agg(F.array_sort(F.collect_set(col))).scalar()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labormart.operators.joins import bounded_values, broadcast_partition_values
+from labormart.operators.joins import broadcast_if_small, distinct_values
 from labormart.operators.parse import dedup_versions
 
 
@@ -22,13 +22,15 @@ def _touched(target: DataFrame, source: DataFrame, partition_cols: list[str]) ->
     With one partition column the split is a filter on a scalar subquery (the
     source's distinct values): on a partitioned table it lands in the scan's
     partition filters, so only the touched partitions are listed and read.
-    Several columns (dimension × day slices) use a broadcast semi/anti join.
+    Several columns (dimension × day slices) use a semi and an anti join.
+    ``source`` is read for its days and again for the merge: callers pass rows
+    that are written already.
     """
     if len(partition_cols) == 1:
         col = partition_cols[0]
-        hit = F.array_contains(bounded_values(source, col), F.col(col))
+        hit = F.array_contains(distinct_values(source, col), F.col(col))
         return target.where(hit), target.where(F.coalesce(~hit, F.lit(True)))
-    parts = broadcast_partition_values(source, partition_cols)
+    parts = broadcast_if_small(source.select(*partition_cols).distinct())
     inside = target.join(parts, partition_cols, "left_semi")
     outside = target.join(parts, partition_cols, "left_anti")
     return inside, outside

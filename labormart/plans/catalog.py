@@ -1033,3 +1033,7 @@ def full_backfill_skills_corrected(spark: SparkSession, sf_dir: str) -> DataFram
     from labormart.semantics import CORRECTED
 
     return _full_backfill(spark, sf_dir, CORRECTED).get("dm_skills")
+
+
+# queries in modules of their own register themselves
+from labormart.plans import ingest_queries  # noqa: E402, F401

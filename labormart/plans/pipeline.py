@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from labormart.functions.dates import day_spine, to_day
 from labormart.operators import bridge, marts, merge, parse
-from labormart.operators.joins import broadcast_partition_values
+from labormart.operators.joins import semi_join_days
 from labormart.schemas import METRIC_KEY, SKILL_KEY, VACANCY_KEY
 from labormart.semantics import REFERENCE, Semantics
 
@@ -84,16 +84,15 @@ def _load(
         scope_v = _scope(stg_v, "query_dt", day)
         scope_r = _scope(stg_r, "query_dt", day)
     vac_days = None if batch is None else stg_v.select(F.col("query_dt").alias("dt"))
-    # parse every staged document once; the three readers below use the struct
-    parsed_all = tables.scratch(parse.parse_vacancy_documents(stg_v), "parsed_vacancies")
-    parsed_scope = parsed_all if (full or batch is not None) else _scope(parsed_all, "query_dt", day)
+    # the scope's documents are parsed once, and the readers below use the struct;
+    # of other staged days only the skill names are read (Q13)
+    parsed_scope = tables.scratch(parse.parse_vacancy_documents(scope_v), "parsed_vacancies")
     cities = tables.get("d_city")
     professions = tables.get("d_query_profession")
 
     # Typed vacancies, upserted by (vacancy_id, dt, profession)
     kept = parse.flatten_with_skills(parsed_scope, professions, cities, sem)
-    if sem.keyed_bridge:
-        kept = tables.scratch(kept, "kept_vacancies")
+    kept = tables.scratch(kept, "kept_vacancies")
     new_vac = kept.drop("key_skills")
     vac_rows = merge.upsert_partitions(
         tables.get("d_vacancies"), new_vac, VACANCY_KEY, ["dt"], on_duplicate=None
@@ -101,7 +100,10 @@ def _load(
     tables.put("d_vacancies", vac_rows, "partitions")
 
     # SNK3/J4: skill names of all staged documents that are not known yet (Q13)
-    names = parse.skill_names(parse.skill_entries(parsed_all, sem))
+    entries = parse.skill_entries(parsed_scope, sem)
+    if day is not None and batch is None:
+        entries = entries.unionByName(parse.skill_entries(stg_v.where(~(F.col("query_dt") == (day if isinstance(day, Column) else to_day(day)))), sem))
+    names = parse.skill_names(entries)
     new_names = merge.insert_new(tables.get("d_skill"), names, ["name"])
     tables.put("d_skill", new_names.select(F.xxhash64("name").alias("id"), "name"), "append")
 
@@ -134,11 +136,11 @@ def _load(
     # Metrics mart (day grain incremental, week grain full)
     vac = _scope(tables.get("d_vacancies"), "dt", day)
     if vac_days is not None:
-        vac = vac.join(broadcast_partition_values(vac_days, ["dt"]), "dt", "left_semi")
+        vac = semi_join_days(vac, vac_days, ["dt"])
     rates = _scope(tables.get("fct_exchange_rates"), "dt", day)
     if vac_days is not None:
-        rates = rates.join(broadcast_partition_values(vac_days, ["dt"]), "dt", "left_semi")
-    metrics = marts.metrics_mart(vac, rates, cities, sem, "week" if full else "day")
+        rates = semi_join_days(rates, vac_days, ["dt"])
+    metrics = tables.scratch(marts.metrics_mart(vac, rates, cities, sem, "week" if full else "day"), "metrics")
     mkey = METRIC_KEY + (["grain"] if sem.grain_column else [])
     tables.put(
         "dm_metrics",
@@ -149,13 +151,14 @@ def _load(
     # C4/U4: skills mart at day grain
     links_scope = _scope(tables.get("fct_skill_vacancy"), "dt", day)
     if vac_days is not None:
-        links_scope = links_scope.join(broadcast_partition_values(vac_days, ["dt"]), "dt", "left_semi")
+        links_scope = semi_join_days(links_scope, vac_days, ["dt"])
     ranking = marts.skills_mart(links_scope, vac, cities, sem)
     if sem.replace_rank_slice:
         # Q6 corrected: the ranking is recomputed from the day's complete link
         # set, so it replaces the day (vanished skills, slices and days disappear)
         _replace_days(tables, "dm_skills", ranking, new_vac.select("dt"))
     else:
+        ranking = tables.scratch(ranking, "ranking")
         new_skills = merge.upsert_partitions(tables.get("dm_skills"), ranking, SKILL_KEY, ["dt"], on_duplicate=None)
         tables.put("dm_skills", new_skills, "partitions")
 
@@ -173,9 +176,9 @@ def _load(
 def stage(tables, vacancy_docs: DataFrame | None = None, rate_docs: DataFrame | None = None) -> None:
     """SNK1: append staged rows (already in staging layout)."""
     if vacancy_docs is not None:
-        tables.put("stg_vacancies", vacancy_docs, "append")
+        tables.put("stg_vacancies", vacancy_docs, "append", landed=True)
     if rate_docs is not None:
-        tables.put("stg_exchange_rates", rate_docs, "append")
+        tables.put("stg_exchange_rates", rate_docs, "append", landed=True)
 
 
 def plan_days(dt: _dt.date, as_of: _dt.date) -> tuple[str, list[_dt.date] | tuple[_dt.date, _dt.date]]:

@@ -29,7 +29,7 @@ from labormart import schemas
 from labormart.functions.dates import as_date, to_day
 from labormart.operators.merge import replace_partitions
 from labormart.semantics import REFERENCE, Semantics
-from labormart.session import scratch_path
+from labormart.session import materialize, scratch_path
 
 PARTITION_COLUMN = {
     "stg_vacancies": "query_dt",
@@ -58,36 +58,12 @@ def table_schemas(sem: Semantics = REFERENCE) -> dict[str, T.StructType]:
     }
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """Write ``df`` once as Parquet under the cluster's checkpoint folder (or ``folder``) and read it back.
-
-    One pass over the input (an eager RDD checkpoint computes it twice), the
-    lineage ends at the files, and Catalyst sees the real file size.
-    """
-    path = f"{folder or scratch_path(spark, 'labormart-stage')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A zero-row table of ``schema`` that the optimizer removes from unions."""
     # limit(0) becomes an empty local relation, which the optimizer drops from unions and joins
     return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).limit(0)
 
 
-# plan operators after which re-reading a table costs more than reading a copy
-_DEEP = ("Join", "Aggregate", "Window", "Generate", "Expand", "Sort", "Deduplicate", "Repartition", "Sample")
-
-
-def has_deep_lineage(df: DataFrame) -> bool:
-    """True when the plan holds shuffles or row-multiplying steps (worth materializing)."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:  # noqa: BLE001
-        return True
-    return any(tok in plan for tok in _DEEP)
-
-
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
@@ -124,13 +100,14 @@ class MemoryTables:
     def get(self, name: str) -> DataFrame:
         return self._t[name]
 
-    def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
+    def put(self, name: str, df: DataFrame, mode: str = "overwrite", landed: bool = False) -> None:
         df = _conform(df, self.schemas[name])
         if mode not in ("overwrite", "append", "partitions"):
             raise ValueError(f"unknown mode {mode!r}")
         # like a write: the incoming rows are materialized now (only those),
-        # so later steps read files instead of re-planning every earlier step
-        if self.cut_lineage and has_deep_lineage(df):
+        # so later steps read files instead of re-planning every earlier step;
+        # rows that the caller just read from files are not copied
+        if self.cut_lineage and not landed:
             df = materialize(self.spark, df, name)
         if mode == "overwrite":
             new, self._versions[name] = df, 0
@@ -170,7 +147,7 @@ class MemoryTables:
 
     def delete_partition(self, name: str, day) -> None:
         d = day if isinstance(day, Column) else to_day(day)
-        self.put(name, self._t[name].where(~(F.col(PARTITION_COLUMN[name]) == d)), "overwrite")
+        self.put(name, self._t[name].where(~(F.col(PARTITION_COLUMN[name]) == d)), "overwrite", landed=True)
 
 
 class ParquetTables:
@@ -260,7 +237,7 @@ class ParquetTables:
         rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{x}" for x in live])
         return _conform(rows, schema)
 
-    def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
+    def put(self, name: str, df: DataFrame, mode: str = "overwrite", landed: bool = False) -> None:
         if mode not in ("overwrite", "append", "partitions"):
             raise ValueError(f"unknown mode {mode!r}")
         df = _conform(df, self.schemas[name])
@@ -376,7 +353,7 @@ class CatalogTables:
             writer = writer.bucketBy(self.buckets, bucket).sortBy(bucket)
         writer.mode("error").saveAsTable(self.qualified(name))
 
-    def put(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
+    def put(self, name: str, df: DataFrame, mode: str = "overwrite", landed: bool = False) -> None:
         df = _conform(df, self.schemas[name])
         if mode not in ("overwrite", "append", "partitions"):
             raise ValueError(f"unknown mode {mode!r}")

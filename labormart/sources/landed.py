@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from labormart.functions.dates import to_day
 from labormart.functions.json import has_key, parse_doc
-from labormart.operators.joins import bounded_values
+from labormart.operators.joins import broadcast_if_small, distinct_values
+from labormart.operators.numbering import numbered
 from labormart.operators.rates import asof_fill
 from labormart.schemas import LIST_PAGE_DOC, RATES_DOC
 
@@ -190,12 +191,9 @@ def cap_pages(
     ).drop("_rn")
 
 
-def number_pages(docs: DataFrame, cell: list[str], order: list[str | Column], per_page: int = PER_PAGE) -> DataFrame:
+def number_pages(docs: DataFrame, cell: list[str], order: list[str], per_page: int = PER_PAGE) -> DataFrame:
     """SRC2b: ``page`` of every document in its request cell, ``per_page`` to a page, without a cap."""
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy(*cell).orderBy(*order)) - 1
-    return docs.withColumn("page", F.floor(place / per_page).cast("int"))
+    return numbered(docs, cell, order, "_place").withColumn("page", F.floor(F.col("_place") / per_page).cast("int")).drop("_place")
 
 
 def accepted_per_request(docs: DataFrame, cell: list[str], page_col: str = "page") -> DataFrame:
@@ -203,14 +201,6 @@ def accepted_per_request(docs: DataFrame, cell: list[str], page_col: str = "page
     return docs.groupBy(*cell, page_col).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def bounded_array(dim: DataFrame, col: str, max_rows: int = 10_000) -> Column:
-    """A small dimension column as one sorted array, evaluated once as a scalar subquery.
-
-    The job fails when the dimension has more than ``max_rows`` rows.
-    """
-    return bounded_values(dim, col, max_rows)
-
-
 def ingest_grid(
     spine: DataFrame,
     cities: DataFrame,
@@ -220,12 +210,13 @@ def ingest_grid(
 ) -> DataFrame:
     """Expected request cells (dt, city_id, query_profession_eng_name, page).
 
-    The city and profession dimensions enter as bounded arrays (scalar
-    subqueries), so the grid is a per-day explode, not a join.
+    The city and profession dimensions enter as arrays (scalar subqueries), so
+    the grid is a per-day explode, not a join; the days are dealt out first, so
+    that many tasks write it.
     """
-    city_ids = bounded_array(cities, "id")
-    prof_names = bounded_array(professions, "eng_name")
-    g = spine.select(F.col(day_col).alias("dt"), F.explode(city_ids).alias("city_id"))
+    city_ids = distinct_values(cities, "id")
+    prof_names = distinct_values(professions, "eng_name")
+    g = spine.repartition(F.col(day_col)).select(F.col(day_col).alias("dt"), F.explode(city_ids).alias("city_id"))
     g = g.select("dt", "city_id", F.explode(prof_names).alias("query_profession_eng_name"))
     return g.select("*", F.explode(F.sequence(F.lit(0), F.lit(pages - 1))).alias("page"))
 
@@ -263,7 +254,6 @@ __all__ = [
     "cap_pages",
     "number_pages",
     "accepted_per_request",
-    "bounded_array",
     "ingest_grid",
     "missing_cells",
     "write_staging",
@@ -281,7 +271,7 @@ def landed_sources(spark: SparkSession, root: str):
 
     def vacancy_source(spine: DataFrame) -> DataFrame:
         docs = read_vacancy_documents(spark, f"{base}/vacancies")
-        return docs.join(F.broadcast(spine.select("query_dt").distinct()), "query_dt", "left_semi")
+        return docs.join(broadcast_if_small(spine.select("query_dt").distinct()), "query_dt", "left_semi")
 
     def rate_source(spine: DataFrame) -> DataFrame:
         first = spine.select(F.min("query_dt")).scalar()

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from labormart.operators import joins
-from labormart.plans.tables import empty_table, has_deep_lineage, materialize
+from labormart.operators.numbering import numbered
+from labormart.plans.tables import empty_table
 from labormart.schemas import D_CITY
+from labormart.session import materialize
 
 
 def _is_broadcast_hinted(df) -> bool:
@@ -23,23 +25,39 @@ def test_small_scan_is_broadcast_without_counting(spark, tmp_path):
     assert _is_broadcast_hinted(out)
 
 
-def test_row_multiplying_plan_is_counted_and_bounded(spark):
+def test_row_multiplying_plan_is_written_and_sized(spark):
     a = spark.range(50).withColumn("k", F.col("id") % 5)
     b = spark.range(50).withColumn("k", F.col("id") % 5)
-    joined = a.join(b, "k")  # 500 rows: the estimate is no bound
+    joined = a.join(b, "k").select("k")  # 500 rows: the estimate is no bound
     assert not joins._estimate_is_bound(joined)
-    assert _is_broadcast_hinted(joins.broadcast_if_small(joined, max_rows=1000))
-    assert not _is_broadcast_hinted(joins.broadcast_if_small(joined, max_rows=100))
+    small, large = joins.broadcast_if_small(joined), joins.broadcast_if_small(joined, max_bytes=100)
+    assert _is_broadcast_hinted(small) and not _is_broadcast_hinted(large)
+    assert small.count() == large.count() == 500
+    assert "Join" not in large._jdf.queryExecution().optimizedPlan().toString()  # the written rows, not the plan
 
 
-def test_bounded_values_fails_over_the_bound(spark):
-    import pytest
+def test_distinct_values_have_no_limit(spark):
+    df = spark.range(300_000).select((F.col("id") % 150_000).alias("d"))
+    assert spark.range(1).select(F.size(joins.distinct_values(df, "d")).alias("n")).first().n == 150_000
 
-    df = spark.range(20).select(F.col("id").alias("d"))
-    ok = spark.range(1).select(joins.bounded_values(df, "d", 100).alias("v")).first().v
-    assert ok == list(range(20))
-    with pytest.raises(Exception, match="more than 10 distinct"):
-        spark.range(1).select(joins.bounded_values(df, "d", 10).alias("v")).collect()
+
+def test_places_within_groups_of_any_size(spark):
+    """A group over many partitions, equal rows, null keys, and columns named like the inner ones."""
+    rows = [(None if i % 50 == 7 else "hot" if i % 3 else f"k{i % 11}", i % 37, i % 2, 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, o int, tag int, part int").repartition(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = [(r.k, r.o, r.place) for r in numbered(df, ["k"], ["o"]).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    groups = {}
+    for k, o, place in got:
+        groups.setdefault(k, []).append((place, o))
+    assert len(got) == 3000
+    for places in groups.values():
+        assert [p for p, _ in sorted(places)] == list(range(len(places)))
+        assert [o for _, o in sorted(places)] == sorted(o for _, o in places)
+    assert numbered(df.where("false"), ["k"], ["o"]).count() == 0
 
 
 def test_empty_tables_vanish_from_unions(spark):
@@ -49,12 +67,10 @@ def test_empty_tables_vanish_from_unions(spark):
     assert "Range" not in plan and "Union" not in plan
 
 
-def test_lineage_heuristic_and_materialize(spark):
-    df = spark.range(100).withColumn("g", F.col("id") % 3)
-    agg = df.groupBy("g").count()
-    assert has_deep_lineage(agg) and not has_deep_lineage(df.where("id > 3"))
+def test_materialize_ends_the_plan_at_files(spark):
+    agg = spark.range(100).withColumn("g", F.col("id") % 3).groupBy("g").count()
     m = materialize(spark, agg, "t")
-    assert not has_deep_lineage(m)
+    assert "Aggregate" not in m._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in agg.collect())
 
 

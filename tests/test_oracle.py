@@ -16,6 +16,7 @@ FAST = [
     "dash_schedule_share", "dash_top_skills", "page_cap", "ingest_counts", "ingest_grid_missing",
     "list_page_details", "list_page_missing", "dq_nulls", "dq_unique", "dq_fk", "dq_length", "dq_range",
     "varchar_truncate", "ts_offset_strip", "week_trunc", "prev_day", "metrics_weekly_corrected", "dq_audit_vacancies",
+    "page_stop", "page_requests",
     "records_json", "get_cities", "get_professions", "skills_by_params", "dash_cnt_trend",
 ]
 
