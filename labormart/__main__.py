@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from labormart.plans.pipeline import run_pipeline
     from labormart.sources.dims import read_cities, seed_professions
-    from labormart.sources.landed import landed_sources
+    from labormart.sources.landed import landed_rejects, landed_sources
 
     if args.cities:
         tables.put("d_city", read_cities(spark, args.cities))
@@ -55,8 +55,8 @@ def main(argv: list[str] | None = None) -> int:
         tables.put("d_query_profession", seed_professions(spark))
     as_of = _dt.date.fromisoformat(args.as_of) if args.as_of else _dt.date.today()
     dt = _dt.date.fromisoformat(args.dt) if args.dt else as_of - _dt.timedelta(days=1)
-    vs, rs = landed_sources(spark, args.landing)
-    report = run_pipeline(spark, tables, dt=dt, as_of=as_of, sem=sem, vacancy_source=vs, rate_source=rs)
+    vs, rs = landed_sources(spark, args.landing, sem)
+    report = run_pipeline(spark, tables, dt=dt, as_of=as_of, sem=sem, vacancy_source=vs, rate_source=rs, reject_source=landed_rejects(spark, args.landing))
     print(json.dumps({"mode": report.mode, "dt": dt.isoformat(), "as_of": as_of.isoformat()}))
     return 0
 

@@ -1,4 +1,4 @@
-"""Registered queries on landed pages: the stop at the first empty page."""
+"""Registered queries on landed pages and documents: the stop at the first empty page, rejected documents."""
 
 from __future__ import annotations
 
@@ -68,3 +68,93 @@ def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cells = td.vacancies(spark, sf_dir).select(*_CELL).distinct()
     return requests_made(_landed_pages(spark, sf_dir), cells, _CELL)
+
+
+# ---- rejected documents (X1b, X6, Q-RNG, Q-LEN) -----------------------------------
+
+_FAULT = "CASE WHEN k % 23 = 0 OR k % 29 = 0 OR k % 43 = 0 THEN 'malformed' WHEN k % 31 = 0 THEN 'id' WHEN k % 37 = 0 THEN 'published_at' WHEN k % 41 = 0 THEN 'salary_from' WHEN k % 47 = 0 THEN 'skill_name' END"
+
+
+def _faulty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed vacancy documents, some cut off, wrapped, followed by text or with fields that do not fit."""
+    docs = td.vacancy_documents(spark, sf_dir).withColumn("k", F.get_json_object("obj", "$.id").cast("bigint"))
+    obj, k = F.col("obj"), F.col("k")
+    long_name = F.concat(F.lit('"key_skills":[{"name":"'), F.repeat(F.lit("x"), 151), F.lit('"},'))
+    faulty = (
+        F.when(k % 23 == 0, F.expr("left(obj, length(obj) - 5)"))
+        .when(k % 29 == 0, F.concat(F.lit("["), obj, F.lit("]")))
+        .when(k % 43 == 0, F.concat(obj, F.lit(" {}")))
+        .when(k % 31 == 0, F.replace(obj, F.concat(F.lit('"id":'), k.cast("string"), F.lit(",")), F.lit('"id":"x1",')))
+        .when(k % 37 == 0, F.replace(obj, F.lit("T00:00:00"), F.lit("T25:00:00")))
+        .when(k % 41 == 0, F.replace(obj, F.lit('"from":'), F.lit('"from":"12,5","was":')))
+        .when(k % 47 == 0, F.replace(obj, F.lit('"key_skills":['), long_name))
+        .otherwise(obj)
+    )
+    return docs.withColumn("obj", faulty).drop("k")
+
+
+def _rate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate documents of more days: the first order day's, cut-off ones and ones with a value that is no number."""
+    good = td.rate_documents(spark, sf_dir)
+    days = td.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("doc_day")).distinct()
+    n = F.unix_date("doc_day") % 50
+    broken = days.where(n == 0).select(F.lit('{"Date": "2024').alias("obj"), "doc_day")
+    record = '{"ID": "R1", "NumCode": "1", "CharCode": "XXX", "Name": "X", "Value": "n/a", "Previous": "1", "Nominal": "1"}'
+    text = F.concat(F.lit('{"Date": "'), F.date_format("doc_day", "yyyy-MM-dd"), F.lit('T11:30:00+03:00", "Valute": {"XXX": ' + record + "}}"))
+    return good.unionByName(broken).unionByName(days.where(n == 1).select(text.alias("obj"), "doc_day"))
+
+
+def _quarantined(spark: SparkSession, sf_dir: str):
+    from labormart.operators.quarantine import keep_rejects, rejected_rate_files
+    from labormart.plans.catalog import _staged_tables
+    from labormart.plans.pipeline import load, stage
+    from labormart.semantics import CORRECTED
+    from labormart.sources.landed import rate_documents_for_days
+
+    tables = _staged_tables(spark, sf_dir, CORRECTED)
+    first, last = td.order_date_bounds(spark, sf_dir)
+    rates = _rate_days(spark, sf_dir)
+    one_a_day = rates.groupBy("doc_day").agg(F.min("obj").alias("obj")).select("obj", "doc_day")
+    staged = rate_documents_for_days(one_a_day, end=last, start=first)
+    with tables.transaction():
+        stage(tables, _faulty_documents(spark, sf_dir), staged)
+        keep_rejects(tables, rejected_rate_files(rates))
+        load(tables, CORRECTED, None)
+    return tables
+
+
+@register(
+    "rejected_counts",
+    f"""WITH faults AS (
+  SELECT 'vacancies' AS source, {_FAULT} AS reason, k
+  FROM (SELECT o_orderkey AS k FROM orders o WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey))
+),
+days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+numbered AS (SELECT d, datediff('day', DATE '1970-01-01', d) % 50 AS n, MIN(d) OVER () AS first_day, MAX(d) OVER () AS last_day FROM days),
+usable AS (SELECT d, n, last_day FROM numbered WHERE n = 1 OR (d = first_day AND n <> 0)),
+held AS (SELECT n, date_diff('day', d, COALESCE(LEAD(d) OVER (ORDER BY d), last_day + 1)) AS n_days FROM usable)
+SELECT source, reason, COUNT(*) AS n_rejects, CAST(COUNT(*) AS BIGINT) AS n_rows FROM faults f
+WHERE reason IS NOT NULL AND (reason <> 'skill_name' OR EXISTS (SELECT 1 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey WHERE l.l_orderkey = f.k))
+GROUP BY ALL
+UNION ALL SELECT 'rates', 'malformed', COUNT(*), COUNT(*) FROM numbered WHERE n = 0 HAVING COUNT(*) > 0
+UNION ALL SELECT 'rates', 'value', CAST(SUM(n_days) AS BIGINT), CAST(SUM(n_days) AS BIGINT) FROM held WHERE n = 1 HAVING COUNT(*) > 0""",
+)
+def rejected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1b, X6, Q-RNG, Q-LEN: what a CORRECTED load keeps out, by source and reason.
+
+    A rate document that serves several days is staged, and rejected, once for each.
+    """
+    rows = _quarantined(spark, sf_dir).get("rejects")
+    return rows.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n_rejects"), F.sum("n_rows").alias("n_rows"))
+
+
+@register(
+    "accepted_beside_rejects",
+    f"""WITH {O.vacancies_cte()}, faults AS (SELECT v.*, {_FAULT.replace("k %", "vacancy_id %")} AS fault FROM v)
+SELECT query_profession_eng_name, COUNT(*) AS n_vacancies, CAST(SUM(vacancy_id) AS BIGINT) AS id_sum FROM faults
+WHERE fault IS NULL OR fault = 'skill_name' GROUP BY ALL""",
+)
+def accepted_beside_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vacancies that the same load accepts; a skill name that is too long costs the entry, not the document."""
+    vac = _quarantined(spark, sf_dir).get("d_vacancies")
+    return vac.groupBy("query_profession_eng_name").agg(F.count(F.lit(1)).alias("n_vacancies"), F.sum("vacancy_id").alias("id_sum"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labormart.functions.dates import day_spine, to_day
-from labormart.operators import bridge, marts, merge, parse
+from labormart.operators import bridge, marts, merge, parse, quarantine
 from labormart.operators.joins import semi_join_days
 from labormart.schemas import METRIC_KEY, SKILL_KEY, VACANCY_KEY
 from labormart.semantics import REFERENCE, Semantics
@@ -86,7 +86,14 @@ def _load(
     vac_days = None if batch is None else stg_v.select(F.col("query_dt").alias("dt"))
     # the scope's documents are parsed once, and the readers below use the struct;
     # of other staged days only the skill names are read (Q13)
-    parsed_scope = tables.scratch(parse.parse_vacancy_documents(scope_v), "parsed_vacancies")
+    if sem.quarantine:
+        checked = tables.scratch(quarantine.check_vacancies(scope_v, sem), "parsed_vacancies")
+        parsed_scope = quarantine.accepted_vacancies(checked, sem)
+        stg_r, scope_r, bad_rates = _sound_rates(tables, stg_r, scope_r)
+        quarantine.keep_rejects(tables, quarantine.rejects_of(checked, "vacancies").unionByName(bad_rates))
+    else:
+        checked = quarantine.must_fit(quarantine.check_vacancies(scope_v, sem))
+        parsed_scope = tables.scratch(checked.drop("obj"), "parsed_vacancies")
     cities = tables.get("d_city")
     professions = tables.get("d_query_profession")
 
@@ -102,7 +109,9 @@ def _load(
     # SNK3/J4: skill names of all staged documents that are not known yet (Q13)
     entries = parse.skill_entries(parsed_scope, sem)
     if day is not None and batch is None:
-        entries = entries.unionByName(parse.skill_entries(stg_v.where(~(F.col("query_dt") == (day if isinstance(day, Column) else to_day(day)))), sem))
+        others = quarantine.check_vacancies(stg_v.where(~(F.col("query_dt") == (day if isinstance(day, Column) else to_day(day)))), sem)
+        others = quarantine.accepted_vacancies(others, sem) if sem.quarantine else quarantine.must_fit(others)
+        entries = entries.unionByName(parse.skill_entries(others, sem))
     names = parse.skill_names(entries)
     new_names = merge.insert_new(tables.get("d_skill"), names, ["name"])
     tables.put("d_skill", new_names.select(F.xxhash64("name").alias("id"), "name"), "append")
@@ -123,12 +132,13 @@ def _load(
         tables.put("fct_skill_vacancy", links, "append")
 
     # Currency dimension from all staged rate documents (Q13)
-    currencies = parse.currency_dimension_rows(parse.rate_records(stg_r), sem)
+    sound = (lambda rows: quarantine.check_rate_records(rows).where(F.size("reasons") == 0).drop("reasons")) if sem.quarantine else (lambda rows: rows)
+    currencies = parse.currency_dimension_rows(sound(parse.rate_records(stg_r)), sem)
     dim = merge.upsert(tables.get("d_exchange_rates"), currencies, ["char_code"], on_duplicate=None)
     tables.put("d_exchange_rates", dim, "overwrite")
 
     # Rate facts of the scope for known currencies
-    facts = parse.rate_fact_rows(parse.rate_records(scope_r)).join(
+    facts = parse.rate_fact_rows(sound(parse.rate_records(scope_r))).join(
         tables.get("d_exchange_rates").select("char_code"), "char_code", "left_semi"
     )
     tables.put("fct_exchange_rates", facts, "partitions" if sem.replace_facts else "append")
@@ -173,12 +183,20 @@ def _load(
     return LoadReport("full" if full else "incremental", day)
 
 
+def _sound_rates(tables, stg_r: DataFrame, scope_r: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged rate rows and the scope's, without documents that do not fit; and the rejects of the scope."""
+    fine = lambda rows: quarantine.check_rate_documents(rows).where(F.size("reasons") == 0).select("obj", "query_dt", "update_ts")
+    documents = quarantine.rejects_of(quarantine.check_rate_documents(scope_r), "rates")
+    records = quarantine.check_rate_records(parse.rate_records(fine(scope_r)).withColumnRenamed("dt", "query_dt"))
+    return fine(stg_r), fine(scope_r), documents.unionByName(quarantine.rejects_of(records, "rates", F.to_json("v")))
+
+
 def stage(tables, vacancy_docs: DataFrame | None = None, rate_docs: DataFrame | None = None) -> None:
     """SNK1: append staged rows (already in staging layout)."""
     if vacancy_docs is not None:
         tables.put("stg_vacancies", vacancy_docs, "append", landed=True)
     if rate_docs is not None:
-        tables.put("stg_exchange_rates", rate_docs, "append", landed=True)
+        tables.put("stg_exchange_rates", rate_docs, "append")
 
 
 def plan_days(dt: _dt.date, as_of: _dt.date) -> tuple[str, list[_dt.date] | tuple[_dt.date, _dt.date]]:
@@ -202,13 +220,15 @@ def run_pipeline(
     sem: Semantics = REFERENCE,
     vacancy_source=None,
     rate_source=None,
+    reject_source=None,
 ) -> LoadReport:
     """Stage the documents of the days ``dt`` … yesterday, then run the load.
 
     ``as_of`` fixes "today" once for the whole run (Q9). ``vacancy_source``
     and ``rate_source`` are callables ``(spine DataFrame) -> staged rows``
-    that select the landed documents for the requested days. Staging and load
-    are published together.
+    that select the landed documents for the requested days; ``reject_source``
+    names landed files that serve no day, for the table ``rejects``. Staging and
+    load are published together.
     """
     as_of = as_of or _dt.date.today()
     dt = dt or (as_of - _dt.timedelta(days=1))
@@ -219,4 +239,6 @@ def run_pipeline(
             stage(tables, vacancy_docs=vacancy_source(spine))
         if rate_source is not None:
             stage(tables, rate_docs=rate_source(spine))
+        if reject_source is not None and sem.quarantine:
+            quarantine.keep_rejects(tables, reject_source(spine))
         return load(tables, sem, None if mode == "full" else end)

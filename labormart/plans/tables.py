@@ -39,6 +39,7 @@ PARTITION_COLUMN = {
     "fct_exchange_rates": "dt",
     "dm_metrics": "dt",
     "dm_skills": "dt",
+    "rejects": "query_dt",
 }
 
 
@@ -55,6 +56,7 @@ def table_schemas(sem: Semantics = REFERENCE) -> dict[str, T.StructType]:
         "fct_exchange_rates": schemas.FCT_EXCHANGE_RATES,
         "dm_metrics": schemas.dm_metrics(sem.salary_precision, sem.grain_column),
         "dm_skills": schemas.DM_SKILLS,
+        "rejects": schemas.REJECTS,
     }
 
 

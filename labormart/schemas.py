@@ -41,6 +41,21 @@ RATES_DOC = T.StructType(
     ]
 )
 
+# ---- documents that do not fit ----
+
+REJECTS = T.StructType(
+    [
+        T.StructField("reject_id", T.LongType(), False),
+        T.StructField("source", S, False),
+        T.StructField("reason", S, False),
+        T.StructField("obj", S),
+        T.StructField("query_profession_eng_name", S),
+        T.StructField("query_dt", T.DateType()),
+        T.StructField("update_ts", T.TimestampNTZType()),
+        T.StructField("n_rows", T.LongType()),
+    ]
+)
+
 # ---- staging ----------------------------------------------------------------
 
 STG_VACANCIES = T.StructType(

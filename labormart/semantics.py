@@ -44,6 +44,8 @@ class Semantics:
     currency_len: int = 10
     experience_len: int = 20
     skill_name_len: int = 150
+    # X1b/Q-RNG/Q-LEN: keep documents that do not fit in ``rejects`` instead of failing.
+    quarantine: bool = False
 
     def with_(self, **changes) -> "Semantics":
         return replace(self, **changes)
@@ -72,6 +74,7 @@ CORRECTED = Semantics(
     weighted_dashboard_avg=True,
     home_aliases=("RUB",),
     salary_precision=18,
+    quarantine=True,
 )
 
 PRESETS = {"reference": REFERENCE, "corrected": CORRECTED}

@@ -26,6 +26,7 @@ from labormart.operators.joins import broadcast_if_small, distinct_values
 from labormart.operators.numbering import numbered
 from labormart.operators.rates import asof_fill
 from labormart.schemas import LIST_PAGE_DOC, RATES_DOC
+from labormart.semantics import REFERENCE, Semantics
 
 COUNT_PAGE = 3  # fixed value: pages requested per (day, city, profession)
 PER_PAGE = 100  # fixed value: documents per page
@@ -60,29 +61,29 @@ def malformed_documents(docs: DataFrame, col: str = "obj") -> DataFrame:
     return docs.where(~is_json_object(col))
 
 
-def keep_well_formed(docs: DataFrame, on_malformed: str = "drop", col: str = "obj") -> DataFrame:
+def keep_well_formed(docs: DataFrame, on_malformed: str = "fail", col: str = "obj") -> DataFrame:
     """The source's json column rejects malformed text at staging time.
 
-    ``"drop"`` leaves such lines out (list them with :func:`malformed_documents`),
-    ``"fail"`` fails the job on the first one, as the rejected insert does.
+    ``"fail"`` fails the job on the first such line, as the rejected insert does;
+    ``"keep"`` stages it as it is, and the load puts it into ``rejects``.
     """
-    if on_malformed == "drop":
-        return docs.where(is_json_object(col))
+    if on_malformed == "keep":
+        return docs
     if on_malformed == "fail":
         guard = F.when(~is_json_object(col), F.raise_error(F.lit("malformed JSON document")))
         return docs.where(guard.isNull())
-    raise ValueError("on_malformed must be 'drop' or 'fail'")
+    raise ValueError("on_malformed must be 'keep' or 'fail'")
 
 
 def read_vacancy_documents(
-    spark: SparkSession, path: str, query_dt: str | _dt.date | None = None, on_malformed: str = "drop"
+    spark: SparkSession, path: str, query_dt: str | _dt.date | None = None, on_malformed: str = "fail"
 ) -> DataFrame:
     """SRC1 + SRC6: landed vacancy documents as staging rows.
 
     Returns (obj, query_profession_eng_name, query_dt, update_ts); the load
     time is the file's modification time. ``query_dt`` selects one day
     (partition pruning on the directory column). Lines that are not JSON
-    objects are dropped or fail the job (``on_malformed``).
+    objects fail the job or are staged for the quarantine (``on_malformed``).
     """
     df = _landed_text(spark, path)
     if query_dt is not None:
@@ -107,16 +108,19 @@ def rate_documents_for_days(
     docs: DataFrame,
     end: Column | str | _dt.date,
     start: Column | str | _dt.date | None = None,
+    on_malformed: str = "keep",
 ) -> DataFrame:
     """J8 + F5: one staged rate document per requested day.
 
     ``docs`` has (obj, doc_day); documents with an ``error`` key, and text that
     is not one JSON object (a file cut off while it landed), do not count:
-    the latest valid document before them serves. Each day from ``start`` to ``end`` takes the latest valid
+    the latest valid document before them serves. With ``on_malformed="fail"``
+    such a file fails the job instead; else
+    :func:`labormart.operators.quarantine.rejected_rate_files` accounts for it. Each day from ``start`` to ``end`` takes the latest valid
     document published on or before it, stored under the requested day
     (``query_dt``). No lookback limit.
     """
-    valid = reject_errors(docs.where(is_json_object("obj")), "error")
+    valid = reject_errors(keep_well_formed(docs, on_malformed).where(is_json_object("obj")), "error")
     # one document per day: the last one landed wins
     order = F.struct(F.col("_landed_ts"), F.col("obj")) if "_landed_ts" in docs.columns else F.col("obj")
     per_day = valid.groupBy("doc_day").agg(F.max_by("obj", order).alias("obj"))
@@ -260,27 +264,40 @@ __all__ = [
 ]
 
 
-def landed_sources(spark: SparkSession, root: str):
+def landed_sources(spark: SparkSession, root: str, sem: Semantics = REFERENCE):
     """(vacancy_source, rate_source) callables over ``<root>/vacancies`` and ``<root>/rates``.
 
     Each takes the requested day spine (column ``query_dt``) and returns staged
     rows for those days: the vacancy documents landed under those days, and
-    one rate document per day (as-of filled).
+    one rate document per day (as-of filled). Malformed text fails the job, or
+    is kept for the quarantine where ``sem`` has one.
     """
     base = root.rstrip("/")
+    on_malformed = "keep" if sem.quarantine else "fail"
 
     def vacancy_source(spine: DataFrame) -> DataFrame:
-        docs = read_vacancy_documents(spark, f"{base}/vacancies")
+        docs = read_vacancy_documents(spark, f"{base}/vacancies", on_malformed=on_malformed)
         return docs.join(broadcast_if_small(spine.select("query_dt").distinct()), "query_dt", "left_semi")
 
     def rate_source(spine: DataFrame) -> DataFrame:
         first = spine.select(F.min("query_dt")).scalar()
         last = spine.select(F.max("query_dt")).scalar()
-        return rate_documents_for_days(read_rate_documents(spark, f"{base}/rates"), end=last, start=first)
+        return rate_documents_for_days(read_rate_documents(spark, f"{base}/rates"), end=last, start=first, on_malformed=on_malformed)
 
     return vacancy_source, rate_source
 
 
+def landed_rejects(spark: SparkSession, root: str):
+    """A callable like those of :func:`landed_sources`: the rate files of the days that never served."""
+    from labormart.operators.quarantine import rejected_rate_files
+
+    def reject_source(spine: DataFrame) -> DataFrame:
+        rows = rejected_rate_files(read_rate_documents(spark, f"{root.rstrip('/')}/rates"))
+        return rows.join(broadcast_if_small(spine.select("query_dt").distinct()), "query_dt", "left_semi")
+
+    return reject_source
+
+
 def land_documents(df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """Write documents (column ``obj``) as landed text files, one document per line."""
     df.select("obj", *partition_cols).write.mode("append").partitionBy(*partition_cols).text(path)

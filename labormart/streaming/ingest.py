@@ -22,20 +22,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from labormart.functions.json import has_key
+from labormart.operators.joins import semi_join_days
 from labormart.plans.pipeline import load
 from labormart.semantics import REFERENCE, Semantics
-from labormart.sources.landed import is_json_object, rate_documents_for_days
+from labormart.operators.quarantine import keep_rejects, rejected_rate_files
+from labormart.sources.landed import keep_well_formed, rate_documents_for_days
 
 
 def _from_path(path_col, name: str):
     return F.url_decode(F.regexp_extract(path_col, f"{name}=([^/]+)", 1))
 
 
-def vacancy_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def vacancy_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, on_malformed: str = "fail") -> DataFrame:
     """Streaming staging rows (obj, query_profession_eng_name, query_dt, update_ts) from landed files.
 
     Day and profession come from the ``query_dt=`` / ``query_profession_eng_name=``
-    folders; malformed lines (X1b) and error documents (F4) are dropped.
+    folders; error documents (F4) are dropped. Malformed lines (X1b) fail the
+    query, or go on to the load's quarantine (``on_malformed="keep"``).
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -48,7 +51,7 @@ def vacancy_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
         _from_path(fp, "query_dt").cast("date").alias("query_dt"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("update_ts"),
     )
-    return staged.where(is_json_object("obj") & ~has_key("obj", "errors"))
+    return keep_well_formed(staged, on_malformed).where(~has_key("obj", "errors"))
 
 
 def batch_loader(
@@ -68,8 +71,11 @@ def batch_loader(
             return
         first = batch.select(F.min("query_dt")).scalar()
         last = batch.select(F.max("query_dt")).scalar()
-        rates = rate_documents_for_days(rate_documents(), end=last, start=first)
+        docs = rate_documents()
+        rates = rate_documents_for_days(docs, end=last, start=first, on_malformed="keep" if sem.quarantine else "fail")
         with tables.transaction():
+            if sem.quarantine:
+                keep_rejects(tables, semi_join_days(rejected_rate_files(docs), batch, ["query_dt"]))
             load(tables, sem, batch=(batch, rates))
             if stream is not None:
                 tables.note_batch(stream, epoch_id)
@@ -90,7 +96,7 @@ def start_incremental(
 ) -> StreamingQuery:
     """Start the streaming incremental load; returns the running query."""
     writer = (
-        vacancy_stream(spark, vacancy_path, max_files_per_trigger)
+        vacancy_stream(spark, vacancy_path, max_files_per_trigger, "keep" if sem.quarantine else "fail")
         .writeStream.foreachBatch(batch_loader(tables, rate_documents, sem, checkpoint_location))
         .option("checkpointLocation", checkpoint_location)
         .queryName("labormart_incremental")
