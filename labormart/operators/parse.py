@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labormart.functions.dates import local_timestamp
-from labormart.functions.json import parse_doc
+from labormart.functions.json import parse_doc, variant_field
 from labormart.functions.text import truncate
+from labormart.operators import variants
 from labormart.operators.joins import broadcast_if_small
-from labormart.schemas import RATES_DOC, VACANCY_DOC, VACANCY_KEY
+from labormart.schemas import RATE_RECORD, RATES_DOC, VACANCY_DOC, VACANCY_KEY
 from labormart.semantics import REFERENCE, Semantics
 
 VACANCY_VALUE_COLS = [
@@ -36,6 +37,8 @@ def parse_vacancy_documents(staging: DataFrame) -> DataFrame:
     """
     if "d" in staging.columns:
         return staging
+    if "v" in staging.columns:
+        return staging.withColumn("d", variants.as_struct("v", VACANCY_DOC)).drop("obj")
     return staging.select(
         parse_doc("obj", VACANCY_DOC).alias("d"), "query_profession_eng_name", "query_dt", "update_ts"
     )
@@ -142,6 +145,13 @@ def skill_entries(staging: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
     Output: (vacancy_id, dt, query_profession_eng_name, skill_name). A NULL
     name is kept unless ``sem.drop_null_skills``.
     """
+    if "v" in staging.columns:
+        keep = [variant_field("v", "id").cast("bigint").alias("vacancy_id"), F.col("query_dt").cast("date").alias("dt"), F.col("query_profession_eng_name")]
+        found = variants.unnested(staging, "$.key_skills", keep, value="s")
+        rows = found.select("vacancy_id", "dt", "query_profession_eng_name", variant_field("s", "name").alias("skill_name"))
+        if "d" in staging.columns:  # checked rows: names that do not fit were taken out of ``d``
+            rows = rows.where(F.col("skill_name").isNull() | (F.length("skill_name") <= sem.skill_name_len))
+        return rows.where(F.col("skill_name").isNotNull()) if sem.drop_null_skills else rows
     d = F.col("d")
     rows = parse_vacancy_documents(staging).select(
         d["id"].cast("bigint").alias("vacancy_id"),
@@ -162,7 +172,12 @@ def skill_names(entries: DataFrame) -> DataFrame:
 def rate_records(rate_staging: DataFrame) -> DataFrame:
     """One row per currency entry of each rate document (``Valute`` map)."""
     d = parse_doc("obj", RATES_DOC)
-    extra = [c for c in rate_staging.columns if c not in ("obj", "query_dt", "update_ts")]
+    extra = [c for c in rate_staging.columns if c not in ("obj", "v", "query_dt", "update_ts")]
+    if "v" in rate_staging.columns:
+        stamp = F.col("update_ts") if "update_ts" in rate_staging.columns else F.lit(None).cast("timestamp_ntz").alias("update_ts")
+        keep = [*[F.col(c) for c in extra], variant_field("v", "Date").alias("doc_date"), F.col("query_dt").cast("date").alias("dt"), stamp]
+        found = variants.unnested(rate_staging, "$.Valute", keep, key="code_key", value="entry")
+        return found.withColumn("v", variants.as_struct("entry", RATE_RECORD)).drop("entry")
     base = rate_staging.select(
         *extra,
         d["Date"].alias("doc_date"),

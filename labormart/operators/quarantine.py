@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labormart.functions.json import parse_doc
+from labormart.functions.json import parse_doc, variant_field
+from labormart.operators import variants
 from labormart.schemas import RATES_DOC, VACANCY_DOC
 from labormart.semantics import REFERENCE, Semantics
 from labormart.sources.landed import is_json_object
@@ -33,8 +34,11 @@ def _reasons(*checks: tuple[str, Column]) -> Column:
 
 def check_vacancies(staging: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
     """Staged vacancy rows, parsed once: the struct ``d``, the text, and ``reasons`` (empty if all is well)."""
-    parsed = staging.select("obj", parse_doc("obj", VACANCY_DOC).alias("d"), "query_profession_eng_name", "query_dt", "update_ts")
-    whole = F.coalesce(is_json_object("obj"), F.lit(False))
+    columns = ["query_profession_eng_name", "query_dt", "update_ts"]
+    if "v" in staging.columns:  # staged as VARIANT
+        parsed, whole = staging.select("obj", "v", variants.as_struct("v", VACANCY_DOC).alias("d"), *columns), variants.is_object()
+    else:
+        parsed, whole = staging.select("obj", parse_doc("obj", VACANCY_DOC).alias("d"), *columns), F.coalesce(is_json_object("obj"), F.lit(False))
     d = F.col("d")
     too_long = F.exists(d["key_skills"], lambda s: F.length(s["name"]) > sem.skill_name_len)
     fields = [
@@ -60,16 +64,20 @@ def accepted_vacancies(checked: DataFrame, sem: Semantics = REFERENCE) -> DataFr
     """Documents nothing speaks against, as parsed rows; of their skills, those with a name that fits."""
     fine = checked.where(F.size(F.array_except("reasons", F.array(*[F.lit(r) for r in ENTRY_REASONS]))) == 0)
     short = F.filter(F.col("d.key_skills"), lambda s: s["name"].isNull() | (F.length(s["name"]) <= sem.skill_name_len))
-    return fine.select(F.col("d").withField("key_skills", short).alias("d"), "query_profession_eng_name", "query_dt", "update_ts")
+    variant = ["v"] if "v" in checked.columns else []
+    return fine.select(F.col("d").withField("key_skills", short).alias("d"), *variant, "query_profession_eng_name", "query_dt", "update_ts")
 
 
 def check_rate_documents(staging: DataFrame) -> DataFrame:
     """Staged rate rows, parsed once, with the ``reasons`` against the document as a whole."""
-    parsed = staging.select("obj", parse_doc("obj", RATES_DOC).alias("d"), "query_dt", "update_ts")
-    whole = F.coalesce(is_json_object("obj"), F.lit(False))
+    if "v" in staging.columns:
+        parsed, whole, day = staging, variants.is_object(), variant_field("v", "Date")
+    else:
+        parsed, whole = staging.withColumn("d", parse_doc("obj", RATES_DOC)), F.coalesce(is_json_object("obj"), F.lit(False))
+        day = F.col("d.Date")
     return parsed.withColumn(
         "reasons",
-        _reasons(("malformed", ~whole), ("rate_date", whole & _unfit(F.col("d.Date"), "timestamp_ntz")), ("query_dt", F.col("query_dt").isNull())),
+        _reasons(("malformed", ~whole), ("rate_date", whole & _unfit(day, "timestamp_ntz")), ("query_dt", F.col("query_dt").isNull())),
     )
 
 

@@ -158,3 +158,59 @@ def accepted_beside_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vacancies that the same load accepts; a skill name that is too long costs the entry, not the document."""
     vac = _quarantined(spark, sf_dir).get("d_vacancies")
     return vac.groupBy("query_profession_eng_name").agg(F.count(F.lit(1)).alias("n_vacancies"), F.sum("vacancy_id").alias("id_sum"))
+
+
+# ---- documents staged as VARIANT (X3-X5, J3, J7) -----------------------------------
+
+from labormart.plans.catalog import ORACLE, line_item_documents  # noqa: E402
+
+
+def _variant_copy(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """Documents as a staged table with a VARIANT column, written once and read back."""
+    from labormart.operators.variants import with_variant
+    from labormart.session import materialize
+
+    return materialize(spark, with_variant(docs).drop("obj"), name)
+
+
+@register(
+    "variant_extract",
+    f"""WITH {O.vacancies_cte(20)}
+SELECT vacancy_id, city_id, salary_currency, salary_from, salary_to, experience, schedule, published_at, dt FROM v""",
+)
+def variant_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed vacancy columns read from staged VARIANT documents."""
+    from labormart.operators.parse import vacancy_rows
+    from labormart.semantics import CORRECTED
+
+    rows = vacancy_rows(_variant_copy(spark, td.vacancy_documents(spark, sf_dir), "variant-documents"), CORRECTED)
+    return rows.select("vacancy_id", "city_id", "salary_currency", "salary_from", "salary_to", "experience", "schedule", "published_at", "dt")
+
+
+@register("variant_array_explode", ORACLE["json_array_explode"])
+def variant_array_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per element of ``key_skills``, by ``variant_explode``."""
+    from labormart.operators.parse import skill_entries
+
+    return skill_entries(_variant_copy(spark, td.vacancy_documents(spark, sf_dir), "variant-documents"))
+
+
+@register("variant_map_explode", ORACLE["json_map_explode"])
+def variant_map_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One typed row per entry of ``Valute``, by ``variant_explode``."""
+    from labormart.operators.parse import rate_records, typed_rate_records
+
+    typed = typed_rate_records(rate_records(_variant_copy(spark, line_item_documents(spark, sf_dir), "variant-rates")))
+    return typed.select("l_orderkey", "l_linenumber", "char_code", "num_code", "name", "value", "previous", "nominal", "published_at", "dt")
+
+
+@register("full_backfill_variant", ORACLE["full_backfill_skills"])
+def full_backfill_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 with documents parsed once into VARIANT: the same ranking as from text."""
+    from labormart.plans.catalog import _rate_staging, _staged_tables
+    from labormart.plans.pipeline import load, stage
+
+    tables = _staged_tables(spark, sf_dir)
+    stage(tables, td.vacancy_documents(spark, sf_dir), _rate_staging(spark, sf_dir))
+    load(tables, day=None, documents="variant")
+    return tables.get("dm_skills")

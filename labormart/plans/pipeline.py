@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labormart.functions.dates import day_spine, to_day
-from labormart.operators import bridge, marts, merge, parse, quarantine
+from labormart.operators import bridge, marts, merge, parse, quarantine, variants
 from labormart.operators.joins import semi_join_days
 from labormart.schemas import METRIC_KEY, SKILL_KEY, VACANCY_KEY
 from labormart.semantics import REFERENCE, Semantics
@@ -54,17 +54,20 @@ def load(
     sem: Semantics = REFERENCE,
     day: Column | _dt.date | None = None,
     batch: tuple[DataFrame, DataFrame] | None = None,
+    documents: str = "json",
 ) -> LoadReport:
     """C1 (``day`` given) / C2 (``day=None``) over a tables back end.
 
     ``batch`` = (staged vacancy rows, staged rate rows) runs the incremental
     load on rows that never went through the staging tables (a streaming
     micro-batch): they are the whole scope, metrics are at day grain, and
-    the staging tables are left alone. All tables change together, at the
+    the staging tables are left alone. ``documents="variant"`` parses the staged
+    text once into VARIANT, written as such, and unnests arrays and objects from
+    it; the results are the same. All tables change together, at the
     end; a load that fails changes none and can be run again.
     """
     with tables.transaction():
-        return _load(tables, sem, day, batch)
+        return _load(tables, sem, day, batch, documents)
 
 
 def _load(
@@ -72,7 +75,10 @@ def _load(
     sem: Semantics,
     day: Column | _dt.date | None,
     batch: tuple[DataFrame, DataFrame] | None,
+    documents: str,
 ) -> LoadReport:
+    if documents not in ("json", "variant"):
+        raise ValueError("documents must be 'json' or 'variant'")
     if batch is not None:
         stg_v, stg_r = batch
         scope_v, scope_r = stg_v, stg_r
@@ -83,6 +89,10 @@ def _load(
         stg_r = tables.get("stg_exchange_rates")
         scope_v = _scope(stg_v, "query_dt", day)
         scope_r = _scope(stg_r, "query_dt", day)
+    if documents == "variant":
+        scope_v = tables.scratch(variants.with_variant(scope_v), "variant_vacancies")
+        stg_r = tables.scratch(variants.with_variant(stg_r), "variant_rates")
+        scope_r = stg_r if full or batch is not None else _scope(stg_r, "query_dt", day)
     vac_days = None if batch is None else stg_v.select(F.col("query_dt").alias("dt"))
     # the scope's documents are parsed once, and the readers below use the struct;
     # of other staged days only the skill names are read (Q13)
@@ -185,7 +195,7 @@ def _load(
 
 def _sound_rates(tables, stg_r: DataFrame, scope_r: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Staged rate rows and the scope's, without documents that do not fit; and the rejects of the scope."""
-    fine = lambda rows: quarantine.check_rate_documents(rows).where(F.size("reasons") == 0).select("obj", "query_dt", "update_ts")
+    fine = lambda rows: quarantine.check_rate_documents(rows).where(F.size("reasons") == 0).drop("d", "reasons")
     documents = quarantine.rejects_of(quarantine.check_rate_documents(scope_r), "rates")
     records = quarantine.check_rate_records(parse.rate_records(fine(scope_r)).withColumnRenamed("dt", "query_dt"))
     return fine(stg_r), fine(scope_r), documents.unionByName(quarantine.rejects_of(records, "rates", F.to_json("v")))
