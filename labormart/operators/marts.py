@@ -65,12 +65,8 @@ def vacancy_salaries(vacancies: DataFrame, rates: DataFrame, sem: Semantics = RE
     ``rates`` carries (char_code, dt, value, nominal), possibly repeated. A
     vacancy without currency, rate or salary keeps one row with NULL salary.
     """
-    lookup = broadcast_if_small(rate_lookup(rates))
-    joined = vacancies.join(
-        lookup,
-        (vacancies["salary_currency"] == lookup["char_code"]) & (vacancies["dt"] == lookup["dt"]),
-        "left",
-    ).drop(lookup["dt"]).drop("char_code")
+    lookup = broadcast_if_small(rate_lookup(rates).select(F.col("char_code").alias("_code"), F.col("dt").alias("_day"), "quotes"))
+    joined = vacancies.join(lookup, (F.col("salary_currency") == F.col("_code")) & (F.col("dt") == F.col("_day")), "left").drop("_code", "_day")
 
     def mid(rate: Column, nominal: Column) -> Column:
         return salary_midpoint("salary_currency", "salary_from", "salary_to", rate, nominal, sem)

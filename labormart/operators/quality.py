@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labormart.schemas import METRIC_AVG_COLS, METRIC_KEY, METRIC_MEASURES
+
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Q-NN: (column_name, n_rows, n_null) for each column, in one aggregate pass."""
@@ -76,10 +78,13 @@ def audit_summary(checks: dict[str, DataFrame]) -> DataFrame:
 
 
 # The source's declared constraints, per table of this library's layout.
-# fixed values: column lengths are the DDL's varchar sizes
+# fixed values: NOT NULL columns, keys and column lengths are the DDL's
+_MART_NAMES = {"city_name": 100, "query_profession_eng_name": 100}
 CONSTRAINTS = {
+    "stg_vacancies": {"not_null": ["obj", "query_profession_eng_name", "query_dt", "update_ts"], "length": {"query_profession_eng_name": 100}},
+    "stg_exchange_rates": {"not_null": ["obj", "query_dt"]},
     "d_city": {"not_null": ["id", "name", "eng_name"], "unique": [["id"]], "length": {"name": 100, "eng_name": 100}},
-    "d_query_profession": {"not_null": ["id", "name", "eng_name"], "unique": [["eng_name"]]},
+    "d_query_profession": {"not_null": ["id", "name", "eng_name"], "unique": [["id"], ["eng_name"]], "length": {"name": 100, "eng_name": 100}},
     "d_vacancies": {
         "not_null": ["vacancy_id", "city_id", "query_profession_eng_name"],
         "unique": [["vacancy_id", "dt", "query_profession_eng_name"]],
@@ -88,10 +93,11 @@ CONSTRAINTS = {
     },
     "d_skill": {"length": {"name": 150}},
     "fct_skill_vacancy": {
+        "not_null": ["vacancy_id", "skill_name", "n_links"],
         "fk": [
             (["vacancy_id", "dt", "query_profession_eng_name"], "d_vacancies", ["vacancy_id", "dt", "query_profession_eng_name"]),
             (["skill_name"], "d_skill", ["name"]),
-        ]
+        ],
     },
     "d_exchange_rates": {
         "not_null": ["exchange_rates_id", "num_code", "char_code", "name"],
@@ -102,14 +108,32 @@ CONSTRAINTS = {
         "not_null": ["char_code", "value", "previous", "nominal", "published_at"],
         "fk": [(["char_code"], "d_exchange_rates", ["char_code"])],
     },
-    "dm_metrics": {"unique": [["city_name", "query_profession_eng_name", "dt"]]},
+    "dm_metrics": {
+        "not_null": [*METRIC_KEY, *METRIC_MEASURES],
+        "unique": [METRIC_KEY],
+        "length": _MART_NAMES,
+    },
     "dm_skills": {
         "not_null": ["city_name", "query_profession_eng_name", "skill_name", "dt", "top", "cnt"],
         "unique": [["city_name", "query_profession_eng_name", "skill_name", "dt"]],
+        "length": {**_MART_NAMES, "skill_name": 150},
     },
 }
 
 
+def constraints_of(name: str, columns: list[str], constraints: dict | None = None) -> dict:
+    """The constraints of a table as it is laid out.
+
+    Where the metrics mart has a grain, it belongs to the key, and an average
+    without salaries is NULL by design.
+    """
+    spec = dict((constraints or CONSTRAINTS).get(name, {}))
+    if name == "dm_metrics" and "grain" in columns:
+        spec["unique"] = [[*keys, "grain"] for keys in spec.get("unique", [])]
+        spec["not_null"] = [c for c in spec.get("not_null", []) if c not in METRIC_AVG_COLS]
+    return spec
+
+
 def audit(tables, names: list[str] | None = None, constraints: dict | None = None) -> DataFrame:
     """Check every declared constraint; one row per (table_name, check, target) with its finding count.
 
@@ -120,15 +144,13 @@ def audit(tables, names: list[str] | None = None, constraints: dict | None = Non
     spec = constraints or CONSTRAINTS
     parts: list[DataFrame] = []
     for name in names or list(spec):
-        c = spec[name]
         df = tables.get(name)
+        c = constraints_of(name, df.columns, spec)
         if c.get("not_null"):
             nn = null_counts(df, c["not_null"])
             parts.append(nn.select(F.lit(name).alias("table_name"), F.lit("not_null").alias("check"),
                                    F.col("column_name").alias("target"), F.col("n_null").alias("n_findings")))
         for keys in c.get("unique", []):
-            # daily and weekly rows of one day are different rows where the mart has a grain
-            keys = [*keys, "grain"] if name == "dm_metrics" and "grain" in df.columns else keys
             dup = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("n_findings"))
             parts.append(dup.select(F.lit(name).alias("table_name"), F.lit("unique").alias("check"),
                                     F.lit(",".join(keys)).alias("target"), "n_findings"))

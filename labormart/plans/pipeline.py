@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labormart.functions.dates import day_spine, to_day
-from labormart.operators import bridge, marts, merge, parse, quarantine, variants
+from labormart.operators import bridge, marts, merge, parse, quarantine, states, variants
 from labormart.operators.joins import semi_join_days
 from labormart.schemas import METRIC_KEY, SKILL_KEY, VACANCY_KEY
 from labormart.semantics import REFERENCE, Semantics
@@ -111,6 +111,7 @@ def _load(
     kept = parse.flatten_with_skills(parsed_scope, professions, cities, sem)
     kept = tables.scratch(kept, "kept_vacancies")
     new_vac = kept.drop("key_skills")
+    before = None if batch is None else _before_batch(tables, new_vac)
     vac_rows = merge.upsert_partitions(
         tables.get("d_vacancies"), new_vac, VACANCY_KEY, ["dt"], on_duplicate=None
     )
@@ -160,7 +161,13 @@ def _load(
     rates = _scope(tables.get("fct_exchange_rates"), "dt", day)
     if vac_days is not None:
         rates = semi_join_days(rates, vac_days, ["dt"])
-    metrics = tables.scratch(marts.metrics_mart(vac, rates, cities, sem, "week" if full else "day"), "metrics")
+    if before is None:
+        found = states.summed(states.contributions(vac, rates, cities, sem))
+    else:
+        found = _states_after_batch(before, new_vac, vac, rates, cities, sem)
+    found = tables.scratch(found, "metric_states")
+    tables.put("dm_metric_states", found, "overwrite" if full else "partitions")
+    metrics = tables.scratch(states.metrics_from_states(found, sem, "week" if full else "day"), "metrics")
     mkey = METRIC_KEY + (["grain"] if sem.grain_column else [])
     tables.put(
         "dm_metrics",
@@ -193,6 +200,42 @@ def _load(
     return LoadReport("full" if full else "incremental", day)
 
 
+@dataclass
+class _Before:
+    """What a micro-batch finds: its vacancies' stored versions, and its days' rates, states and vacancy days."""
+
+    versions: DataFrame
+    rates: DataFrame
+    states: DataFrame
+    days: DataFrame
+
+
+def _before_batch(tables, new_vac: DataFrame) -> _Before:
+    stored = semi_join_days(tables.get("d_vacancies"), new_vac, ["dt"])
+    return _Before(
+        tables.scratch(stored.join(new_vac.select(*VACANCY_KEY), VACANCY_KEY, "left_semi"), "versions_before"),
+        tables.scratch(semi_join_days(tables.get("fct_exchange_rates"), new_vac, ["dt"]), "rates_before"),
+        tables.scratch(semi_join_days(tables.get("dm_metric_states"), new_vac, ["dt"]), "states_before"),
+        tables.scratch(stored.select("dt").distinct(), "days_before"),
+    )
+
+
+def _states_after_batch(before: _Before, new_vac: DataFrame, vac: DataFrame, rates: DataFrame, cities: DataFrame, sem: Semantics) -> DataFrame:
+    """The states of the batch's days: stored ones plus what the batch's vacancies add less what they replace.
+
+    Days whose quotes changed, or whose vacancies were stored without a state,
+    are summed anew from their rows.
+    """
+    unknown = before.days.join(before.states.select("dt").distinct(), "dt", "left_anti")
+    anew = states.changed_rate_days(before.rates, rates).unionByName(unknown).distinct()
+    steady = lambda rows: rows.join(anew, "dt", "left_anti")
+    change = states.changes(
+        states.contributions(steady(before.versions), before.rates, cities, sem), states.contributions(steady(new_vac), rates, cities, sem)
+    )
+    whole = states.summed(states.contributions(vac.join(anew, "dt", "left_semi"), rates, cities, sem))
+    return states.merged(steady(before.states), change).unionByName(whole)
+
+
 def _sound_rates(tables, stg_r: DataFrame, scope_r: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Staged rate rows and the scope's, without documents that do not fit; and the rejects of the scope."""
     fine = lambda rows: quarantine.check_rate_documents(rows).where(F.size("reasons") == 0).drop("d", "reasons")

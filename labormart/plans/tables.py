@@ -40,6 +40,7 @@ PARTITION_COLUMN = {
     "dm_metrics": "dt",
     "dm_skills": "dt",
     "rejects": "query_dt",
+    "dm_metric_states": "dt",
 }
 
 
@@ -57,6 +58,8 @@ def table_schemas(sem: Semantics = REFERENCE) -> dict[str, T.StructType]:
         "dm_metrics": schemas.dm_metrics(sem.salary_precision, sem.grain_column),
         "dm_skills": schemas.DM_SKILLS,
         "rejects": schemas.REJECTS,
+        "dm_metric_states": schemas.DM_METRIC_STATES,
+        "load_audit": schemas.LOAD_AUDIT,
     }
 
 

@@ -209,3 +209,18 @@ DM_SKILLS = T.StructType(
         T.StructField("cnt", T.IntegerType(), False),
     ]
 )
+
+#: Additive partial states of dm_metrics, one row per (city, profession, day).
+DM_METRIC_STATES = T.StructType(
+    [
+        T.StructField("city_name", S),
+        T.StructField("query_profession_eng_name", S),
+        T.StructField("dt", T.DateType()),
+        *[T.StructField(c, T.LongType()) for c in METRIC_COUNT_COLS],
+        *[T.StructField(c, T.LongType()) for c in METRIC_SCHEDULE_COLS],
+        *[T.StructField(f"{p}_{kind}", T.LongType()) for kind in ("cents", "paid") for p, _ in EXPERIENCE_BANDS],
+    ]
+)
+
+#: What was checked while the last load wrote.
+LOAD_AUDIT = T.StructType([*[T.StructField(c, S) for c in ("table_name", "check", "target")], *[T.StructField(c, T.LongType()) for c in ("n_findings", "n_rows")]])
