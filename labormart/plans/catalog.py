@@ -1036,4 +1036,4 @@ def full_backfill_skills_corrected(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 # queries in modules of their own register themselves
-from labormart.plans import ingest_queries  # noqa: E402, F401
+from labormart.plans import ingest_queries, mart_queries  # noqa: E402, F401

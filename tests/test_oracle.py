@@ -16,7 +16,10 @@ FAST = [
     "dash_schedule_share", "dash_top_skills", "page_cap", "ingest_counts", "ingest_grid_missing",
     "list_page_details", "list_page_missing", "dq_nulls", "dq_unique", "dq_fk", "dq_length", "dq_range",
     "varchar_truncate", "ts_offset_strip", "week_trunc", "prev_day", "metrics_weekly_corrected", "dq_audit_vacancies",
-    "page_stop", "page_requests",
+    "page_stop", "page_requests", "variant_extract", "variant_array_explode", "variant_map_explode",
+    "salary_asof_changing", "rates_changing_daily", "metrics_from_states", "metrics_weekly_from_states", "skills_any_window",
+    "schedules_any_window", "observed_checks", "skill_dimension", "currency_upsert", "skills_upsert", "metrics_by_city_code",
+    "records_unescaped",
     "records_json", "get_cities", "get_professions", "skills_by_params", "dash_cnt_trend",
 ]
 
