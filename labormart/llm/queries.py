@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from labormart.llm import classifier, html_text, jaccard, licenses, mixing, nearest, packing, prefix_trie, privacy, quality, repair, substring, token_counts
 from labormart.llm.common import settle, table
+from labormart.llm.oracle import ORACLE
 
 TOKENIZER = "byte_bpe_50k.json"
 PSEUDONYM_KEY = os.environ.get("LABORMART_PSEUDONYM_KEY", privacy.DEFAULT_KEY)
@@ -123,4 +124,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES", "ship_package", "tokenizer_path"]
