@@ -45,6 +45,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until it is none of ``columns`` (in any case): inner columns never hide given ones."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

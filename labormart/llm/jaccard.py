@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labormart.llm.common import components, parts_for, settle
+from labormart.llm.common import components, fresh, parts_for, settle
 from labormart.llm.words import hash_windows, hash_words, text_buffers, text_slices
 
 WIDTH = 5
@@ -499,5 +499,7 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     whole = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     first = found.where("key IS NOT NULL").select(F.col("component_id").alias("doc_id")).unionByName(found.where("key IS NULL").select("doc_id"))
     wanted = settle(first.select(whole.alias("_kept")).distinct(), "kept")
-    marked = docs.withColumn("_kept", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
-    return marked.join(wanted.hint("merge"), "_kept", "left_semi").withColumn("_tag", F.xxhash64("text")).dropDuplicates(["_kept", "_tag"]).drop("_kept", "_tag")
+    kept, tag = fresh("_kept", docs.columns), fresh("_tag", docs.columns)
+    marked = docs.withColumn(kept, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
+    one = marked.join(wanted.withColumnRenamed("_kept", kept).hint("merge"), kept, "left_semi").withColumn(tag, F.xxhash64("text"))
+    return one.dropDuplicates([kept, tag]).select(*docs.columns)

@@ -12,15 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labormart.llm.common import fresh
 from labormart.llm.quality import let
 
 ROUNDS = 8
-DEFAULT_KEY = "change-this-key"
 
 # The forms that are looked at, in the order in which they are tried.
 _LEFT = r"(?<![A-Za-z0-9._%+-])"
 EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]*[=:][ \t]*[\"']?[A-Za-z0-9+/_.-]{6,}"
+SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]*[=:][ \t]*[\"']?(?=[A-Za-z+/_.-]*[0-9]|[A-Z0-9+/_.-]*[a-z][a-z0-9+/_.-]*[A-Z]|[A-Za-z0-9+/_.-]{20})[A-Za-z0-9+/_.-]{6,}"
 ACCESS_KEY = r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
 DATE = r"(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9])(?!\.[0-9])"
 IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])"
@@ -238,14 +238,19 @@ def pseudonym(value: Column, key: str) -> Column:
 KINDS = ("email", "secret", "date", "ipv4", "ssn", "phone", "card")
 
 
-def pseudonymised(docs: DataFrame, key: str = DEFAULT_KEY, text_column: str = "text", counts: bool = False) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, text_column: str = "text", counts: bool = False) -> DataFrame:
     """``docs`` with the personal data of its text moved within their formats.
 
     All else of the text, and all other columns, stay; a null text stays null.
     With ``counts``, a column ``n_<kind>`` for each kind tells how many values
     were replaced; an input column of that name is replaced. Every row is
-    treated by itself, so repeated rows come out alike.
+    treated by itself, so repeated rows come out alike. Whoever has ``key`` can
+    undo the pseudonyms, so there is no default, and an empty one is refused. A
+    word after ``password:`` and the like is a secret if it holds a digit, a
+    capital after a small letter, or at least 20 characters.
     """
+    if not key:
+        raise ValueError("pseudonyms need a key")
     text = F.col(text_column).cast("string")
 
     def changed(m: Column) -> Column:
@@ -257,8 +262,9 @@ def pseudonymised(docs: DataFrame, key: str = DEFAULT_KEY, text_column: str = "t
     nothing = F.struct(text.alias("text"), *[F.lit(0).cast("long").alias(f"n_{kind}") for kind in KINDS])
     # every form holds a digit, an at sign, or the mark that follows a secret's name
     new = F.when(text.rlike("[0-9@=:]"), let(found, lambda m: F.when(F.size(m) == 0, nothing).otherwise(changed(m)))).otherwise(nothing)
-    out = docs.withColumn("_pseudonymised", new)
-    out = out.withColumn(text_column, F.col("_pseudonymised.text"))
+    inner = fresh("_pseudonymised", docs.columns)
+    out = docs.withColumn(inner, new)
+    out = out.withColumn(text_column, F.col(f"{inner}.text"))
     if counts:
-        out = out.withColumns({f"n_{kind}": F.col(f"_pseudonymised.n_{kind}") for kind in KINDS})
-    return out.drop("_pseudonymised")
+        out = out.withColumns({f"n_{kind}": F.col(f"{inner}.n_{kind}") for kind in KINDS})
+    return out.drop(inner)

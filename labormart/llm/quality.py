@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labormart.llm.common import SPACE_CLASS, settle
+from labormart.llm.common import SPACE_CLASS, fresh, settle
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -41,7 +41,7 @@ def _repeat_words(words: Column) -> Column:
 
     A window's hash gives its upper bits, its place the lower ones; sorted, equal
     windows are neighbours. The bits for the place follow the text's length, so
-    64 less those remain to tell windows apart.
+    neighbours are then compared by all 64 bits of the hashes at their places.
     """
 
     def counted(h: Column) -> Column:
@@ -49,7 +49,8 @@ def _repeat_words(words: Column) -> Column:
 
         def covered(args: Column) -> Column:
             s, b = args["s"], args["b"]
-            same = lambda i, j: F.call_function("shiftright", F.get(s, i), b) == F.call_function("shiftright", F.get(s, j), b)
+            at_ = lambda i: F.get(s, i).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), b) - 1).cast("int")
+            same = lambda i, j: F.get(args["h"], at_(i)) == F.get(args["h"], at_(j))
             twice = lambda i: F.coalesce(same(i, i - 1), F.lit(False)) | F.coalesce(same(i, i + 1), F.lit(False))
             at = F.filter(F.sequence(F.lit(0), F.size(s) - 1), twice)
             place = F.transform(at, lambda i: F.get(s, i).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), b) - 1))
@@ -57,7 +58,7 @@ def _repeat_words(words: Column) -> Column:
             return F.size(F.array_distinct(spread))
 
         packed = F.sort_array(let(bits, lambda b: F.transform(h, lambda x, i: F.call_function("shiftleft", x, b).bitwiseOR(i.cast("long")))))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(F.struct(packed.alias("s"), bits.alias("b")), covered))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(F.struct(packed.alias("s"), bits.alias("b"), h.alias("h")), covered))
 
     windows = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
     return F.when(F.size(words) < 4, 0).otherwise(let(windows, counted)).cast("long")
@@ -131,12 +132,13 @@ def filtered(docs: DataFrame) -> DataFrame:
     Lines go whole, with their line end; ``n_chars`` follows the text. A row
     that repeats stays as often as it came.
     """
-    verdicts = judged(docs).where("kept").select(F.col("key").alias("_rule_key"), F.col("tag").alias("_rule_tag"), F.col("removed").alias("_rule_lines")).dropDuplicates(["_rule_key", "_rule_tag"])
-    marked = docs.withColumn("_rule_key", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("_rule_tag", F.xxhash64("text"))
-    kept = marked.join(verdicts.hint("merge"), ["_rule_key", "_rule_tag"])
-    gone = lambda x: F.array_contains("_rule_lines", F.xxhash64(normal_line(x))) & (F.btrim(x, F.lit(_SPACES)) != "")
+    key, tag, gone_lines = (fresh(n, docs.columns) for n in ("_rule_key", "_rule_tag", "_rule_lines"))
+    verdicts = judged(docs).where("kept").select(F.col("key").alias(key), F.col("tag").alias(tag), F.col("removed").alias(gone_lines)).dropDuplicates([key, tag])
+    marked = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn(tag, F.xxhash64("text"))
+    kept = marked.join(verdicts.hint("merge"), [key, tag])
+    gone = lambda x: F.array_contains(gone_lines, F.xxhash64(normal_line(x))) & (F.btrim(x, F.lit(_SPACES)) != "")
     left = F.filter(F.split("text", "\n"), lambda x: ~gone(x))
-    kept = kept.withColumn("text", F.when(F.size("_rule_lines") == 0, F.col("text")).otherwise(F.array_join(left, "\n")))
+    kept = kept.withColumn("text", F.when(F.size(gone_lines) == 0, F.col("text")).otherwise(F.array_join(left, "\n")))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)

@@ -17,7 +17,8 @@ from labormart.llm.common import settle, table
 from labormart.llm.oracle import ORACLE
 
 TOKENIZER = "byte_bpe_50k.json"
-PSEUDONYM_KEY = os.environ.get("LABORMART_PSEUDONYM_KEY", privacy.DEFAULT_KEY)
+#: Key of the registered queries, which run over generated data; real data need a key of their own.
+PSEUDONYM_KEY = os.environ.get("LABORMART_PSEUDONYM_KEY", "generated-data-only")
 
 
 def ship_package(spark: SparkSession) -> None:

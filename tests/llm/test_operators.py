@@ -322,7 +322,7 @@ def test_pseudonyms(llm, odd, empty):
         (6, None),
     ]
     df = llm.createDataFrame(rows, "doc_id long, text string")
-    out = {r.doc_id: r for r in privacy.pseudonymised(df, counts=True).collect()}
+    out = {r.doc_id: r for r in privacy.pseudonymised(df, "key", counts=True).collect()}
     assert out[5].text == rows[4][1] and out[6].text is None
     assert "988" not in out[1].text and re.search(r"call \+1 \([2-9]\d\d\) [2-9]\d\d-\d{4} or mail [a-z]{5}\.\d\d@mail8\.example\.com now", out[1].text)
     a, b = re.search(r"card (\d{16}), again (\d{4} \d{4} \d{4} \d{4});", out[2].text).groups()
@@ -330,12 +330,12 @@ def test_pseudonyms(llm, odd, empty):
     day, same = re.search(r"on (\d{4}-\d\d-\d\d) or (\d\d\.\d\d\.\d{4})", out[3].text).groups()
     assert day != "2021-03-04" and day.split("-") == same.split(".")[::-1] and "300.1.1.1" in out[3].text and "42.144" not in out[3].text
     assert re.fullmatch(r'token = "[0-9a-f]{40}" AKIA[A-Z0-9]{16} password=[0-9a-f]{18}', out[4].text) and "1beb58" not in out[4].text
-    assert privacy.pseudonymised(odd).exceptAll(odd).count() == 0 and privacy.pseudonymised(empty).count() == 0
+    assert privacy.pseudonymised(odd, "key").exceptAll(odd).count() == 0 and privacy.pseudonymised(empty, "key").count() == 0
 
 
 def test_dates_with_the_month_first_and_parts_of_one_digit(llm):
     rows = [(1, "born 12/25/1984, 12/25/1984"), (2, "born 3/4/1984 or 4.3.1984 or 1984-4-3 or 1984/4/3 or 03/04/1984"), (3, "not 31/31/1984, 2/30/1984, 30.2.1984, 1/2/19845"), (4, "on 1/31/2001")]
-    out = {r.doc_id: r for r in privacy.pseudonymised(llm.createDataFrame(rows, "doc_id long, text string"), counts=True).collect()}
+    out = {r.doc_id: r for r in privacy.pseudonymised(llm.createDataFrame(rows, "doc_id long, text string"), "key", counts=True).collect()}
     month, day, year, same = re.fullmatch(r"born (\d\d)/(\d\d)/(\d{4}), (.*)", out[1].text).groups()
     assert same == f"{month}/{day}/{year}" != "12/25/1984" and int(month) <= 12 < int(day) and out[1].n_date == 2
     a, b, c, d, e = re.fullmatch(r"born ([\d/]+) or ([\d.]+) or ([\d-]+) or ([\d/]+) or (\d\d/\d\d/\d{4})", out[2].text).groups()
@@ -405,3 +405,31 @@ def test_pipeline_stages(llm, tmp_path, docs):
             assert ids == {c for _, c in brute.jaccard(texts(current)).values()}
         current = after
     assert current.agg(F.countDistinct("sequence_id")).first()[0] > 0
+
+
+def test_words_after_a_secrets_name_stay_unless_they_look_like_one(llm):
+    rows = [(1, "The token: identifier is required; password: required, pwd=Required"), (2, "token: a1b2c3 password=hunterTwo api_key: 'abcdefghijklmnopqrstuvwxyz'"), (3, "secret: someone@example.com")]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in privacy.pseudonymised(df, "key", counts=True).collect()}
+    assert got[1].text == rows[0][1] and got[1].n_secret == 0
+    assert got[2].n_secret == 3 and not any(x in got[2].text for x in ("a1b2c3", "hunterTwo", "abcdefghij"))
+    assert got[3].n_email == 1 and "someone@" not in got[3].text
+    with pytest.raises(ValueError, match="key"):
+        privacy.pseudonymised(df, "")
+
+
+def test_inner_columns_hide_no_given_ones(llm):
+    """Columns that have the names used inside come out as they went in."""
+    rows = [(1, "alpha beta gamma " * 30, "a", "x", "y", "z", "w", "v"), (2, "other words here " * 30 + "end", "a", "x", "y", "z", "w", "v")]
+    df = llm.createDataFrame(rows, "doc_id long, text string, source string, _kept string, _tag string, _rule_key string, _Rule_Tag string, _pseudonymised string")
+    for out in (jaccard.keep_one(df), privacy.pseudonymised(df, "key"), quality.filtered(df.withColumn("text", F.expr("array_join(transform(sequence(1, 80), i -> concat('w', i * doc_id)), ' ')")))):
+        assert out.columns == df.columns
+        assert {tuple(r)[2:] for r in out.collect()} == {tuple(rows[0])[2:]}
+
+
+def test_repeats_are_told_apart_by_whole_hashes(llm):
+    """A long text of different words, one window of which stands twice."""
+    words = [f"w{i}" for i in range(70_000)]
+    words[60_000:60_003] = words[10:13]
+    df = llm.createDataFrame([(1, " ".join(words), "s")], "doc_id long, text string, source string")
+    assert quality.base_columns(df).first().n_repeat_words == 6
