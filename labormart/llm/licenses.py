@@ -8,7 +8,7 @@ is parsed and evaluated.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator, Mapping
 from dataclasses import dataclass
 
 import ahocorasick
@@ -52,8 +52,70 @@ BASE_STRENGTH = 0.5
 TAG = "spdx license identifier"
 TAG_STRENGTH = 0.95
 
-#: Identifiers that allow use with notice only; the start of an identifier decides.
-PERMISSIVE = ("mit", "apache", "bsd", "isc", "cc0", "cc-by-4", "cc-by-3", "unlicense", "zlib", "0bsd")
+# Families of the public list of licence identifiers, as a name, its versions and its variants.
+FAMILIES = (
+    ("gpl lgpl", "1.0 2.0 2.1 3.0", "-only -or-later"),
+    ("agpl", "1.0 3.0", "-only -or-later"),
+    ("gfdl", "1.1 1.2 1.3", "-only -or-later -invariants-only -invariants-or-later -no-invariants-only -no-invariants-or-later"),
+    ("cc-by cc-by-nc cc-by-nc-nd cc-by-nc-sa cc-by-nd cc-by-sa", "1.0 2.0 2.5 3.0 4.0", ""),
+    ("apache", "1.0 1.1 2.0", ""),
+    ("bsd", "1-clause 2-clause 3-clause 4-clause", ""),
+    ("bsd-2-clause", "patent views", ""),
+    ("bsd-3-clause", "attribution clear lbnl modification", ""),
+    ("mit", "0 cmu advertising enna feh modern-variant", ""),
+    ("mpl", "1.0 1.1 2.0 2.0-no-copyleft-exception", ""),
+    ("epl eupl", "1.0 1.1 1.2 2.0", ""),
+    ("cecill", "1.0 1.1 2.0 2.1 b c", ""),
+    ("cddl", "1.0 1.1", ""),
+    ("afl", "1.1 1.2 2.0 2.1 3.0", ""),
+    ("osl", "1.0 1.1 2.0 2.1 3.0", ""),
+    ("artistic", "1.0 1.0-cl8 1.0-perl 2.0", ""),
+    ("ofl", "1.0 1.0-no-rfn 1.0-rfn 1.1 1.1-no-rfn 1.1-rfn", ""),
+    ("lppl", "1.0 1.1 1.2 1.3a 1.3c", ""),
+    ("zpl", "1.1 2.0 2.1", ""),
+    ("php", "3.0 3.01", ""),
+    ("python", "2.0 2.0.1", ""),
+    ("upl cpl ecl odbl odc-by pddl cc0 ipl apsl lpl spl busl sspl cal cern-ohl", "1.0 1.1 1.2 2.0", ""),
+    ("cern-ohl-p cern-ohl-s cern-ohl-w", "2.0", ""),
+)
+# Identifiers of no family.
+SINGLE = frozenset(
+    "0bsd adsl antlr-pd beerware blessing blueoak-1.0.0 bsl-1.0 bzip2-1.0.6 cc-pddc cc-pdm-1.0 curl eudatagrid ftl hpnd ibm-pibs icu "
+    "ijg imagemagick isc jasper-2.0 json libpng libpng-2.0 libtiff mit miros ms-pl ms-rl mulanpsl-1.0 mulanpsl-2.0 ncsa net-snmp "
+    "netcdf ntp ogl-uk-3.0 oldap-2.8 openssl postgresql psf-2.0 qpl-1.0 ruby sgi-b-2.0 sleepycat smlnj tcl ucl-1.0 unicode-3.0 "
+    "unicode-dfs-2015 unicode-dfs-2016 unlicense vim vsl-1.0 w3c wtfpl x11 xnet zend-2.0 zlib zlib-acknowledgement".split()
+)
+# Exceptions that may follow "with".
+EXCEPTIONS = frozenset(
+    "389-exception autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 bootloader-exception classpath-exception-2.0 "
+    "ecos-exception-2.0 fltk-exception font-exception-2.0 freertos-exception-2.0 gcc-exception-2.0 gcc-exception-3.1 gpl-3.0-linking-exception "
+    "gpl-cc-1.0 i2p-gpl-java-exception lgpl-3.0-linking-exception libtool-exception linux-syscall-note llvm-exception mif-exception "
+    "ocaml-lgpl-linking-exception openjdk-assembly-exception-1.0 openvpn-openssl-exception qt-gpl-exception-1.0 qt-lgpl-exception-1.1 "
+    "swift-exception u-boot-exception-2.0 universal-foss-exception-1.0 wxwindows-exception-3.1".split()
+)
+# Identifiers, and families, that allow use with notice only.
+PERMISSIVE = frozenset(
+    "0bsd afl apache beerware blessing blueoak-1.0.0 bsd bsd-2-clause bsd-3-clause bsl-1.0 bzip2-1.0.6 cc-by cc-pddc cc-pdm-1.0 cc0 curl "
+    "ecl ftl hpnd icu ijg imagemagick isc json libpng libpng-2.0 libtiff mit miros ms-pl mulanpsl-1.0 mulanpsl-2.0 ncsa net-snmp netcdf "
+    "ntp odc-by openssl pddl php postgresql psf-2.0 python smlnj tcl unicode-3.0 unicode-dfs-2015 unicode-dfs-2016 unlicense upl vim w3c "
+    "wtfpl x11 xnet zlib zlib-acknowledgement zpl".split()
+)
+#: A licence that the document itself defines.
+_OWN = re.compile(r"(?:documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+")
+
+
+def licence_identifiers() -> dict[str, bool]:
+    """Every known identifier, in lower case, and whether it is permissive."""
+    known = {name: name in PERMISSIVE for name in SINGLE}
+    for names, versions, variants in FAMILIES:
+        for name in names.split():
+            for version in versions.split():
+                for variant in ("", *variants.split()):
+                    known.setdefault(f"{name}-{version}{variant}", name in PERMISSIVE)
+    return known
+
+
+IDENTIFIERS = licence_identifiers()
 
 _WORDS = bytes((c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32) for c in range(256))
 _EXPRESSION = re.compile(r"spdx[^A-Za-z0-9\n]*license[^A-Za-z0-9\n]*identifier[^A-Za-z0-9\n(]*([^\n]*)", re.IGNORECASE)
@@ -109,25 +171,45 @@ def to_postfix(text: str) -> list[str]:
     return output + waiting[::-1]
 
 
-def evaluate(postfix: list[str]) -> Terms:
-    """Licences and permissiveness: ``or`` offers a choice, ``and`` asks for both, ``with`` relaxes one."""
-    stack: list[Terms] = []
+def licence_terms(word: str, known: Mapping[str, bool] = IDENTIFIERS) -> Terms:
+    """The terms of one identifier, ``+`` (or a later version) allowed; an unknown one raises ``ValueError``."""
+    plain = word.removesuffix("+")
+    if plain not in known and not _OWN.fullmatch(word):
+        raise ValueError(f"unknown licence {word}")
+    return Terms(frozenset([word]), known.get(plain, False))
+
+
+def evaluate(postfix: list[str], known: Mapping[str, bool] = IDENTIFIERS, exceptions: Collection[str] = EXCEPTIONS) -> Terms:
+    """Licences and permissiveness: ``or`` offers a choice, ``and`` asks for both, ``with`` relaxes one.
+
+    Every operand must be a known identifier, and what follows ``with`` a known
+    exception to one licence; else the expression raises ``ValueError``.
+    """
+    stack: list[Terms | str] = []
+
+    def operand() -> Terms:
+        if not stack:
+            raise ValueError("operand missing")
+        x = stack.pop()
+        return licence_terms(x, known) if isinstance(x, str) else x
+
     for word in postfix:
         if word not in _RANK:
-            stack.append(Terms(frozenset([word]), word.startswith(PERMISSIVE)))
-            continue
-        if len(stack) < 2:
-            raise ValueError("operand missing")
-        right, left = stack.pop(), stack.pop()
-        if word == "with":
-            stack.append(Terms(frozenset(f"{a}-with-{b}" for a in left.licences for b in right.licences), left.permissive))
-        elif word == "and":
-            stack.append(Terms(left.licences | right.licences, left.permissive and right.permissive))
+            stack.append(word)
+        elif word == "with":
+            right = stack.pop() if stack else None
+            if not isinstance(right, str) or right not in exceptions or not stack or not isinstance(stack[-1], str):
+                raise ValueError("exception expected")
+            left = operand()
+            stack.append(Terms(frozenset(f"{a}-with-{right}" for a in left.licences), left.permissive))
         else:
-            stack.append(Terms(left.licences | right.licences, left.permissive or right.permissive))
-    if len(stack) != 1:
+            right, left = operand(), operand()
+            both = left.permissive and right.permissive if word == "and" else left.permissive or right.permissive
+            stack.append(Terms(left.licences | right.licences, both))
+    found = operand()
+    if stack:
         raise ValueError("operator missing")
-    return stack[0]
+    return found
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -147,7 +229,7 @@ def _automaton() -> ahocorasick.Automaton:
 _FOUND = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, expressions array<string>, permissive boolean"
 
 
-def scan_text(text: str, automaton: ahocorasick.Automaton) -> tuple:
+def scan_text(text: str, automaton: ahocorasick.Automaton, known: Mapping[str, bool] = IDENTIFIERS) -> tuple:
     """The columns of ``scan_licenses`` for one text, without its id."""
     words = text.encode().translate(_WORDS).split()
     line = f" {b' '.join(words).decode()} "
@@ -170,7 +252,7 @@ def scan_text(text: str, automaton: ahocorasick.Automaton) -> tuple:
         for m in _EXPRESSION.finditer(text):
             try:
                 postfix = to_postfix(m[1])
-                terms = evaluate(postfix)
+                terms = evaluate(postfix, known)
             except ValueError:
                 continue
             expressions.append(" ".join(postfix))
@@ -184,19 +266,21 @@ def scan_text(text: str, automaton: ahocorasick.Automaton) -> tuple:
     return len(words), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(strength)), 1.0 - missing, expressions, permissive
 
 
-def scan_licenses(docs: DataFrame) -> DataFrame:
+def scan_licenses(docs: DataFrame, identifiers: Mapping[str, bool] = IDENTIFIERS) -> DataFrame:
     """One row for every row of ``docs``: words, base places, labels, score, expressions.
 
     ``score`` is one minus the product of what each label leaves open. An
-    expression that does not parse adds nothing. ``permissive`` tells whether
+    expression that does not parse, or names a licence that is not among
+    ``identifiers`` (lower case, and whether it is permissive) and no
+    ``LicenseRef-``, adds nothing. ``permissive`` tells whether
     all expressions can be met by permissive terms; null without expressions.
-    A null text is empty: no words, no labels, score 0.
+    A null text is empty: no words, no labels, score 0. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton()
         for batch in batches:
-            rows = [scan_text(t.as_py() or "", automaton) for t in batch.column(1)]
+            rows = [scan_text(t.as_py() or "", automaton, identifiers) for t in batch.column(1)]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 9
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(pa.string()), pa.bool_()]
             names = [x.split()[0] for x in _FOUND.split(", ")]
