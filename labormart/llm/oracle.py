@@ -85,4 +85,37 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
 FROM nodes n JOIN subtrees s ON s.depth = n.depth AND s.k = n.k
 LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.k = n.parent LEFT JOIN kids c ON c.depth = n.depth AND c.k = n.k LEFT JOIN ends e ON e.depth = n.depth AND e.k = n.k"""
 
-ORACLE: dict[str, str] = {"op2_ngram_jaccard": OP2, "op9_anchor_repeats": OP9, "op11_prefix_trie": OP11}
+OP5 = rf"""
+WITH worded AS (
+  SELECT doc_id, source, COALESCE(text, '') AS text, {_WORDS.format(text="COALESCE(text, '')")} AS w,
+         list_filter(string_split(COALESCE(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents
+),
+triples AS (
+  SELECT doc_id, i, array_to_string(w[i:i+2], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM worded WHERE len(w) >= 4)
+),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, k) AS n FROM triples) WHERE n > 1),
+repeated AS (SELECT doc_id, COUNT(DISTINCT i) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS i FROM twice) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, source, w, len({_WORDS.format(text="line")}) AS n_words,
+         translate(lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')), '123456789', '000000000') AS line
+  FROM (SELECT doc_id, source, array_to_string(w, ' ') AS w, unnest(l) AS line FROM worded)
+),
+hosts AS (SELECT source, COUNT(*) AS docs FROM (SELECT DISTINCT source, array_to_string(w, ' ') AS w FROM worded) GROUP BY source),
+counts AS (SELECT source, line, COUNT(*) AS n FROM (SELECT DISTINCT source, w, line FROM lines) GROUP BY source, line),
+limits AS (
+  SELECT c.source, c.line FROM counts c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
+  WHERE n > 25 AND n > docs * CAST(0.01 AS DOUBLE)
+),
+lost AS (SELECT doc_id, SUM(n_words) AS n FROM lines x JOIN limits y ON x.source IS NOT DISTINCT FROM y.source AND x.line = y.line GROUP BY doc_id),
+base AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, COALESCE(r.n, 0) AS n_repeat_words,
+         CAST(len(w) - COALESCE(x.n, 0) AS BIGINT) AS n_left
+  FROM worded d LEFT JOIN repeated r ON r.doc_id = d.doc_id LEFT JOIN lost x ON x.doc_id = d.doc_id
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_left >= n_words * CAST(0.5 AS DOUBLE) AS kept
+FROM base"""
+
+ORACLE: dict[str, str] = {"op2_ngram_jaccard": OP2, "op5_line_quality": OP5, "op9_anchor_repeats": OP9, "op11_prefix_trie": OP11}
