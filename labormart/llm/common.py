@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,16 +36,45 @@ def scratch_root(spark: SparkSession) -> str:
     return path
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("labormart_scratch_scope", default=None)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it lies; one that is not there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Tables that ``settle`` writes inside the block go when it ends.
+
+    Write the result inside the block, outside the scope (``write_table``): a
+    result that is still to be computed would miss its inputs afterwards.
+    """
+    path = f"{scratch_root(spark)}/llm-scope-{uuid.uuid4().hex}"
+    token = _SCOPE.set(path)
+    try:
+        yield path
+    finally:
+        _SCOPE.reset(token)
+        remove(spark, path)
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and return the written table."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` into the shared folder and return the written table.
 
     Cuts the lineage: a lost executor costs at most the tasks after this point,
-    and values such as generated row numbers stay the same for all readers.
+    and values such as generated row numbers stay the same for all readers. The
+    table stays until the ``scratch_scope`` around ends, if there is one.
     """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_table(df, f"{_SCOPE.get() or scratch_root(df.sparkSession)}/llm-{label}-{uuid.uuid4().hex}")
 
 
 def fresh(name: str, columns: list[str]) -> str:
