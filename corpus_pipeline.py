@@ -6,12 +6,13 @@ before kept. Stages are written as Parquet and read again in between.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from labormart.llm import jaccard, mixing, packing, privacy, quality
-from labormart.llm.common import settle, table
+from labormart.llm.common import remove, scratch_root, scratch_scope, settle, table, write_table
 from labormart.llm.queries import PSEUDONYM_KEY, ship_package, tokenizer_path
 
 
@@ -54,10 +55,19 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; returns the packed pieces."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages on ``documents``; returns the packed pieces.
+
+    A stage's intermediate tables go when its result is written, and a result
+    when the next one is. The last stage is computed by the caller: what it reads stays.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = f"{scratch_root(spark)}/llm-stage-{name}-{uuid.uuid4().hex}"
+        with scratch_scope(spark):
+            docs = write_table(stage(spark, docs, sf_dir), path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
