@@ -13,10 +13,15 @@ Documents with the same shingles form one set. Sets are joined in three steps:
   formed anew from the pairs that pass; no text moves for this.
 * Answers. A group's texts come together once. Its sets are walked from one to
   the most similar one next: overlaps with all others are carried along and only
-  the lists of the shingles that differ are added or taken off. Groups with many
-  sets are split into blocks, and every pair of blocks is such a task.
+  the lists of the shingles that differ are added or taken off.
 
-No pair of sets is ever a row; all links are found and counted all the same.
+Groups with many sets are cut into blocks by set size. A block is answered
+within itself first and then packed into one row, its sets as differences from
+the shingles that most of them have. Blocks whose sizes allow a link meet in
+tasks of one block and a strip of later ones, which read those packed rows.
+
+No pair of sets is ever a row, no text goes to more than one task, and rows do
+not follow the square of a group; all links are found and counted all the same.
 Shingles are known by 64-bit hashes and sets by 128-bit digests.
 """
 
@@ -27,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labormart.llm.common import components, fresh, parts_for, settle
@@ -52,6 +57,9 @@ GROUP_SHINGLES = 2_000_000
 #: The same for the step that compares bitmaps only.
 REFINED_SETS = 4_000
 REFINED_SHINGLES = 8_000_000
+#: Later blocks of a group that meet one block in a task.
+STRIP = 8
+PACKED = "component binary, block long, low long, high long, keys binary, sizes binary, roots binary, lengths binary, common binary, body binary"
 
 
 def shingle_sets(text: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
@@ -348,10 +356,10 @@ def similar_sets(sets: list[np.ndarray], side: np.ndarray, percent: int = PERCEN
     return links, label
 
 
-def bitmap_pairs(bits: list[bytes], sizes: np.ndarray, side: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs whose sizes and bitmaps allow the similarity; with two sides only pairs across."""
+def bitmap_pairs(bits: list[bytes], sizes: np.ndarray, side: np.ndarray, percent: int = PERCENT, roots: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose sizes and bitmaps allow the similarity; with two sides only pairs across, with ``roots`` theirs."""
     across = side.any() and not side.all()
-    left, right = [], []
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     length = np.array([len(b) for b in bits])
     for width in np.unique(length).tolist():
         # bitmaps of this width, and those twice as wide folded onto it: no others have sizes so near
@@ -374,74 +382,180 @@ def bitmap_pairs(bits: list[bytes], sizes: np.ndarray, side: np.ndarray, percent
             i, j = np.nonzero(fits)
             a, b = rows[part[i]], rows[j]
             pick = (a < b) | (length[b] != width)
-            left.append(a[pick])
-            right.append(b[pick])
+            a, b = a[pick], b[pick]
+            if roots is not None:
+                pair = np.unique(roots[a].astype(np.int64) << 32 | roots[b])
+                a, b = pair >> 32, pair & 0xFFFFFFFF
+            left.append(a)
+            right.append(b)
     return np.concatenate(left), np.concatenate(right)
 
 
 def _cells(rows: pa.Table) -> dict[tuple, list[int]]:
-    """Rows of each task of a group, in a bundle of such tasks."""
+    """Rows of each block of a group, in a bundle of such blocks."""
     out: dict[tuple, list[int]] = {}
-    for i, cell in enumerate(zip(rows.column("component").to_pylist(), rows.column("lo").to_pylist(), rows.column("hi").to_pylist(), strict=True)):
+    for i, cell in enumerate(zip(rows.column("component").to_pylist(), rows.column("block").to_pylist(), strict=True)):
         out.setdefault(cell, []).append(i)
     return out
 
 
+def _arrow(rows: list[tuple], schema: str) -> pa.Table:
+    types = {"binary": pa.binary(), "long": pa.int64()}
+    names = [field.split() for field in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], types[kind]) for i, (name, kind) in enumerate(names)})
+
+
+def pack_sets(sets: list[np.ndarray]) -> tuple[bytes, bytes, bytes]:
+    """Lengths, common shingles and bodies: each set as its difference from the shingles that over half of them have."""
+    shingles, counts = np.unique(np.concatenate(sets), return_counts=True)
+    common = shingles[2 * counts > len(sets)]
+    other = [np.setxor1d(s, common, assume_unique=True) for s in sets]
+    return np.array([len(o) for o in other], "<u4").tobytes(), common.tobytes(), np.concatenate(other).tobytes()
+
+
+def unpack_sets(lengths: bytes, common: bytes, body: bytes) -> list[np.ndarray]:
+    base, other = np.frombuffer(common, np.uint64), np.frombuffer(body, np.uint64)
+    cuts = np.r_[0, np.cumsum(np.frombuffer(lengths, "<u4").astype(np.int64))]
+    return [np.setxor1d(other[lo:hi], base, assume_unique=True) for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def _packed(cell: tuple, keys: list[bytes], sizes: np.ndarray, roots: np.ndarray, coded: tuple[bytes, bytes, bytes]) -> tuple:
+    return (*cell, int(sizes.min()), int(sizes.max()), b"".join(keys), sizes.astype("<u4").tobytes(), roots.astype("<u4").tobytes(), *coded)
+
+
+def _moved(names: list[bytes], label: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """Edges from the nodes that are not their own label."""
+    return [(names[label[i]], names[i]) for i in np.flatnonzero(label != np.arange(len(label))).tolist()]
+
+
 def _refined(rows: pa.Table, percent: int) -> pa.Table:
-    """Edges that still hold a candidate group together."""
+    """Edges that still hold a candidate group together, within blocks; and the blocks of groups that have several."""
     keys, bits = rows.column("key").to_pylist(), rows.column("bits").to_pylist()
-    block, sizes = rows.column("block").to_numpy(), rows.column("n").to_numpy()
-    a, b = [], []
-    for (_, lo, hi), members in _cells(rows).items():
-        at = np.array(members)
-        side = (block[at] == hi) & (lo != hi)
-        if len(at) < 2 or lo != hi and (side.all() or not side.any()):
-            continue
-        label = local_components(len(at), *bitmap_pairs([bits[i] for i in members], sizes[at], side, percent))
-        for i in np.flatnonzero(label != np.arange(len(at))).tolist():
-            a.append(keys[members[label[i]]])
-            b.append(keys[members[i]])
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+    blocks, sizes = rows.column("blocks").to_numpy(), rows.column("n").to_numpy()
+    out: list[tuple] = []
+    for cell, members in _cells(rows).items():
+        names, maps, n = [keys[i] for i in members], [bits[i] for i in members], sizes[members]
+        label = local_components(len(n), *bitmap_pairs(maps, n, np.zeros(len(n), bool), percent))
+        out += [(*edge, *[None] * 10) for edge in _moved(names, label)]
+        if blocks[members[0]] > 1:
+            out.append((None, None, *_packed(cell, names, n, label, (np.array([len(b) for b in maps], "<u4").tobytes(), b"", b"".join(maps)))))
+    return _arrow(out, f"a binary, b binary, {PACKED}")
+
+
+def _strip(rows: pa.Table) -> Iterator[tuple[dict, dict]]:
+    """The block of a task with each later one."""
+    table = rows.to_pylist()
+    first = next((r for r in table if r["block"] == r["lo"]), None)
+    for row in table:
+        if first is not None and row is not first:
+            yield first, row
+
+
+def _both(first: dict, row: dict) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, sizes, sides and roots of the sets of two blocks."""
+    joined = first["keys"] + row["keys"]
+    sizes = np.frombuffer(first["sizes"] + row["sizes"], "<u4").astype(np.int64)
+    m = len(first["sizes"]) // 4
+    roots = np.frombuffer(first["roots"] + row["roots"], "<u4").astype(np.int64)
+    side = np.arange(len(sizes)) >= m
+    return [joined[i : i + 16] for i in range(0, len(joined), 16)], sizes, side, roots + m * side
+
+
+def _refined_across(rows: pa.Table, percent: int) -> pa.Table:
+    """Edges between the components of blocks."""
+    out: list[tuple] = []
+    for first, row in _strip(rows):
+        names, sizes, side, roots = _both(first, row)
+        body, cuts = first["body"] + row["body"], np.r_[0, np.cumsum(np.frombuffer(first["lengths"] + row["lengths"], "<u4").astype(np.int64))].tolist()
+        maps = [body[lo:hi] for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+        out += _moved(names, local_components(len(names), *bitmap_pairs(maps, sizes, side, percent, roots)))
+    return _arrow(out, "a binary, b binary")
+
+
+def _linked_across(rows: pa.Table, percent: int) -> pa.Table:
+    """Links of every set to the sets of the other blocks of a task, packed by block; edges between components of blocks."""
+    out: list[tuple] = []
+    total, task = None, None
+    for first, row in _strip(rows):
+        names, sizes, side, roots = _both(first, row)
+        links, label = similar_sets([s for r in (first, row) for s in unpack_sets(r["lengths"], r["common"], r["body"])], side, percent)
+        found = np.flatnonzero(label != np.arange(len(label)))
+        out += [(*edge, None, None, None) for edge in _moved(names, local_components(len(names), roots[found], roots[label[found]]))]
+        total, task = links[~side] if total is None else total + links[~side], first
+        out.append((None, None, row["component"], row["block"], links[side].astype("<i8").tobytes()))
+    if task is not None:
+        out.append((None, None, task["component"], task["block"], total.astype("<i8").tobytes()))
+    return _arrow(out, "a binary, b binary, component binary, block long, links binary")
+
+
+def _summed(rows: pa.Table) -> pa.Table:
+    """Links of every set of a block, added up over the tasks that the block was in."""
+    keys = next(k for k in rows.column("keys").to_pylist() if k is not None)
+    total = np.zeros(len(keys) // 16, np.int64)
+    for part in rows.column("links"):
+        if part.is_valid:
+            total += np.frombuffer(part.as_buffer(), "<i8")
+    return pa.table({"key": pa.array([keys[i : i + 16] for i in range(0, len(keys), 16)], pa.binary()), "links": total})
+
+
+def _across(packed: DataFrame, percent: int) -> DataFrame:
+    """Packed blocks dealt to tasks of one block (``lo``) and a strip of later ones, where sizes allow a link."""
+    later = packed.select("component", "block", "low", "high").where("block > 0").withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("block") - 1)))
+    earlier = packed.select("component", F.col("block").alias("lo"), F.col("low").alias("least"), F.col("high").alias("most"))
+    pairs = later.join(earlier, ["component", "lo"]).where((100 * F.col("most") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("least")))
+    pairs = pairs.select("component", "lo", "block", F.floor(F.col("block") / STRIP).alias("strip"))
+    first = pairs.select("component", "lo", F.col("lo").alias("block"), "strip").distinct()
+    return pairs.unionByName(first).join(packed.hint("merge"), ["component", "block"]).groupBy("component", "lo", "strip")
 
 
 def _dealt(classes: DataFrame, groups: DataFrame, sets: int, weight: int, label: str) -> DataFrame:
-    """Members of groups of two and more, dealt to tasks.
+    """Members of groups of two and more, each once, with their block.
 
-    A group above either limit is cut into blocks, and each pair of blocks is a
-    task (``lo``, ``hi``); tasks of small groups share a bundle.
+    A group above either limit is cut into blocks in the order of set sizes; sets
+    of one size go by hash. Only the counts of a group's sizes are put in order,
+    never its sets. Blocks of small groups share a bundle.
     """
     grouped = classes.join(groups.withColumnRenamed("node", "key"), "key")
-    sizes = grouped.groupBy("component").agg(F.count("*").alias("sets"), F.greatest(F.ceil(F.count("*") / sets), F.ceil(F.sum("n") / weight)).alias("blocks")).where("sets > 1")
-    members = settle(grouped.join(sizes.drop("sets"), "component").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks"))), label)
+    share = F.greatest(F.lit(1.0 / sets), F.col("n") / F.lit(float(weight)))
+    whole = Window.partitionBy("component")
+    upto = whole.orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = grouped.groupBy("component", "n").agg(F.count("*").alias("same")).withColumn("share", share)
+    part = F.col("same") * F.col("share")
+    sizes = sizes.select("*", F.coalesce(F.sum(part).over(upto), F.lit(0.0)).alias("before"), F.sum(part).over(whole).alias("total"), F.sum("same").over(whole).alias("sets")).where("sets > 1")
+    # a sum of fractions may come out a little above the limit that it meets
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("total") - 1e-6))
+    place = F.floor(F.col("before") + F.pmod(F.xxhash64("key"), F.col("same")) * F.col("share"))
+    members = grouped.join(sizes, ["component", "n"]).withColumn("blocks", blocks).withColumn("block", F.least(place, F.col("blocks") - 1))
+    members = settle(members.drop("same", "share", "before", "total", "sets"), label)
     bundles = F.lit(parts_for(members.count(), sets))
-    lo, hi = F.least("block", "other"), F.greatest("block", "other")
-    bundle = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), bundles)).otherwise(F.xxhash64("component", lo, hi))
-    return members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("*", lo.alias("lo"), hi.alias("hi"), bundle.alias("bundle")).drop("other")
+    return members.withColumn("bundle", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), bundles)).otherwise(F.xxhash64("component", "block")))
 
 
 def _group_rows(rows: pa.Table, width: int, percent: int) -> pa.Table:
+    """Answers within blocks; and the blocks of groups that have several."""
     rows = rows.combine_chunks()
-    keys, block = rows.column("key").to_pylist(), rows.column("block").to_numpy()
+    keys, blocks = rows.column("key").to_pylist(), rows.column("blocks").to_pylist()
     column = rows.column("text").chunk(0) if rows.num_rows else pa.array([], pa.string())
     text, offsets = text_buffers(column)
     cell = {i: c for c, members in _cells(rows).items() for i in members}
-    groups: dict[tuple, dict[bytes, tuple[int, np.ndarray]]] = {}
+    groups: dict[tuple, dict[bytes, np.ndarray]] = {}
+    several = set()
     row = 0
     for start, stop in text_slices(column):
         for s in shingle_sets(text, offsets[start : stop + 1], width):
             if set_key(s) == keys[row]:
-                groups.setdefault(cell[row], {})[keys[row]] = (int(block[row]), s)
+                groups.setdefault(cell[row], {})[keys[row]] = s
+                if blocks[row] > 1:
+                    several.add(cell[row])
             row += 1
-    out: list[tuple[bytes, bytes, int]] = []
-    for (_, lo, hi), members in groups.items():
-        names = list(members)
-        if len(names) < 2:
-            out += [(k, k, 0) for k in names]
-            continue
-        side = np.array([members[k][0] == hi and lo != hi for k in names])
-        links, label = similar_sets([members[k][1] for k in names], side, percent) if lo == hi or (side.any() and not side.all()) else (np.zeros(len(names), np.int64), np.arange(len(names)))
-        out += [(k, names[r], int(n)) for k, r, n in zip(names, label.tolist(), links.tolist(), strict=True)]
-    return pa.table({"key": pa.array([o[0] for o in out], pa.binary()), "root": pa.array([o[1] for o in out], pa.binary()), "links": pa.array([o[2] for o in out], pa.int64())})
+    out: list[tuple] = []
+    for at, members in groups.items():
+        names, sets = list(members), list(members.values())
+        links, label = similar_sets(sets, np.zeros(len(sets), bool), percent) if len(sets) > 1 else (np.zeros(1, np.int64), np.zeros(1, np.int64))
+        out += [(k, names[r], int(n), *[None] * 10) for k, r, n in zip(names, label.tolist(), links.tolist(), strict=True)]
+        if at in several:
+            out.append((None, None, None, *_packed(at, names, np.array([len(s) for s in sets]), label, pack_sets(sets))))
+    return _arrow(out, f"key binary, root binary, links long, {PACKED}")
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -472,18 +586,30 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     index = _index_rows(rows, last, parts_for(entries, BUCKET_ENTRIES), width, percent)
     edges = index.groupBy("bucket").applyInArrow(lambda t: _bucket_groups(t, percent), "a binary, b binary")
     rough = _dealt(classes.select("key", "n", "bits"), components(edges, "groups"), REFINED_SETS, REFINED_SHINGLES, "rough")
-    edges = rough.groupBy("bundle").applyInArrow(lambda t: _refined(t, percent), "a binary, b binary")
-    cells = _dealt(classes.select("key", "rep", "tag", "n"), components(edges, "refined"), GROUP_SETS, GROUP_SHINGLES, "cells")
+    refined = rough.groupBy("bundle").applyInArrow(lambda t: _refined(t, percent), f"a binary, b binary, {PACKED}")
+    if not rough.where("blocks > 1").isEmpty():
+        refined = settle(refined, "refined-blocks")
+        across = _across(refined.where("component IS NOT NULL").drop("a", "b"), percent).applyInArrow(lambda t: _refined_across(t, percent), "a binary, b binary")
+        refined = refined.where("a IS NOT NULL").select("a", "b").unionByName(across)
+    cells = _dealt(classes.select("key", "rep", "tag", "n"), components(refined, "refined"), GROUP_SETS, GROUP_SHINGLES, "cells")
     texts = rows.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_key"), "tag", "text")
     dealt = cells.withColumn("doc_key", F.coalesce("rep", F.lit((1 << 63) - 1))).drop("rep")
     # texts meet their sets in the same way at every size: both sides sorted, neither broadcast
-    dealt = texts.join(dealt.hint("merge"), ["doc_key", "tag"]).select("key", "text", "component", "block", "lo", "hi", "bundle")
-    split = not cells.where("blocks > 1").isEmpty()
-    found = settle(dealt.groupBy("bundle").applyInArrow(lambda t: _group_rows(t, width, percent), "key binary, root binary, links long"), "links")
-    linked = components(found.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b")), "linked") if split else found.where("key <> root OR links > 0").select(F.col("key").alias("node"), F.col("root").alias("component"))
+    dealt = texts.join(dealt.hint("merge"), ["doc_key", "tag"]).select("key", "text", "component", "block", "blocks", "bundle")
+    inner = settle(dealt.groupBy("bundle").applyInArrow(lambda t: _group_rows(t, width, percent), f"key binary, root binary, links long, {PACKED}"), "links")
+    found = inner.where("key IS NOT NULL").select("key", "root", "links")
+    if not cells.where("blocks > 1").isEmpty():
+        packed = inner.where("component IS NOT NULL").drop("key", "root", "links")
+        across = settle(_across(packed, percent).applyInArrow(lambda t: _linked_across(t, percent), "a binary, b binary, component binary, block long, links binary"), "across")
+        edges = found.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b")).unionByName(across.where("a IS NOT NULL").select("a", "b"))
+        linked = components(edges, "linked")
+        parts = packed.select("component", "block", "keys", F.lit(None).cast("binary").alias("links")).unionByName(across.where("links IS NOT NULL").select("component", "block", F.lit(None).cast("binary").alias("keys"), "links"))
+        links = found.select("key", "links").unionByName(parts.groupBy("component", "block").applyInArrow(_summed, "key binary, links long")).groupBy("key").agg(F.sum("links").alias("links"))
+    else:
+        linked = found.where("key <> root OR links > 0").select(F.col("key").alias("node"), F.col("root").alias("component"))
+        links = found.select("key", "links")
     answers = classes.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     lowest = answers.groupBy("component").agg(F.min("rep").alias("component_id"))
-    links = found.groupBy("key").agg(F.sum("links").alias("links"))
     answers = answers.select("key", "component").join(lowest, "component").join(links, "key", "left").select("key", "component_id", "links")
     return members.join(answers, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), "key", F.coalesce("links", F.lit(0)).alias("links"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 

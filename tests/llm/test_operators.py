@@ -94,6 +94,50 @@ def test_jaccard_components(table, request, monkeypatch):
     assert got == brute.jaccard(texts(df))
 
 
+def test_jaccard_of_a_family_in_many_blocks(llm, monkeypatch):
+    """Sets of many sizes, linked in chains: links and components equal those of all pairs, however the family is cut."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(160)]
+    docs = []
+    for i in range(90):
+        w = base[: 60 + i]  # sizes drift apart until the first and the last cannot link
+        for at in rng.integers(0, len(w), rng.integers(0, 4)).tolist():
+            w[at] = f"x{rng.integers(0, 40)}"
+        docs.append((i, " ".join(w)))
+    df = llm.createDataFrame(docs + docs[:5], "doc_id long, text string")
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t in docs]
+    different = [k for k, x in enumerate(sets) if x not in sets[:k]]
+    links = [sum(100 * len(x & sets[k]) >= 75 * len(x | sets[k]) for k in different if sets[k] != x) for x in sets]
+    for sets_a_block, strip in ((5, 2), (13, 8)):
+        monkeypatch.setattr(jaccard, "GROUP_SETS", sets_a_block)
+        monkeypatch.setattr(jaccard, "REFINED_SETS", sets_a_block + 2)
+        monkeypatch.setattr(jaccard, "STRIP", strip)
+        got = {r.doc_id: r for r in jaccard.jaccard_components(df).collect()}
+        assert [got[i].links for i in range(90)] == links
+        assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute.jaccard(docs)
+
+
+def test_members_are_dealt_once_and_blocks_follow_sizes(llm, monkeypatch):
+    rows = [(bytes([i]) * 16, 50 + i % 40) for i in range(200)]
+    classes = llm.createDataFrame(rows, "key binary, n long")
+    groups = llm.createDataFrame([(k, rows[0][0]) for k, _ in rows], "node binary, component binary")
+    dealt = jaccard._dealt(classes, groups, 7, 600, "dealt").collect()
+    assert sorted(bytes(r.key) for r in dealt) == sorted(k for k, _ in rows)
+    inside = {b: [r.n for r in dealt if r.block == b] for b in {r.block for r in dealt}}
+    assert all(max(inside[a]) <= min(inside[b]) for a in inside for b in inside if a < b)
+    assert all(0 <= r.block < r.blocks for r in dealt)
+
+
+def test_packed_sets_round_trip():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 60, 100).astype(np.uint64)
+    sets = [np.unique(np.r_[base[rng.random(100) < 0.9], rng.integers(0, 1 << 60, rng.integers(0, 9)).astype(np.uint64)]) for _ in range(30)]
+    sets.append(np.array([7], np.uint64))
+    lengths, common, body = jaccard.pack_sets(sets)
+    assert [x.tolist() for x in jaccard.unpack_sets(lengths, common, body)] == [x.tolist() for x in sets]
+    assert len(common) + len(body) < sum(x.nbytes for x in sets) / 2
+
+
 def test_jaccard_without_rows_and_keeping_one(odd, empty):
     assert jaccard.jaccard_components(empty).count() == 0
     kept = jaccard.keep_one(odd)
