@@ -37,7 +37,7 @@ def link_skills(
 
     ``small_entries`` (an incremental day): the entries side is broadcast
     after a size check, so the stored vacancy rows stream through the join
-    without being shuffled. ``carry`` copies vacancy columns (e.g. ``city_id``)
+    without being shuffled. Else both sides are dealt by vacancy. ``carry`` copies vacancy columns (e.g. ``city_id``)
     onto the links, so a mart built right away needs no second join.
     """
     e = entries.where(F.col("skill_name").isNotNull())
@@ -54,6 +54,7 @@ def link_skills(
             "n_links", F.lit(1).cast("long")
         )
     per_id = e.groupBy("vacancy_id", "skill_name").agg(F.count(F.lit(1)).alias("n_links"))
-    if small_entries:
-        per_id = broadcast_if_small(per_id)
+    # unnested entries outgrow any estimate made from their documents' size (a VARIANT
+    # column weighs 2 KB in it): no side is broadcast on the strength of one
+    per_id = broadcast_if_small(per_id) if small_entries else per_id.hint("merge")
     return per_id.join(vac, "vacancy_id", "inner").select(*VACANCY_KEY, "skill_name", "n_links", *extra)
