@@ -26,32 +26,24 @@ def with_variant(staging: DataFrame, col: str = "obj") -> DataFrame:
 
 
 def is_object(v: Column | str = "v") -> Column:
-    """True for one JSON object, the only kind of document that is staged."""
-    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False))
+    """True for one JSON object, the only kind of document that is staged: nothing else casts to a struct."""
+    return F.try_variant_get(v, "$", "struct<_:boolean>").isNotNull()
 
 
 def as_struct(v: Column | str, schema: T.DataType) -> Column:
-    """The document as a struct with text leaves, like ``->>``; what is missing or of another shape is NULL."""
-    v = F.col(v) if isinstance(v, str) else v
+    """The document as a struct with text leaves, like ``->>``; what is missing or of another shape is NULL.
 
-    def read(path: str, kind: T.DataType) -> Column:
-        if isinstance(kind, T.StructType):
-            inner = F.struct(*[read(f"{path}.{f.name}", f.dataType).alias(f.name) for f in kind.fields])
-            return F.when(F.try_variant_get(v, path, "variant").isNotNull() & ~F.is_variant_null(F.try_variant_get(v, path, "variant")), inner)
-        return F.try_variant_get(v, path, kind.simpleString())
-
-    if not isinstance(schema, T.StructType):
-        return F.try_variant_get(v, "$", schema.simpleString())
-    return F.when(is_object(v), F.struct(*[read(f"$.{f.name}", f.dataType).alias(f.name) for f in schema.fields]))
+    One cast of the whole value: a path per field would read the document once for each.
+    """
+    return F.try_variant_get(v, "$", schema.simpleString())
 
 
 def unnested(rows: DataFrame, path: str, keep: list[Column], key: str = "key", value: str = "value", v: str = "v") -> DataFrame:
     """One row per element of the array, or field of the object, at ``path``; none if it is missing or empty.
 
-    ``key`` is the field's name (NULL for an array), ``value`` a VARIANT.
+    ``key`` is the field's name (NULL for an array), ``value`` a VARIANT. ``keep``
+    is read once per document, which does not go on with its elements.
     """
-    spark = rows.sparkSession
-    inner = F.try_variant_get(F.col(v), path, "variant")
-    exploded = spark.tvf.variant_explode(inner.outer())
-    joined = rows.lateralJoin(exploded)
-    return joined.select(*keep, F.col("key").alias(key), F.col("value").alias(value))
+    kept = rows.select(*keep, F.try_variant_get(F.col(v), path, "variant").alias("_inner"))
+    joined = kept.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("_inner").outer()))
+    return joined.select(*kept.columns[:-1], F.col("key").alias(key), F.col("value").alias(value))

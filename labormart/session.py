@@ -10,8 +10,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Settings that hold from local[8] up to a large cluster. Shuffle partition
 # count is a starting point only: AQE coalesces small partitions and splits
@@ -86,10 +89,26 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, folder: str | Non
     lineage ends at the files, and Catalyst sees the real file size.
     """
     path = f"{folder or scratch_path(spark, 'labormart-stage')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    with _whole_variants(spark, df):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _whole_variants(spark: SparkSession, df: DataFrame) -> Iterator[None]:
+    """VARIANT columns are written as they are: readers take whole documents, which shredded ones are put together for."""
+    key = "spark.sql.variant.inferShreddingSchema"
+    if not any(isinstance(f.dataType, T.VariantType) for f in df.schema.fields):
+        yield
+        return
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
 
