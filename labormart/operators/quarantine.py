@@ -39,7 +39,10 @@ def check_vacancies(staging: DataFrame, sem: Semantics = REFERENCE) -> DataFrame
         parsed, whole = staging.select("obj", "v", variants.as_struct("v", VACANCY_DOC).alias("d"), *columns), variants.is_object()
     else:
         parsed, whole = staging.select("obj", parse_doc("obj", VACANCY_DOC).alias("d"), *columns), F.coalesce(is_json_object("obj"), F.lit(False))
-    d = F.col("d")
+    # a column of its own: the array of reasons is evaluated expression by expression
+    # and would read the text again for each of them
+    parsed = parsed.withColumn("_whole", whole)
+    d, whole = F.col("d"), F.col("_whole")
     too_long = F.exists(d["key_skills"], lambda s: F.length(s["name"]) > sem.skill_name_len)
     fields = [
         ("id", d["id"].try_cast("bigint").isNull()),
@@ -57,7 +60,7 @@ def check_vacancies(staging: DataFrame, sem: Semantics = REFERENCE) -> DataFrame
             ("query_profession_eng_name", F.col("query_profession_eng_name").isNull()),
             ("query_dt", F.col("query_dt").isNull()),
         ),
-    )
+    ).drop("_whole")
 
 
 def accepted_vacancies(checked: DataFrame, sem: Semantics = REFERENCE) -> DataFrame:
@@ -117,10 +120,15 @@ def rejected_rate_files(docs: DataFrame) -> DataFrame:
 
 
 def must_fit(checked: DataFrame) -> DataFrame:
-    """``checked`` without its ``reasons``; the job fails on the first document that has one."""
+    """``checked`` without its ``reasons``; the job fails on the first document that has one.
+
+    The guard stands in the document's columns, one of which every reader takes. As
+    a filter it would be pushed below the parsing, which then runs once for each
+    reason.
+    """
     said = F.concat(F.lit("rejected document ("), F.array_join("reasons", ", "), F.lit(")"))
-    guard = F.when(F.size("reasons") > 0, F.raise_error(said))
-    return checked.where(guard.isNull()).drop("reasons")
+    guarded = lambda c: F.when(F.size("reasons") > 0, F.raise_error(said)).otherwise(F.col(c))
+    return checked.withColumns({c: guarded(c) for c in ("d", "v") if c in checked.columns}).drop("reasons")
 
 
 def keep_rejects(tables, rows: DataFrame) -> None:

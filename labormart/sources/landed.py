@@ -49,11 +49,12 @@ def is_json_object(col: Column | str = "obj") -> Column:
     """True when the text is one well-formed JSON object (what the source's json column accepts).
 
     The parser stops at the end of the object; as the only element of an array
-    the text must also end there.
+    the text must also end there. One well-formed value that begins with a brace
+    is an object, so the text is read once.
     """
     c = F.col(col) if isinstance(col, str) else col
     alone = F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1
-    return F.json_object_keys(c).isNotNull() & F.coalesce(alone, F.lit(False))
+    return F.coalesce(F.startswith(F.ltrim(c, F.lit(" \t\r\n")), F.lit("{")) & alone, F.lit(False))
 
 
 def malformed_documents(docs: DataFrame, col: str = "obj") -> DataFrame:
