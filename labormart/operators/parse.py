@@ -83,30 +83,32 @@ def dedup_versions(
 ) -> DataFrame:
     """A7 + Q7: drop exact repeats, then resolve keys that still hold several versions.
 
-    Step 1 groups by key and values (exact copies collapse map-side, so a
-    document staged many times is cheap); step 2 groups by key over the few
-    remaining versions. ``on_duplicate="error"`` fails the job like the
-    source's upsert does (two rows for one conflict key); ``"latest"`` keeps
-    the version with the greatest ``ts_col``.
+    One grouping by key: the versions of a key are merged map-side, so a document
+    staged many times is cheap, and each key's row is shuffled once.
+    ``on_duplicate="error"`` fails the job like the source's upsert does (two
+    rows for one conflict key); ``"latest"`` keeps the version with the greatest
+    ``ts_col``.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError("on_duplicate must be 'error' or 'latest'")
-    cols = [*key, *value_cols]
     has_ts = ts_col in rows.columns
-    ts = F.max(ts_col) if has_ts else F.lit(None).cast("timestamp_ntz")
-    versions = rows.groupBy(*cols).agg(ts.alias("_ts"))
-    packed = F.struct(F.col("_ts"), *[F.col(c) for c in value_cols])
-    # order by (timestamp, values): never NULL, so max_by always picks a version,
-    # and equal timestamps resolve deterministically
-    per_key = versions.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.max_by(packed, packed).alias("_v"))
-    if on_duplicate == "error":
+    ts = F.col(ts_col) if has_ts else F.lit(None).cast("timestamp_ntz")
+    grouped, values = rows.groupBy(*key), F.struct(*[F.col(c) for c in value_cols])
+    if on_duplicate == "latest":
+        # order by (timestamp, values): never NULL, so max always picks a version,
+        # and equal timestamps resolve deterministically
+        latest = F.max(F.struct(ts.alias("_ts"), values.alias("_v"))).alias("_l")
+        per_key = grouped.agg(latest).select(*key, F.col("_l._v").alias("_v"), F.col("_l._ts").alias("_ts"))
+    else:
+        # the least and the greatest values differ where a key has several versions;
         # evaluated in the filter, so the job fails on the first conflicting key
+        per_key = grouped.agg(F.min(values).alias("_least"), F.max(values).alias("_v"), F.max(ts).alias("_ts"))
         guard = F.when(
-            F.col("_n") > 1,
+            ~F.col("_least").eqNullSafe(F.col("_v")),
             F.raise_error(F.concat(F.lit("duplicate versions for key "), F.to_json(F.struct(*[F.col(k) for k in key])))),
         )
         per_key = per_key.where(guard.isNull())
-    out = per_key.select(*key, *[F.col(f"_v.{c}").alias(c) for c in value_cols], F.col("_v._ts").alias(ts_col))
+    out = per_key.select(*key, *[F.col(f"_v.{c}").alias(c) for c in value_cols], F.col("_ts").alias(ts_col))
     return out if has_ts else out.drop(ts_col)
 
 
