@@ -37,14 +37,16 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
     """Mark ``df`` for broadcast when it takes at most ``max_bytes``.
 
     Scans, filters, projections and aggregates never grow past Catalyst's size
-    estimate, so for a plan made of those the estimate decides and no job runs.
-    Other plans are written once, under the shared checkpoint folder; the
+    estimate, so for a plan made of those an estimate that is small enough decides
+    and no job runs. Other plans, and those whose bound is larger than what they
+    may hold (distinct values of a large table, rows that have no statistics), are
+    written once, under the shared checkpoint folder; the
     files' size decides, and the join reads the files instead of computing the
     rows again. A larger side is returned without the mark and Spark plans a
     shuffle join, where AQE can still split skewed partitions.
     """
     est = estimated_bytes(df)
-    if est is None or not _estimate_is_bound(df):
+    if est is None or est > max_bytes or not _estimate_is_bound(df):
         df = materialize(df.sparkSession, df, "join-side")
         est = estimated_bytes(df)
     return F.broadcast(df) if est is not None and est <= max_bytes else df
