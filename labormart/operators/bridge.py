@@ -47,12 +47,17 @@ def link_skills(
     extra = list(carry or [])
     vac = vacancies.select(*VACANCY_KEY, *extra)
     if keyed:
-        pairs = e.select(*VACANCY_KEY, "skill_name").distinct()
-        # only the entries' days can match: prune the vacancy partitions first
-        vac = semi_join_days(vac, e, ["dt"])
-        return pairs.join(vac, VACANCY_KEY, "left_semi" if not extra else "inner").withColumn(
-            "n_links", F.lit(1).cast("long")
-        )
+        e = e.select(*VACANCY_KEY, "skill_name")
+        if small_entries:
+            # only the entries' days can match: prune the vacancy partitions first
+            vac = semi_join_days(vac, e, ["dt"])
+            pairs = e.distinct().join(vac, VACANCY_KEY, "left_semi" if not extra else "inner")
+        elif extra:
+            pairs = e.distinct().join(vac.hint("merge"), VACANCY_KEY, "inner")
+        else:
+            # dealt by vacancy for the join, the entries are already in place for the distinct
+            pairs = e.join(vac.hint("merge"), VACANCY_KEY, "left_semi").distinct()
+        return pairs.withColumn("n_links", F.lit(1).cast("long"))
     per_id = e.groupBy("vacancy_id", "skill_name").agg(F.count(F.lit(1)).alias("n_links"))
     # unnested entries outgrow any estimate made from their documents' size (a VARIANT
     # column weighs 2 KB in it): no side is broadcast on the strength of one

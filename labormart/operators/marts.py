@@ -124,9 +124,9 @@ def skill_counts(bridge: DataFrame, vacancies: DataFrame | None, cities: DataFra
         # broadcast name lookup first, then a single aggregate by city name
         joined = bridge.join(city, "city_id", "inner")
     else:
-        links = bridge.groupBy(*key, "skill_name").agg(F.sum("n_links").alias("n_links"))
+        # links of one vacancy and skill from several loads are added up below, with all others
         vac = vacancies.select(*key, "city_id")
-        joined = links.join(vac, key, "inner").join(city, "city_id", "inner")
+        joined = bridge.join(vac, key, "inner").join(city, "city_id", "inner")
     return joined.groupBy("city_name", "query_profession_eng_name", "dt", "skill_name").agg(
         F.sum("n_links").cast("int").alias("cnt")
     )

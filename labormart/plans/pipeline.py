@@ -44,7 +44,7 @@ def _replace_days(tables, name: str, rows: DataFrame, days: DataFrame) -> None:
     """
     rows = tables.scratch(rows, name)
     emptied = days.distinct().join(rows.select("dt").distinct(), "dt", "left_anti").collect()
-    tables.put(name, rows, "partitions")
+    tables.put(name, rows, "partitions", landed=True)
     for day in emptied:
         tables.delete_partition(name, day["dt"])
 
@@ -97,7 +97,9 @@ def _load(
     # the scope's documents are parsed once, and the readers below use the struct;
     # of other staged days only the skill names are read (Q13)
     if sem.quarantine:
-        checked = tables.scratch(quarantine.check_vacancies(scope_v, sem), "parsed_vacancies")
+        # the text goes on only where it is rejected
+        checked = quarantine.check_vacancies(scope_v, sem).withColumn("obj", F.when(F.size("reasons") > 0, F.col("obj")))
+        checked = tables.scratch(checked, "parsed_vacancies")
         parsed_scope = quarantine.accepted_vacancies(checked, sem)
         stg_r, scope_r, bad_rates = _sound_rates(tables, stg_r, scope_r)
         quarantine.keep_rejects(tables, quarantine.rejects_of(checked, "vacancies").unionByName(bad_rates))
