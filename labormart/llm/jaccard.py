@@ -2,15 +2,17 @@
 
 Documents with the same shingles form one set. Sets are joined in three steps:
 
-* Candidates. The rarest shingles of every set go into index lists, dealt into
-  buckets by shingle. Lists are sorted by set size; the position of the shingle
-  in a set bounds how large a partner can be, so each entry sees one block of
-  its list and skips the others. Pairs that remain only say which sets belong
-  to one candidate group.
+* Candidates. The rarest shingles of every set, those of the rarest words first,
+  go into index lists, dealt into buckets by shingle. Lists are sorted by set
+  size; the position of the shingle in a set bounds how large a partner can be,
+  so each entry sees one block of its list and skips the others. What remains
+  are pairs, and chains through lists with many sets of similar size, which
+  only say that these sets belong to one candidate group.
 * Refinement. Each set has a bitmap with a bit for each of its shingles, set or
   cleared in turn. Two bitmaps differ in at most as many bits as the sets differ
-  in shingles, so pairs that differ in too many are not similar. The groups are
-  formed anew from the pairs that pass; no text moves for this.
+  in shingles, so pairs that differ in too many are not similar. Each pair is
+  put to this test, and every two sets of a group. Groups are formed anew from
+  what passes; no text moves for this.
 * Answers. A group's texts come together once. Its sets are walked from one to
   the most similar one next: overlaps with all others are carried along and only
   the lists of the shingles that differ are added or taken off.
@@ -20,7 +22,7 @@ within itself first and then packed into one row, its sets as differences from
 the shingles that most of them have. Blocks whose sizes allow a link meet in
 tasks of one block and a strip of later ones, which read those packed rows.
 
-No pair of sets is ever a row, no text goes to more than one task, and rows do
+No pair of sets is ever a row (pairs travel packed), no text goes to more than one task, and rows do
 not follow the square of a group; all links are found and counted all the same.
 Shingles are known by 64-bit hashes and sets by 128-bit digests.
 """
@@ -46,9 +48,16 @@ BLOCK_SHINGLES = 1_500_000
 #: Shingles put last in the order, at most; the order decides speed, never results.
 ORDERED_LAST = 1 << 17
 LOCAL_COUNT = 4
+#: Words whose frequency places shingles in the order, at most; and how often a slice of texts must have one.
+COMMON_WORDS = 1 << 16
+LOCAL_WORDS = 8
 #: Index entries of one bucket; entries of a list that are compared one by one.
 BUCKET_ENTRIES = 1_500_000
-LONG_RANGE = 256
+LONG_RANGE = 128
+#: Sets, and shingles, of one shard in the test of pairs; bytes of bitmaps that are packed or compared at once.
+SHARD_SETS = 16_384
+SHARD_SHINGLES = 32_000_000
+MAP_BYTES = 4_000_000
 #: A shingle in more sets than this joins them to one group without a list.
 HOT_LIST = 1_000_000
 #: Sets, and shingles, of one block of a group.
@@ -59,22 +68,43 @@ REFINED_SETS = 4_000
 REFINED_SHINGLES = 8_000_000
 #: Later blocks of a group that meet one block in a task.
 STRIP = 8
+CANDIDATES = "a binary, b binary, shard long, pairs binary"
 PACKED = "component binary, block long, low long, high long, keys binary, sizes binary, roots binary, lengths binary, common binary, body binary"
 
 
 def shingle_sets(text: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every document; short texts are one shingle."""
-    words, bounds = hash_words(text, offsets, lower=True)
+    return sets_of(*hash_words(text, offsets, lower=True), width)[0]
+
+
+def sets_of(words: np.ndarray, bounds: np.ndarray, width: int, weight: np.ndarray | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """``shingle_sets`` of hashed words; with weights of the words, also the sum of a shingle's for each shingle of each set."""
     windows = hash_windows(words, width)
-    out = []
+    total = None if weight is None else np.r_[0, np.cumsum(weight)]
+    out, weights = [], []
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if hi - lo >= width and total is not None:
+            shingles, at = np.unique(windows[lo : hi - width + 1], return_index=True)
+            out.append(shingles)
+            weights.append(total[lo + at + width] - total[lo + at])
+            continue
         if hi - lo >= width:
             out.append(np.unique(windows[lo : hi - width + 1]))
         elif hi > lo:  # the whole sequence, told apart from longer ones by its own salt
             out.append(hash_windows(words[lo:hi], hi - lo, salt=hi - lo))
         else:
             out.append(np.zeros(0, np.uint64))
-    return out
+        weights.append(np.zeros(len(out[-1]), np.int64))
+    return out, weights
+
+
+def word_weights(words: np.ndarray, common: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weight of every word: that of the same word in ``common``, in order, or nothing."""
+    if not len(common):
+        return np.zeros(len(words), np.int64)
+    found = np.searchsorted(common, words)
+    found[found == len(common)] = 0
+    return np.where(common[found] == words, weight[found], 0)
 
 
 def set_key(shingles: np.ndarray) -> bytes:
@@ -88,11 +118,12 @@ def set_bits(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], column: int, width: int) -> Iterator[tuple[pa.RecordBatch, int, int, list[np.ndarray]]]:
+def _blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
+    """Hashed words of the texts, slice by slice, and where each text's begin."""
     for batch in batches:
         text, offsets = text_buffers(batch.column(column))
         for start, stop in text_slices(batch.column(column)):
-            yield batch, start, stop, shingle_sets(text, offsets[start : stop + 1], width)
+            yield batch, start, stop, *hash_words(text, offsets[start : stop + 1], lower=True)
 
 
 def _distinct(sets: dict[bytes, np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,36 +132,45 @@ def _distinct(sets: dict[bytes, np.ndarray], least: int) -> tuple[np.ndarray, np
 
 
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """For each row its set's size and digest; and shingles that repeat within a block of sets."""
+    """For each row its set's size and digest; and shingles that repeat within a block of sets, words within a slice of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, np.ndarray] = {}
+        common: list[tuple[np.ndarray, np.ndarray]] = []
+        none_found = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         held = 0
 
-        def rows(ids, tags, sizes, keys, bits, shingles, counts) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([ids, tags, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.binary()), pa.array(shingles, pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "tag", "n", "key", "bits", "shingle", "count"])
+        def rows(ids, tags, sizes, keys, bits, shingles, words, counts) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([ids, tags, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.binary()), pa.array(shingles, pa.int64()), pa.array(words, pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "tag", "n", "key", "bits", "shingle", "word", "count"])
 
-        def counted() -> pa.RecordBatch:
-            shingles, counts = _distinct(seen, LOCAL_COUNT)
-            none = [None] * len(shingles)
-            return rows(pa.array(none, pa.int64()), pa.array(none, pa.int64()), none, none, none, shingles.view(np.int64), counts)
+        def counted() -> Iterator[pa.RecordBatch]:
+            shingles, counts = _distinct(seen, LOCAL_COUNT) if seen else none_found
+            found, part = np.unique(np.concatenate([f for f, _ in common]), return_inverse=True)
+            often = np.bincount(part, weights=np.concatenate([n for _, n in common]), minlength=len(found)).astype(np.int64)
+            none, nowhere = [None] * len(shingles), [None] * len(found)
+            yield rows(pa.array(none, pa.int64()), pa.array(none, pa.int64()), none, none, none, shingles.view(np.int64), none, counts)
+            yield rows(pa.array(nowhere, pa.int64()), pa.array(nowhere, pa.int64()), nowhere, nowhere, nowhere, nowhere, found.view(np.int64), often)
 
-        for batch, start, stop, sets in _blocks(batches, 2, width):
+        for batch, start, stop, words, bounds in _blocks(batches, 2):
+            sets, _ = sets_of(words, bounds, width)
             keys = [set_key(s) if len(s) else None for s in sets]
             none = [None] * len(sets)
-            yield rows(batch.column(0).slice(start, stop - start), batch.column(1).slice(start, stop - start), [len(s) for s in sets], keys, [set_bits(s) if len(s) else None for s in sets], none, none)
+            yield rows(batch.column(0).slice(start, stop - start), batch.column(1).slice(start, stop - start), [len(s) for s in sets], keys, [set_bits(s) if len(s) else None for s in sets], none, none, none)
+            found, counts = np.unique(words, return_counts=True)
+            common.append((found[counts >= LOCAL_WORDS], counts[counts >= LOCAL_WORDS]))
             for k, s in zip(keys, sets, strict=True):
                 if k is not None and k not in seen:
                     seen[k] = s
                     held += len(s)
             if held >= BLOCK_SHINGLES:
-                yield counted()
+                yield from counted()
                 seen.clear()
+                common.clear()
                 held = 0
-        if seen:
-            yield counted()
+        if common:
+            yield from counted()
 
-    return docs.mapInArrow(run, "doc_id long, tag long, n long, key binary, bits binary, shingle long, count long")
+    return docs.mapInArrow(run, "doc_id long, tag long, n long, key binary, bits binary, shingle long, word long, count long")
 
 
 def _prefix_length(size: np.ndarray | int, percent: int):
@@ -141,29 +181,27 @@ def _index_rows(docs: DataFrame, last, n_buckets: int, width: int, percent: int)
     """Index entries, packed for each block of sets and bucket; and group edges of hot shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ordered, rank, hot = last.value
-        seen: dict[bytes, np.ndarray] = {}
+        ordered, rank, hot, common, weight = last.value
+        seen: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         held = 0
 
         def packed() -> pa.RecordBatch:
-            keys, sets = list(seen), list(seen.values())
+            keys, sets = list(seen), [s for s, _ in seen.values()]
             sizes = np.array([len(s) for s in sets], np.int64)
             shingles, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
             starts = np.cumsum(sizes) - sizes
-            # shingles that are not ordered last come first, by hash; the others by rank
+            # shingles that are not ordered last come first, by weight and hash; the others by rank
             found = np.searchsorted(ordered, shingles)
             found[found == len(ordered)] = 0
             late = ordered[found] == shingles if len(ordered) else np.zeros(len(shingles), bool)
-            early = ~late
-            before = np.cumsum(early) - early
-            place = before - np.repeat(before[starts], sizes)
+            value = np.concatenate([w for _, w in seen.values()])
             at = np.flatnonzero(late)
             if len(at):
-                at = at[np.lexsort((rank[found[at]], owner[at]))]
-                first = np.flatnonzero(np.r_[True, owner[at][1:] != owner[at][:-1]])
-                run_length = np.diff(np.r_[first, len(at)])
-                n_early = np.bincount(owner, weights=early, minlength=len(sets)).astype(np.int64)
-                place[at] = n_early[owner[at]] + np.arange(len(at)) - np.repeat(first, run_length)
+                value[at] = int(value.max()) + 1 + rank[found[at]]
+            by = np.argsort(owner * (int(value.max()) + 1) + value, kind="stable")
+            place, ahead = np.empty(len(shingles), np.int64), np.empty(len(shingles), np.uint64)
+            place[by] = np.arange(len(shingles)) - np.repeat(starts, sizes)
+            ahead[by] = np.where(place[by] > 0, np.r_[shingles[by[-1:]], shingles[by[:-1]]], 0)
             keep = place < _prefix_length(sizes, percent)[owner]
             is_hot = np.zeros(len(shingles), bool)
             if len(hot):
@@ -177,17 +215,17 @@ def _index_rows(docs: DataFrame, last, n_buckets: int, width: int, percent: int)
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 e = entry[cuts[b] : cuts[b + 1]]
                 own, local = np.unique(owner[e], return_inverse=True)
-                rows.append((b, len(own), key_bytes[own].tobytes() + sizes[own].astype("<u4").tobytes() + shingles[e].tobytes() + local.astype("<u4").tobytes() + place[e].astype("<u4").tobytes()))
+                rows.append((b, len(own), key_bytes[own].tobytes() + sizes[own].astype("<u4").tobytes() + shingles[e].tobytes() + local.astype("<u4").tobytes() + place[e].astype("<u4").tobytes() + ahead[e].tobytes()))
             e = np.flatnonzero(keep & is_hot)
             if len(e):  # bare edges, in a bucket of their own
                 nodes = np.concatenate([np.frombuffer(b"hot-word", np.uint8)[None].repeat(len(e), 0), shingles[e].view(np.uint8).reshape(-1, 8)], axis=1)
                 rows.append((-1 - int(shingles[e[0]] & np.uint64(0xFFFF)), len(e), np.concatenate([key_bytes[owner[e]], nodes], axis=1).tobytes()))
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["bucket", "sets", "packed"])
 
-        for _, _, _, sets in _blocks(batches, 0, width):
-            for s in sets:
+        for _, _, _, words, bounds in _blocks(batches, 0):
+            for s, w in zip(*sets_of(words, bounds, width, word_weights(words, common, weight)), strict=True):
                 if len(s) and (k := set_key(s)) not in seen:
-                    seen[k] = s
+                    seen[k] = s, w
                     held += len(s)
             if held >= BLOCK_SHINGLES:
                 yield packed()
@@ -214,16 +252,17 @@ def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def list_candidates(shingle: np.ndarray, owner: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Owner pairs of index entries that can reach the similarity, list by list.
+def list_candidates(shingle: np.ndarray, owner: np.ndarray, size: np.ndarray, place: np.ndarray, ahead: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Owner pairs of index entries that can reach the similarity, list by list; and chains through long ranges.
 
     An entry's shingles from this position on bound every overlap that starts
     here, which bounds the partner's size: entries beyond it are skipped as a
     block. Ranges longer than ``LONG_RANGE`` are chained, which joins at least
-    the owners that pairs would have joined.
+    the owners that pairs would have joined. Entries with the same shingle
+    right ahead have met in the list of that one, where the bounds are wider.
     """
     order = np.lexsort((size, shingle))
-    shingle, owner, size, place = shingle[order], owner[order], size[order], place[order]
+    shingle, owner, size, place, ahead = shingle[order], owner[order], size[order], place[order], ahead[order]
     new = np.r_[True, shingle[1:] != shingle[:-1]]
     number = np.cumsum(new) - 1
     rest = size - place
@@ -235,52 +274,56 @@ def list_candidates(shingle: np.ndarray, owner: np.ndarray, size: np.ndarray, pl
     span = np.maximum(stop - np.arange(len(size)) - 1, 0)
     long = span > LONG_RANGE
     short = np.flatnonzero((span > 0) & ~long)
-    left, right = [], []
+    pairs = [np.zeros(0, np.int64)]
     for part in np.array_split(short, max(1, int(span[short].sum()) // 2_000_000 + 1)):
         n = span[part]
         i = np.repeat(part, n)
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
-        fits = (100 + percent) * rest[j] >= percent * (size[i] + size[j])
-        i, j = owner[i[fits]], owner[j[fits]]
-        pair = np.unique(np.minimum(i, j).astype(np.int64) << 32 | np.maximum(i, j))
-        left.append(pair >> 32)
-        right.append(pair & 0xFFFFFFFF)
-    if long.any():
-        cover = np.zeros(len(size) + 1, np.int64)
-        np.add.at(cover, np.flatnonzero(long), 1)
-        np.add.at(cover, stop[long] - 1, -1)
-        link = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
-        left.append(owner[link])
-        right.append(owner[link + 1])
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _bucket_groups(rows: pa.Table, percent: int) -> pa.Table:
+        fits = ((100 + percent) * rest[j] >= percent * (size[i] + size[j])) & ((ahead[i] != ahead[j]) | (ahead[i] == 0))
+        # the smaller set first
+        i, j = i[fits], j[fits]
+        flip = (size[i] == size[j]) & (owner[i] > owner[j])
+        i, j = np.where(flip, owner[j], owner[i]), np.where(flip, owner[i], owner[j])
+        pairs.append(np.unique(i.astype(np.int64) << 32 | j))
+    pair = np.unique(np.concatenate(pairs))
+    cover = np.zeros(len(size) + 1, np.int64)
+    np.add.at(cover, np.flatnonzero(long), 1)
+    np.add.at(cover, stop[long] - 1, -1)
+    link = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
+    return pair >> 32, pair & 0xFFFFFFFF, owner[link], owner[link + 1]
+
+
+def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each key, given as rows of its bytes; by its first four."""
+    return np.ascontiguousarray(keys[:, :4]).view(">u4").ravel().astype(np.int64) % shards
+
+
+def _bucket_groups(rows: pa.Table, percent: int, shards: int) -> pa.Table:
+    """Edges of candidate groups; and candidate pairs, packed for each shard of the first set."""
     if rows.num_rows and rows.column("bucket")[0].as_py() < 0:
         edges = [blob.as_py()[32 * i : 32 * i + 32] for n, blob in zip(rows.column("sets").to_pylist(), rows.column("packed"), strict=True) for i in range(n)]
-        return pa.table({"a": pa.array([x[:16] for x in edges], pa.binary()), "b": pa.array([x[16:] for x in edges], pa.binary())})
-    keys, sizes, shingle, owner, place = [], [], [], [], []
+        return _arrow([(x[:16], x[16:], None, None) for x in edges], CANDIDATES)
+    keys, sizes, shingle, owner, place, ahead = [], [], [], [], [], []
     base = 0
     for n, blob in zip(rows.column("sets").to_pylist(), rows.column("packed"), strict=True):
         raw = np.frombuffer(blob.as_buffer(), np.uint8)
-        m = (len(raw) - 20 * n) // 16
-        cut = np.cumsum([0, 16 * n, 4 * n, 8 * m, 4 * m, 4 * m])
+        m = (len(raw) - 20 * n) // 24
+        cut = np.cumsum([0, 16 * n, 4 * n, 8 * m, 4 * m, 4 * m, 8 * m])
         part = [raw[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
         keys.append(part[0])
         sizes.append(part[1].copy().view("<u4"))
         shingle.append(part[2].copy().view(np.uint64))
         owner.append(part[3].copy().view("<u4").astype(np.int64) + base)
         place.append(part[4].copy().view("<u4").astype(np.int64))
+        ahead.append(part[5].copy().view(np.uint64))
         base += n
-    shingle, owner, place = np.concatenate(shingle), np.concatenate(owner), np.concatenate(place)
+    shingle, owner, place, ahead = np.concatenate(shingle), np.concatenate(owner), np.concatenate(place), np.concatenate(ahead)
     order = np.argsort(shingle, kind="stable")
-    shingle, owner, place = shingle[order], owner[order], place[order]
-    same = np.r_[False, shingle[1:] == shingle[:-1], False]
-    several = same[1:] | same[:-1]
-    shingle, owner, place = shingle[several], owner[several], place[several]
-    empty = pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+    same = np.r_[False, shingle[order][1:] == shingle[order][:-1], False]
+    order = order[same[1:] | same[:-1]]
+    shingle, owner, place, ahead = shingle[order], owner[order], place[order], ahead[order]
     if not len(shingle):
-        return empty
+        return _arrow([], CANDIDATES)
     used, owner = np.unique(owner, return_inverse=True)
     # the same set can come from several blocks
     key = np.ascontiguousarray(np.concatenate(keys).reshape(-1, 16)[used]).view("V16").ravel()
@@ -288,13 +331,93 @@ def _bucket_groups(rows: pa.Table, percent: int) -> pa.Table:
     distinct, first, one = np.unique(key, return_index=True, return_inverse=True)
     size, owner = size[first], one[owner]
     order = np.lexsort((owner, shingle))
-    shingle, owner, place = shingle[order], owner[order], place[order]
+    shingle, owner, place, ahead = shingle[order], owner[order], place[order], ahead[order]
     keep = np.r_[True, (shingle[1:] != shingle[:-1]) | (owner[1:] != owner[:-1])]
-    shingle, owner, place = shingle[keep], owner[keep], place[keep]
-    a, b = list_candidates(shingle, owner, size[owner], place, percent)
+    shingle, owner, place, ahead = shingle[keep], owner[keep], place[keep], ahead[keep]
+    left, right, a, b = list_candidates(shingle, owner, size[owner], place, ahead, percent)
     label = local_components(len(distinct), a, b)
-    moved = np.flatnonzero(label != np.arange(len(label)))
-    return pa.table({"a": pa.array([distinct[i].tobytes() for i in label[moved]], pa.binary()), "b": pa.array([distinct[i].tobytes() for i in moved], pa.binary())})
+    out: list[tuple] = [(distinct[label[i]].tobytes(), distinct[i].tobytes(), None, None) for i in np.flatnonzero(label != np.arange(len(label))).tolist()]
+    apart = label[left] != label[right]  # the others meet in their group
+    raw = distinct.view(np.uint8).reshape(-1, 16)
+    left, right = raw[left[apart]], raw[right[apart]]
+    shard = _shard_of(left, shards)
+    order = np.argsort(shard, kind="stable")
+    packed, cuts = np.concatenate([left, right], axis=1)[order], np.searchsorted(shard[order], np.arange(shards + 1))
+    out += [(None, None, k, packed[cuts[k] : cuts[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(cuts)).tolist()]
+    return _arrow(out, CANDIDATES)
+
+
+def _sets_of_shard(rows: pa.Table) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
+    """Row of each key, sizes, and the bitmaps with their offsets, of the sets among ``rows``."""
+    rows = rows.filter(rows.column("key").is_valid()).combine_chunks()
+    bits = rows.column("bits").cast(pa.large_binary()).combine_chunks()
+    offsets = np.frombuffer(bits.buffers()[1], np.int64)[bits.offset : bits.offset + len(bits) + 1] if len(bits) else np.zeros(1, np.int64)
+    return {k: i for i, k in enumerate(rows.column("key").to_pylist())}, rows.column("n").to_numpy().astype(np.int64), np.frombuffer(bits.buffers()[2], np.uint8) if len(bits) else np.zeros(0, np.uint8), offsets
+
+
+def _halves(rows: pa.Table, shards: int) -> pa.Table:
+    """Different pairs of a shard with size and bitmap of their first set, packed for each shard of the second and width."""
+    blobs = [blob for blob in rows.column("pairs").to_pylist() if blob is not None]
+    out: list[tuple] = []
+    if blobs:
+        at, sizes, data, offsets = _sets_of_shard(rows)
+        pairs = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 32)
+        parts = pairs.view(np.uint64)
+        order = np.lexsort(parts.T)
+        new = np.r_[True, (parts[order][1:] != parts[order][:-1]).any(axis=1)]
+        pairs = pairs[order[new]]
+        raw = pairs.tobytes()
+        first = np.array([at[raw[i : i + 16]] for i in range(0, len(raw), 32)], np.int64)
+        shard, widths = _shard_of(pairs[:, 16:], shards), np.diff(offsets)[first]
+        for width in np.unique(widths).tolist():
+            mine = np.flatnonzero(widths == width)
+            mine = mine[np.argsort(shard[mine], kind="stable")]
+            cuts = np.searchsorted(shard[mine], np.arange(shards + 1))
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                for low in range(cuts[k], cuts[k + 1], chunk := max(1, MAP_BYTES // width)):
+                    e = mine[low : min(low + chunk, cuts[k + 1])]
+                    maps = data[offsets[first[e]][:, None] + np.arange(width)]
+                    out.append((k, width, np.concatenate([pairs[e, 16:], pairs[e, :16], sizes[first[e]].astype("<i8").view(np.uint8).reshape(-1, 8), maps], axis=1).tobytes()))
+    return _arrow(out, "shard long, width long, packed binary")
+
+
+def _tested(rows: pa.Table, percent: int) -> pa.Table:
+    """Edges between the sets of pairs whose sizes and bitmaps allow the similarity."""
+    at, sizes, data, offsets = _sets_of_shard(rows)
+    widths = np.diff(offsets)
+    node: dict[bytes, int] = {}
+    left, right = [], []
+    for width, blob in zip(rows.column("width").to_pylist(), rows.column("packed").to_pylist(), strict=True):
+        if blob is None:
+            continue
+        step = 40 + width
+        pairs = np.frombuffer(blob, np.uint8).reshape(-1, step)
+        second = np.array([at[blob[i : i + 16]] for i in range(0, len(blob), step)], np.int64)
+        n = np.ascontiguousarray(pairs[:, 32:40]).view("<i8").ravel()
+        for other in {width, 2 * width, width // 2} & set(np.unique(widths[second]).tolist()):  # no others have sizes so near
+            mine = np.flatnonzero(widths[second] == other)
+            for low in range(0, len(mine), chunk := max(1, MAP_BYTES // max(width, other))):
+                e = mine[low : low + chunk]
+                x, y = pairs[e, 40:], data[offsets[second[e]][:, None] + np.arange(other)]
+                if other > width:
+                    y = y[:, :width] ^ y[:, width:]
+                elif other < width:
+                    x = x[:, :other] ^ x[:, other:]
+                differ = np.bitwise_count(np.ascontiguousarray(x ^ y).view(np.uint64)).sum(1, dtype=np.int64)
+                both = n[e], sizes[second[e]]
+                for i in e[(100 + percent) * np.maximum(differ, np.abs(both[0] - both[1])) <= (100 - percent) * (both[0] + both[1])].tolist():
+                    left.append(node.setdefault(blob[step * i : step * i + 16], len(node)))
+                    right.append(node.setdefault(blob[step * i + 16 : step * i + 32], len(node)))
+    return _arrow(_moved(list(node), local_components(len(node), np.array(left, np.int64), np.array(right, np.int64))), "a binary, b binary")
+
+
+def _near_pairs(pairs: DataFrame, classes: DataFrame, shards: int, percent: int) -> DataFrame:
+    """Edges that hold sets of ``pairs`` together, where bitmaps allow; each pair meets the bitmaps of its two sets in turn."""
+    shard = F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long") % shards
+    sets = classes.select(shard.alias("shard"), "key", "n", "bits")
+    both = lambda d: d.unionByName(sets, allowMissingColumns=True).groupBy("shard")
+    halves = both(pairs).applyInArrow(lambda t: _halves(t, shards), "shard long, width long, packed binary")
+    return both(halves).applyInArrow(lambda t: _tested(t, percent), "a binary, b binary")
 
 
 def similar_sets(sets: list[np.ndarray], side: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
@@ -580,17 +703,24 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     order = np.argsort(late)
     rank = np.arange(len(late))[::-1][order].astype(np.int64)
     hot = np.array([r[0] for r in frequent if r[1] > HOT_LIST], np.int64).view(np.uint64)
-    last = spark.sparkContext.broadcast((late[order], rank, hot))
-
-    entries = classes.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()[0] or 0
-    index = _index_rows(rows, last, parts_for(entries, BUCKET_ENTRIES), width, percent)
-    edges = index.groupBy("bucket").applyInArrow(lambda t: _bucket_groups(t, percent), "a binary, b binary")
-    rough = _dealt(classes.select("key", "n", "bits"), components(edges, "groups"), REFINED_SETS, REFINED_SHINGLES, "rough")
+    words = prints.where("word IS NOT NULL").groupBy("word").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "word").limit(COMMON_WORDS).collect()
+    common = np.array([r[0] for r in words], np.int64).view(np.uint64)
+    weight = np.round(4 * np.log2(np.array([r[1] for r in words], np.float64) / (words[-1][1] if words else 1) + 1)).astype(np.int64)
+    by_hash = np.argsort(common)
+    last = spark.sparkContext.broadcast((late[order], rank, hot, common[by_hash], weight[by_hash]))
+
+    entries, n_sets, n_shingles = classes.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1), F.count("*"), F.sum("n")).first()
+    shards = max(parts_for(n_sets, SHARD_SETS), parts_for(n_shingles or 0, SHARD_SHINGLES))
+    index = _index_rows(rows, last, parts_for(entries or 0, BUCKET_ENTRIES), width, percent)
+    candidates = settle(index.groupBy("bucket").applyInArrow(lambda t: _bucket_groups(t, percent, shards), CANDIDATES), "candidates")
+    chained = components(candidates.where("a IS NOT NULL").select("a", "b"), "groups")
+    rough = _dealt(classes.select("key", "n", "bits"), chained, REFINED_SETS, REFINED_SHINGLES, "rough")
     refined = rough.groupBy("bundle").applyInArrow(lambda t: _refined(t, percent), f"a binary, b binary, {PACKED}")
     if not rough.where("blocks > 1").isEmpty():
         refined = settle(refined, "refined-blocks")
         across = _across(refined.where("component IS NOT NULL").drop("a", "b"), percent).applyInArrow(lambda t: _refined_across(t, percent), "a binary, b binary")
         refined = refined.where("a IS NOT NULL").select("a", "b").unionByName(across)
+    refined = refined.where("a IS NOT NULL").select("a", "b").unionByName(_near_pairs(candidates.where("pairs IS NOT NULL").select("shard", "pairs"), classes, shards, percent))
     cells = _dealt(classes.select("key", "rep", "tag", "n"), components(refined, "refined"), GROUP_SETS, GROUP_SHINGLES, "cells")
     texts = rows.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_key"), "tag", "text")
     dealt = cells.withColumn("doc_key", F.coalesce("rep", F.lit((1 << 63) - 1))).drop("rep")

@@ -117,6 +117,85 @@ def test_jaccard_of_a_family_in_many_blocks(llm, monkeypatch):
         assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute.jaccard(docs)
 
 
+def dealt_members(monkeypatch):
+    """Label and number of the members of groups that are dealt from now on."""
+    found = []
+    deal = jaccard._dealt
+
+    def counted(*args):
+        out = deal(*args)
+        found.append((args[-1], out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "_dealt", counted)
+    return found
+
+
+def all_links(docs, percent=75):
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t in docs]
+    different = [k for k, x in enumerate(sets) if x not in sets[:k]]
+    return [sum(100 * len(x & sets[k]) >= percent * len(x | sets[k]) for k in different if sets[k] != x) for x in sets]
+
+
+@pytest.mark.parametrize("sets_a_shard", [7, 100_000])
+def test_texts_that_share_passages_in_a_chain_form_no_candidate_group(llm, monkeypatch, sets_a_shard):
+    """Each text has a passage of the next: pairs are tested one by one, not all texts of the chain with each other."""
+    passages = [" ".join(f"p{i}x{k}" for k in range(30)) for i in range(61)]
+    docs = [(i, " ".join([passages[i], *(f"d{i}x{k}" for k in range(60 + i)), passages[i + 1]])) for i in range(60)]
+    docs += [(100 + i, t.replace(f"d{i}x40", "changed")) for i, t in docs[:9]]
+    monkeypatch.setattr(jaccard, "SHARD_SETS", sets_a_shard, raising=False)
+    dealt = dealt_members(monkeypatch)
+    got = {r.doc_id: r for r in jaccard.jaccard_components(llm.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[i].links for i, _ in docs] == all_links(docs)
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute.jaccard(docs)
+    assert dealt == [("rough", 0), ("cells", 18)]
+
+
+def test_shingles_of_common_words_are_no_candidates(llm, monkeypatch):
+    """Texts that share shingles of common words only do not meet: those of rare words come first in the order."""
+    rng = np.random.default_rng(8)
+    docs = [(i, " ".join(f"r{i}x{k}" if k % 12 < 4 else f"c{rng.integers(0, 3)}" for k in range(240))) for i in range(60)]
+    shared = collections.Counter(x for _, t in docs for x in {tuple(t.split()[k : k + 5]) for k in range(236)})
+    assert sum(n > 1 for n in shared.values()) > 200
+    monkeypatch.setattr(jaccard, "ORDERED_LAST", 0)
+    made = {}
+    monkeypatch.setattr(jaccard, "_index_rows", lambda *args, build=jaccard._index_rows: made.setdefault("index", build(*args)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(llm.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute.jaccard(docs)
+    shingles = [x for r in made["index"].collect() for x in np.frombuffer(bytes(r.packed)[20 * r.sets :], np.uint8)[: 8 * ((len(r.packed) - 20 * r.sets) // 24)].view(np.uint64).tolist()]
+    assert len(shingles) > 1000 and len(set(shingles)) == len(shingles)
+
+
+def test_jaccard_of_a_family_in_long_lists(llm, monkeypatch):
+    """More near copies than a list compares one by one, in blocks and shards of few, with a chain of others beside them."""
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(90)]
+    docs = []
+    for i in range(320):
+        w = base[: 70 + i % 4] if i < 260 else [f"v{i // 10}x{k}" for k in range(40 + i % 10)]
+        for at in rng.integers(0, len(w), rng.integers(0, 3)).tolist():
+            w[at] = f"x{rng.integers(0, 30)}"
+        docs.append((i, " ".join(w)))
+    for name, n in (("GROUP_SETS", 40), ("REFINED_SETS", 50), ("SHARD_SETS", 30)):
+        monkeypatch.setattr(jaccard, name, n, raising=False)
+    dealt = dealt_members(monkeypatch)
+    got = {r.doc_id: r for r in jaccard.jaccard_components(llm.createDataFrame(docs + docs[:5], "doc_id long, text string")).collect()}
+    assert [got[i].links for i in range(320)] == all_links(docs)
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute.jaccard(docs)
+    assert 129 < dict(dealt)["rough"] <= 260
+
+
+def test_weights_follow_the_words_of_a_shingle():
+    words, bounds = np.array([5, 7, 5, 9, 5, 7, 5, 2], np.uint64), np.array([0, 6, 8, 8])
+    each = jaccard.word_weights(words, np.array([5, 9], np.uint64), np.array([10, 3]))
+    assert each.tolist() == [10, 0, 10, 3, 10, 0, 10, 0]
+    sets, weights = jaccard.sets_of(words, bounds, 5, each)
+    assert [x.tolist() for x in sets] == [x.tolist() for x in jaccard.sets_of(words, bounds, 5)[0]]
+    hashes = jaccard.hash_windows(words, 5).tolist()
+    assert dict(zip(sets[0].tolist(), weights[0].tolist(), strict=True)) == {hashes[0]: 33, hashes[1]: 23}
+    assert [len(s) for s in sets] == [2, 1, 0] and weights[1].tolist() == [0]
+
+
 def test_members_are_dealt_once_and_blocks_follow_sizes(llm, monkeypatch):
     rows = [(bytes([i]) * 16, 50 + i % 40) for i in range(200)]
     classes = llm.createDataFrame(rows, "key binary, n long")
