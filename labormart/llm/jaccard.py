@@ -44,15 +44,17 @@ WIDTH = 5
 #: Two sets link when PERCENT is at most 100 times their Jaccard similarity.
 PERCENT = 75
 #: Shingles of the sets that are counted together for the order, and indexed together.
-BLOCK_SHINGLES = 1_500_000
+BLOCK_SHINGLES = 1_000_000
 #: Shingles put last in the order, at most; the order decides speed, never results.
 ORDERED_LAST = 1 << 17
 LOCAL_COUNT = 4
 #: Words whose frequency places shingles in the order, at most; and how often a slice of texts must have one.
 COMMON_WORDS = 1 << 16
 LOCAL_WORDS = 8
+#: Bytes of text whose words are hashed at once.
+SLICE_BYTES = 1 << 20
 #: Index entries of one bucket; entries of a list that are compared one by one.
-BUCKET_ENTRIES = 1_500_000
+BUCKET_ENTRIES = 1_000_000
 LONG_RANGE = 128
 #: Sets, and shingles, of one shard in the test of pairs; bytes of bitmaps that are packed or compared at once.
 SHARD_SETS = 16_384
@@ -86,7 +88,7 @@ def sets_of(words: np.ndarray, bounds: np.ndarray, width: int, weight: np.ndarra
         if hi - lo >= width and total is not None:
             shingles, at = np.unique(windows[lo : hi - width + 1], return_index=True)
             out.append(shingles)
-            weights.append(total[lo + at + width] - total[lo + at])
+            weights.append((total[lo + at + width] - total[lo + at]).astype(np.int32))
             continue
         if hi - lo >= width:
             out.append(np.unique(windows[lo : hi - width + 1]))
@@ -94,7 +96,7 @@ def sets_of(words: np.ndarray, bounds: np.ndarray, width: int, weight: np.ndarra
             out.append(hash_windows(words[lo:hi], hi - lo, salt=hi - lo))
         else:
             out.append(np.zeros(0, np.uint64))
-        weights.append(np.zeros(len(out[-1]), np.int64))
+        weights.append(np.zeros(len(out[-1]), np.int32))
     return out, weights
 
 
@@ -122,7 +124,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
     """Hashed words of the texts, slice by slice, and where each text's begin."""
     for batch in batches:
         text, offsets = text_buffers(batch.column(column))
-        for start, stop in text_slices(batch.column(column)):
+        for start, stop in text_slices(batch.column(column), SLICE_BYTES):
             yield batch, start, stop, *hash_words(text, offsets[start : stop + 1], lower=True)
 
 
@@ -198,10 +200,11 @@ def _index_rows(docs: DataFrame, last, n_buckets: int, width: int, percent: int)
             at = np.flatnonzero(late)
             if len(at):
                 value[at] = int(value.max()) + 1 + rank[found[at]]
+            del found, late
             by = np.argsort(owner * (int(value.max()) + 1) + value, kind="stable")
-            place, ahead = np.empty(len(shingles), np.int64), np.empty(len(shingles), np.uint64)
+            del value
+            place = np.empty(len(shingles), np.int64)
             place[by] = np.arange(len(shingles)) - np.repeat(starts, sizes)
-            ahead[by] = np.where(place[by] > 0, np.r_[shingles[by[-1:]], shingles[by[:-1]]], 0)
             keep = place < _prefix_length(sizes, percent)[owner]
             is_hot = np.zeros(len(shingles), bool)
             if len(hot):
@@ -209,13 +212,15 @@ def _index_rows(docs: DataFrame, last, n_buckets: int, width: int, percent: int)
             entry = np.flatnonzero(keep & ~is_hot)
             bucket = (shingles[entry] & np.uint64(0xFFFFFF)).astype(np.int64) % n_buckets
             entry = entry[np.argsort(bucket, kind="stable")]
+            ahead = np.where(place[entry] > 0, shingles[by[starts[owner[entry]] + place[entry] - 1]], 0)
+            del by
             cuts = np.searchsorted(np.sort(bucket), np.arange(n_buckets + 1))
             key_bytes = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 16)
             rows: list[tuple] = []
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 e = entry[cuts[b] : cuts[b + 1]]
                 own, local = np.unique(owner[e], return_inverse=True)
-                rows.append((b, len(own), key_bytes[own].tobytes() + sizes[own].astype("<u4").tobytes() + shingles[e].tobytes() + local.astype("<u4").tobytes() + place[e].astype("<u4").tobytes() + ahead[e].tobytes()))
+                rows.append((b, len(own), key_bytes[own].tobytes() + sizes[own].astype("<u4").tobytes() + shingles[e].tobytes() + local.astype("<u4").tobytes() + place[e].astype("<u4").tobytes() + ahead[cuts[b] : cuts[b + 1]].tobytes()))
             e = np.flatnonzero(keep & is_hot)
             if len(e):  # bare edges, in a bucket of their own
                 nodes = np.concatenate([np.frombuffer(b"hot-word", np.uint8)[None].repeat(len(e), 0), shingles[e].view(np.uint8).reshape(-1, 8)], axis=1)
@@ -664,7 +669,7 @@ def _group_rows(rows: pa.Table, width: int, percent: int) -> pa.Table:
     groups: dict[tuple, dict[bytes, np.ndarray]] = {}
     several = set()
     row = 0
-    for start, stop in text_slices(column):
+    for start, stop in text_slices(column, SLICE_BYTES):
         for s in shingle_sets(text, offsets[start : stop + 1], width):
             if set_key(s) == keys[row]:
                 groups.setdefault(cell[row], {})[keys[row]] = s
